@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _SECONDS = 3600
 
 
+def _slot(ts: str, slot_seconds: int) -> Column:
+    # Built from calendar fields: increases with a timestamp without zone in any session zone.
+    moment = F.col(ts)
+    seconds = (F.unix_date(F.to_date(moment)).cast("long") * 86400
+               + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment))
+    return F.floor(seconds / slot_seconds)
+
+
 def as_of_lookup(spine: DataFrame, features: DataFrame, key: str, ts: str, values: Sequence[str],
                  tie_break: str | None = None, slot_seconds: int = _SECONDS) -> DataFrame:
     """Each spine row with the values of the latest feature row of its key at or before its time.
@@ -19,10 +27,10 @@ def as_of_lookup(spine: DataFrame, features: DataFrame, key: str, ts: str, value
     pre-aggregated table with one row per key and slot. A key that holds a third of all
     rows therefore becomes many tasks.
     """
-    slot = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slot_seconds)
+    slot = _slot(ts, slot_seconds)
     packed = F.struct(*values)
     order = F.col(tie_break) if tie_break else packed
-    latest = (features.groupBy(key, ts).agg(F.max_by(packed, order).alias("_value"))
+    latest = (features.dropna(subset=[key, ts]).groupBy(key, ts).agg(F.max_by(packed, order).alias("_value"))
               .withColumn("_slot", slot))
 
     left = spine.withColumn("_slot", slot)

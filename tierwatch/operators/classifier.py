@@ -49,9 +49,8 @@ def train(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str =
                      F.col(label).cast("double").alias(label))
     trees = GBTClassifier(
         featuresCol=_VECTOR, labelCol=label, predictionCol="prediction",
-        rawPredictionCol=_RAW, probabilityCol=_PROBABILITY,
         maxIter=n_trees, maxDepth=depth, stepSize=rate, seed=seed,
-    )
+    ).setRawPredictionCol(_RAW).setProbabilityCol(_PROBABILITY)
     assembler = VectorAssembler(inputCols=list(features), outputCol=_VECTOR, handleInvalid="keep")
     return Pipeline(stages=[assembler, trees]).fit(rows)
 

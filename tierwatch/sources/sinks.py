@@ -52,11 +52,6 @@ def export_csv(df: DataFrame, path: str, order_by: Sequence[str],
     chosen = df.orderBy(*order_by).select(*columns) if columns else df.orderBy(*order_by)
     texts = [f.name for f in chosen.schema.fields if isinstance(f.dataType, T.StringType)]
     filled = chosen.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in texts})
-    filled.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="",
-                                       timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-                                       ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-
-
-def export_pairs(df: DataFrame, path: str) -> None:
-    """Prompt/completion pairs as JSON lines."""
-    df.select("prompt", "completion").write.mode("overwrite").json(path)
+    (filled.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+     .csv(path, header=True, quote='"', escape='"', emptyValue="",
+          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
