@@ -3,12 +3,16 @@
 An embedder turns an Arrow array of texts into a matrix. It runs inside Arrow UDFs, so
 Spark decides how rows are partitioned and batched, and each text is embedded once per
 row whatever the number of concepts it is compared with.
+
+The UDFs are marked non-deterministic although they are not: Spark then never evaluates
+one twice, once for a filter on its result and once for the result. The price is that a
+filter on other columns should be written before the call, not after it.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -84,7 +88,7 @@ def embed(text: Column, embedder: Embedder | None = None) -> Column:
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * chosen.dim
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pc.is_null(texts))
 
-    return encode(text)
+    return encode.asNondeterministic()(text)
 
 
 def embed_literal(text: str, embedder: Embedder | None = None) -> list[float]:
@@ -111,7 +115,33 @@ def similarities(text: Column, phrases: Mapping[str, str], embedder: Embedder |
         columns = [pa.array(scores[:, j], mask=missing) for j in range(len(names))]
         return pa.StructArray.from_arrays(columns, names=names)
 
-    return compare(text)
+    return compare.asNondeterministic()(text)
+
+
+def word_counts(text: Column, words: Sequence[str]) -> Column:
+    """``struct<length, tf_0, tf_1, ...>``: words of a text, and counts of given words.
+
+    Null text counts as a text without words.
+    """
+    names = [f"tf_{i}" for i in range(len(words))]
+    asked = pa.array(list(words), pa.string())
+
+    @F.arrow_udf(", ".join(f"{n} int" for n in ["length", *names]))
+    def count(texts: pa.Array) -> pa.Array:
+        blocks = []
+        for part in _slices(texts):
+            rows, found, distinct = token_table(part)
+            lengths = np.bincount(rows, minlength=len(part))
+            which = pc.fill_null(pc.index_in(distinct, asked), -1).to_numpy(zero_copy_only=False)
+            hit = which[found] if len(found) else found
+            cells = rows[hit >= 0] * len(asked) + hit[hit >= 0]
+            tf = np.bincount(cells, minlength=len(part) * len(asked)).reshape(len(part), len(asked))
+            blocks.append(np.column_stack([lengths, tf]))
+        table = np.concatenate(blocks) if blocks else np.zeros((0, len(names) + 1))
+        columns = [pa.array(table[:, j].astype(np.int32)) for j in range(len(names) + 1)]
+        return pa.StructArray.from_arrays(columns, names=["length", *names])
+
+    return count.asNondeterministic()(text)
 
 
 def term_counts(text: Column) -> Column:
@@ -138,4 +168,4 @@ def term_counts(text: Column) -> Column:
         pairs = pa.StructArray.from_arrays([terms, counts], names=["term", "tf"])
         return pa.ListArray.from_arrays(offsets, pairs)
 
-    return count(text)
+    return count.asNondeterministic()(text)

@@ -14,11 +14,6 @@ TOKEN_SEPARATOR = r"[^\p{L}\p{N}]+"
 _MAX_SEARCHES = 64
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits, in order, with repeats."""
-    return F.array_remove(F.split(F.lower(text), TOKEN_SEPARATOR), "")
-
-
 def contains_any(text: Column, phrases: Sequence[str]) -> Column:
     """True when the lower-cased text contains one of the phrases anywhere; null for null.
 

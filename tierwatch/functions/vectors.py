@@ -53,7 +53,7 @@ def cosine_to(vector: Column, query: Sequence[float]) -> Column:
         scores[valid] = unit_rows(rows) @ target
         return pa.array(scores, mask=~valid | np.isnan(scores))
 
-    return compare(vector)
+    return compare.asNondeterministic()(vector)
 
 
 def has_length(vector: Column, dim: int) -> Column:

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tierwatch.constants import RRF_CONSTANT
 from tierwatch.functions.ratios import safe_ratio
 from tierwatch.operators.vector_search import with_rank
 from tierwatch.session import materialize
 
+LISTS = ("lexical", "vector")
+
 
 def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int = RRF_CONSTANT,
          digits: int = 6) -> DataFrame:
@@ -24,51 +28,65 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
       ``d = constant + 2 k`` the first is smaller, so the best ``k`` are among the at most
       ``2 d`` candidates.
     * The exact rank of a candidate is one plus the number of better rows, counted for
-      all candidates at once by one aggregate per list.
+      all candidates at once by one aggregate.
     """
     depth = constant + 2 * k
-    # Both lists are read three times each and are narrow: key and score.
-    lists = {"lexical": materialize(lexical.select(key, "score"), "lexical-scores"),
-             "vector": materialize(vector.select(key, "score"), "vector-scores")}
+    # Key and score only, written once and read three times.
+    scores = materialize(_tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")), "scores")
     order = F.desc("score"), F.asc(key)
-    best = [scores.orderBy(*order).limit(depth).select(key) for scores in lists.values()]
-    candidates = best[0].union(best[1]).distinct()
-
-    ranked = candidates
-    for name, scores in lists.items():
-        # At most 2 * depth keys by construction: safe to broadcast whatever the table size.
-        mine = scores.join(F.broadcast(candidates), key, "left_semi")
-        ranked = ranked.join(F.broadcast(exact_ranks(mine, scores, key, f"{name}_rank")), key, "left")
-    points = sum(safe_ratio(F.lit(1.0), constant + F.col(f"{n}_rank")) for n in lists)
+    heads = [scores.filter(F.col("list") == name).orderBy(*order).limit(depth).select(key) for name in LISTS]
+    ids = sorted({row[key] for row in heads[0].union(heads[1]).collect()})
+
+    ranks = exact_ranks(scores, key, ids)
+    points = reduce(add, [_points(name, constant) for name in LISTS])
+    best = ranks.groupBy(key).agg(
+        *[F.max(F.when(F.col("list") == name, F.col("_rank"))).alias(f"{name}_rank") for name in LISTS],
+        F.round(points, 12).alias("_points"))
     final = F.desc("_points"), F.asc(key)
-    top = ranked.withColumn("_points", F.round(points, 12)).orderBy(*final).limit(k)
-    return (with_rank(top, *final)
-            .select(key, "lexical_rank", "vector_rank", F.round("_points", digits).alias("score"), "rank"))
+    return (with_rank(best.orderBy(*final).limit(k), *final)
+            .select(key, *[f"{name}_rank" for name in LISTS], F.round("_points", digits).alias("score"), "rank"))
+
+
+def _tagged(scores: DataFrame, key: str, name: str) -> DataFrame:
+    return scores.select(F.lit(name).alias("list"), key, "score")
+
+
+def _points(name: str, constant: int) -> Column:
+    mine = F.max(F.when(F.col("list") == name, F.col("_rank")))
+    return safe_ratio(F.lit(1.0), constant + mine)
 
 
-def exact_ranks(wanted: DataFrame, scores: DataFrame, key: str, into: str) -> DataFrame:
-    """Rank of a bounded set of rows within all rows (score descending, key ascending).
+def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
+    """``(list, key, _rank)``: ranks of a bounded set of keys within all rows of each list.
 
-    Each row of ``scores`` is placed among the wanted rows and only the counts per place
-    are shuffled.
+    Each row of ``scores`` is placed among the wanted rows of its list, and only the
+    counts per place are shuffled.
     """
-    # A literal of the wanted rows, few by the contract of this function: higher-order
-    # functions take no subquery.
-    kept = wanted.select("score", key).collect()
-    better_or_same = F.filter(
-        F.array(*[F.struct(F.lit(r["score"]).alias("score"), F.lit(r[key]).alias("id")) for r in kept]),
-        lambda w: (w["score"] > F.col("score")) | ((w["score"] == F.col("score")) & (w["id"] <= F.col(key)))
-    ) if kept else F.array()
-    counts = scores.groupBy(F.size(better_or_same).alias("_place")).agg(F.count("*").alias("_rows"))
-
-    # Every wanted row has a place of its own (its step), so the running sum over the places
-    # before it counts the rows that are better. Both sides are bounded by the wanted rows.
-    steps = wanted.select(
-        key, F.row_number().over(Window.orderBy(F.desc("score"), F.asc(key))).alias("_place"))
-    before = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    running = counts.select("_place", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_better"))
-    return (steps.join(F.broadcast(running), "_place")
-            .select(key, (F.col("_better") + 1).cast("int").alias(into)))
+    wanted = scores.filter(F.col(key).isin(list(ids))).collect() if ids else []
+    by_list = {name: sorted((r for r in wanted if r["list"] == name), key=lambda r: (-r["score"], r[key]))
+               for name in LISTS}
+    place = F.when(F.col("list") == LISTS[0], _place(by_list[LISTS[0]], key)).otherwise(_place(by_list[LISTS[1]], key))
+    counts = scores.groupBy("list", place.alias("_place")).agg(F.count("*").alias("_rows"))
+
+    # Every wanted row has a place of its own, so the running sum over the places before
+    # it counts the better rows. There are at most as many places as wanted rows, plus one.
+    before = Window.partitionBy("list").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    running = counts.select("list", "_place", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_better"))
+    steps = scores.sparkSession.createDataFrame(
+        [(name, i, r[key]) for name, rows in by_list.items() for i, r in enumerate(rows, 1)],
+        f"list string, _place int, {key} {scores.schema[key].dataType.simpleString()}")
+    return running.join(F.broadcast(steps), ["list", "_place"]).select(
+        "list", key, (F.col("_better") + 1).cast("int").alias("_rank"))
+
+
+def _place(wanted: Sequence[Row], key: str) -> Column:
+    """How many of the wanted rows are as good as or better than the row at hand."""
+    if not wanted:
+        return F.lit(0)
+    # A literal of the wanted rows: higher-order functions take no subquery.
+    ladder = F.array(*[F.struct(F.lit(w["score"]).alias("score"), F.lit(w[key]).alias("id")) for w in wanted])
+    return F.size(F.filter(ladder, lambda w: (w["score"] > F.col("score"))
+                           | ((w["score"] == F.col("score")) & (w["id"] <= F.col(key)))))
 
 
 def attach(hits: DataFrame, rows: DataFrame, key: str, columns: Sequence[str], limit: int) -> DataFrame:

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwatch.constants import BM25_B, BM25_K1
-from tierwatch.functions.embedding import token_table
-from tierwatch.functions.text import contains_any, tokens
+from tierwatch.functions.embedding import token_table, word_counts
+from tierwatch.functions.text import contains_any
 from tierwatch.operators.vector_search import equals, with_rank
 
 
@@ -44,24 +44,18 @@ def bm25_scores(df: DataFrame, key: str, text: str, query: str,
     names = [f"tf_{i}" for i in range(len(terms))]
 
     def counted(rows: DataFrame) -> DataFrame:
-        words = rows.select(key, tokens(F.col(text)).alias("_words"))
-        tf = [F.size(F.filter("_words", _same_word(t))).alias(n) for t, n in zip(terms, names)]
-        return words.select(key, F.size("_words").alias("length"), *tf)
+        return rows.select(key, word_counts(F.col(text), terms).alias("_c")).select(key, "_c.*")
 
     known = df.filter(F.col(text).isNotNull())
     stats = counted(known).agg(F.struct(
         F.count("*").alias("n"), F.avg("length").alias("mean_length"),
         *[F.count_if(F.col(n) > 0).alias(n) for n in names]).alias("stats")).scalar()
 
-    matching = counted(known.filter(equals(filter_eq) & contains_any(F.col(text), terms)))
-    parts = [idf(stats["n"], stats[n]) * term_weight(F.col(n), F.col("length"), stats["mean_length"])
-             for n in names]
-    # Every weight is positive, so a score of zero means that no whole word matched.
-    return matching.select(key, F.round(reduce(add, parts), 10).alias("score")).filter("score > 0")
-
-
-def _same_word(term: str):
-    return lambda word: word == F.lit(term)
+    found = counted(known.filter(equals(filter_eq) & contains_any(F.col(text), terms)))
+    matching = found.filter(F.greatest(F.lit(0), *names) > 0).withColumn("_s", stats)
+    parts = [idf(F.col("_s")["n"], F.col("_s")[n])
+             * term_weight(F.col(n), F.col("length"), F.col("_s")["mean_length"]) for n in names]
+    return matching.select(key, F.round(reduce(add, parts), 10).alias("score"))
 
 
 def bm25_search(df: DataFrame, key: str, text: str, query: str, k: int,

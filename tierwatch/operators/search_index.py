@@ -91,12 +91,13 @@ class SearchIndex:
             F.sum("n_docs").alias("n"),
             (F.sum("total_length") / F.sum("n_docs")).alias("mean_length")).alias("s")).scalar()
         # One row per query word: the size is bounded by the query.
-        weights = hits.groupBy("term").agg(F.count("*").alias("n_with")).select(
-            "term", idf(totals["n"], F.col("n_with")).alias("idf"))
+        weights = (hits.groupBy("term").agg(F.count("*").alias("n_with")).withColumn("_s", totals)
+                   .select("term", F.col("_s.mean_length").alias("mean_length"),
+                           idf(F.col("_s.n"), F.col("n_with")).alias("idf")))
         if filter_eq:
             kept = self.vectors(spark).filter(equals(filter_eq)).select(self.key)
             hits = hits.join(kept, self.key, "left_semi")
-        part = F.col("idf") * term_weight(F.col("tf"), F.col("length"), totals["mean_length"])
+        part = F.col("idf") * term_weight(F.col("tf"), F.col("length"), F.col("mean_length"))
         return (hits.join(F.broadcast(weights), "term")
                 .groupBy(self.key).agg(F.round(F.sum(part), 10).alias("score")))
 
