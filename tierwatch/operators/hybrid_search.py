@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
@@ -65,7 +66,9 @@ def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
     wanted = scores.filter(F.col(key).isin(list(ids))).collect() if ids else []
     by_list = {name: sorted((r for r in wanted if r["list"] == name), key=lambda r: (-r["score"], r[key]))
                for name in LISTS}
-    place = F.when(F.col("list") == LISTS[0], _place(by_list[LISTS[0]], key)).otherwise(_place(by_list[LISTS[1]], key))
+    key_type = scores.schema[key].dataType.simpleString()
+    first, second = (_place(by_list[name], key, key_type) for name in LISTS)
+    place = F.when(F.col("list") == LISTS[0], first).otherwise(second)
     counts = scores.groupBy("list", place.alias("_place")).agg(F.count("*").alias("_rows"))
 
     # Every wanted row has a place of its own, so the running sum over the places before
@@ -74,17 +77,17 @@ def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
     running = counts.select("list", "_place", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_better"))
     steps = scores.sparkSession.createDataFrame(
         [(name, i, r[key]) for name, rows in by_list.items() for i, r in enumerate(rows, 1)],
-        f"list string, _place int, {key} {scores.schema[key].dataType.simpleString()}")
+        f"list string, _place int, {key} {key_type}")
     return running.join(F.broadcast(steps), ["list", "_place"]).select(
         "list", key, (F.col("_better") + 1).cast("int").alias("_rank"))
 
 
-def _place(wanted: Sequence[Row], key: str) -> Column:
+def _place(wanted: Sequence[Row], key: str, key_type: str) -> Column:
     """How many of the wanted rows are as good as or better than the row at hand."""
-    if not wanted:
-        return F.lit(0)
-    # A literal of the wanted rows: higher-order functions take no subquery.
-    ladder = F.array(*[F.struct(F.lit(w["score"]).alias("score"), F.lit(w[key]).alias("id")) for w in wanted])
+    # One constant that the optimiser folds: higher-order functions take no subquery, and
+    # an array of many literals is slow to plan.
+    text = json.dumps([{"score": w["score"], "id": w[key]} for w in wanted])
+    ladder = F.from_json(F.lit(text), f"array<struct<score: double, id: {key_type}>>")
     return F.size(F.filter(ladder, lambda w: (w["score"] > F.col("score"))
                            | ((w["score"] == F.col("score")) & (w["id"] <= F.col(key)))))
 
