@@ -21,18 +21,26 @@ def _dot(a: Column, b: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two vector columns, computed in double.
 
-    0.0 when one is the zero vector; null when one is null or their lengths differ.
+    0.0 when one is the zero vector; null when one is null, misses an element, or their
+    lengths differ.
     """
-    value = safe_ratio(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
-    return F.when(F.size(a) == F.size(b), value)
+    product = _dot(a, b)
+    value = safe_ratio(product, F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
+    return F.when((F.size(a) == F.size(b)) & product.isNotNull(), value)
 
 
 def vector_rows(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(matrix, valid) of a batch of vectors; a null or wrongly sized one is not valid."""
+    """(matrix of the valid rows, valid) of a batch of vectors.
+
+    A vector that is null, of another length or with a missing element is not valid.
+    """
     lengths = pc.fill_null(pc.list_value_length(vectors), -1)
-    valid = pc.equal(lengths, dim)
-    flat = pc.list_flatten(vectors.filter(valid)).cast(pa.float64()).to_numpy(zero_copy_only=False)
-    return flat.reshape(-1, dim), valid.to_numpy(zero_copy_only=False)
+    valid = pc.equal(lengths, dim).to_numpy(zero_copy_only=False)
+    flat = pc.list_flatten(vectors.filter(pa.array(valid))).cast(pa.float64()).to_numpy(zero_copy_only=False)
+    rows = flat.reshape(-1, dim) if dim else np.zeros((int(valid.sum()), 0))
+    whole = ~np.isnan(rows).any(axis=1)
+    valid[np.flatnonzero(valid)[~whole]] = False
+    return rows[whole], valid
 
 
 def cosine_to(vector: Column, query: Sequence[float]) -> Column:
@@ -51,7 +59,7 @@ def cosine_to(vector: Column, query: Sequence[float]) -> Column:
         rows, valid = vector_rows(vectors, dim)
         scores = np.zeros(len(vectors))
         scores[valid] = unit_rows(rows) @ target
-        return pa.array(scores, mask=~valid | np.isnan(scores))
+        return pa.array(scores, mask=~valid)
 
     return compare.asNondeterministic()(vector)
 

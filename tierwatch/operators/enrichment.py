@@ -88,23 +88,26 @@ def complete(df: DataFrame, key: str, prompt: str, completer: Completer,
     return narrow.mapInArrow(answer, schema)
 
 
+def unanswered(df: DataFrame, key: str, store: str) -> DataFrame:
+    """Rows whose key has no stored answer yet. Apply it before texts are joined in."""
+    try:
+        known = df.sparkSession.read.parquet(store).select(key)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return df
+    return df.join(known, key, "left_anti")
+
+
 def complete_missing(df: DataFrame, key: str, prompt: str, completer: Completer, store: str,
                      tasks: int | None = None) -> DataFrame:
     """Ask only for keys without a stored answer, append those, return the store.
 
     A failed job leaves the store as it was, and running again asks only for the rest.
     """
-    spark = df.sparkSession
-    try:
-        known = spark.read.parquet(store).select(key)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        todo = df
-    else:
-        todo = df.join(known, key, "left_anti")
+    todo = unanswered(df, key, store)
     complete(todo, key, prompt, completer, tasks=tasks).write.mode("append").parquet(store)
-    return spark.read.parquet(store)
+    return df.sparkSession.read.parquet(store)
 
 
 class Parsed(NamedTuple):

@@ -7,7 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierwatch.constants import FEATURE_COLUMNS, N_TREES, TARGET_COLUMN, TREE_DEPTH
+from tierwatch.constants import FEATURE_COLUMNS, N_TREES, PROMPT_BODY_CHARS, TARGET_COLUMN, TREE_DEPTH
+from tierwatch.functions.text import preview
 from tierwatch.operators import classifier, enrichment, evaluation, triage
 from tierwatch.operators.enrichment import Completer
 from tierwatch.operators.registry import ModelRegistry
@@ -55,10 +56,14 @@ def review(predictions: DataFrame, messages: DataFrame, completer: Completer, st
            key: str = "email_id", tasks: int | None = None) -> Reviewed:
     """Send the uncertain bucket to a completer and build the tiered view.
 
-    Answers are stored before use and are asked for once per message over all runs.
+    Answers are stored before use and are asked for once per message over all runs. What
+    has an answer leaves before the join with the texts, and the part of a body that a
+    prompt holds is cut before it: the shuffle moves no more than the prompts need.
     """
-    gate = enrichment.uncertain(predictions, messages, key)
-    prompts = gate.withColumn("prompt", enrichment.review_prompt())
-    answers = enrichment.complete_missing(prompts, key, "prompt", completer, store, tasks)
+    pending = enrichment.unanswered(predictions, key, store)
+    texts = messages.withColumn("body", preview(F.col("body"), PROMPT_BODY_CHARS))
+    prompts = enrichment.uncertain(pending, texts, key).withColumn("prompt", enrichment.review_prompt())
+    enrichment.complete(prompts, key, "prompt", completer, tasks=tasks).write.mode("append").parquet(store)
+    answers = predictions.sparkSession.read.parquet(store)
     parsed = enrichment.parse_analysis(answers)
     return Reviewed(triage.tiered_view(predictions, messages, parsed.accepted, key), parsed.rejected)
