@@ -75,10 +75,10 @@ def complete(df: DataFrame, key: str, prompt: str, completer: Completer,
         for batch in batches:
             prompts = batch.column(1).to_pylist()
             asked = [i for i, p in enumerate(prompts) if p is not None]
-            got = iter(completer([prompts[i] for i in asked]) if asked else [])
+            got = completer([prompts[i] for i in asked]) if asked else []
             answers: list[str | None] = [None] * len(prompts)
-            for i in asked:
-                answers[i] = next(got)
+            for i, text in zip(asked, got, strict=True):
+                answers[i] = text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, pa.string())], [key, into])
 
     narrow = df.select(key, prompt)
