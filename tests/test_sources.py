@@ -118,5 +118,9 @@ def test_function_and_file_inventory(spark, tmp_path):
 
 def test_small_scans_are_spread_and_rows_in_memory(spark, folder):
     files.rows_to_table(spark, [(i, "t") for i in range(100)], "k long, t string").coalesce(1).write.parquet(folder + "/t")
-    df = files.read_parquet_for_text_work(spark, folder + "/t", "k")
+    scan = spark.read.parquet(folder + "/t")
+    df = files.spread_small(scan.filter("k >= 0"), scan, "k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
+    assert files.spread_small(scan, scan, "k") is scan
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and df.count() == 100

@@ -120,7 +120,8 @@ def parse_structured(df: DataFrame, answer: str, schema: T.StructType, into: str
     """Parse a JSON answer; every field of the schema is required and must have its type.
 
     ``valid`` is a further condition on the parsed column named ``into``. Rows that fail
-    keep their answer on the rejected side.
+    keep their answer on the rejected side. Give a stored answer column: a computed one
+    would be worked out again for the condition and for the result.
     """
     parsed = df.withColumn(into, F.from_json(F.col(answer), schema))
     good = F.lit(True)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tierwatch.constants import RRF_CONSTANT
@@ -66,10 +67,8 @@ def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
     wanted = scores.filter(F.col(key).isin(list(ids))).collect() if ids else []
     by_list = {name: sorted((r for r in wanted if r["list"] == name), key=lambda r: (-r["score"], r[key]))
                for name in LISTS}
-    key_type = scores.schema[key].dataType.simpleString()
-    first, second = (_place(by_list[name], key, key_type) for name in LISTS)
-    place = F.when(F.col("list") == LISTS[0], first).otherwise(second)
-    counts = scores.groupBy("list", place.alias("_place")).agg(F.count("*").alias("_rows"))
+    place = F.when(F.col("list") == LISTS[0], _place(by_list[LISTS[0]], key)).otherwise(_place(by_list[LISTS[1]], key))
+    counts = scores.select("list", place.alias("_place")).groupBy("list", "_place").agg(F.count("*").alias("_rows"))
 
     # Every wanted row has a place of its own, so the running sum over the places before
     # it counts the better rows. There are at most as many places as wanted rows, plus one.
@@ -77,19 +76,35 @@ def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
     running = counts.select("list", "_place", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_better"))
     steps = scores.sparkSession.createDataFrame(
         [(name, i, r[key]) for name, rows in by_list.items() for i, r in enumerate(rows, 1)],
-        f"list string, _place int, {key} {key_type}")
+        f"list string, _place int, {key} {scores.schema[key].dataType.simpleString()}")
     return running.join(F.broadcast(steps), ["list", "_place"]).select(
         "list", key, (F.col("_better") + 1).cast("int").alias("_rank"))
 
 
-def _place(wanted: Sequence[Row], key: str, key_type: str) -> Column:
-    """How many of the wanted rows are as good as or better than the row at hand."""
-    # One constant that the optimiser folds: higher-order functions take no subquery, and
-    # an array of many literals is slow to plan.
-    text = json.dumps([{"score": w["score"], "id": w[key]} for w in wanted])
-    ladder = F.from_json(F.lit(text), f"array<struct<score: double, id: {key_type}>>")
-    return F.size(F.filter(ladder, lambda w: (w["score"] > F.col("score"))
-                           | ((w["score"] == F.col("score")) & (w["id"] <= F.col(key)))))
+def _place(wanted: Sequence[Row], key: str) -> Column:
+    """How many of the wanted rows (best first) are as good as or better than the row at hand.
+
+    Two binary searches per row, over the scores and, among equal scores, over the keys.
+    """
+    worse_first = np.array([-w["score"] for w in wanted])
+    ids = np.array([w[key] for w in wanted])
+
+    @F.arrow_udf("int")
+    def find(scores: pa.Array, keys: pa.Array) -> pa.Array:
+        mine = -scores.to_numpy(zero_copy_only=False)
+        start = np.searchsorted(worse_first, mine, side="left")
+        end = np.searchsorted(worse_first, mine, side="right")
+        places = start.copy()
+        tied = np.flatnonzero(end > start)
+        if len(tied):
+            names = np.array(keys.take(pa.array(tied)).to_pylist())
+            for block in np.unique(start[tied]):
+                rows = start[tied] == block
+                last = end[tied][rows][0]
+                places[tied[rows]] += np.searchsorted(ids[block:last], names[rows], side="right")
+        return pa.array(places.astype(np.int32))
+
+    return find.asNondeterministic()(F.col("score"), F.col(key)) if wanted else F.lit(0)
 
 
 def attach(hits: DataFrame, rows: DataFrame, key: str, columns: Sequence[str], limit: int) -> DataFrame:

@@ -51,9 +51,11 @@ class SearchIndex:
         counted = (messages.filter(F.col(self.text).isNotNull())
                    .select(key, term_counts(F.col(self.text)).alias("_terms"))
                    .withColumn("length", F.aggregate("_terms", F.lit(0), lambda n, t: n + t["tf"])))
-        postings = (counted.select(key, "length", F.explode("_terms").alias("_t"))
-                    .select(key, "length", "_t.term", "_t.tf")
-                    .withColumn("bucket", self._bucket(F.col("term"))))
+        # One row per word, and one without a word for an empty text; "first" marks one row
+        # per message, so that messages can be counted from the narrow table.
+        postings = (counted.select(key, "length", F.posexplode_outer("_terms").alias("_at", "_t"))
+                    .select(key, "length", "_t.term", "_t.tf", (F.coalesce("_at", F.lit(0)) == 0).alias("first"))
+                    .withColumn("bucket", F.coalesce(self._bucket(F.col("term")), F.lit(0))))
         (postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/batch={batch_id}"))
 
@@ -61,13 +63,11 @@ class SearchIndex:
                                 self.embedder, self.body_chars)
         vectors.write.mode("overwrite").parquet(f"{self.root}/vectors/batch={batch_id}")
 
-        # Lengths come from the stored postings: no second pass over the texts. A text
-        # without words has no posting and length zero.
-        spark = messages.sparkSession
-        written = spark.read.schema(postings.schema).parquet(f"{self.root}/postings/batch={batch_id}")
-        lengths = written.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_length"))
-        docs = messages.agg(F.count(self.text).alias("n_docs")).withColumn("total_length", lengths.scalar())
-        docs.write.mode("overwrite").parquet(f"{self.root}/stats/batch={batch_id}")
+        # Counted from the stored postings: the texts are not read again.
+        written = messages.sparkSession.read.schema(postings.schema).parquet(f"{self.root}/postings/batch={batch_id}")
+        stats = written.agg(F.count_if("first").alias("n_docs"),
+                            F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_length"))
+        stats.write.mode("overwrite").parquet(f"{self.root}/stats/batch={batch_id}")
 
     def _bucket(self, term):
         return F.pmod(F.crc32(term.cast("binary")), F.lit(self.buckets)).cast("int")

@@ -12,7 +12,7 @@ from tierwatch.constants import FLAG_COLUMN
 from tierwatch.functions.decisions import logistic_score
 from tierwatch.operators import enrichment, features, triage
 from tierwatch.session import materialize
-from tierwatch.sources.files import read_parquet_for_text_work
+from tierwatch.sources.files import spread_small
 
 PHRASES = ("trash", "scum", "idiot", "moron", "hate", "license")
 CONCEPTS = {
@@ -34,7 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a message without a label."""
-    return as_messages(read_parquet_for_text_work(spark, f"{sf_dir}/documents.parquet", "doc_id"))
+    docs = table(spark, sf_dir, "documents")
+    return spread_small(as_messages(docs), docs, "email_id")
 
 
 def as_messages(docs: DataFrame) -> DataFrame:
@@ -48,18 +49,23 @@ def _sent_at(key: str):
     return start + F.col(key) * F.expr("INTERVAL '1' MINUTE")
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled documents as messages with departments and a label."""
+def labelled(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The labelled documents as messages with departments and a label.
+
+    ``spread`` is for work on words; a plain search is faster than the shuffle.
+    """
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("email_id"),
         F.when(F.col("quality") == 1, "en").otherwise("fr").alias("recipient_dept"),
         F.when(F.col("toxic") == 0, "CLEAN").when(F.col("quality") == 0, "INSIDER_TRADING")
         .otherwise("CONFIDENTIALITY_BREACH").alias("compliance_label"))
-    return documents(spark, sf_dir).join(labels, "email_id")
+    found = as_messages(docs).join(labels, "email_id")
+    return spread_small(found, docs, "email_id") if spread else found
 
 
 def message_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.message_features(labelled(spark, sf_dir), CONCEPTS, PAIR)
+    return features.message_features(labelled(spark, sf_dir, spread=True), CONCEPTS, PAIR)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,17 +80,24 @@ def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(predictions(spark, sf_dir).drop("subject", "body"), "predictions")
 
 
-def analysed(spark: SparkSession, sf_dir: str, stored: DataFrame) -> DataFrame:
-    """The uncertain bucket with texts and parsed answers of the native completer."""
-    gate = enrichment.uncertain(stored, labelled(spark, sf_dir))
-    answered = gate.withColumn("answer", enrichment.phrase_answer(
-        F.col("body"), F.col("violation_probability"), PHRASES))
-    return enrichment.parse_analysis(answered).accepted
+def gate(spark: SparkSession, sf_dir: str, stored: DataFrame) -> DataFrame:
+    """The uncertain bucket with its texts."""
+    return enrichment.uncertain(stored, labelled(spark, sf_dir))
+
+
+def analysis(spark: SparkSession, sf_dir: str, stored: DataFrame) -> DataFrame:
+    """Key and parsed answer of the uncertain bucket, from the native completer.
+
+    Answers are a stored table, as with any completer; parsing reads them many times.
+    """
+    answer = enrichment.phrase_answer(F.col("body"), F.col("violation_probability"), PHRASES)
+    answers = materialize(gate(spark, sf_dir, stored).select("email_id", answer.alias("answer")), "answers")
+    return enrichment.parse_analysis(answers).accepted
 
 
 def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_predictions(spark, sf_dir)
-    return triage.tiered_view(stored, labelled(spark, sf_dir), analysed(spark, sf_dir, stored))
+    return triage.tiered_view(stored, labelled(spark, sf_dir), analysis(spark, sf_dir, stored))
 
 
 # SQL twins of the above, as common table expressions.

@@ -35,7 +35,8 @@ def _quality(df):
 SELECT doc_id AS email_id, CASE WHEN regexp_matches(lower(text), '{"|".join(s.PHRASES)}') THEN 'FLAGGED' ELSE 'CLEAN' END
        AS baseline_prediction FROM documents""")
 def keyword_flag(spark, sf_dir):
-    return keywords.keyword_flag(s.documents(spark, sf_dir), "body", s.PHRASES).select("email_id", "baseline_prediction")
+    messages = s.as_messages(s.table(spark, sf_dir, "documents"))
+    return keywords.keyword_flag(messages, "body", s.PHRASES).select("email_id", "baseline_prediction")
 
 
 @query(f"""
@@ -186,7 +187,7 @@ SELECT email_id, compliance_label AS actual_label, ml_decision, round(violation_
        sender_dept, recipient_dept, subject, md5(body) AS body_digest
 FROM predictions WHERE ml_decision = 'NEEDS_REVIEW'""")
 def uncertain_messages(spark, sf_dir):
-    gate = enrichment.uncertain(s.stored_predictions(spark, sf_dir), s.labelled(spark, sf_dir))
+    gate = s.gate(spark, sf_dir, s.stored_predictions(spark, sf_dir))
     return _round(gate.withColumn("body_digest", F.md5("body")).drop("body"), "violation_probability", digits=6)
 
 
@@ -200,7 +201,7 @@ SELECT email_id, md5('Chance ' || round(violation_probability, 2)::VARCHAR || '.
        AS prompt_digest
 FROM predictions WHERE ml_decision = 'NEEDS_REVIEW'""")
 def render_prompt(spark, sf_dir):
-    gate = enrichment.uncertain(s.stored_predictions(spark, sf_dir), s.labelled(spark, sf_dir))
+    gate = s.gate(spark, sf_dir, s.stored_predictions(spark, sf_dir))
     return gate.select("email_id", F.md5(enrichment.review_prompt(_TEST_TEMPLATE)).alias("prompt_digest"))
 
 
@@ -209,7 +210,7 @@ WITH {s.SQL_ANALYSIS}
 SELECT email_id, a_is_violation AS is_violation, a_confidence AS confidence, a_category AS category,
        a_reasoning AS reasoning FROM analysis""")
 def structured_answers(spark, sf_dir):
-    found = s.analysed(spark, sf_dir, s.stored_predictions(spark, sf_dir))
+    found = s.analysis(spark, sf_dir, s.stored_predictions(spark, sf_dir))
     return found.select("email_id", "analysis.*")
 
 
@@ -229,7 +230,7 @@ SELECT email_id, n % 2 = 0 AS is_violation, (n % 100)::DOUBLE / 100 AS confidenc
        CASE WHEN n % 2 = 1 THEN 'CLEAN' ELSE 'PERSONAL_TRADING' END AS category, n::VARCHAR AS reasoning FROM prompts""")
 def completed_answers(spark, sf_dir):
     """The completer plug-in: asked once, stored; the second call finds nothing left to ask."""
-    gate = enrichment.uncertain(s.stored_predictions(spark, sf_dir), s.labelled(spark, sf_dir))
+    gate = s.gate(spark, sf_dir, s.stored_predictions(spark, sf_dir))
     prompts = gate.withColumn("prompt", enrichment.review_prompt(_TEST_TEMPLATE))
     store = scratch_path(spark, "answers")
     for _ in range(2):
@@ -265,7 +266,8 @@ WITH {s.SQL_ANALYSIS}
 SELECT email_id, compliance_label AS actual_label, sender_dept || ' -> ' || recipient_dept AS communication, subject,
        substr(body, 1, 300) AS body_preview, a_category AS category FROM analysis""")
 def analysis_report(spark, sf_dir):
-    found = s.analysed(spark, sf_dir, s.stored_predictions(spark, sf_dir))
+    stored = s.stored_predictions(spark, sf_dir)
+    found = s.gate(spark, sf_dir, stored).join(s.analysis(spark, sf_dir, stored), "email_id")
     return enrichment.analysis_report(found).withColumn("category", F.col("analysis.category")).drop("analysis")
 
 

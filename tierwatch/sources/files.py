@@ -61,26 +61,22 @@ def rows_to_table(spark: SparkSession, rows: Sequence, schema: T.StructType | st
     return spark.createDataFrame(list(rows), schema)
 
 
-def read_parquet_for_text_work(spark: SparkSession, path: str, key: str,
-                               columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet scan ahead of work that costs CPU per row.
+def spread_small(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:
+    """Give a small input as many tasks as there are cores, ahead of work that costs CPU per row.
 
     A few small files give fewer scan tasks than there are cores. Only then rows are
-    spread by key, a shuffle of less than one scan split per core; a large input has
-    splits enough and is scanned as it is.
+    spread by key, a shuffle of less than one scan split per core; an input of a larger
+    ``scan`` has splits enough and stays as it is. Apply it after filters and joins that
+    leave rows out.
     """
-    df = spark.read.parquet(path)
-    df = df.select(*columns) if columns else df
+    spark = scan.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores and stored_bytes(spark, path) < cores * _split_bytes(spark):
-        return df.repartition(cores, key)
-    return df
+    return df.repartition(cores, key) if scan_bytes(scan) < cores * _split_bytes(spark) else df
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.getContentSummary(location).getLength()
+def scan_bytes(df: DataFrame) -> int:
+    """Size of the files a plain scan reads, as the planner knows it from listing them."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def _split_bytes(spark: SparkSession) -> int:
