@@ -70,3 +70,39 @@ def test_missing_features_are_kept_in_scoring(spark, rows):
     model = classifier.train(rows, n_trees=2, depth=2)
     holes = rows.limit(3).withColumn("mnpi_risk_score", F.lit(None).cast("double"))
     assert classifier.score(model, holes).filter("predict_proba_1 is not null").count() == 3
+
+
+def test_from_csv_to_measured_quality(spark, folder):
+    """The whole flow as a user would run it."""
+    from datetime import datetime, timedelta
+
+    from tierwatch.operators import evaluation, features as feature_ops
+    from tierwatch.sources import files, schemas, sinks
+
+    bodies = {"INSIDER_TRADING": "merger tip before announcement", "CLEAN": "meeting schedule and report", "PERSONAL_TRADING": "bought shares"}
+    labels = sorted(bodies)
+
+    def message(i):
+        # Every fourth text says nothing about its label.
+        label = labels[i % 4] if i % 4 < 3 else labels[(i // 4) % 2]
+        body = bodies[label] if i % 4 < 3 else "lunch today"
+        return (f"m{i:03d}", "a", "b", None, "note", f"{body}\nsecond line", datetime(2024, 1, 1) + timedelta(hours=i),
+                "Legal", "Trading", label)
+
+    rows = [message(i) for i in range(160)]
+    sinks.export_csv(spark.createDataFrame(rows, schemas.MESSAGES), folder + "/csv", ["sent_at", "email_id"])
+    messages, rejected = files.read_messages(spark, folder + "/csv")
+    assert rejected.count() == 0
+
+    store = FeatureRegistry(folder)
+    table = feature_ops.feature_view_columns(feature_ops.message_features(messages))
+    store.register(FeatureView("semantic", "message", ["email_id"], "ts"), table, "V1")
+    result = flows.retrain(store.load(spark, "semantic", "V1"), ModelRegistry(folder), "clf", "V1", n_trees=3, depth=2)
+    assert result.metrics["accuracy"] > 0.7
+
+    answer = '{"is_violation": true, "confidence": 0.9, "category": "PERSONAL_TRADING", "reasoning": "r"}'
+    reviewed = flows.review(result.predictions, messages, lambda prompts: [answer] * len(prompts), folder + "/answers")
+    measured = evaluation.hybrid_measured(reviewed.tiered).first()
+    assert measured["total"] == 160 and measured["recall"] == 1.0
+    asked = reviewed.tiered.filter("pipeline_action = 'LLM_ANALYSIS'")
+    assert asked.count() > 0 and asked.filter("analysis is null").count() == 0

@@ -34,8 +34,9 @@ def uncertain(predictions: DataFrame, messages: DataFrame, key: str = "email_id"
     table, and before any completion, which no optimiser rule could do later.
     """
     gate = predictions.filter(F.col("ml_decision") == decision).select(
-        key, F.col("compliance_label").alias("actual_label"), "ml_decision", "violation_probability")
-    texts = messages.select(key, "sender_dept", "recipient_dept", "subject", "body")
+        key, "ml_decision", "violation_probability")
+    texts = messages.select(key, F.col("compliance_label").alias("actual_label"),
+                            "sender_dept", "recipient_dept", "subject", "body")
     return gate.join(texts, key)
 
 

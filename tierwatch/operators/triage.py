@@ -20,10 +20,10 @@ def tiered_view(predictions: DataFrame, messages: DataFrame, analysis: DataFrame
     Only the narrow columns take part; bodies are never shuffled. With the three tables
     bucketed alike on the key both joins run without a shuffle.
     """
-    attributes = messages.select(key, "subject", "sender_dept", "recipient_dept")
+    attributes = messages.select(key, "subject", "sender_dept", "recipient_dept",
+                                 F.col("compliance_label").alias("actual_label"))
     answers = analysis.select(key, "analysis")
-    scored = predictions.select(key, "ml_decision", "violation_probability",
-                                F.col("compliance_label").alias("actual_label"), "is_violation")
+    scored = predictions.select(key, "ml_decision", "violation_probability", "is_violation")
     return (scored.join(attributes, key).join(answers, key, "left")
             .withColumn("pipeline_action", route(F.col("ml_decision")))
             .select(key, "subject", "sender_dept", "recipient_dept", "ml_decision",
