@@ -100,11 +100,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
 
 
 def test_append_conformed(spark, folder):
-    df = spark.createDataFrame([("p", "c")], "prompt string, completion string")
+    df = spark.createDataFrame([("p", "c")] * 5, "prompt string, completion string").repartition(3)
     for _ in range(2):
-        sinks.append_conformed(df, folder + "/pairs", schemas.TRAINING_PAIRS)
+        sinks.append_conformed(df, folder + "/pairs", schemas.TRAINING_PAIRS, identity="sample_id")
     stored = spark.read.parquet(folder + "/pairs")
-    assert stored.count() == 2 and "loaded_at" in stored.columns
+    assert stored.columns == ["sample_id", "prompt", "completion", "loaded_at"]
+    assert stored.count() == stored.select("sample_id").distinct().count() == 10
 
 
 def test_function_and_file_inventory(spark, tmp_path):

@@ -65,6 +65,16 @@ def test_late_rows_are_counted_or_kept(spark, folder, arrive, delay, kept, late)
     assert stored(spark, folder) == kept and report.rows_dropped_late == late
 
 
+def test_a_very_frequent_key_leaves_before_the_shuffle(spark, folder, arrive):
+    arrive([message(7, 0.001 * i) for i in range(300)] + [message(i, 0) for i in range(5)])
+    run(spark, folder, "1 day")
+    assert stored(spark, folder) == [f"m{i}" for i in (0, 1, 2, 3, 4, 7)]
+    batch = spark.read.parquet(folder + "/in/*").withColumn("_event_time", F.col("sent_at").cast("timestamp")).coalesce(1)
+    kept = refresh._newest_in_batch(batch, ["email_id"]).collect()
+    assert len(kept) == 6
+    assert [r["sent_at"] for r in kept if r["email_id"] == "m7"] == [START + timedelta(days=0.299)]
+
+
 def test_stream_triage_equals_batch(spark, folder, arrive):
     rows = [message(i, i / 100, "merger tip before announcement" if i % 3 else "meeting schedule") for i in range(12)]
     for part in range(3):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 from tierwatch.constants import RRF_CONSTANT
 from tierwatch.functions.ratios import safe_ratio
 from tierwatch.operators.vector_search import with_rank
-from tierwatch.session import materialize
+from tierwatch.session import delete_folder, scratch_path
 
 LISTS = ("lexical", "vector")
 
@@ -33,8 +33,11 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
       all candidates at once by one aggregate.
     """
     depth = constant + 2 * k
-    # Key and score only, written once and read three times.
-    scores = materialize(_tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")), "scores")
+    spark = lexical.sparkSession
+    # Key and score only: written once, read three times, deleted when the k rows are known.
+    path = scratch_path(spark, "scores")
+    _tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")).write.parquet(path)
+    scores = spark.read.parquet(path)
     order = F.desc("score"), F.asc(key)
     heads = [scores.filter(F.col("list") == name).orderBy(*order).limit(depth).select(key) for name in LISTS]
     ids = sorted({row[key] for row in heads[0].union(heads[1]).collect()})
@@ -45,8 +48,11 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
         *[F.max(F.when(F.col("list") == name, F.col("_rank"))).alias(f"{name}_rank") for name in LISTS],
         F.round(points, 12).alias("_points"))
     final = F.desc("_points"), F.asc(key)
-    return (with_rank(best.orderBy(*final).limit(k), *final)
-            .select(key, *[f"{name}_rank" for name in LISTS], F.round("_points", digits).alias("score"), "rank"))
+    top = with_rank(best.orderBy(*final).limit(k), *final).select(
+        key, *[f"{name}_rank" for name in LISTS], F.round("_points", digits).alias("score"), "rank")
+    found = spark.createDataFrame(top.collect(), top.schema)
+    delete_folder(spark, path)
+    return found
 
 
 def _tagged(scores: DataFrame, key: str, name: str) -> DataFrame:

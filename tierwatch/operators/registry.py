@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tierwatch.session import delete_folder
+
 _FEATURE_META = ("name string, version string, entity string, join_keys string, ts_column string, "
                  "refresh_freq string, description string, columns string")
 _MODEL_META = ("name string, version string, task string, comment string, features string, "
@@ -35,12 +37,6 @@ def _read_meta(spark: SparkSession, root: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], full)
 
 
-def delete_folder(spark: SparkSession, path: str) -> bool:
-    """Delete a folder on any Hadoop file system; false when there was none."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
-
-
 @dataclass(frozen=True)
 class FeatureView:
     name: str

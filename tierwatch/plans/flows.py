@@ -12,7 +12,8 @@ from tierwatch.functions.text import preview
 from tierwatch.operators import classifier, enrichment, evaluation, triage
 from tierwatch.operators.enrichment import Completer
 from tierwatch.operators.registry import ModelRegistry
-from tierwatch.session import materialize
+from tierwatch.session import scratch_path
+from tierwatch.sources.sinks import write_table
 
 
 class Retrained(NamedTuple):
@@ -23,17 +24,20 @@ class Retrained(NamedTuple):
 
 def retrain(features: DataFrame, registry: ModelRegistry, name: str, version: str, key: str = "email_id",
             columns: Sequence[str] = FEATURE_COLUMNS, target: str = TARGET_COLUMN,
-            n_trees: int = N_TREES, depth: int = TREE_DEPTH, comment: str = "") -> Retrained:
+            n_trees: int = N_TREES, depth: int = TREE_DEPTH, comment: str = "",
+            predictions_path: str | None = None) -> Retrained:
     """Split, train, evaluate on the held-out side, register, score every row, decide.
 
     ``features`` should be a stored table: training reads it many times. The predictions
-    are stored once in the shared folder and keep the side of the split, so that quality
-    can also be reported for rows the model has not seen.
+    are stored once, in the shared folder if no path is given, and keep the side of the
+    split, so that quality can also be reported for rows the model has not seen.
     """
     sided = classifier.hash_split(features, key)
     model = classifier.train(sided.filter("split = 'train'"), columns, target, n_trees, depth)
 
-    scored = materialize(triage.decide(classifier.score(model, sided)), "predictions")
+    path = predictions_path or scratch_path(features.sparkSession, "predictions")
+    write_table(triage.decide(classifier.score(model, sided)), path)
+    scored = features.sparkSession.read.parquet(path)
     held_out = scored.filter("split = 'test'")
     row = classifier.evaluate(held_out, target).first().asDict()
     sizes = {r["split"]: r["count"] for r in scored.groupBy("split").count().collect()}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tierwatch.sources.contract import Checked, conform
 
@@ -31,13 +32,34 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite",
     writer.saveAsTable(target)
 
 
-def append_conformed(df: DataFrame, target: str, schema: T.StructType) -> Checked:
-    """Append the accepted rows with default columns filled; returns both sides."""
+def append_conformed(df: DataFrame, target: str, schema: T.StructType,
+                     identity: str | None = None) -> Checked:
+    """Append the accepted rows with default columns filled; returns both sides.
+
+    ``identity`` names a generated key column: numbers above those in the table, unique
+    but with gaps. One writer at a time, as with any append of this kind.
+    """
     checked = conform(df, schema)
-    write_table(checked.accepted, target, mode="append")
+    rows = checked.accepted
+    if identity:
+        start = _largest(df.sparkSession, target, identity) + 1
+        rows = rows.select((F.monotonically_increasing_id() + start).alias(identity), "*")
+    write_table(rows, target, mode="append")
     return checked
 
 
+def _largest(spark: SparkSession, target: str, column: str) -> int:
+    if "/" not in target and not spark.catalog.tableExists(target):
+        return -1
+    try:
+        stored = spark.read.parquet(target) if "/" in target else spark.table(target)
+        return stored.agg(F.coalesce(F.max(column), F.lit(-1))).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+
+
 def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
