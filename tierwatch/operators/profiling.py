@@ -24,3 +24,8 @@ def profile_messages(df: DataFrame, subject: str, columns: Sequence[str]) -> Dat
 def unique_key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count; a null key counts too."""
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def sample_rows(df: DataFrame, key: str, n: int, columns: Sequence[str] = ("*",)) -> DataFrame:
+    """The first ``n`` rows by key: a sample that is the same in every run."""
+    return df.orderBy(key).limit(n).select(*columns)

@@ -130,3 +130,12 @@ class SearchIndex:
 
 def list_indexes(spark: SparkSession, root: str) -> DataFrame:
     return _read_meta(spark, f"{root.rstrip('/')}/indexes", _META)
+
+
+def search_request(query: str, columns: Sequence[str], limit: int,
+                   filter_eq: Mapping[str, object] | None = None) -> str:
+    """The JSON text of a request that ``SearchIndex.answer`` takes."""
+    request: dict[str, object] = {"query": query, "columns": list(columns), "limit": limit}
+    if filter_eq:
+        request["filter"] = {"@eq": dict(filter_eq)}
+    return json.dumps(request)

@@ -28,6 +28,12 @@ def label_distribution(spark, sf_dir):
     return evaluation.label_distribution(s.table(spark, sf_dir, "documents"), "lang")
 
 
+@query("SELECT doc_id, lang, md5(text) AS text_digest FROM documents ORDER BY doc_id LIMIT 100")
+def sample_rows(spark, sf_dir):
+    found = profiling.sample_rows(s.table(spark, sf_dir, "documents"), "doc_id", 100)
+    return found.select("doc_id", "lang", F.md5("text").alias("text_digest"))
+
+
 @query("""
 SELECT count(*) AS n, count(DISTINCT text) AS unique_subjects, count(*) - count(source) AS null_source,
        count(*) - count(lang) AS null_lang, round(count(DISTINCT text)::DOUBLE / count(*), 9) AS unique_ratio FROM documents""")

@@ -11,7 +11,7 @@ from tierwatch.functions.embedding import embed_literal
 from tierwatch.operators import lexical_search, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
-from tierwatch.operators.search_index import SearchIndex
+from tierwatch.operators.search_index import SearchIndex, search_request as build_request
 from tierwatch.plans import standins as s
 from tierwatch.plans.registered import query
 from tierwatch.session import scratch_path
@@ -193,8 +193,7 @@ def search_request(spark, sf_dir):
     """A request with columns, filter and limit, as JSON, against a stored index."""
     messages = s.documents(spark, sf_dir)
     index = _index(spark, sf_dir)
-    request = ('{"query": "%s", "columns": ["email_id", "subject", "body", "sender_dept"], '
-               '"filter": {"@eq": {"sender_dept": "de"}}, "limit": 5}' % QUERY_TEXT)
+    request = build_request(QUERY_TEXT, ["email_id", "subject", "body", "sender_dept"], 5, {"sender_dept": "de"})
     return index.answer(messages, request).withColumn("body", F.substring("body", 1, 300))
 
 
