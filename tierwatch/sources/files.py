@@ -69,13 +69,18 @@ def spread_small(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:
     ``scan`` has splits enough and stays as it is. Apply it after filters and joins that
     leave rows out.
     """
-    spark = scan.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if scan_bytes(scan) < cores * _split_bytes(spark) else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if is_small(scan) else df
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the planner expects less than one scan split per core."""
+    spark = df.sparkSession
+    return scan_bytes(df) < spark.sparkContext.defaultParallelism * _split_bytes(spark)
 
 
 def scan_bytes(df: DataFrame) -> int:
-    """Size of the files a plain scan reads, as the planner knows it from listing them."""
+    """Size the planner expects; for a plain scan that of its files, known from listing them."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
