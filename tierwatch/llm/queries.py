@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from tierwatch.llm import chat_format, quality_rules, sharding, url_filter  # noqa: F401  (they register the queries)
+from tierwatch.llm import (best_fit_packing, chat_format, direct_codes, quality_rules, sharding,  # noqa: F401
+                           url_filter)
 from tierwatch.llm.registered import ORACLES, QUERIES  # noqa: F401
