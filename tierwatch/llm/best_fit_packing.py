@@ -105,7 +105,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("place", ignore_index=True)
         sequence, offset = pack(rows["length"].to_numpy(np.int64), capacity)
-        rows["sequence_id"], rows["offset"] = (rows["group"].astype(np.int64) << 32) + sequence, offset
+        rows = rows.assign(sequence_id=(rows["group"].to_numpy(np.int64) << 32) + sequence, offset=offset)
         return rows.drop(columns=["group", "place"])
 
     open_ones = pieces.filter(~full).withColumn("group", F.pmod(F.xxhash64("place"), F.lit(groups)))
