@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tierwatch.llm.bits import directory, rank
 from tierwatch.llm.registered import query, table
+from tierwatch.llm.shared_files import get, put
 from tierwatch.llm.tokens import default_path, encoded
 from tierwatch.session import materialize, scratch_path
 
@@ -44,19 +46,6 @@ FILE_TOKENS = 4 << 20
 END_ID = 2
 READ_AT_ONCE = 1 << 19
 _MANIFEST = "part long, number long, path string, n_docs long, n_tokens long"
-_U = np.uint64
-
-
-def _bitmap(flags: np.ndarray) -> dict[str, np.ndarray]:
-    """Bits in 64-bit words with the counts before each 512 and, within those, each 64 bits."""
-    n_words = (len(flags) // 512 + 1) * 8
-    padded = np.zeros(n_words * 64, bool)
-    padded[:len(flags)] = flags
-    bits = np.packbits(padded, bitorder="little").view("<u8")
-    ones = np.bitwise_count(bits).astype(np.int64)
-    before = np.cumsum(ones) - ones
-    blocks = before[::8]
-    return {"bits": bits, "blocks": blocks.astype("<u8"), "words": (before - np.repeat(blocks, 8)).astype("<u2")}
 
 
 def encode_file(doc_ids: list[int | None], tokens: list[np.ndarray]) -> bytes:
@@ -73,7 +62,7 @@ def encode_file(doc_ids: list[int | None], tokens: list[np.ndarray]) -> bytes:
         rest = rest >> np.uint32(width)
         more = rest > 0
         if level + 1 < len(LEVELS):
-            sections |= {f"{name}{level}": part for name, part in _bitmap(more).items()}
+            sections |= {f"{name}{level}": part for name, part in directory(more).items()}
         rest = rest[more]
     body, at = [], 0
     for name, part in sections.items():
@@ -101,15 +90,6 @@ class TokenFile:
     def __len__(self) -> int:
         return self.header["n_tokens"]
 
-    def _rank(self, level: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which positions go on, and the number of set bits before each."""
-        word, bit = at >> 6, (at & 63).astype(_U)
-        bits = self.parts[f"bits{level}"][word]
-        goes_on = (bits >> bit) & _U(1) == 1
-        below = np.bitwise_count(bits & ((_U(1) << bit) - _U(1)))
-        rank = (self.parts[f"blocks{level}"][at >> 9].astype(np.int64) + self.parts[f"words{level}"][word] + below)
-        return goes_on, rank
-
     def get(self, positions: np.ndarray) -> np.ndarray:
         """The ids at any positions."""
         at = np.asarray(positions, np.int64)
@@ -119,8 +99,8 @@ class TokenFile:
         for level, (width, _) in enumerate(LEVELS):
             out[rows] |= self.parts[f"chunks{level}"][at].astype(np.uint32) << np.uint32(shift)
             if level + 1 < len(LEVELS):
-                goes_on, rank = self._rank(level, at)
-                rows, at, shift = rows[goes_on], rank[goes_on], shift + width
+                goes_on, before = rank(*(self.parts[f"{k}{level}"] for k in ("bits", "blocks", "words")), at)
+                rows, at, shift = rows[goes_on], before[goes_on], shift + width
         return out
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
@@ -132,29 +112,18 @@ class TokenFile:
             yield int(ids[doc]) if valid[doc] else None, start, (np.concatenate(found) if found else np.zeros(0, np.uint32))
 
 
-def _opened(folder: str):
-    from pyarrow import fs
-
-    if folder.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder)
-
-
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID, id_col: str = "doc_id",
                  text_col: str = "text", file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Write all texts below ``folder``; the manifest, one row per file, with ``start``, the ids before it."""
     path = tokenizer or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, top = _opened(folder)
-        where.create_dir(top, recursive=True)
         part, done = TaskContext.get().partitionId(), []
         ids, tokens, n = [], [], 0
 
         def flush() -> None:
-            name = f"{top}/{part:06d}-{len(done):06d}-{uuid.uuid4().hex}.tokens"
-            with where.open_output_stream(name) as out:
-                out.write(encode_file(ids, tokens))
+            name = f"{folder}/{part:06d}-{len(done):06d}-{uuid.uuid4().hex}.tokens"
+            put(name, encode_file(ids, tokens))
             done.append({"part": part, "number": len(done), "path": name, "n_docs": len(ids), "n_tokens": n})
 
         for doc, found in encoded(batches, path):
@@ -176,14 +145,12 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     return written.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
+def read_tokens(manifest: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, from the files."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, _ = _opened(folder)
         for batch in batches:
             for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with where.open_input_file(path) as stored:
-                    file = TokenFile(stored.read_buffer())
+                file = TokenFile(get(path))
                 rows = [(doc, before + first, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
                         for doc, first, ids in file.documents()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
@@ -198,4 +165,4 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
 @query()
 def op9_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
-    return read_tokens(write_tokens(table(spark, sf_dir, "documents"), folder), folder)
+    return read_tokens(write_tokens(table(spark, sf_dir, "documents"), folder))

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from tierwatch.llm import (best_fit_packing, chat_format, cross_entropy, direct_codes, quality_classifier,  # noqa: F401
-                           quality_rules, sharding, url_filter)
+from tierwatch.llm import (best_fit_packing, chat_format, cross_entropy, decontaminate, direct_codes,  # noqa: F401
+                           quality_classifier, quality_rules, sharding, url_filter)
 from tierwatch.llm.registered import ORACLES, QUERIES  # noqa: F401
