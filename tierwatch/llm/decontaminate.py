@@ -251,123 +251,6 @@ def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     return paths
 
 
-def search(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The range of suffixes that begin with each (right-aligned) phrase."""
-        low, high = np.zeros(len(symbols), np.int64), np.full(len(symbols), self.n)
-        for back in range(1, symbols.shape[1] + 1):
-            at = np.flatnonzero((lengths >= back) & (high > low))
-            c = symbols[at, -back]
-            low[at] = self.before[c] + self.matrix.rank(c, low[at])
-            high[at] = self.before[c] + self.matrix.rank(c, high[at])
-        return low, high
-
-    def locate(self, rows: np.ndarray) -> np.ndarray:
-        """The text positions of suffixes: walk back to a sampled one, at most to the run's start."""
-        out, steps, left = np.zeros(len(rows), np.int64), 0, np.arange(len(rows))
-        while len(left):
-            known, place = rank(**self.sampled, at=rows)
-            out[left[known]] = self.samples[place[known]] + steps
-            left, rows = left[~known], rows[~known]
-            c = self.last[rows]
-            rows = self.before[c] + self.matrix.rank(c, rows)
-            steps += 1
-        return out
-
-
-def _occurrences(found: Words, of_word: np.ndarray, wanted: Phrases) -> tuple[np.ndarray, np.ndarray]:
-    """First word and phrase of every occurrence in a shard."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not len(wanted.lengths) or not len(of_word):
-        return none
-    place = np.searchsorted(wanted.vocabulary, found.hashes)
-    place[place == len(wanted.vocabulary)] = 0
-    symbols = np.where(wanted.vocabulary[place] == found.hashes, place + 1, 0)
-    # Runs of benchmark words within one text; each is followed by a 0.
-    starts = (symbols > 0) & np.concatenate([[True], (symbols[:-1] == 0) | (of_word[1:] != of_word[:-1])])
-    run = np.cumsum(starts)[symbols > 0] - 1
-    position = np.flatnonzero(symbols > 0)
-    long_enough = np.bincount(run)[run] >= wanted.lengths.min() if len(run) else np.zeros(0, bool)
-    position, run = position[long_enough], run[long_enough]
-    if not len(position):
-        return none
-    at = np.arange(len(position)) + np.concatenate([[0], np.cumsum(run[1:] != run[:-1])])
-    text, origin = np.zeros(at[-1] + 2, np.int64), np.zeros(at[-1] + 2, np.int64)
-    text[at], origin[at] = symbols[position], position
-    index = FMIndex(text, len(wanted.vocabulary))
-    low, high = index.search(wanted.symbols, wanted.lengths)
-    times = high - low
-    phrase = np.repeat(np.arange(len(times)), np.maximum(times, 0))
-    rows = np.arange(len(phrase)) - np.repeat(np.cumsum(times) - times, times) + low[phrase]
-    return origin[index.locate(rows)], phrase
-
-
-@dataclass
-class Hits:
-    """Hit words of a shard, and the (row, item id) pairs found."""
-
-    words: Words
-    hit: np.ndarray
-    items: list[set[str]]
-
-    def spans(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Merged byte spans of a text's hit words, from its own start."""
-        a, b = self.words.bounds[row], self.words.bounds[row + 1]
-        hit = np.concatenate([[False], self.hit[a:b], [False]])
-        first, last = np.flatnonzero(hit[1:] & ~hit[:-1]), np.flatnonzero(hit[:-1] & ~hit[1:]) - 1
-        begin = self.words.offsets[row]
-        return self.words.starts[a + first] - begin, self.words.ends[a + last] - begin
-
-
-def find(texts: pa.Array, blocks: Iterator[Phrases]) -> Hits:
-    """All phrases of all blocks in a shard."""
-    found = words(texts, LETTERS, lower=True)
-    of_word, change = found.rows(), np.zeros(len(found.hashes) + 1, np.int64)
-    items: list[set[str]] = [set() for _ in range(len(texts))]
-    for wanted in blocks:
-        first, phrase = _occurrences(found, of_word, wanted)
-        np.add.at(change, first, 1)
-        np.subtract.at(change, first + wanted.lengths[phrase], 1)
-        for row, p in np.unique(np.column_stack([of_word[first], phrase]), axis=0):
-            items[row].update(wanted.item_ids[i] for i in wanted.items[wanted.item_bounds[p]:wanted.item_bounds[p + 1]])
-    return Hits(found, np.cumsum(change[:-1]) > 0, items)
-
-
-def cut_out(text: str, blocks) -> str:
-    """A text without its hit spans, searched again until cutting has joined no new phrase."""
-    while True:
-        hits = find(pa.array([text]), blocks())
-        starts, ends = hits.spans(0)
-        if not len(starts):
-            return text
-        raw, kept, at = text.encode(), [], 0
-        for start, end in zip(starts, ends):
-            kept.append(raw[at:start])
-            at = end
-        text = b"".join([*kept, raw[at:]]).decode()
-
-
-def _loader(paths: list[str]):
-    """An iterator factory over the broadcast blocks."""
-    return lambda: (block.value for block in shared)
-
-
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-                block_bytes: int = BLOCK_BYTES) -> list[Broadcast]:
-    """The items' phrases as broadcast blocks of about ``block_bytes`` of text each."""
-    spark = items.sparkSession
-    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = max(1, -(-int(size) // block_bytes))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
-    made = []
-    for block in range(n):
-        part = dealt.filter(F.col("block") == block).toArrow()
-        made.append(spark.sparkContext.broadcast(
-            phrases(part.column("id").to_pylist(), pa.array(part.column("text").to_pylist(), pa.string()), window)))
-    return made
-
-
 def search(text: Column, paths: list[str]) -> Column:
     """``struct<n_words, n_hit, items, starts, ends>``; items sorted as strings, spans in bytes."""
     blocks = _loader(paths)
