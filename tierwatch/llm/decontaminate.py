@@ -299,6 +299,21 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return found.select("doc_id", "found.*")
 
 
+def cut_benchmark(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with benchmark passages cut out of the text, in its own columns; ``n_chars`` follows.
+
+    Rows that lose all their words go; rows without hits, null texts too, stay as they are.
+    """
+    changed = docs.withColumn("__clean", cleaned(F.col(text_col), item_blocks(items)))
+    same = F.col("__clean").eqNullSafe(F.col(text_col))
+    left = changed.filter(same | F.col("__clean").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    columns = {text_col: F.col("__clean")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(same, F.col("n_chars")).otherwise(
+            F.char_length("__clean")).cast(docs.schema["n_chars"].dataType)
+    return left.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 SQL = f"""WITH item_words AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
