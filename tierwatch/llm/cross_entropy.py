@@ -148,4 +148,5 @@ def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against a target of those labelled as good."""
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    return score(docs, train(docs.join(good, "doc_id", "left_semi"), docs))
+    # Labels grow with the corpus: never broadcast. The texts are not sorted for the join either.
+    return score(docs, train(docs.join(good.hint("shuffle_hash"), "doc_id", "left_semi"), docs))
