@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as driver
 from check import compare
 from conftest import SF
+from tierwatch.plans.registered import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -24,13 +25,11 @@ def test_entry(spark):
     assert found.columns == ["ml_decision", "n", "violations", "pct", "violation_rate"] and found.count() == 3
 
 
-def test_every_twin_has_a_query():
-    assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {
-        "file_inventory", "train_score", "held_out_quality", "model_metrics"}
+def test_every_query_has_a_twin():
+    assert set(ORACLES) == set(QUERIES) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_twin(spark, connection, name):
     state, _, _, note = compare(spark, connection, name, SF)
     assert state == "same", note

@@ -149,7 +149,9 @@ def test_prompt_cuts_the_body_and_keeps_nulls(spark):
     rows = [("1", 0.5, "Legal", "Trading", "s", "x" * 1501), ("2", 0.456, "Legal", "Trading", None, "b")]
     df = spark.createDataFrame(rows, "id string, violation_probability double, sender_dept string, recipient_dept string, subject string, body string")
     a, b = df.select(enrichment.review_prompt().alias("p")).collect()
-    assert "x" * 1500 in a["p"] and "x" * 1501 not in a["p"] and "probability 0.5)" in a["p"]
+    assert "x" * 1501 in a["p"] and "probability 0.5)" in a["p"]
+    short = df.select(enrichment.review_prompt(body_chars=1500).alias("p")).first()["p"]
+    assert "x" * 1500 in short and "x" * 1501 not in short
     assert b["p"] is None
 
 
@@ -203,6 +205,29 @@ def test_review_asks_once_per_message(spark, messages, tmp_path):
     assert (measured["tp"], measured["fp"], measured["fn"], measured["tn"]) == (2, 0, 1, 2)
 
 
+def test_a_failed_answer_is_asked_again(spark, tmp_path):
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    calls, store = tmp_path / "calls", str(tmp_path / "answers")
+    calls.mkdir()
+
+    yes = good()
+
+    def failing(prompts):
+        return [None if p == "p1" else "no json" if p == "p2" else yes for p in prompts]
+
+    def working(prompts):
+        for p in prompts:
+            (calls / p).write_text("")
+        return [yes for _ in prompts]
+
+    prompts = lambda todo: todo.withColumn("prompt", F.concat(F.lit("p"), F.col("id").cast("string")))
+    first = enrichment.complete_missing(keys, "id", prompts, failing, store)
+    assert enrichment.parse_analysis(first).accepted.count() == 1
+    second = enrichment.complete_missing(keys, "id", prompts, working, store)
+    assert enrichment.parse_analysis(second).accepted.count() == 3 and second.count() == 3
+    assert sorted(f.name for f in calls.iterdir()) == ["p1", "p2"]
+
+
 def test_a_wrong_answer_count_is_an_error(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, prompt string").coalesce(1)
     with pytest.raises(Exception):

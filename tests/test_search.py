@@ -118,16 +118,14 @@ def test_vector_search_plan(spark, folder):
     assert "body" not in text and text.count("ArrowEvalPython") == 1
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_many_queries_against_brute_force(spark, monkeypatch, max_broadcast):
-    """A third of the vectors are equal: ties must come out by key on both ways."""
-    monkeypatch.setattr(vs, "GRID_QUERIES", 16)
-    monkeypatch.setattr(vs, "GRID_VECTORS", 32)
+@pytest.mark.parametrize("query_block", [1000, 16])
+def test_many_queries_against_brute_force(spark, query_block):
+    """A third of the vectors are equal: ties must come out by key in one pass and in several."""
     rng = np.random.default_rng(3)
     vectors = {f"v{i:03d}": [1.0, 2.0, 3.0] if i % 3 == 0 else rng.normal(size=3).round(3).tolist() for i in range(100)}
     vectors["zero"] = [0.0, 0.0, 0.0]
     df = spark.createDataFrame(list(vectors.items()), "id string, embedding array<float>").repartition(7)
-    found = vs.vector_search_many(df, df, 4, "id", "id", exclude_self=True, max_broadcast=max_broadcast).collect()
+    found = vs.vector_search_many(df, df, 4, "id", "id", exclude_self=True, query_block=query_block).collect()
     got = {}
     for r in sorted(found, key=lambda r: r["rank"]):
         got.setdefault(r["query_id"], []).append(r["id"])
@@ -142,10 +140,77 @@ def test_many_queries_against_brute_force(spark, monkeypatch, max_broadcast):
         assert got[q] == ranked(scores)[:4], q
 
 
-def test_build_vectors_cuts_the_body(spark):
+def test_bad_queries_leave_the_others_alone(spark):
+    corpus = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)], "id int, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.0, 1.0]), (3, [1.0, 2.0, 3.0]), (4, None), (None, [1.0, 1.0])],
+                                  "q int, embedding array<float>")
+    found = vs.vector_search_many(corpus, asked, 2, "id", "q").collect()
+    assert sorted({r["q"] for r in found}) == [1, 2] and len(found) == 4
+    assert sorted(r["q"] for r in vs.bad_queries(asked, 2).collect()) == [3, 4]
+
+
+def test_build_vectors_takes_the_whole_body(spark):
     df = spark.createDataFrame([("1", "s", "word " * 400, "x")], "id string, subject string, body string, dept string")
-    row = vs.build_vectors(df, "id", "subject", "body", ["dept"]).first()
-    assert sum(row["embedding"]) == 201 and row["dept"] == "x"
+    assert sum(vs.build_vectors(df, "id", "subject", "body").first()["embedding"]) == 401
+    assert sum(vs.build_vectors(df, "id", "subject", "body", body_chars=1000).first()["embedding"]) == 201
+
+
+def test_scan_and_index_agree_beyond_ascii(spark, folder):
+    df = spark.createDataFrame([("1", "s", "ΟΔΟΣ one", "x"), ("2", "s", "İSTANBUL two", "x"), ("3", "s", "plain three", "y")],
+                               "id string, subject string, body string, dept string")
+    index = SearchIndex(folder, "m", "id", "body", "subject", ["dept"], buckets=4)
+    index.refresh(df, 0)
+    for word, wanted in (("ΟΔΟΣ", ["1"]), ("οδοσ", []), ("İSTANBUL", ["2"]), ("plain", ["3"])):
+        scan = [r["id"] for r in lexical_search.bm25_search(df, "id", "body", word, 5).collect()]
+        assert scan == [r["id"] for r in index.lexical_search(spark, word, 5).collect()]
+        assert scan == wanted or word == "οδοσ"
+
+
+def texts_of(index, spark, words="alpha beta gamma delta"):
+    return {r["id"]: r["score"] for r in index.lexical_search(spark, words, 50).collect()}
+
+
+def test_origins_changes_deletes_and_compaction(spark, folder):
+    def batch(*rows):
+        return spark.createDataFrame([(i, "s", t, d) for i, t, d in rows], "id string, subject string, body string, dept string")
+
+    def fresh(name, *rows):
+        made = SearchIndex(f"{folder}/{name}", "m", "id", "body", "subject", ["dept"], buckets=4)
+        made.refresh(batch(*rows), 0)
+        return made
+
+    index = SearchIndex(folder, "m", "id", "body", "subject", ["dept"], buckets=4)
+    index.refresh(batch(("1", "alpha", "x"), ("2", "beta beta", "y"), ("3", None, "x")), 0)
+    index.refresh(batch(("4", "gamma", "x")), 0, origin="stream1")
+    index.refresh(batch(("5", "delta", "y")), 0, origin="stream2")
+    index.refresh(batch(("5", "delta delta", "y")), 0, origin="stream2")  # the same batch again
+    assert texts_of(index, spark) == texts_of(fresh("a", ("1", "alpha", "x"), ("2", "beta beta", "y"), ("3", None, "x"),
+                                                    ("4", "gamma", "x"), ("5", "delta delta", "y")), spark)
+    index.refresh(batch(("2", "alpha gamma", "x"), ("6", "beta", "y")), 1)
+    index.delete(batch(("4", None, None)), 0)
+    wanted = fresh("b", ("1", "alpha", "x"), ("2", "alpha gamma", "x"), ("3", None, "x"), ("5", "delta delta", "y"), ("6", "beta", "y"))
+    for _ in range(2):
+        assert texts_of(index, spark) == texts_of(wanted, spark)
+        assert sorted(r["id"] for r in index.vectors(spark).collect()) == ["1", "2", "3", "5", "6"]
+        assert texts_of(wanted, spark, "alpha") == {r["id"]: r["score"] for r in index.lexical_search(
+            spark, "alpha", 9, {"dept": "x"}).collect()}
+        index.compact(spark)
+    index.refresh(batch(("1", "delta", "x")), 2)
+    assert texts_of(index, spark, "alpha").keys() == {"2"} and texts_of(index, spark, "delta").keys() == {"1", "5"}
+
+
+def test_filters_of_requests(spark, corpus, folder):
+    index = SearchIndex(folder, "messages", "id", "body", "subject", ["dept"], buckets=4)
+    index.refresh(corpus, 0)
+    word = corpus.filter("body IS NOT NULL").first()["body"].split()[0]
+    ask = lambda wanted: index.answer(corpus, {"query": word, "columns": ["dept"], "filter": wanted, "limit": 50}).collect()
+    first = corpus.filter("dept IS NOT NULL").first()["dept"]
+    assert {r["dept"] for r in ask({"@eq": {"dept": first}})} == {first}
+    assert ask({"@and": [{"@eq": {"dept": first}}, {"@not": {"@eq": {"dept": first}}}]}) == []
+    assert {r["dept"] for r in ask({"@or": [{"@lte": {"dept": first}}, {"@gte": {"dept": first}}]})} >= {first}
+    for wrong in ({"@in": {"dept": [first]}}, {"@eq": {"other": 1}}, {"@eq": {}}, {"@and": []}, {"@eq": {"dept": 1}, "@not": {}}):
+        with pytest.raises(ValueError):
+            ask(wrong)
 
 
 def test_requests_against_the_index(spark, corpus, folder):

@@ -34,8 +34,10 @@ def test_read_messages_keeps_what_it_rejects(spark, tmp_path):
 def test_read_pairs(spark, tmp_path):
     (tmp_path / "p.jsonl").write_text(
         '{"prompt": "a", "completion": "VIOLATION"}\nnot json\n{"prompt": 3, "completion": {"x": 1}}\n{"prompt": "only"}\n')
-    pairs = files.read_pairs(spark, str(tmp_path / "p.jsonl"))
-    assert [tuple(r) for r in pairs.collect()] == [("a", "VIOLATION"), ("3", '{"x":1}'), ("only", None)]
+    accepted, rejected = files.read_pairs(spark, str(tmp_path / "p.jsonl"))
+    assert [tuple(r) for r in accepted.collect()] == [("a", "VIOLATION"), ("3", '{"x":1}')]
+    assert [tuple(r) for r in rejected.collect()] == [
+        ("not json", "not JSON"), ('{"prompt": "only"}', "completion is missing")]
 
 
 def test_export_then_import_gives_the_same_rows(spark, folder):
@@ -117,11 +119,6 @@ def test_function_and_file_inventory(spark, tmp_path):
     assert catalog.function_inventory(spark, "default").columns == ["function_schema", "function_name"]
 
 
-def test_small_scans_are_spread_and_rows_in_memory(spark, folder):
-    files.rows_to_table(spark, [(i, "t") for i in range(100)], "k long, t string").coalesce(1).write.parquet(folder + "/t")
-    scan = spark.read.parquet(folder + "/t")
-    df = files.spread_small(scan.filter("k >= 0"), scan, "k")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "10b")
-    assert files.spread_small(scan, scan, "k") is scan
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and df.count() == 100
+def test_rows_in_memory(spark):
+    df = files.rows_to_table(spark, [(i, "t") for i in range(100)], "k long, t string")
+    assert df.count() == 100 and df.columns == ["k", "t"]

@@ -70,7 +70,7 @@ def test_a_very_frequent_key_leaves_before_the_shuffle(spark, folder, arrive):
     run(spark, folder, "1 day")
     assert stored(spark, folder) == [f"m{i}" for i in (0, 1, 2, 3, 4, 7)]
     batch = spark.read.parquet(folder + "/in/*").withColumn("_event_time", F.col("sent_at").cast("timestamp")).coalesce(1)
-    kept = refresh._newest_in_batch(batch, ["email_id"]).collect()
+    kept = refresh._once_in_batch(batch, ["email_id"]).collect()
     assert len(kept) == 6
     assert [r["sent_at"] for r in kept if r["email_id"] == "m7"] == [START + timedelta(days=0.299)]
 
@@ -84,7 +84,7 @@ def test_stream_triage_equals_batch(spark, folder, arrive):
         found = features.message_features(df)
         score = logistic_score(["mnpi_risk_score", "baseline_similarity"], [6, -6], -1)
         return triage.decide(found.withColumn("predict_proba_1", score)).select(
-            "email_id", "violation_probability", "ml_decision", route(F.col("ml_decision")).alias("action"))
+            "email_id", "sent_at", "violation_probability", "ml_decision", route(F.col("ml_decision")).alias("action"))
 
     run(spark, folder, "1 day", decide)
     batch = decide(spark.createDataFrame(rows, schemas.MESSAGES))
@@ -101,7 +101,7 @@ def test_a_stored_model_scores_a_stream(spark, folder, arrive):
         "is_violation", (F.col("body") == "merger tip").cast("int")).cache()
     model = classifier.train(labelled, columns, n_trees=2, depth=2)
     arrive(rows)
-    run(spark, folder, "1 day", lambda df: classifier.score(model, features.message_features(df)).select("email_id", "predict_proba_1"))
+    run(spark, folder, "1 day", lambda df: classifier.score(model, features.message_features(df)).select("email_id", "sent_at", "predict_proba_1"))
     expected = {r["email_id"]: r["predict_proba_1"] for r in classifier.score(model, labelled).collect()}
     assert {r["email_id"]: r["predict_proba_1"] for r in spark.read.parquet(folder + "/out").collect()} == pytest.approx(expected)
     labelled.unpersist()
@@ -128,3 +128,23 @@ def test_index_refresh_by_batches(spark, folder, arrive):
     for query in ("common", "word3 common", "subject"):
         a, b = (x.search(spark, query, 5).collect() for x in (index, whole))
         assert a == b
+
+
+def test_the_report_counts_every_batch(spark, folder, arrive):
+    """More batches than Spark keeps progress records of."""
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(6):
+            arrive([message(i, i / 10)])
+        found = run(spark, folder, "1 day")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert (found.batches, found.rows_in) == (6, 6)
+
+
+def test_no_text_goes_through_the_state(spark, folder, arrive):
+    arrive([message(1, 0)])
+    plan = refresh.first_of_each(keep(source(spark, folder)), ["email_id"], "sent_at")._jdf.queryExecution().logical().toString()
+    above, below = plan.split("MapInArrow", 1)
+    assert "DeduplicateWithinWatermark" in above and "body" not in above and "body" in below

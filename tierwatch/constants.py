@@ -54,9 +54,7 @@ HIGH_RISK, NEEDS_REVIEW, LOW_RISK = "HIGH_RISK", "NEEDS_REVIEW", "LOW_RISK"
 ROUTES = {HIGH_RISK: "AUTO_ESCALATE", NEEDS_REVIEW: "LLM_ANALYSIS"}
 DEFAULT_ROUTE = "AUTO_CLEAR"
 
-# Text limits in characters.
-PROMPT_BODY_CHARS = 1500
-EMBED_BODY_CHARS = 1000
+# Lengths of previews in characters.
 FEATURE_PREVIEW_CHARS = 200
 SEARCH_PREVIEW_CHARS = 300
 ERROR_PREVIEW_CHARS = 400

@@ -33,7 +33,9 @@ def as_of_lookup(spine: DataFrame, features: DataFrame, key: str, ts: str, value
     latest = (features.dropna(subset=[key, ts]).groupBy(key, ts).agg(F.max_by(packed, order).alias("_value"))
               .withColumn("_slot", slot))
 
-    left = spine.withColumn("_slot", slot)
+    # Rows without key or time match nothing: they stay out of the windows, where they would be one group.
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    left = spine.filter(known).withColumn("_slot", slot)
     rows = (left.withColumns({"_value": F.lit(None).cast(latest.schema["_value"].dataType), "_side": F.lit(1)})
             .unionByName(latest.select(key, ts, "_slot", "_value", F.lit(0).alias("_side")),
                          allowMissingColumns=True))
@@ -52,4 +54,7 @@ def as_of_lookup(spine: DataFrame, features: DataFrame, key: str, ts: str, value
 
     found = F.coalesce("_here", "_before")
     joined = inside.join(carried, [key, "_slot"], "left")
-    return joined.select(*spine.columns, *[found[v].alias(f"asof_{v}") for v in values])
+    kinds = {f.name: f.dataType for f in latest.schema["_value"].dataType.fields}
+    nothing = spine.filter(~known).select(
+        *spine.columns, *[F.lit(None).cast(kinds[v]).alias(f"asof_{v}") for v in values])
+    return joined.select(*spine.columns, *[found[v].alias(f"asof_{v}") for v in values]).unionByName(nothing)

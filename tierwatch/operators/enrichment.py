@@ -7,10 +7,10 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierwatch.constants import (
-    CATEGORIES, CLEAN, NEEDS_REVIEW, PROMPT_BODY_CHARS, SEARCH_PREVIEW_CHARS, VIOLATION_CATEGORIES,
+    CATEGORIES, CLEAN, NEEDS_REVIEW, SEARCH_PREVIEW_CHARS, VIOLATION_CATEGORIES,
 )
 from tierwatch.functions.text import contains_any, fill_template, preview, route_label
 from tierwatch.sources.schemas import ANALYSIS
@@ -40,18 +40,45 @@ def uncertain(predictions: DataFrame, messages: DataFrame, key: str = "email_id"
     return gate.join(texts, key)
 
 
-def review_prompt(template: str = REVIEW_TEMPLATE, body_chars: int = PROMPT_BODY_CHARS) -> Column:
-    """The prompt of an uncertain row; null when one of its parts is null."""
+def review_prompt(template: str = REVIEW_TEMPLATE, body_chars: int | None = None) -> Column:
+    """The prompt of an uncertain row; null when one of its parts is null.
+
+    The whole body goes in unless ``body_chars`` sets a limit, as a model with a short
+    context may need.
+    """
     return fill_template(template, {
         "probability": F.round("violation_probability", 2),
         "categories": F.lit(", ".join(CATEGORIES)),
         "sender_dept": F.col("sender_dept"),
         "recipient_dept": F.col("recipient_dept"),
         "subject": F.col("subject"),
-        "body": preview(F.col("body"), body_chars),
+        "body": F.col("body") if body_chars is None else preview(F.col("body"), body_chars),
     })
 
 
+PAIR_TEMPLATE = (
+    "Review one message for compliance.\nPossible categories: {categories}.\n"
+    "From: {sender_dept}\nTo: {recipient_dept}\nSubject: {subject}\nBody: {body}\n"
+    "Answer with one JSON object: is_violation, confidence (0 to 1), category, reasoning."
+)
+
+
+def build_pairs(messages: DataFrame, key: str = "email_id", label: str = "compliance_label", clean: str = CLEAN,
+                template: str = PAIR_TEMPLATE) -> DataFrame:
+    """``(key, prompt, completion)`` for training: the prompt of a message and the answer that its label gives.
+
+    Messages without a label or with a missing part teach nothing and are left out.
+    """
+    columns = ("sender_dept", "recipient_dept", "subject", "body")
+    values = {"categories": F.lit(", ".join(CATEGORIES)), **{c: F.col(c) for c in columns}}
+    answer = F.to_json(F.struct(
+        (F.col(label) != clean).alias("is_violation"), F.lit(1.0).alias("confidence"), F.col(label).alias("category"),
+        F.concat(F.lit("labelled as "), F.col(label)).alias("reasoning")))
+    pairs = messages.filter(F.col(label).isNotNull()).select(
+        key, fill_template(template, values).alias("prompt"), answer.alias("completion"))
+    return pairs.filter(F.col("prompt").isNotNull())
+
+
 def phrase_answer(text: Column, probability: Column, phrases: Sequence[str],
                   category: str = VIOLATION_CATEGORIES[0]) -> Column:
     """Deterministic stand-in for a completion: a JSON answer from a phrase search."""
@@ -89,26 +116,55 @@ def complete(df: DataFrame, key: str, prompt: str, completer: Completer,
     return narrow.mapInArrow(answer, schema)
 
 
-def unanswered(df: DataFrame, key: str, store: str) -> DataFrame:
-    """Rows whose key has no stored answer yet. Apply it before texts are joined in."""
+def _attempts(spark: SparkSession, store: str) -> DataFrame | None:
     try:
-        known = df.sparkSession.read.parquet(store).select(key)
+        return spark.read.parquet(store)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def latest_answers(spark: SparkSession, store: str, key: str, answer: str = "answer") -> DataFrame:
+    """``(key, answer)`` of the last attempt for each key of a store."""
+    last = F.max_by(F.struct(answer), F.struct("attempt", F.col(answer).isNotNull(), answer))
+    return spark.read.parquet(store).groupBy(key).agg(last.alias("_last")).select(key, f"_last.{answer}")
+
+
+def unanswered(df: DataFrame, key: str, store: str, answer: str = "answer",
+               usable: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Rows whose key has no usable answer yet. Apply it before texts are joined in.
+
+    ``usable`` keeps the stored rows that need not be asked again; by default those that
+    ``parse_analysis`` accepts. A null answer is never usable.
+    """
+    stored = _attempts(df.sparkSession, store)
+    if stored is None:
         return df
-    return df.join(known, key, "left_anti")
+    keep = usable or (lambda rows: parse_analysis(rows, answer).accepted)
+    return df.join(keep(stored.filter(F.col(answer).isNotNull())).select(key).distinct(), key, "left_anti")
+
+
+def ask(df: DataFrame, key: str, prompt: str, completer: Completer, store: str, tasks: int | None = None) -> None:
+    """Append the answers for all rows with a prompt to a store, under the next attempt number."""
+    stored = _attempts(df.sparkSession, store)
+    last = stored.agg(F.max("attempt")).first()[0] if stored is not None else None
+    answers = complete(df.filter(F.col(prompt).isNotNull()), key, prompt, completer, tasks=tasks)
+    answers.withColumn("attempt", F.lit((last or 0) + 1)).write.mode("append").parquet(store)
 
 
-def complete_missing(df: DataFrame, key: str, prompt: str, completer: Completer, store: str,
-                     tasks: int | None = None) -> DataFrame:
-    """Ask only for keys without a stored answer, append those, return the store.
+def complete_missing(keys: DataFrame, key: str, prompts: Callable[[DataFrame], DataFrame], completer: Completer,
+                     store: str, tasks: int | None = None,
+                     usable: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Ask for the keys without a usable answer, append what comes back, return the latest answers.
 
-    A failed job leaves the store as it was, and running again asks only for the rest.
+    ``prompts`` adds the column ``prompt`` to rows of ``keys``; it is called for the missing
+    keys only, so texts are joined for those. A null prompt is not asked for. A failed
+    job leaves the store as it was, and running again asks only for the rest.
     """
-    todo = unanswered(df, key, store)
-    complete(todo, key, prompt, completer, tasks=tasks).write.mode("append").parquet(store)
-    return df.sparkSession.read.parquet(store)
+    todo = unanswered(keys, key, store, usable=usable)
+    ask(prompts(todo), key, "prompt", completer, store, tasks)
+    return latest_answers(keys.sparkSession, store, key)
 
 
 class Parsed(NamedTuple):

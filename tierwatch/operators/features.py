@@ -61,6 +61,15 @@ def label_separation(features: DataFrame, label: str = "compliance_label",
             .orderBy(F.desc("n"), F.col(label)))
 
 
+def top_risk_messages(messages: DataFrame, columns: Sequence[str], key: str, k: int = 3,
+                      label: str = "compliance_label", clean: str = CLEAN,
+                      concepts: Mapping[str, str] = CONCEPTS, pair: tuple[str, str] = BARRIER_PAIR,
+                      embedder: Embedder | None = None) -> DataFrame:
+    """``top_risk`` straight from messages: the label decides first, so clean texts are never embedded."""
+    flagged = messages.filter(F.col(label) != clean)
+    return top_risk(message_features(flagged, concepts, pair, clean, embedder), columns, key, k, label, clean=clean)
+
+
 def top_risk(features: DataFrame, columns: Sequence[str], key: str, k: int = 3,
              label: str = "compliance_label", body: str = "body", clean: str = CLEAN,
              chars: int = FEATURE_PREVIEW_CHARS) -> DataFrame:

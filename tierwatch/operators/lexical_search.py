@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from functools import reduce
 from operator import add
 
@@ -11,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tierwatch.constants import BM25_B, BM25_K1
 from tierwatch.functions.embedding import token_table, word_counts
-from tierwatch.functions.text import contains_any
-from tierwatch.operators.vector_search import equals, with_rank
+from tierwatch.operators.vector_search import Filter, equals, with_rank
+from tierwatch.session import materialize
 
 
 def query_terms(query: str) -> list[str]:
@@ -31,35 +30,33 @@ def term_weight(tf: Column, length: Column, mean_length: Column) -> Column:
 
 
 def bm25_scores(df: DataFrame, key: str, text: str, query: str,
-                filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+                filter_eq: Filter = None) -> DataFrame:
     """``(key, score)`` of the rows that hold a query word and pass the filter.
 
-    Statistics are those of the whole table, in one aggregate of a single row that the
-    scoring reads as a scalar subquery. Before a text is cut into words a substring test
-    drops those without any query word. For repeated searches build a ``SearchIndex``.
+    Statistics are those of the whole table. Texts are cut into words once: the few
+    numbers per row are stored, and both the statistics (a single row, read as a scalar
+    subquery) and the scores come from them. For repeated searches build a ``SearchIndex``.
     """
     terms = query_terms(query)
     if not terms:
         return df.select(key, F.lit(0.0).alias("score")).filter(F.lit(False))
     names = [f"tf_{i}" for i in range(len(terms))]
 
-    def counted(rows: DataFrame) -> DataFrame:
-        return rows.select(key, word_counts(F.col(text), terms).alias("_c")).select(key, "_c.*")
-
-    known = df.filter(F.col(text).isNotNull())
-    stats = counted(known).agg(F.struct(
+    counted = df.filter(F.col(text).isNotNull()).select(
+        key, equals(filter_eq).alias("_kept"), word_counts(F.col(text), terms).alias("_c"))
+    counted = materialize(counted.select(key, "_kept", "_c.*"), "word-counts")
+    stats = counted.agg(F.struct(
         F.count("*").alias("n"), F.avg("length").alias("mean_length"),
         *[F.count_if(F.col(n) > 0).alias(n) for n in names]).alias("stats")).scalar()
 
-    found = counted(known.filter(equals(filter_eq) & contains_any(F.col(text), terms)))
-    matching = found.filter(F.greatest(F.lit(0), *names) > 0).withColumn("_s", stats)
+    matching = counted.filter(F.col("_kept") & (F.greatest(F.lit(0), *names) > 0)).withColumn("_s", stats)
     parts = [idf(F.col("_s")["n"], F.col("_s")[n])
              * term_weight(F.col(n), F.col("length"), F.col("_s")["mean_length"]) for n in names]
     return matching.select(key, F.round(reduce(add, parts), 10).alias("score"))
 
 
 def bm25_search(df: DataFrame, key: str, text: str, query: str, k: int,
-                filter_eq: Mapping[str, object] | None = None, digits: int = 6) -> DataFrame:
+                filter_eq: Filter = None, digits: int = 6) -> DataFrame:
     """The ``k`` best rows for a query, ties by key."""
     return top_scores(bm25_scores(df, key, text, query, filter_eq), key, k, digits)
 

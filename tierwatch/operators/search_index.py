@@ -3,37 +3,45 @@
 from __future__ import annotations
 
 import json
+import uuid
 import zlib
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
-from tierwatch.constants import EMBED_BODY_CHARS
 from tierwatch.functions.embedding import Embedder, embed_literal, term_counts
 from tierwatch.operators.hybrid_search import attach, fuse
 from tierwatch.operators.lexical_search import idf, query_terms, term_weight, top_scores
 from tierwatch.operators.registry import _read_meta, _write_meta
-from tierwatch.operators.vector_search import build_vectors, equals, vector_scores
+from tierwatch.operators.vector_search import Filter, build_vectors, equals, vector_scores
 
+_COMMIT = "n int, origin string, batch_id string, folder string, replaces array<string>, empty boolean"
 _META = ("name string, version string, text_column string, key string, attributes string, target_lag string")
 
 
 class SearchIndex:
     """An index over one text column with filter attributes.
 
-    Each refresh writes its own batch folders, overwriting those of an earlier attempt of
-    the same batch, so a repeated batch changes nothing. Keys are expected to be unique
-    over batches; the streaming refresh drops duplicates before it gets here.
-
-    Postings are stored by word bucket and sorted by word. A search reads the buckets of
-    its words only. The bucket of a frequent word is large; rows are rebalanced by bucket
-    ahead of the write, which splits such a bucket over tasks.
+    Each refresh writes folders of its own and then a commit record, which names its
+    origin, its batch and its folders. Readers take committed folders only, so they never
+    see half a batch; a repeated batch of the same origin takes the place of its earlier
+    attempt, and batches of different origins cannot meet. A key that comes again
+    supersedes its earlier message, ``delete`` supersedes without a successor, and
+    ``compact`` rewrites what is live as one batch.
+
+    Postings are stored by word bucket and sorted by word, with the attributes beside them,
+    so that a filter applies before scoring. A search reads the buckets of its words
+    only. The bucket of a frequent word is large; rows are rebalanced by bucket ahead of
+    the write, which splits such a bucket over tasks.
     """
 
     def __init__(self, root: str, name: str, key: str, text: str, subject: str,
                  attributes: Sequence[str] = (), embedder: Embedder | None = None,
                  target_lag: str = "1 hour", buckets: int = 64,
-                 body_chars: int | None = EMBED_BODY_CHARS):
+                 body_chars: int | None = None):
         self.base = f"{root.rstrip('/')}/indexes"
         self.root = f"{self.base}/{name}/current"
         self.name, self.key, self.text, self.subject = name, key, text, subject
@@ -45,89 +53,195 @@ class SearchIndex:
         _write_meta(spark, f"{self.root}/meta",
                     (self.name, "current", self.text, self.key, ",".join(self.attributes), self.target_lag), _META)
 
-    def refresh(self, messages: DataFrame, batch_id: int | str) -> None:
-        """Index the messages of one batch."""
-        key = self.key
+    def refresh(self, messages: DataFrame, batch_id: int | str, origin: str = "bulk") -> None:
+        """Index the messages of one batch. Of repeated keys within a batch all are kept."""
+        key, spark = self.key, messages.sparkSession
+        folder = f"{origin}-{batch_id}-{uuid.uuid4().hex}"
         counted = (messages.filter(F.col(self.text).isNotNull())
-                   .select(key, term_counts(F.col(self.text)).alias("_terms"))
+                   .select(key, *self.attributes, term_counts(F.col(self.text)).alias("_terms"))
                    .withColumn("length", F.aggregate("_terms", F.lit(0), lambda n, t: n + t["tf"])))
         # One row per word, and one without a word for an empty text; "first" marks one row
         # per message, so that messages can be counted from the narrow table.
-        postings = (counted.select(key, "length", F.posexplode_outer("_terms").alias("_at", "_t"))
-                    .select(key, "length", "_t.term", "_t.tf", (F.coalesce("_at", F.lit(0)) == 0).alias("first"))
+        columns = [key, "length", *self.attributes]
+        postings = (counted.select(*columns, F.posexplode_outer("_terms").alias("_at", "_t"))
+                    .select(*columns, "_t.term", "_t.tf", (F.coalesce("_at", F.lit(0)) == 0).alias("first"))
                     .withColumn("bucket", F.coalesce(self._bucket(F.col("term")), F.lit(0))))
-        (postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/batch={batch_id}"))
-
         vectors = build_vectors(messages, key, self.subject, self.text, self.attributes,
                                 self.embedder, self.body_chars)
-        vectors.write.mode("overwrite").parquet(f"{self.root}/vectors/batch={batch_id}")
+        earlier = self._commits(spark)
+        replaced = [c.folder for c in earlier if (c.origin, c.batch_id) == (origin, str(batch_id))]
+        self._write(postings, vectors, folder)
+        self._supersede(spark, self._read(spark, "vectors", [folder]).select(key), folder,
+                        [c.folder for c in earlier if c.folder not in replaced])
+        self._commit(spark, origin, batch_id, folder, replaced)
+
+    def delete(self, keys: DataFrame, batch_id: int | str, origin: str = "deleted") -> None:
+        """Take the messages with these keys out of the index."""
+        spark, folder = keys.sparkSession, f"{origin}-{batch_id}-{uuid.uuid4().hex}"
+        self._supersede(spark, keys.select(self.key), folder, [c.folder for c in self._commits(spark)])
+        self._commit(spark, origin, batch_id, folder, [], empty=True)
+
+    def compact(self, spark: SparkSession) -> None:
+        """Rewrite the live messages as one batch; earlier folders are no longer read."""
+        earlier = [c.folder for c in self._commits(spark)]
+        if not earlier:
+            return
+        folder = f"compacted-{uuid.uuid4().hex}"
+        self._write(self._live(spark, "postings").drop("batch"), self.vectors(spark), folder)
+        self._commit(spark, "compacted", uuid.uuid4().hex, folder, earlier)
+
+    def _write(self, postings: DataFrame, vectors: DataFrame, folder: str) -> None:
+        (postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term")
+         .write.partitionBy("bucket").parquet(f"{self.root}/postings/batch={folder}"))
+        vectors.write.parquet(f"{self.root}/vectors/batch={folder}")
 
         # Counted from the stored postings: the texts are not read again.
-        written = messages.sparkSession.read.schema(postings.schema).parquet(f"{self.root}/postings/batch={batch_id}")
+        written = postings.sparkSession.read.schema(postings.schema).parquet(f"{self.root}/postings/batch={folder}")
         stats = written.agg(F.count_if("first").alias("n_docs"),
                             F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("total_length"))
-        stats.write.mode("overwrite").parquet(f"{self.root}/stats/batch={batch_id}")
+        stats.write.parquet(f"{self.root}/stats/batch={folder}")
+
+    def _supersede(self, spark: SparkSession, keys: DataFrame, folder: str, earlier: list[str]) -> None:
+        """Record the live messages of earlier batches whose keys come again."""
+        stored = [c for c in earlier if c in self._with_data(spark)]
+        if not stored:
+            return
+        known = self._read(spark, "vectors", stored).select(self.key, "batch")
+        lengths = self._read(spark, "postings", stored).filter("first").select(self.key, "batch", "length")
+        again = known.join(keys.distinct(), self.key, "left_semi").distinct().join(lengths, [self.key, "batch"], "left")
+        gone = self._superseded(spark, earlier)
+        if gone is not None:
+            again = again.join(gone.select(self.key, "batch"), [self.key, "batch"], "left_anti")
+        again.withColumnRenamed("batch", "of_batch").write.parquet(f"{self.root}/superseded/batch={folder}")
+
+    def _commit(self, spark: SparkSession, origin: str, batch_id: int | str, folder: str, replaces: list[str],
+                empty: bool = False) -> None:
+        """The last step of a batch: from here on readers see it, and no longer what it replaces."""
+        n = len(self._commits(spark, every=True))
+        (spark.createDataFrame([(n, origin, str(batch_id), folder, replaces, empty)], _COMMIT).coalesce(1)
+         .write.json(f"{self.root}/commits/{folder}"))
+
+    def _commits(self, spark: SparkSession, every: bool = False) -> list[Row]:
+        """Commit records in order, without those that a later one replaces: one small row per batch."""
+        try:
+            rows = spark.read.schema(_COMMIT).json(f"{self.root}/commits/*").orderBy("n", "folder").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        replaced = {f for r in rows for f in r.replaces}
+        return [r for r in rows if every or r.folder not in replaced]
+
+    def _with_data(self, spark: SparkSession) -> list[str]:
+        return [c.folder for c in self._commits(spark) if not c.empty]
 
     def _bucket(self, term):
         return F.pmod(F.crc32(term.cast("binary")), F.lit(self.buckets)).cast("int")
 
-    def _part(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/{name}")
+    def _read(self, spark: SparkSession, name: str, folders: Sequence[str]) -> DataFrame:
+        paths = [f"{self.root}/{name}/batch={f}" for f in folders]
+        return spark.read.option("basePath", f"{self.root}/{name}").parquet(*paths)
+
+    def _superseded(self, spark: SparkSession, folders: Sequence[str]) -> DataFrame | None:
+        """Messages of committed batches that no longer count, with their lengths."""
+        try:
+            rows = spark.read.parquet(f"{self.root}/superseded")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return rows.filter(F.col("batch").isin(list(folders)) & F.col("of_batch").isin(list(folders))).select(
+            self.key, F.col("of_batch").alias("batch"), "length")
+
+    def _live(self, spark: SparkSession, name: str) -> DataFrame:
+        folders = [c.folder for c in self._commits(spark)]
+        rows, gone = self._read(spark, name, self._with_data(spark)), self._superseded(spark, folders)
+        return rows if gone is None else rows.join(gone.select(self.key, "batch"), [self.key, "batch"], "left_anti")
 
     def vectors(self, spark: SparkSession) -> DataFrame:
-        return self._part(spark, "vectors").drop("batch")
+        return self._live(spark, "vectors").drop("batch")
+
+    def _totals(self, spark: SparkSession) -> DataFrame:
+        """Number of live messages with a text, and their words."""
+        folders = [c.folder for c in self._commits(spark)]
+        stats, gone = self._read(spark, "stats", self._with_data(spark)).select("n_docs", "total_length"), self._superseded(spark, folders)
+        if gone is not None:
+            stats = stats.union(gone.filter("length IS NOT NULL").agg(
+                -F.count("*"), -F.coalesce(F.sum("length"), F.lit(0)).cast("long")))
+        return stats.agg(F.struct(F.sum("n_docs").alias("n"),
+                                  (F.sum("total_length") / F.sum("n_docs")).alias("mean_length")).alias("s"))
 
     def lexical_scores(self, spark: SparkSession, query: str,
-                       filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+                       filter_eq: Filter = None) -> DataFrame:
         """``(key, score)`` of the messages that hold a query word."""
         terms = query_terms(query)
-        postings = self._part(spark, "postings")
+        postings = self._live(spark, "postings")
         if not terms:
             return postings.select(self.key, F.lit(0.0).alias("score")).filter(F.lit(False))
         wanted = sorted({zlib.crc32(t.encode()) % self.buckets for t in terms})
         hits = postings.filter(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
-        totals = self._part(spark, "stats").agg(F.struct(
-            F.sum("n_docs").alias("n"),
-            (F.sum("total_length") / F.sum("n_docs")).alias("mean_length")).alias("s")).scalar()
+        totals = self._totals(spark).scalar()
         # One row per query word: the size is bounded by the query.
         weights = (hits.groupBy("term").agg(F.count("*").alias("n_with")).withColumn("_s", totals)
                    .select("term", F.col("_s.mean_length").alias("mean_length"),
                            idf(F.col("_s.n"), F.col("n_with")).alias("idf")))
-        if filter_eq:
-            kept = self.vectors(spark).filter(equals(filter_eq)).select(self.key)
-            hits = hits.join(kept, self.key, "left_semi")
+        hits = hits.filter(equals(filter_eq))
         part = F.col("idf") * term_weight(F.col("tf"), F.col("length"), F.col("mean_length"))
         return (hits.join(F.broadcast(weights), "term")
                 .groupBy(self.key).agg(F.round(F.sum(part), 10).alias("score")))
 
     def lexical_search(self, spark: SparkSession, query: str, k: int,
-                       filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+                       filter_eq: Filter = None) -> DataFrame:
         return top_scores(self.lexical_scores(spark, query, filter_eq), self.key, k)
 
     def vector_scores(self, spark: SparkSession, query: str,
-                      filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+                      filter_eq: Filter = None) -> DataFrame:
         return vector_scores(self.vectors(spark), embed_literal(query, self.embedder), self.key,
                              filter_eq=filter_eq)
 
     def search(self, spark: SparkSession, query: str, k: int = 5,
-               filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+               filter_eq: Filter = None) -> DataFrame:
         """Hybrid search: words and vectors, fused by rank."""
         return fuse(self.lexical_scores(spark, query, filter_eq),
                     self.vector_scores(spark, query, filter_eq), self.key, k)
 
     def answer(self, messages: DataFrame, request: str | Mapping) -> DataFrame:
-        """Serve a request ``{query, columns, filter: {"@eq": {column: value}}, limit}``.
+        """Serve a request ``{query, columns, filter, limit}``.
 
-        The request may be JSON text; its values are data and never part of a query text.
+        A filter is ``{"@eq": {column: value}}``, likewise ``@gte`` and ``@lte``, or ``@and``,
+        ``@or`` with a list of filters, or ``@not`` with one; anything else is an error. The
+        request may be JSON text; its values are data and never part of a query text.
         """
         asked = json.loads(request) if isinstance(request, str) else request
         k = int(asked.get("limit", 10))
-        filter_eq = (asked.get("filter") or {}).get("@eq")
-        hits = self.search(messages.sparkSession, asked["query"], k, filter_eq)
+        wanted = asked.get("filter")
+        hits = self.search(messages.sparkSession, asked["query"], k, condition(wanted, self.attributes) if wanted else None)
         return attach(hits, messages, self.key, asked["columns"], k)
 
 
+_COMPARE = {"@eq": Column.__eq__, "@gte": Column.__ge__, "@lte": Column.__le__}
+
+
+def condition(wanted: Mapping, attributes: Sequence[str]) -> Column:
+    """The filter of a request as a condition; an unknown operator or attribute is an error."""
+    if not isinstance(wanted, Mapping) or len(wanted) != 1:
+        raise ValueError(f"a filter has one operator: {wanted!r}")
+    (operator, value), = wanted.items()
+    if operator in ("@and", "@or"):
+        parts = [condition(v, attributes) for v in value]
+        if not parts:
+            raise ValueError(f"{operator} needs a filter")
+        return reduce(and_ if operator == "@and" else or_, parts)
+    if operator == "@not":
+        return ~condition(value, attributes)
+    if operator not in _COMPARE:
+        raise ValueError(f"unknown filter operator {operator!r}")
+    unknown = [c for c in value if c not in attributes]
+    if unknown or not value:
+        raise ValueError(f"no filter attribute: {unknown}")
+    return reduce(and_, [_COMPARE[operator](F.col(c), F.lit(v)) for c, v in value.items()])
+
+
 def list_indexes(spark: SparkSession, root: str) -> DataFrame:
     return _read_meta(spark, f"{root.rstrip('/')}/indexes", _META)
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tierwatch.constants import EMBED_BODY_CHARS
 from tierwatch.functions.embedding import Embedder, embed, unit_rows
 from tierwatch.functions.text import message_text
 from tierwatch.functions.vectors import cosine_to, vector_rows
@@ -17,14 +17,17 @@ from tierwatch.functions.vectors import cosine_to, vector_rows
 # Scores are compared at this many digits, so that copies of a vector tie exactly and
 # fall back to the key, whatever batch they were computed in.
 SCORE_DIGITS = 10
-# Above this many queries their vectors are not broadcast any more.
-MAX_BROADCAST_QUERIES = 2048
-# Rows per side of one cell of the query x corpus grid.
-GRID_QUERIES, GRID_VECTORS = 2048, 65536
+# Queries that one pass over the corpus answers, about; each task holds their vectors.
+QUERY_BLOCK = 2048
 
 
-def equals(filter_eq: Mapping[str, object] | None) -> Column:
-    """Conjunction of equality conditions; true when there are none."""
+Filter = Mapping[str, object] | Column | None
+
+
+def equals(filter_eq: Filter) -> Column:
+    """Conjunction of equality conditions (true when there are none), or the condition as it is."""
+    if isinstance(filter_eq, Column):
+        return filter_eq
     condition = F.lit(True)
     for column, value in (filter_eq or {}).items():
         condition = condition & (F.col(column) == F.lit(value))
@@ -32,8 +35,11 @@ def equals(filter_eq: Mapping[str, object] | None) -> Column:
 
 
 def build_vectors(messages: DataFrame, key: str, subject: str, body: str, attributes: Sequence[str] = (),
-                  embedder: Embedder | None = None, body_chars: int | None = EMBED_BODY_CHARS) -> DataFrame:
-    """The vector table: key, attributes and the vector of subject and (cut) body."""
+                  embedder: Embedder | None = None, body_chars: int | None = None) -> DataFrame:
+    """The vector table: key, attributes and the vector of subject and body.
+
+    The whole body counts unless ``body_chars`` sets a limit.
+    """
     text = message_text(F.col(subject), F.col(body), body_chars)
     return messages.select(key, *attributes, embed(text, embedder).alias("embedding"))
 
@@ -44,7 +50,7 @@ def with_rank(top: DataFrame, *order: Column) -> DataFrame:
 
 
 def vector_scores(vectors: DataFrame, query: Sequence[float], key: str, vector: str = "embedding",
-                  filter_eq: Mapping[str, object] | None = None) -> DataFrame:
+                  filter_eq: Filter = None) -> DataFrame:
     """``(key, score)`` of every row that passes the filter and has a valid vector.
 
     Only the key, the vector and the filter columns are read.
@@ -55,7 +61,7 @@ def vector_scores(vectors: DataFrame, query: Sequence[float], key: str, vector:
 
 
 def vector_search(vectors: DataFrame, query: Sequence[float], k: int, key: str, vector: str = "embedding",
-                  filter_eq: Mapping[str, object] | None = None, digits: int = 3) -> DataFrame:
+                  filter_eq: Filter = None, digits: int = 3) -> DataFrame:
     """The ``k`` rows most similar to a vector, best first, ties by key.
 
     Every task keeps its own best ``k`` and only those meet in the final step.
@@ -74,30 +80,43 @@ def more_like(vectors: DataFrame, row: object, k: int, key: str, vector: str = "
     return vector_search(vectors.filter(F.col(key) != F.lit(row)), found[0], k, key, vector, digits=digits)
 
 
+def vector_length(vectors: DataFrame, vector: str = "embedding") -> int:
+    """The length of a corpus's vectors, as its first valid one has it; 0 for an empty corpus."""
+    found = vectors.select(F.size(vector).alias("n")).filter(F.col("n") > 0).first()
+    return found["n"] if found else 0
+
+
+def bad_queries(queries: DataFrame, dim: int, query_vector: str = "embedding") -> DataFrame:
+    """The queries that no search can answer: without a vector, or with one of another length."""
+    return queries.filter(F.col(query_vector).isNull() | (F.size(query_vector) != dim))
+
+
 def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str, query_key: str,
                        vector: str = "embedding", query_vector: str = "embedding", digits: int = 3,
-                       exclude_self: bool = False, max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """Exact top ``k`` for each query row.
-
-    The number of queries is checked first. Up to ``max_broadcast`` they are sent to every
-    task, which keeps a running top ``k`` per query while it reads its vectors once. More
-    queries go through a grid: both sides are cut into blocks by a hash of the key, each
-    pair of blocks is one group of bounded size, and a group emits only its top ``k`` per
-    query. In neither case does a pair of rows become a row.
+                       exclude_self: bool = False, query_block: int = QUERY_BLOCK, dim: int | None = None) -> DataFrame:
+    """Exact top ``k`` for each query row whose vector has the corpus's length ``dim``.
+
+    Queries are dealt by a hash of their key into blocks of about ``query_block``. Each
+    block is sent to every task, which keeps a running top ``k`` per query while it reads
+    its vectors once, so no pair of rows becomes a row. The corpus is read once per block:
+    meant for a set of questions, not for each row of a large table.
+    ``bad_queries`` gives the questions that are left out.
     """
     wanted = k + 1 if exclude_self else k
+    dim = vector_length(vectors, vector) if dim is None else dim
     if query_key == key:
         # A column name of its own, so that a self search does not clash.
         query_key, queries = "query_id", queries.withColumnRenamed(key, "query_id")
-    questions = queries.select(query_key, F.col(query_vector).alias("_query")).dropna()
+    questions = queries.select(query_key, F.col(query_vector).alias("_query")).filter(
+        F.col(query_key).isNotNull() & (F.size("_query") == dim))
     corpus = vectors.select(key, F.col(vector).alias("_vector")).dropna()
     schema = T.StructType([questions.schema[query_key], corpus.schema[key], T.StructField("score", T.DoubleType())])
 
-    n = questions.limit(max_broadcast + 1).count()
-    if n <= max_broadcast:
-        found = _broadcast_search(corpus, questions, wanted, schema)
-    else:
-        found = _grid_search(corpus, questions, wanted, key, query_key, schema)
+    n_blocks = max(1, math.ceil(questions.count() / query_block))
+    dealt = questions.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(n_blocks)))
+    found = reduce(DataFrame.union, [
+        _broadcast_search(corpus, dealt.filter(F.col("_block") == b).drop("_block"), wanted, dim, schema)
+        for b in range(n_blocks)])
     if exclude_self:
         found = found.filter(F.col(query_key) != F.col(key))
     best = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
@@ -108,8 +127,7 @@ def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str,
 class _Best:
     """Running top ``k`` (score descending, key ascending) for each query."""
 
-    def __init__(self, query_keys: pa.Array, query_vectors: pa.Array, k: int):
-        dim = max((len(v) for v in query_vectors if v.is_valid), default=0)
+    def __init__(self, query_keys: pa.Array, query_vectors: pa.Array, k: int, dim: int):
         rows, valid = vector_rows(query_vectors, dim)
         self.query_keys = query_keys.filter(pa.array(valid))
         self.unit, self.dim, self.k = unit_rows(rows), dim, k
@@ -153,14 +171,14 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(schema)])
 
 
-def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, dim: int, schema: T.StructType) -> DataFrame:
     spark = corpus.sparkSession
     shared = spark.sparkContext.broadcast(questions.toArrow().combine_chunks())
     target = _arrow_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = shared.value
-        best = _Best(_flat(asked.column(0)), _flat(asked.column(1)), k)
+        best = _Best(_flat(asked.column(0)), _flat(asked.column(1)), k, dim)
         for batch in batches:
             best.add(batch.column(0), batch.column(1))
         yield best.table(target)
@@ -168,27 +186,5 @@ def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, schema: T
     return corpus.mapInArrow(search, schema)
 
 
-def _grid_search(corpus: DataFrame, questions: DataFrame, k: int, key: str, query_key: str,
-                 schema: T.StructType) -> DataFrame:
-    query_blocks = math.ceil(questions.count() / GRID_QUERIES)
-    vector_blocks = math.ceil(corpus.count() / GRID_VECTORS)
-    target = _arrow_schema(schema)
-
-    def cells(df: DataFrame, by: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return (df.withColumn(own, F.pmod(F.xxhash64(by), F.lit(n_own)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(max(n_other, 1) - 1)))))
-
-    left = cells(questions, query_key, "_q", query_blocks, "_v", vector_blocks)
-    right = cells(corpus, key, "_v", max(vector_blocks, 1), "_q", query_blocks)
-
-    def search(asked: pa.Table, rows: pa.Table) -> pa.Table:
-        best = _Best(_flat(asked[query_key]), _flat(asked["_query"]), k)
-        for batch in rows.select([key, "_vector"]).to_batches(max_chunksize=4096):
-            best.add(batch.column(0), batch.column(1))
-        return pa.Table.from_batches([best.table(target)])
-
-    return left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(search, schema)
-
-
 def _flat(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)

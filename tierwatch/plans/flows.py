@@ -7,12 +7,12 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
-from tierwatch.constants import FEATURE_COLUMNS, N_TREES, PROMPT_BODY_CHARS, TARGET_COLUMN, TREE_DEPTH
-from tierwatch.functions.text import preview
+from tierwatch.constants import FEATURE_COLUMNS, N_TREES, TARGET_COLUMN, TREE_DEPTH
 from tierwatch.operators import classifier, enrichment, evaluation, triage
 from tierwatch.operators.enrichment import Completer
 from tierwatch.operators.registry import ModelRegistry
 from tierwatch.session import scratch_path
+from tierwatch.sources.schemas import REJECT_REASON
 from tierwatch.sources.sinks import write_table
 
 
@@ -60,14 +60,15 @@ def review(predictions: DataFrame, messages: DataFrame, completer: Completer, st
            key: str = "email_id", tasks: int | None = None) -> Reviewed:
     """Send the uncertain bucket to a completer and build the tiered view.
 
-    Answers are stored before use and are asked for once per message over all runs. What
-    has an answer leaves before the join with the texts, and the part of a body that a
-    prompt holds is cut before it: the shuffle moves no more than the prompts need.
+    Answers are stored before use. What has a usable answer leaves before the join with
+    the texts; what has none, or one that cannot be parsed, is asked again by the next run.
     """
     pending = enrichment.unanswered(predictions, key, store)
-    texts = messages.withColumn("body", preview(F.col("body"), PROMPT_BODY_CHARS))
-    prompts = enrichment.uncertain(pending, texts, key).withColumn("prompt", enrichment.review_prompt())
-    enrichment.complete(prompts, key, "prompt", completer, tasks=tasks).write.mode("append").parquet(store)
-    answers = predictions.sparkSession.read.parquet(store)
+    prompts = enrichment.uncertain(pending, messages, key).withColumn("prompt", enrichment.review_prompt())
+    enrichment.ask(prompts, key, "prompt", completer, store, tasks)
+    answers = enrichment.latest_answers(predictions.sparkSession, store, key)
     parsed = enrichment.parse_analysis(answers)
-    return Reviewed(triage.tiered_view(predictions, messages, parsed.accepted, key), parsed.rejected)
+    rejected = parsed.rejected.select(key, "answer", F.lit("no usable answer").alias(REJECT_REASON)).unionByName(
+        prompts.filter(F.col("prompt").isNull()).select(
+            key, F.lit(None).cast("string").alias("answer"), F.lit("a part of the prompt is missing").alias(REJECT_REASON)))
+    return Reviewed(triage.tiered_view(predictions, messages, parsed.accepted, key), rejected)

@@ -12,7 +12,6 @@ from tierwatch.constants import FLAG_COLUMN
 from tierwatch.functions.decisions import logistic_score
 from tierwatch.operators import enrichment, features, triage
 from tierwatch.session import materialize
-from tierwatch.sources.files import spread_small
 
 PHRASES = ("trash", "scum", "idiot", "moron", "hate", "license")
 CONCEPTS = {
@@ -34,8 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a message without a label."""
-    docs = table(spark, sf_dir, "documents")
-    return spread_small(as_messages(docs), docs, "email_id")
+    return as_messages(table(spark, sf_dir, "documents"))
 
 
 def as_messages(docs: DataFrame) -> DataFrame:
@@ -49,23 +47,19 @@ def _sent_at(key: str):
     return start + F.col(key) * F.expr("INTERVAL '1' MINUTE")
 
 
-def labelled(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """The labelled documents as messages with departments and a label.
-
-    ``spread`` is for work on words; a plain search is faster than the shuffle.
-    """
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents as messages with departments and a label."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("email_id"),
         F.when(F.col("quality") == 1, "en").otherwise("fr").alias("recipient_dept"),
         F.when(F.col("toxic") == 0, "CLEAN").when(F.col("quality") == 0, "INSIDER_TRADING")
         .otherwise("CONFIDENTIALITY_BREACH").alias("compliance_label"))
-    found = as_messages(docs).join(labels, "email_id")
-    return spread_small(found, docs, "email_id") if spread else found
+    return as_messages(docs).join(labels, "email_id")
 
 
 def message_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.message_features(labelled(spark, sf_dir, spread=True), CONCEPTS, PAIR)
+    return features.message_features(labelled(spark, sf_dir), CONCEPTS, PAIR)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

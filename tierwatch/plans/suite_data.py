@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from tierwatch.operators import classifier, evaluation, features, profiling, triage
+from tierwatch.constants import CATEGORIES
+from tierwatch.functions.text import first_token, iso_to_timestamp, timestamp_to_iso
+from tierwatch.operators import classifier, enrichment, evaluation, features, profiling, triage
 from tierwatch.operators.asof import as_of_lookup
 from tierwatch.operators.registry import FeatureRegistry, FeatureView, ModelRegistry
 from tierwatch.operators.search_index import SearchIndex
@@ -53,11 +55,6 @@ def table_inventory(spark, sf_dir):
     return catalog.count_tables({("given", t): s.table(spark, sf_dir, t) for t in TABLES})
 
 
-@query()
-def file_inventory(spark, sf_dir):
-    return files.file_inventory(spark, sf_dir)
-
-
 _DOCUMENT_CONTRACT = T.StructType([
     T.StructField("doc_id", T.LongType(), False), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("text", T.StringType())])
@@ -105,17 +102,91 @@ def pair_stats(spark, sf_dir):
         F.when(label == "CLEAN", label).otherwise(F.concat(F.lit("VIOLATION: "), label)).alias("completion"))
     path = scratch_path(spark, "pairs")
     pairs.write.json(path)
-    return evaluation.pair_stats(files.read_pairs(spark, path))
+    return evaluation.pair_stats(files.read_pairs(spark, path).accepted)
+
+
+@query(f"""
+WITH {s.SQL_LABELLED}
+SELECT email_id, md5('Review one message for compliance.' || chr(10) || 'Possible categories: {", ".join(CATEGORIES)}.' || chr(10)
+       || 'From: ' || sender_dept || chr(10) || 'To: ' || recipient_dept || chr(10) || 'Subject: ' || subject || chr(10)
+       || 'Body: ' || body || chr(10)
+       || 'Answer with one JSON object: is_violation, confidence (0 to 1), category, reasoning.') AS prompt_digest,
+       '{{"is_violation":' || (compliance_label <> 'CLEAN')::VARCHAR || ',"confidence":1.0,"category":"' || compliance_label
+       || '","reasoning":"labelled as ' || compliance_label || '"}}' AS completion FROM labelled""")
+def build_pairs(spark, sf_dir):
+    """Training pairs: prompt of a message, JSON answer from its label."""
+    return enrichment.build_pairs(s.labelled(spark, sf_dir)).select(
+        "email_id", F.md5("prompt").alias("prompt_digest"), "completion")
 
 
 @query("""
+SELECT CASE WHEN doc_id % 5 = 0 THEN 'not JSON' WHEN doc_id % 5 = 1 THEN 'completion is missing' ELSE 'accepted' END AS outcome,
+       count(*) AS n FROM documents GROUP BY 1""")
+def pair_rejects(spark, sf_dir):
+    """Pairs as JSON lines, some of them broken: both sides of the scan."""
+    path, kind = scratch_path(spark, "pairs"), F.col("doc_id") % 5
+    whole = F.to_json(F.struct(F.col("source").alias("prompt"), F.when(kind != 1, F.col("lang")).alias("completion")))
+    s.table(spark, sf_dir, "documents").select(F.when(kind == 0, F.concat(F.lit("{"), "source")).otherwise(whole)).write.text(path)
+    accepted, rejected = files.read_pairs(spark, path)
+    return accepted.select(F.lit("accepted").alias("outcome")).unionByName(
+        rejected.select(F.col("reject_reason").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, date_trunc('second', ts) AS again,
+       string_split(event_type || ' by ' || user_id::VARCHAR, ' ')[1] AS word FROM events""")
+def iso_times(spark, sf_dir):
+    """ISO texts of times, read back, and the first word of a text."""
+    events = s.table(spark, sf_dir, "events").withColumn("iso", timestamp_to_iso(F.col("ts")))
+    named = F.concat("event_type", F.lit(" by "), F.col("user_id").cast("string"))
+    return events.select("event_id", "iso", iso_to_timestamp(F.col("iso")).alias("again"), first_token(named).alias("word"))
+
+
+@query("""
+SELECT 2 * count(*) AS n, 2 * count(*) AS n_keys, 2 * sum(length(source))::BIGINT AS chars, 0::BIGINT AS n_without_time
+FROM documents""")
+def append_rows(spark, sf_dir):
+    """Two appends with a generated key and a load time, seen through a view."""
+    target = scratch_path(spark, "appended")
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("source", T.StringType())])
+    for _ in range(2):
+        sinks.append_conformed(s.table(spark, sf_dir, "documents").select("doc_id", "source"), target, schema, identity="row_id")
+    sinks.create_view(spark.read.parquet(target), "appended_rows")
+    return spark.table("appended_rows").agg(
+        F.count("*").alias("n"), F.countDistinct("row_id").alias("n_keys"), F.sum(F.length("source")).alias("chars"),
+        F.count_if(F.col("loaded_at").isNull()).alias("n_without_time"))
+
+
+@query("SELECT count(*) AS rows_in, 0::BIGINT AS late, count(DISTINCT user_id || event_type || ts::VARCHAR) AS stored FROM events")
+def stream_report(spark, sf_dir):
+    """The report of a stream whose delay covers all: rows read and late, beside what is stored."""
+    out, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
+    report = refresh.append_refresh(_event_stream(spark, sf_dir), lambda df: df.select("user_id", "event_type", "ts"), out,
+                                    checkpoint, ["user_id", "event_type", "ts"], "ts", "60 days",
+                                    spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(out).agg(F.lit(report.rows_in).cast("long").alias("rows_in"),
+                                       F.lit(report.rows_dropped_late).cast("long").alias("late"), F.count("*").alias("stored"))
+
+
+@query(f"WITH {s.SQL_DOCUMENTS}, {_bm25()} {_ranked('bm25', 20)}")
+def index_bulk_then_stream(spark, sf_dir):
+    """Half of the messages in bulk, the whole table by a stream after it: each counts once."""
+    index = SearchIndex(scratch_path(spark, "search"), "messages", "email_id", "body", "subject", ["sender_dept"], buckets=8)
+    index.refresh(s.documents(spark, sf_dir).filter("email_id % 2 = 0"), 0)
+    refresh.refresh_index(_document_stream(spark, sf_dir), index, scratch_path(spark, "checkpoint"), "sent_at",
+                          "365 days", spark.sparkContext.defaultParallelism)
+    return index.lexical_search(spark, QUERY_TEXT, 20)
+
+
+@query("""
+WITH newest AS (SELECT user_id, ts, max(value) AS value FROM events GROUP BY 1, 2)
 SELECT e.event_id, e.user_id, f.value AS asof_value FROM events e
-ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') f
-  ON e.user_id = f.user_id AND e.ts >= f.ts""")
+ASOF LEFT JOIN newest f ON e.user_id = f.user_id AND e.ts >= f.ts""")
 def as_of(spark, sf_dir):
+    """Every event with the value that its user had last, of any type of event."""
     events = s.table(spark, sf_dir, "events")
-    lookup = events.filter("event_type = 'purchase'").select("user_id", "ts", "value")
-    return as_of_lookup(events.select("event_id", "user_id", "ts"), lookup, "user_id", "ts", ["value"]).drop("ts")
+    return as_of_lookup(events.select("event_id", "user_id", "ts"), events.select("user_id", "ts", "value"),
+                        "user_id", "ts", ["value"]).drop("ts")
 
 
 @query(f"""
@@ -137,22 +208,43 @@ def _retrained(spark, sf_dir):
     view = FeatureView("message_features", "message", ["email_id"], "ts")
     features_root.register(view, features.feature_view_columns(s.message_features(spark, sf_dir)), "V1")
     models = ModelRegistry(registry_root)
-    # Few shallow trees: the full setting is the default of the operator.
-    result = retrain(features_root.load(spark, "message_features", "V1"), models, "classifier", "V1",
-                     n_trees=5, depth=3)
+    result = retrain(features_root.load(spark, "message_features", "V1"), models, "classifier", "V1")
     return models, result
 
 
-@query()
+_SIDES = """WITH sided AS (
+  SELECT doc_id, toxic, CASE WHEN ('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT % 10000 < 8000
+                             THEN 'train' ELSE 'test' END AS split FROM labels JOIN documents USING (doc_id))"""
+
+
+@query(_SIDES + """
+SELECT split, count(*) AS n, count(*) AS n_scored, 0::BIGINT AS n_outside, 0::BIGINT AS n_other_class FROM sided GROUP BY 1""")
 def train_score(spark, sf_dir):
-    """Train, register, score every row, decide: the distribution of the decisions."""
-    return _retrained(spark, sf_dir)[1].distribution
+    """Train, register, score every row: per side of the split, rows, probabilities, and classes that fit them."""
+    chance = F.col("predict_proba_1")
+    return _retrained(spark, sf_dir)[1].predictions.groupBy("split").agg(
+        F.count("*").alias("n"), F.count("predict_proba_1").alias("n_scored"),
+        F.count_if(~chance.between(0.0, 1.0)).alias("n_outside"),
+        F.count_if((F.col("predicted_violation") == 1) != (chance > 0.5)).alias("n_other_class"))
 
 
-@query()
+@query(_SIDES + """
+SELECT count(*) AS total, count(*) FILTER (toxic = 1) AS violations FROM sided WHERE split = 'test'""")
 def held_out_quality(spark, sf_dir):
-    """Quality on the side of the split the model has not seen."""
-    return classifier.evaluate(_retrained(spark, sf_dir)[1].predictions.filter("split = 'test'"))
+    """Quality on the side of the split the model has not seen: what does not depend on the trees."""
+    found = classifier.evaluate(_retrained(spark, sf_dir)[1].predictions.filter("split = 'test'"))
+    return found.select((F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("total"),
+                        (F.col("tp") + F.col("fn")).alias("violations"))
+
+
+@query("""SELECT doc_id, CASE WHEN length(text) > 1500 THEN 1 ELSE 0 END AS predicted FROM documents""")
+def train_separable(spark, sf_dir):
+    """A target that one feature decides is learnt without an error."""
+    long = (F.length("text") > 1500).cast("int")
+    rows = s.table(spark, sf_dir, "documents").select(
+        "doc_id", (long * 2.0 - 1.0).alias("decides"), (F.col("doc_id") % 7).cast("double").alias("noise"), long.alias("target"))
+    model = classifier.train(rows, ["decides", "noise"], "target", n_trees=20)
+    return classifier.score(model, rows).select("doc_id", F.col("predicted_violation").alias("predicted"))
 
 
 @query("SELECT 'V1' AS version, count(*) AS n, 0::BIGINT AS n_different FROM documents JOIN labels USING (doc_id)")
@@ -165,10 +257,12 @@ def model_registry(spark, sf_dir):
                     F.count_if(F.abs(F.col("predict_proba_1") - F.col("first")) > 1e-12).alias("n_different"))
 
 
-@query()
+@query(_SIDES + """
+SELECT 'classifier' AS name, 'V1' AS version, replace(split, 'train', 'training') || '_samples' AS metric,
+       count(*)::DOUBLE AS value FROM sided GROUP BY split""")
 def model_metrics(spark, sf_dir):
-    """Metrics of the registered model versions."""
-    return _retrained(spark, sf_dir)[0].metrics(spark)
+    """Metrics of the registered model versions: the sizes of both sides."""
+    return _retrained(spark, sf_dir)[0].metrics(spark).filter(F.col("metric").isin("training_samples", "test_samples"))
 
 
 def _event_stream(spark, sf_dir):
@@ -176,14 +270,16 @@ def _event_stream(spark, sf_dir):
     return refresh.parquet_stream(spark, sf_dir, schema, "events.parquet")
 
 
-@query("SELECT event_id, user_id, event_type, ts FROM events")
+@query("SELECT user_id, event_type, count(DISTINCT ts)::BIGINT AS n FROM events GROUP BY 1, 2")
 def stream_first_of_each(spark, sf_dir):
-    """Events as a stream, each once, appended to a table; the second run adds nothing."""
+    """Events as a stream in which each comes twice, kept once, appended; the second run adds nothing."""
     out, checkpoint = scratch_path(spark, "events"), scratch_path(spark, "checkpoint")
     for _ in range(2):
-        refresh.append_refresh(_event_stream(spark, sf_dir), lambda df: df.select("event_id", "user_id", "event_type", "ts"),
-                               out, checkpoint, ["event_id"], "ts", "60 days", spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(out)
+        twice = _event_stream(spark, sf_dir).withColumn("again", F.explode(F.array(F.lit(0), F.lit(1))))
+        refresh.append_refresh(twice, lambda df: df.select("user_id", "event_type", "ts"),
+                               out, checkpoint, ["user_id", "event_type", "ts"], "ts", "60 days",
+                               spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(out).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
 def _document_stream(spark, sf_dir):
@@ -195,7 +291,7 @@ def _stream_triage(df):
     scored = features.concept_features(df, F.concat("subject", F.lit(" "), "body"), s.CONCEPTS)
     scored = scored.withColumn("predict_proba_1", F.round(logistic_score(list(s.CONCEPTS), s.WEIGHTS[:-1], s.BIAS), 9))
     decided = triage.decide(scored)
-    return decided.select("email_id", "violation_probability", "ml_decision",
+    return decided.select("email_id", "sent_at", "violation_probability", "ml_decision",
                           route(F.col("ml_decision")).alias("pipeline_action"))
 
 
@@ -214,7 +310,7 @@ def stream_triage(spark, sf_dir):
     out, checkpoint = scratch_path(spark, "triage"), scratch_path(spark, "checkpoint")
     refresh.append_refresh(_document_stream(spark, sf_dir), _stream_triage, out, checkpoint, ["email_id"], "sent_at",
                            "365 days", spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(out).withColumn("violation_probability", F.round("violation_probability", 6))
+    return spark.read.parquet(out).drop("sent_at").withColumn("violation_probability", F.round("violation_probability", 6))
 
 
 @query(f"""
@@ -224,12 +320,12 @@ def stream_features(spark, sf_dir):
     """The feature table kept up to date from a stream."""
     def compute(df):
         found = features.concept_features(df, F.concat("subject", F.lit(" "), "body"), s.CONCEPTS)
-        return found.select("email_id", *s.CONCEPTS)
+        return found.select("email_id", "sent_at", *s.CONCEPTS)
 
     out, checkpoint = scratch_path(spark, "features"), scratch_path(spark, "checkpoint")
     refresh.append_refresh(_document_stream(spark, sf_dir), compute, out, checkpoint, ["email_id"], "sent_at",
                            "365 days", spark.sparkContext.defaultParallelism)
-    return spark.read.parquet(out).withColumns({c: F.round(c, 6) for c in s.CONCEPTS})
+    return spark.read.parquet(out).drop("sent_at").withColumns({c: F.round(c, 6) for c in s.CONCEPTS})
 
 
 @query(f"WITH {s.SQL_DOCUMENTS}, {_bm25()} {_ranked('bm25', 20)}")

@@ -124,7 +124,8 @@ WITH {s.SQL_FEATURES}
 SELECT email_id, compliance_label, subject, substr(body, 1, 200) AS body_preview, round({_RISK_SUM}, 6) AS risk_total
 FROM features WHERE compliance_label <> 'CLEAN' ORDER BY {_RISK_SUM} DESC, email_id LIMIT 3""")
 def top_risk(spark, sf_dir):
-    top = features.top_risk(s.message_features(spark, sf_dir), _RISK_SUM.split(" + "), "email_id")
+    top = features.top_risk_messages(s.labelled(spark, sf_dir), _RISK_SUM.split(" + "), "email_id",
+                                     concepts=s.CONCEPTS, pair=s.PAIR)
     return _round(top.select("email_id", "compliance_label", "subject", "body_preview", "risk_total"),
                   "risk_total", digits=6)
 
@@ -197,7 +198,7 @@ _TEST_TEMPLATE = "Chance {probability}. From {sender_dept} to {recipient_dept}.\
 @query(f"""
 WITH {s.SQL_PREDICTIONS}
 SELECT email_id, md5('Chance ' || round(violation_probability, 2)::VARCHAR || '. From ' || sender_dept || ' to ' || recipient_dept
-       || '.' || chr(10) || 'Subject: ' || subject || chr(10) || 'Body: ' || substr(body, 1, 1500) || chr(10) || 'JSON.')
+       || '.' || chr(10) || 'Subject: ' || subject || chr(10) || 'Body: ' || body || chr(10) || 'JSON.')
        AS prompt_digest
 FROM predictions WHERE ml_decision = 'NEEDS_REVIEW'""")
 def render_prompt(spark, sf_dir):
@@ -224,17 +225,20 @@ def _count_completer(prompts):
 @query(f"""
 WITH {s.SQL_PREDICTIONS}, prompts AS (
   SELECT email_id, length('Chance ' || round(violation_probability, 2)::VARCHAR || '. From ' || sender_dept || ' to '
-         || recipient_dept || '.' || chr(10) || 'Subject: ' || subject || chr(10) || 'Body: ' || substr(body, 1, 1500)
+         || recipient_dept || '.' || chr(10) || 'Subject: ' || subject || chr(10) || 'Body: ' || body
          || chr(10) || 'JSON.') AS n FROM predictions WHERE ml_decision = 'NEEDS_REVIEW')
 SELECT email_id, n % 2 = 0 AS is_violation, (n % 100)::DOUBLE / 100 AS confidence,
        CASE WHEN n % 2 = 1 THEN 'CLEAN' ELSE 'PERSONAL_TRADING' END AS category, n::VARCHAR AS reasoning FROM prompts""")
 def completed_answers(spark, sf_dir):
     """The completer plug-in: asked once, stored; the second call finds nothing left to ask."""
-    gate = s.gate(spark, sf_dir, s.stored_predictions(spark, sf_dir))
-    prompts = gate.withColumn("prompt", enrichment.review_prompt(_TEST_TEMPLATE))
+    uncertain = s.stored_predictions(spark, sf_dir).filter("ml_decision = 'NEEDS_REVIEW'")
+
+    def prompts(todo):
+        return s.gate(spark, sf_dir, todo).withColumn("prompt", enrichment.review_prompt(_TEST_TEMPLATE))
+
     store = scratch_path(spark, "answers")
     for _ in range(2):
-        answers = enrichment.complete_missing(prompts, "email_id", "prompt", _count_completer, store)
+        answers = enrichment.complete_missing(uncertain, "email_id", prompts, _count_completer, store)
     return enrichment.parse_analysis(answers).accepted.select("email_id", "analysis.*")
 
 

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tierwatch.constants import BM25_B, BM25_K1, EMBED_BODY_CHARS
+from tierwatch.constants import BM25_B, BM25_K1
 from tierwatch.functions.embedding import embed_literal
 from tierwatch.operators import lexical_search, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
@@ -70,16 +70,16 @@ def more_like_each(spark, sf_dir):
 
 @query(_MANY)
 def more_like_each_grid(spark, sf_dir):
-    """The same through the grid that serves more queries than can be broadcast."""
+    """The same in several passes, as for more queries than one pass takes."""
     vectors = _vectors(spark, sf_dir)
-    return vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True, max_broadcast=0)
+    return vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True, query_block=200)
 
 
-_CUT = f"subject || ' ' || substr(body, 1, {EMBED_BODY_CHARS})"
+_TEXT = "subject || ' ' || body"
 
 
 @query(f"""
-WITH {s.SQL_DOCUMENTS}, {s.sql_cells("docs", _CUT)}
+WITH {s.SQL_DOCUMENTS}, {s.sql_cells("docs", _TEXT)}
 SELECT d.email_id, d.sender_dept, count(c.b) AS places, coalesce(sum(c.c), 0)::DOUBLE AS words
 FROM docs d LEFT JOIN cells c USING (email_id) GROUP BY 1, 2""")
 def text_vectors(spark, sf_dir):
@@ -96,7 +96,7 @@ vector_scores AS (
   SELECT x.email_id, round(coalesce(sum(x.c * q.c), 0) / (sqrt(sum(x.c * x.c)) * (SELECT sqrt(sum(c * c)) FROM query_cells)), 10) AS score
   FROM cells x LEFT JOIN query_cells q USING (b) GROUP BY 1),
 all_vectors AS (SELECT d.email_id, d.sender_dept, coalesce(v.score, 0.0) AS score FROM docs d LEFT JOIN vector_scores v USING (email_id))"""
-_VECTORS_SQL = f"{s.SQL_DOCUMENTS}, {s.sql_cells('docs', _CUT)}, {_QUERY_CELLS}"
+_VECTORS_SQL = f"{s.SQL_DOCUMENTS}, {s.sql_cells('docs', _TEXT)}, {_QUERY_CELLS}"
 
 
 @query(f"""

@@ -39,14 +39,20 @@ def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> Ch
     return read_csv(spark, path, MESSAGES, multi_line=multi_line)
 
 
-def read_pairs(spark: SparkSession, path: str) -> DataFrame:
-    """Prompt/completion pairs from JSON lines; broken lines are left out.
+def read_pairs(spark: SparkSession, path: str) -> Checked:
+    """Prompt/completion pairs from JSON lines: ``(accepted, rejected)``.
 
-    A value of another type is taken as text, as a path extraction with a cast would.
+    A value of another type is taken as text, as a path extraction with a cast would. A
+    line that is not JSON, or that lacks one of the two, is kept with its reason.
     """
-    valid = spark.read.text(path).filter(F.try_parse_json("value").isNotNull())
-    return valid.select(*[F.get_json_object("value", f"$.{f.name}").alias(f.name)
-                          for f in TRAINING_PAIRS.fields])
+    names = [f.name for f in TRAINING_PAIRS.fields]
+    lines = spark.read.text(path).withColumn("_row", F.try_parse_json("value"))
+    read = lines.withColumns({n: F.try_variant_get("_row", f"$.{n}", "string") for n in names})
+    missing = [F.when(F.col(n).isNull(), f"{n} is missing") for n in names]
+    reason = F.when(F.col("_row").isNull(), "not JSON").otherwise(F.nullif(F.concat_ws("; ", *missing), F.lit("")))
+    judged = read.withColumn(REJECT_REASON, reason)
+    return Checked(judged.filter(F.col(REJECT_REASON).isNull()).select(*names),
+                   judged.filter(F.col(REJECT_REASON).isNotNull()).select("value", REJECT_REASON))
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -59,31 +65,3 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
 def rows_to_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     """A small table from rows in memory (lookups, requests)."""
     return spark.createDataFrame(list(rows), schema)
-
-
-def spread_small(df: DataFrame, scan: DataFrame, key: str) -> DataFrame:
-    """Give a small input as many tasks as there are cores, ahead of work that costs CPU per row.
-
-    A few small files give fewer scan tasks than there are cores. Only then rows are
-    spread by key, a shuffle of less than one scan split per core; an input of a larger
-    ``scan`` has splits enough and stays as it is. Apply it after filters and joins that
-    leave rows out.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if is_small(scan) else df
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the planner expects less than one scan split per core."""
-    spark = df.sparkSession
-    return scan_bytes(df) < spark.sparkContext.defaultParallelism * _split_bytes(spark)
-
-
-def scan_bytes(df: DataFrame) -> int:
-    """Size the planner expects; for a plain scan that of its files, known from listing them."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def _split_bytes(spark: SparkSession) -> int:
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
