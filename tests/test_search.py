@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierwatch.functions.embedding import embed_literal
-from tierwatch.operators import lexical_search, vector_search as vs
+from tierwatch.operators import lexical_search, similar_rows as lsh, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, list_indexes
@@ -249,3 +249,22 @@ def test_restrictions_reach_the_scan(spark, folder):
     assert [r["id"] for r in kept.collect()] == [3]
     text = kept._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(dept,Research)" in text and "GreaterThanOrEqual" in text.split("PushedFilters")[1]
+
+
+@pytest.mark.parametrize("bucket_rows", [2048, 40])
+def test_lsh_recall_and_split_buckets(spark, bucket_rows):
+    """A third of the rows are equal; their buckets are split, and clusters are still found."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16))
+    rows = [centres[0] if i % 3 == 0 else centres[i % 20] + rng.normal(scale=0.15, size=16) for i in range(300)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)] + [(900, None), (901, [1.0])],
+                               "id long, embedding array<double>").repartition(5)
+    found = lsh.more_like_lsh(df, 3, "id", bucket_rows=bucket_rows).collect()
+    exact = vs.vector_search_many(df, df, 3, "id", "id", exclude_self=True).collect()
+    best = {}
+    for r in exact:
+        best.setdefault(r["query_id"], []).append(r["similarity"])
+    # Equal rows tie, so what counts is the similarity reached.
+    reached = [r["similarity"] >= min(best[r["query_id"]]) for r in found]
+    assert len({r["query_id"] for r in found}) == 300 and max(r["rank"] for r in found) == 3
+    assert sum(reached) >= 0.9 * sum(map(len, best.values())) and 900 not in best

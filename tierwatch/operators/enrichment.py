@@ -18,9 +18,16 @@ from tierwatch.sources.schemas import ANALYSIS
 # A completer gets the prompts of one Arrow batch and returns one answer per prompt.
 Completer = Callable[[list[str]], Sequence[str]]
 
+# What the categories stand for, in the words of this library.
+CATEGORY_MEANINGS = (
+    "Insider trading: trading on, or passing on, facts that the market does not know. "
+    "Confidentiality breach: handing protected data to someone who must not have it. "
+    "Personal trading: private deals that had to be approved first. "
+    "Information barrier: contact between groups that must stay apart. Clean: none of these."
+)
 REVIEW_TEMPLATE = (
     "Review one message for compliance. The classifier is unsure (probability {probability}).\n"
-    "Possible categories: {categories}.\n"
+    "Possible categories: {categories}.\n" + CATEGORY_MEANINGS + "\n"
     "From: {sender_dept}\nTo: {recipient_dept}\nSubject: {subject}\nBody: {body}\n"
     "Answer with one JSON object: is_violation, confidence (0 to 1), category, reasoning."
 )

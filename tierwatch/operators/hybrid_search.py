@@ -36,8 +36,16 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
     spark = lexical.sparkSession
     # Key and score only: written once, read three times, deleted when the k rows are known.
     path = scratch_path(spark, "scores")
-    _tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")).write.parquet(path)
-    scores = spark.read.parquet(path)
+    try:
+        _tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")).write.parquet(path)
+        return _fused(spark.read.parquet(path), key, k, depth, constant, digits)
+    finally:
+        delete_folder(spark, path)
+
+
+def _fused(scores: DataFrame, key: str, k: int, depth: int, constant: int, digits: int) -> DataFrame:
+    """The result of ``fuse`` from the stored scores of both lists."""
+    spark = scores.sparkSession
     order = F.desc("score"), F.asc(key)
     heads = [scores.filter(F.col("list") == name).orderBy(*order).limit(depth).select(key) for name in LISTS]
     ids = sorted({row[key] for row in heads[0].union(heads[1]).collect()})
@@ -50,9 +58,7 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
     final = F.desc("_points"), F.asc(key)
     top = with_rank(best.orderBy(*final).limit(k), *final).select(
         key, *[f"{name}_rank" for name in LISTS], F.round("_points", digits).alias("score"), "rank")
-    found = spark.createDataFrame(top.collect(), top.schema)
-    delete_folder(spark, path)
-    return found
+    return spark.createDataFrame(top.collect(), top.schema)
 
 
 def _tagged(scores: DataFrame, key: str, name: str) -> DataFrame:

@@ -74,6 +74,8 @@ class SearchIndex:
         self._supersede(spark, self._read(spark, "vectors", [folder]).select(key), folder,
                         [c.folder for c in earlier if c.folder not in replaced])
         self._commit(spark, origin, batch_id, folder, replaced)
+        if not earlier:
+            self.describe(spark)
 
     def delete(self, keys: DataFrame, batch_id: int | str, origin: str = "deleted") -> None:
         """Take the messages with these keys out of the index."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierwatch.constants import BM25_B, BM25_K1
 from tierwatch.functions.embedding import embed_literal
-from tierwatch.operators import lexical_search, vector_search as vs
+from tierwatch.operators import lexical_search, similar_rows as lsh, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, search_request as build_request
@@ -75,6 +75,16 @@ def more_like_each_grid(spark, sf_dir):
     return vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True, query_block=200)
 
 
+@query("SELECT count(*) AS n_queries, TRUE AS recall_is_enough FROM embeddings")
+def more_like_lsh(spark, sf_dir):
+    """Approximate nearest rows of every row; at least nine in ten of the exact ones are found."""
+    vectors = _vectors(spark, sf_dir)
+    exact = vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True)
+    found = lsh.more_like_lsh(vectors, 3, "vec_id")
+    hits = exact.join(found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
+    return hits.agg(F.countDistinct("query_id").alias("n_queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recall_is_enough"))
+
+
 _TEXT = "subject || ' ' || body"
 
 
