@@ -25,8 +25,8 @@ import regex
 from tierwatch.llm.words import SPACES, byte_class, chunks, count_between, hash_spans, raw
 
 #: Distinct segments that a worker remembers before it starts afresh.
-CACHED_SEGMENTS = 1_000_000
-CHUNK_BYTES = 8 << 20
+CACHED_SEGMENTS = 500_000
+CHUNK_BYTES = 3 << 20
 #: The published split pattern of this kind of tokenizer.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _LEFT = SPACES | (np.arange(256) >= 0x80)

@@ -16,7 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 19
+HASH_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C55)
@@ -72,7 +73,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     first = 0
     while first < len(starts):
         base = starts[first]
-        last = max(first + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + HASH_BYTES, "right")))
         block = data[base:ends[last - 1]]
         up, down = _POWERS.to(len(block) + 1)
         sums = np.zeros(len(block) + 1, _U)
@@ -121,6 +122,7 @@ def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.
         until = min(max(until, row + 1), len(texts))
         yield row, texts.slice(row, until - row)
         row = until
+    pa.default_memory_pool().release_unused()
 
 
 def spans(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
