@@ -36,6 +36,7 @@ from tierwatch.session import scratch_path
 WINDOW = 10
 SAMPLED = 8
 BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 _FOUND = "n_words long, n_hit long, items array<string>, starts array<long>, ends array<long>"
 
 
@@ -209,18 +210,19 @@ def find(texts: pa.Array, blocks: Iterator[Phrases]) -> Hits:
     return Hits(found, np.cumsum(change[:-1]) > 0, items)
 
 
-def cut_out(text: str, blocks) -> str:
-    """A text without its hit spans, searched again until cutting has joined no new phrase."""
-    while True:
-        hits = find(pa.array([text]), blocks())
-        starts, ends = hits.spans(0)
-        if not len(starts):
-            return text
-        raw, kept, at = text.encode(), [], 0
-        for start, end in zip(starts, ends):
-            kept.append(raw[at:start])
-            at = end
-        text = b"".join([*kept, raw[at:]]).decode()
+def cut_out(texts: list[str | None], blocks) -> list[str | None]:
+    """Texts of a shard without their hit spans; what was cut is searched again, until cutting has joined no new phrase."""
+    out, pending = list(texts), list(range(len(texts)))
+    while pending:
+        hits, again = find(pa.array([out[i] for i in pending], pa.string()), blocks()), []
+        for row in sorted(set(hits.words.rows()[hits.hit].tolist())):
+            starts, ends = hits.spans(row)
+            raw = out[pending[row]].encode()
+            kept = [raw[a:b] for a, b in zip([0, *ends], [*starts, len(raw)])]
+            out[pending[row]] = b"".join(kept).decode()
+            again.append(pending[row])
+        pending = again
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -258,7 +260,7 @@ def search(text: Column, paths: list[str]) -> Column:
     @F.arrow_udf(_FOUND)
     def look(texts: pa.Array) -> pa.Array:
         columns: list[list] = [[], [], [], [], []]
-        for _, part in chunks(texts):
+        for _, part in chunks(texts, SHARD_BYTES):
             hits = find(part, blocks())
             total = np.concatenate([[0], np.cumsum(hits.hit)])[hits.words.bounds]
             n_hit = np.diff(total)
@@ -284,10 +286,8 @@ def cleaned(text: Column, paths: list[str]) -> Column:
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
         out: list = []
-        for _, part in chunks(texts):
-            hits, strings = find(part, blocks()), part.to_pylist()
-            hit_rows = set(hits.words.rows()[hits.hit].tolist())
-            out += [cut_out(t, blocks) if row in hit_rows else t for row, t in enumerate(strings)]
+        for _, part in chunks(texts, SHARD_BYTES):
+            out += cut_out(part.to_pylist(), blocks)
         return pa.array(out, pa.string())
 
     return clean(text)
