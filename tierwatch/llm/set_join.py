@@ -7,8 +7,9 @@ Index lists. The order of hashes is cut into as many blocks by position as two l
 band of sizes can differ in, and one more, so linked sets agree in a whole block. A list holds
 the classes with one content at one block position of one band; a class skips the lists of all
 bands and blocks whose sizes or positions cannot match by not being in them. Blocks without
-content say nothing: a class with too few filled blocks adds a finer cut, until linked sets must
-agree in a filled one. So no link is lost, and texts that merely share a passage rarely meet.
+content say nothing, so there are some more; a class with too few filled blocks still adds a
+finer cut, until linked sets must agree in a filled one. So no link is lost, and texts that merely
+share a passage rarely meet.
 
 Answers from relations. Every list names a leader, its most listed class, and each class is
 compared with the leaders of its lists only. Classes linked to their leader are in one component
@@ -25,6 +26,7 @@ only the id and the text are read. Classes and shingles are told apart by 64 bit
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +43,7 @@ _U = np.uint64
 _BASE, _BLOCK, _CLASS = _U(0x9E3779B97F4A7C15), _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)
 #: Shingles of one comparison group, about; a larger group is split by salt.
 GROUP_SHINGLES = 1 << 20
-_SETS = "doc_id long, text_hash long, class long, n_shingles long, signatures array<long>"
+_SETS = "doc_id long, text_hash long, class long, n_shingles long"
 _LINKS = "a long, b long, leader long, stray boolean"
 
 
@@ -52,6 +54,10 @@ class Measure:
     size: int = 3
     percent: int = 90
 
+    def __post_init__(self) -> None:
+        if not 70 <= self.percent <= 100 or self.size < 1:
+            raise ValueError("a similarity from 70 to 100 per cent, and one word or more")
+
     def linked(self, common: np.ndarray, n: int, others: np.ndarray) -> np.ndarray:
         return 100 * common >= self.percent * (n + others - common)
 
@@ -115,12 +121,15 @@ def signatures(bounds: np.ndarray, hashes: np.ndarray, measure: Measure) -> tupl
         # Sets of a lower band meet those of this one only if they are large enough.
         active = np.flatnonzero((n > 0) & ((above == 0) | (100 * n >= measure.percent * _EDGES[band])))
         most = measure.differ(_EDGES[band + 1] - 1)
+        # Random blocks leave some empty: spare cuts for those that the smallest sets of the band leave.
+        smallest = measure.percent * _EDGES[band] / 100
+        spare = np.where(most > 0, np.ceil(2 * (most + 1) * np.exp(-smallest / (most + 1))), 0).astype(np.int64)
         level = 0
         while len(active):
             sizes = n[active]
             at = np.repeat(bounds[active] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
             row = np.repeat(active, sizes)
-            cuts = (most[row] + 1 + level).astype(_U)
+            cuts = (most[row] + 1 + spare[row] * (level + 1) + level).astype(_U)
             part = ((hashes[at] >> _U(32)) * cuts) >> _U(32)
             starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (part[1:] != part[:-1])]))
             where = mix((band[row[starts]].astype(_U) << _U(48)) + (_U(level) << _U(40)) + part[starts] + _BASE)
@@ -135,11 +144,25 @@ def signatures(bounds: np.ndarray, hashes: np.ndarray, measure: Measure) -> tupl
 
 
 def _describe(measure: Measure):
-    """Sets of (doc_id, text_hash, text) rows; a task gives the keys of a class once."""
+    """Class and size of (doc_id, text_hash, text) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
             for row, part in chunks(batch.column(2)):
+                bounds, hashes = shingle_sets(part, measure.size)
+                classes = class_of(bounds, hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, len(part)), batch.column(1).slice(row, len(part)),
+                     pa.array(classes, mask=classes == 0), pa.array(np.diff(bounds))],
+                    names=["doc_id", "text_hash", "class", "n_shingles"])
+    return run
+
+
+def _listed(measure: Measure):
+    """The (key, class) entries of the index lists for (text) rows; a task gives those of a class once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            for _, part in chunks(batch.column(0)):
                 bounds, hashes = shingle_sets(part, measure.size)
                 classes = class_of(bounds, hashes)
                 first = np.zeros(len(part), bool)
@@ -148,13 +171,10 @@ def _describe(measure: Measure):
                         seen.add(name)
                         first[i] = True
                 key_bounds, keys = signatures(bounds, hashes, measure)
-                kept = np.repeat(first, np.diff(key_bounds))
-                offsets = np.concatenate([[0], np.cumsum(np.where(first, np.diff(key_bounds), 0))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(part)), batch.column(1).slice(row, len(part)),
-                     pa.array(classes, mask=classes == 0), pa.array(np.diff(bounds)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[kept]))],
-                    names=["doc_id", "text_hash", "class", "n_shingles", "signatures"])
+                sizes = np.diff(key_bounds)
+                kept = np.repeat(first, sizes)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[kept]), pa.array(np.repeat(classes, sizes)[kept])],
+                                                 names=["key", "class"])
     return run
 
 
@@ -281,13 +301,28 @@ def _parts(members: DataFrame, by: str, into: str, group_shingles: int) -> tuple
     return dealt.drop("parts"), parts
 
 
-def link_classes(sets: DataFrame, docs: DataFrame, classes: DataFrame, measure: Measure,
-                 group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """Links ``a, b`` between classes that connect exactly the classes that the similarity connects."""
-    listed = sets.select(F.explode("signatures").alias("key"), "class")
+def _index_lists(docs: DataFrame, measure: Measure) -> DataFrame:
+    """``key, n, class`` of the lists with two classes or more, stored.
+
+    Entries are made twice, to find the shared keys and to join them, which is cheaper than
+    storing all of them.
+    """
+    listed = docs.select("text").mapInArrow(_listed(measure), "key long, class long")
     shared = listed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-    shared = shared.filter("low <> high").select("key", "n")
-    lists = materialize(listed.join(shared, "key"), "index-lists")
+    shared = shared.filter("low <> high").select("key", "n").hint("shuffle_hash")  # entries need no sort
+    return materialize(listed.join(shared, "key"), "index-lists")
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are gone; it does so when the driver's JVM collects them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def link_classes(docs: DataFrame, classes: DataFrame, measure: Measure, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """Links ``a, b`` between classes that connect exactly the classes that the similarity connects."""
+    lists = _index_lists(docs, measure)
+    _release(docs.sparkSession)
 
     weight = lists.groupBy("class").agg(F.sum("n").alias("weight"))
     leaders = lists.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class"))["class"].alias("leader"))
@@ -338,7 +373,7 @@ def join_sets(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_
     classes = materialize(classes.select("class", "first", "n_shingles"), "classes")
     keyed = classes.select("class", F.coalesce("first.doc_id", "first.text_hash").alias("row_key"), "first.text_hash", "n_shingles")
     texts = rows.select(F.coalesce("doc_id", "text_hash").alias("row_key"), "text_hash", "text")
-    links = link_classes(sets.select("class", "signatures"), texts, keyed, measure, group_shingles)
+    links = link_classes(texts, keyed, measure, group_shingles)
 
     of_class = components(links).withColumnRenamed("node", "class")
     linked = classes.join(of_class, "class", "left").select(
