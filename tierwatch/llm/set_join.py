@@ -41,6 +41,7 @@ from tierwatch.session import materialize
 
 _U = np.uint64
 _BASE, _BLOCK, _CLASS = _U(0x9E3779B97F4A7C15), _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)
+_KEY_BITS = _U(0xFFFFFFFFFFFF0000)
 #: Shingles of one comparison group, about; a larger group is split by salt.
 GROUP_SHINGLES = 1 << 20
 _SETS = "doc_id long, text_hash long, class long, n_shingles long"
@@ -140,7 +141,8 @@ def signatures(bounds: np.ndarray, hashes: np.ndarray, measure: Measure) -> tupl
             level += 1
     found, of = np.concatenate(found), np.concatenate(of)
     order = np.argsort(of, kind="stable")
-    return np.searchsorted(of[order], np.arange(len(n) + 1)), found[order].view(np.int64)
+    # 48 bits tell the keys of 10**12 entries apart but for one in a few hundred, which costs a comparison.
+    return np.searchsorted(of[order], np.arange(len(n) + 1)), (found[order] & _KEY_BITS).view(np.int64)
 
 
 def _describe(measure: Measure):
@@ -302,14 +304,14 @@ def _parts(members: DataFrame, by: str, into: str, group_shingles: int) -> tuple
 
 
 def _index_lists(docs: DataFrame, measure: Measure) -> DataFrame:
-    """``key, n, class`` of the lists with two classes or more, stored.
+    """``key, class`` of the lists with two classes or more, stored.
 
     Entries are made twice, to find the shared keys and to join them, which is cheaper than
     storing all of them.
     """
     listed = docs.select("text").mapInArrow(_listed(measure), "key long, class long")
-    shared = listed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
-    shared = shared.filter("low <> high").select("key", "n").hint("shuffle_hash")  # entries need no sort
+    shared = listed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    shared = shared.filter("low <> high").select("key").hint("shuffle_hash")  # entries need no sort
     return materialize(listed.join(shared, "key"), "index-lists")
 
 
@@ -324,7 +326,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, measure: Measure, group_sh
     lists = _index_lists(docs, measure)
     _release(docs.sparkSession)
 
-    weight = lists.groupBy("class").agg(F.sum("n").alias("weight"))
+    weight = lists.groupBy("class").agg(F.count("*").alias("weight"))
     leaders = lists.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class"))["class"].alias("leader"))
     pairs = lists.join(leaders, "key").select("leader", "class").filter("leader <> class").distinct()
     members = materialize(pairs.join(classes, "class"), "members")
