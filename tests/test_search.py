@@ -268,3 +268,20 @@ def test_lsh_recall_and_split_buckets(spark, bucket_rows):
     reached = [r["similarity"] >= min(best[r["query_id"]]) for r in found]
     assert len({r["query_id"] for r in found}) == 300 and max(r["rank"] for r in found) == 3
     assert sum(reached) >= 0.9 * sum(map(len, best.values())) and 900 not in best
+
+
+@pytest.mark.parametrize("bucket_rows", [8, 40])
+def test_lsh_split_buckets_lose_no_neighbour(spark, bucket_rows):
+    """All buckets of the given embeddings are split; the answers are those of whole buckets, copies and zeros included."""
+    given = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding")
+    extra = spark.createDataFrame([(10_000 + i, [0.0] * 64 if i < 3 else [1.0] * 64) for i in range(9)] +
+                                  [(10_020, [float("nan")] * 64), (10_021, [float("nan")] * 64), (None, [1.0] * 64)],
+                                  "vec_id long, embedding array<float>")
+    df = given.union(extra)
+    whole = set(map(tuple, lsh.more_like_lsh(df, 3, "vec_id").collect()))
+    assert set(map(tuple, lsh.more_like_lsh(df, 3, "vec_id", bucket_rows=bucket_rows).collect())) == whole
+    exact = vs.vector_search_many(given, given, 3, "vec_id", "vec_id", exclude_self=True).collect()
+    found = {r[:2] for r in whole}
+    assert sum((r.query_id, r.vec_id) in found for r in exact) >= 0.9 * len(exact)
+    assert {r[1:] for r in whole if r[0] == 10_004} == {(10_003, 1.0, 1), (10_005, 1.0, 2), (10_006, 1.0, 3)}
+    assert not {10_020, 10_021, None} & {x for r in whole for x in r[:2]}

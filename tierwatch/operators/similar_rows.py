@@ -9,69 +9,116 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwatch.functions.embedding import unit_rows
-from tierwatch.functions.vectors import vector_rows
+from tierwatch.functions.vectors import has_length, vector_rows
 from tierwatch.operators.vector_search import SCORE_DIGITS, vector_length
+from tierwatch.session import materialize
 
-TABLES, BITS, FINE_BITS = 40, 5, 20
+TABLES, BITS = 40, 5
 BUCKET_ROWS = 2048
 
 
-def _codes(vector: Column, dim: int, tables: int, bits: int, fine_bits: int, seed: int) -> Column:
-    """Per table the coarse code and the finer one that begins with it; null for a vector of another length."""
-    planes = np.random.default_rng(seed).normal(size=(tables * fine_bits, dim))
-    weights = 1 << np.arange(fine_bits, dtype=np.int64)
+def _codes(vector: Column, dim: int, tables: int, bits: int, seed: int) -> Column:
+    """The bucket of a vector in each table; null for a vector of another length."""
+    planes = np.random.default_rng(seed).normal(size=(tables * bits, dim))
+    weights = 1 << np.arange(bits, dtype=np.int64)
 
-    @F.arrow_udf("array<struct<coarse long, fine long>>")
+    @F.arrow_udf("array<long>")
     def code(vectors: pa.Array) -> pa.Array:
         rows, valid = vector_rows(vectors, dim)
-        signs = (unit_rows(rows) @ planes.T > 0).reshape(len(rows), tables, fine_bits)
+        signs = (unit_rows(rows) @ planes.T > 0).reshape(len(rows), tables, bits)
         found = iter((signs * weights).sum(axis=2).tolist())
-        mask = (1 << bits) - 1
-        return pa.array([[{"coarse": f & mask, "fine": f} for f in next(found)] if v else None for v in valid],
-                        pa.list_(pa.struct([("coarse", pa.int64()), ("fine", pa.int64())])))
+        return pa.array([next(found) if v else None for v in valid], pa.list_(pa.int64()))
 
     return code(vector)
 
 
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of the ``k`` highest scores of each row, of equal ones those furthest left."""
+    if scores.shape[1] > k:
+        rows, columns = np.nonzero(scores >= np.partition(scores, -k, axis=1)[:, -k][:, None])
+    else:
+        rows, columns = (a.ravel() for a in np.indices(scores.shape))
+    order = np.lexsort((columns, -scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    first = np.searchsorted(rows, np.arange(len(scores)))
+    kept = np.arange(len(rows)) - first[rows] < k
+    return rows[kept], columns[kept]
+
+
+def _classes(vectors: DataFrame, k: int, key: str, vector: str, dim: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors with their ``k + 1`` smallest keys, and the class of each row."""
+    rows = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("_vector")).filter(
+        F.col("_key").isNotNull() & has_length(F.col("_vector"), dim) & ~F.exists("_vector", F.isnan))
+    named = rows.withColumns({"_one": F.xxhash64("_vector"), "_two": F.xxhash64(F.lit(1), "_vector")})
+    order = F.row_number().over(Window.partitionBy("_one", "_two").orderBy("_key"))
+    some = named.withColumn("_n", order).filter(F.col("_n") <= k + 1)
+    classes = some.groupBy("_one", "_two").agg(F.sort_array(F.collect_list("_key")).alias("_keys"), F.first("_vector").alias("_vector"))
+    classes = materialize(classes.withColumn("_lead", F.col("_keys")[0]), "vector-classes")
+    return classes, named.select("_key", "_one", "_two").join(classes.select("_one", "_two", "_lead"), ["_one", "_two"])
+
+
 def more_like_lsh(vectors: DataFrame, k: int, key: str, vector: str = "embedding", dim: int | None = None,
-                  tables: int = TABLES, bits: int = BITS, fine_bits: int = FINE_BITS, bucket_rows: int = BUCKET_ROWS,
+                  tables: int = TABLES, bits: int = BITS, bucket_rows: int = BUCKET_ROWS,
                   seed: int = 7, digits: int = 3) -> DataFrame:
     """Approximately the ``k`` most similar rows of every row, itself left out: ``query_id, key, similarity, rank``.
 
-    Rows meet in a bucket when ``bits`` random hyperplanes see them alike, in one of
-    ``tables`` tables; scores within a bucket are exact. A bucket of more than
-    ``bucket_rows`` rows is split by more hyperplanes, up to ``fine_bits``, and what even
-    those see alike, such as copies, at random into parts of that size. So no group grows
-    with the table. More tables or fewer bits raise the recall and the work; a test and a
-    registered query measure it. Vectors of another length than ``dim`` are left out.
+    Rows meet in a bucket when ``bits`` random hyperplanes see them alike, in one of ``tables``
+    tables; scores within a bucket are exact. A bucket of more than ``bucket_rows`` distinct
+    vectors is dealt into parts of about that size, and each part meets every other, two in a
+    task: what is compared depends on the hyperplanes only, never on the size of the table or
+    on ``bucket_rows``. Equal vectors are compared once; of each the ``k + 1`` smallest keys
+    can be among the best. The work of a bucket grows with the square of its distinct vectors:
+    more bits lower it, and the recall with it; more tables raise both. A test and a
+    registered query measure the recall. Rows without a key and vectors of another length than
+    ``dim`` are left out.
     """
     dim = vector_length(vectors, vector) if dim is None else dim
-    coded = vectors.select(key, F.col(vector).alias("_vector"),
-                           _codes(F.col(vector), dim, tables, bits, fine_bits, seed).alias("_codes"))
-    placed = coded.select(key, "_vector", F.posexplode("_codes").alias("_table", "_code")).select(
-        key, "_vector", "_table", "_code.*")
-    narrow = placed.groupBy("_table", "coarse", "fine").agg(F.count("*").alias("_n"))
-    whole = F.sum("_n").over(Window.partitionBy("_table", "coarse"))
-    sizes = narrow.withColumn("_split", whole > bucket_rows).withColumn(
-        "_parts", F.when(F.col("_split"), F.ceil(F.col("_n") / bucket_rows)).otherwise(1).cast("int"))
-    dealt = placed.join(sizes.drop("_n", "coarse"), ["_table", "fine"]).select(
-        key, "_vector", "_table", F.when(F.col("_split"), F.col("fine")).otherwise(F.col("coarse")).alias("_bucket"), "_split",
-        F.pmod(F.xxhash64(key, "_table"), F.col("_parts")).alias("_part"))
+    classes, class_of_row = _classes(vectors, k, key, vector, dim)
+    placed = classes.select("_lead", "_vector", F.posexplode(_codes(F.col("_vector"), dim, tables, bits, seed)).alias("_table", "_bucket"))
+    sizes = placed.groupBy("_table", "_bucket").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("_parts"))
+    dealt = placed.join(sizes, ["_table", "_bucket"]).withColumn(
+        "_part", F.pmod(F.xxhash64("_lead", "_table"), F.col("_parts")).cast("int"))
+    met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select(
+        "_lead", "_vector", "_table", "_bucket", "_part",
+        F.least("_part", "_other").alias("_low"), F.greatest("_part", "_other").alias("_high"))
     kind = vectors.schema[key].dataType
-    schema = T.StructType([T.StructField("query_id", kind), T.StructField(key, kind), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField("_query", kind), T.StructField("_lead", kind), T.StructField("score", T.DoubleType())])
 
     def compare(rows: pa.Table) -> pa.Table:
-        names = rows[key].combine_chunks()
+        rows = rows.sort_by("_lead")
+        names, parts = rows["_lead"].combine_chunks(), rows["_part"].to_numpy()
         unit = unit_rows(np.array(rows["_vector"].to_pylist(), np.float64))
-        scores = np.round(unit @ unit.T, SCORE_DIGITS)
-        np.fill_diagonal(scores, -2.0)
-        kept = min(k, len(names) - 1)
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :kept]
-        query = np.repeat(np.arange(len(names)), kept)
-        return pa.table([names.take(pa.array(query)), names.take(pa.array(best.ravel())),
-                         pa.array(scores[query, best.ravel()])], names=["query_id", key, "score"])
-
-    met = dealt.groupBy("_table", "_split", "_bucket", "_part").applyInArrow(compare, schema).distinct()
+        sides = [np.flatnonzero(parts == p) for p in np.unique(parts)]
+        low, high = rows["_low"][0].as_py(), rows["_high"][0].as_py()
+        found = []
+        if low == high:
+            scores = np.round(unit @ unit.T, SCORE_DIGITS)
+            np.fill_diagonal(scores, -2.0)
+            # With itself last, a row asks for no more than there are others.
+            found.append((sides[0], sides[0], scores, min(k, len(unit) - 1)))
+        elif len(sides) == 2:
+            scores = np.round(unit[sides[0]] @ unit[sides[1]].T, SCORE_DIGITS)
+            found += [(*sides, scores, k), (sides[1], sides[0], scores.T, k)]
+        out = [pa.table([names.slice(0, 0), names.slice(0, 0), pa.array([], pa.float64())], names=schema.names)]
+        for ours, theirs, scores, kept in found:
+            if kept > 0:
+                i, j = _best(scores, kept)
+                out.append(pa.table([names.take(pa.array(ours[i])), names.take(pa.array(theirs[j])), pa.array(scores[i, j])],
+                                    names=schema.names))
+        return pa.concat_tables(out)
+
+    pairs = met.groupBy("_table", "_bucket", "_low", "_high").applyInArrow(compare, schema)
+    pairs = pairs.groupBy("_query", "_lead").agg(F.max("score").alias("score"))
+    near = Window.partitionBy("_query").orderBy(F.desc("score"), F.asc("_lead"))
+    pairs = pairs.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= k).select("_query", "_lead", "score")
+
+    # From classes to rows: the keys of the near classes and those of the own one.
+    others = pairs.join(classes.select("_lead", "_keys"), "_lead").select("_query", "score", F.explode("_keys").alias(key))
+    own = classes.select(F.col("_lead").alias("_query"), F.exists("_vector", lambda x: x != 0).cast("double").alias("score"),
+                         F.explode("_keys").alias(key))
     order: Sequence[Column] = (F.desc("score"), F.asc(key))
-    return (met.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    best = (others.unionByName(own).withColumn("_n", F.row_number().over(Window.partitionBy("_query").orderBy(*order)))
+            .filter(F.col("_n") <= k + 1).select(F.col("_query").alias("_lead"), "score", key))
+    asked = class_of_row.select("_lead", F.col("_key").alias("query_id")).join(best, "_lead").filter(F.col("query_id") != F.col(key))
+    return (asked.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
             .filter(F.col("rank") <= k).select("query_id", key, F.round("score", digits).alias("similarity"), "rank"))
