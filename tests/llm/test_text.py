@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tierwatch.llm import cross_entropy, words
+from tierwatch.llm import cross_entropy, word_models, words
 from tierwatch.llm.tokens import Encoder, default_path
 
 TEXTS = st.lists(st.text(alphabet="ab Z.9'é“\n\t\u00a0\u2003|ß😀", max_size=40), max_size=6)
@@ -116,3 +116,51 @@ def test_cross_entropy_query_tells_junk_from_prose(spark):
     means = {r.quality: r.m for r in scored.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
              .groupBy("quality").agg({"difference": "mean"}).withColumnRenamed("avg(difference)", "m").collect()}
     assert means[1] < means[0]
+
+
+def slow_words(text):
+    return re.findall("[\u3000-\U0010ffff]|[0-9a-z\u0080-\u2fff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def slow_bigrams(text):
+    ws = ["START", *slow_words(text), "END"]
+    return list(zip(ws, ws[1:]))
+
+
+def test_word_models_against_plain_counts(spark):
+    background = ["the cat sat, the cat ran", "The dog", "", "\u6c34\u6c34\u706b", "\u706b\u706b \u6c34 caf\u00e9", None, "rare words only here", "the dog"]
+    target, fresh = ["the cat sat, the cat ran", "\u6c34\u6c34\u706b"], ["a new cat \U0001f600x", "the"]
+    rows = list(enumerate(background)) + [(None, "the dog"), (1, "The dog")] + [(50 + i, t) for i, t in enumerate(fresh)]
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(rows, schema)
+    wide, narrow = (spark.createDataFrame([(0, t) for t in texts], schema) for texts in (background, target))
+    kinds = len({w for _, t in rows for _, w in slow_bigrams(t)})
+
+    def losses(corpus):
+        grams = collections.Counter(g for t in corpus for g in slow_bigrams(t))
+        single, seen, after = collections.Counter(), collections.Counter(), collections.Counter()
+        for (u, w), n in grams.items():
+            single[w], seen[u], after[u] = single[w] + n, seen[u] + n, after[u] + 1
+
+        def loss(gram):
+            p = (single[gram[1]] + 1) / (sum(single.values()) + kinds)
+            return -math.log((grams[gram] + after[gram[0]] * p) / (seen[gram[0]] + after[gram[0]]) if seen[gram[0]] else p)
+        return loss
+
+    inside, outside = losses(target), losses(background)
+    wanted = sorted(((i if i is not None else -1, len(g), sum(map(inside, g)) / len(g), sum(map(outside, g)) / len(g))
+                     for i, t in rows for g in [slow_bigrams(t)]))
+    got = sorted((r[0] if r[0] is not None else -1, *r[1:4]) for r in word_models.score_words(docs, narrow, wide).collect())
+    assert len(got) == len(wanted) and all(a[:2] == b[:2] and np.allclose(a[2:], b[2:]) for a, b in zip(got, wanted))
+    assert word_models.score_words(docs.limit(0), narrow, wide).count() == 0
+    assert word_models.score_words(docs, narrow.limit(0), wide).count() == len(rows)
+
+
+def test_the_query_tells_rare_scripts_apart(spark, folder):
+    """Two scripts beyond the commonest characters: only one of them is in the target."""
+    common = "".join(chr(0x4E00 + i) for i in range(200))
+    rows = [(i, common) for i in range(20)] + [(30, "\uac00\uac01\uac02" * 5), (31, "\uac00\uac01\uac02" * 5), (32, "\ub000\ub001\ub002" * 5)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(30, 1), (0, 1), (32, 0)], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    found = {r.doc_id: r.difference for r in cross_entropy.op1_cross_entropy(spark, folder).collect()}
+    assert found[31] < found[32] - 0.1

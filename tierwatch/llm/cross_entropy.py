@@ -8,8 +8,8 @@ model's, in nats; the lower, the more it is like the target.
 
 Counts are taken over all rows of both corpora: each task counts into one array and hands on
 the trigrams it has seen, which Spark sums. A model is a table of ``VOCABULARY ** 3`` losses (8 MB
-at 128), a bound that holds for any corpus; it is what tasks are given for scoring. Words instead
-of characters would need a table that grows with the corpus.
+at 128), a bound that holds for any corpus; it is what tasks are given for scoring. The registered
+query counts words instead, in tables that grow with the corpus: see ``word_models``.
 
 Edge cases: a null or empty text has one token, its end; repeated rows and null ids are kept,
 each row by itself; without target rows the target model is uniform; an empty table gives an
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwatch.llm.registered import query, table
+from tierwatch.llm.word_models import score_words
 from tierwatch.llm.words import chunks
 
 VOCABULARY = 128
@@ -149,4 +150,4 @@ def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
     # Labels grow with the corpus: never broadcast. The texts are not sorted for the join either.
-    return score(docs, train(docs.join(good.hint("shuffle_hash"), "doc_id", "left_semi"), docs))
+    return score_words(docs, docs.join(good.hint("shuffle_hash"), "doc_id", "left_semi"), docs)
