@@ -88,6 +88,18 @@ def test_set_join_against_all_pairs(spark, seed, measure, group_shingles):
         len({w for w, s in zip(wanted, sets) if s})
 
 
+@pytest.mark.parametrize("seed, measure, group_shingles", [
+    (5, set_join.NEAR_COPIES, set_join.GROUP_SHINGLES), (6, set_join.NEAR_COPIES, 700)])
+def test_every_link_is_counted_once(spark, seed, measure, group_shingles):
+    texts = families(seed, 4, 10)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in set_join.join_sets(docs, measure, group_shingles=group_shingles).collect()}
+    sets = slow_sets(texts, measure.size)
+    different = {frozenset(s) for s in sets if s}
+    wanted = [sum(100 * len(s & o) >= measure.percent * len(s | o) for o in different if o != s) if s else 0 for s in sets]
+    assert [got[i] for i in range(len(texts))] == wanted and max(wanted) > 2
+
+
 @pytest.mark.parametrize("size, percent", [(3, 90), (5, 80), (1, 70)])
 def test_linked_sets_share_a_list(size, percent):
     """Sets at the limit of the similarity, of many sizes, always have a key in common."""

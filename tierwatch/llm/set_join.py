@@ -12,11 +12,13 @@ finer cut, until linked sets must agree in a filled one. So no link is lost, and
 share a passage rarely meet.
 
 Answers from relations. Every list names a leader, its most listed class, and each class is
-compared with the leaders of its lists only. Classes linked to their leader are in one component
-and need no comparison with each other. For any other class its answers are derived from the
-leader's: the overlaps with all members that the leader has, corrected by the few shingles in
-which the two sets differ. Large groups are split by salt; what was not linked to its leader then
-meets all parts, block by block. Groups thus stay bounded, and nobody forms all pairs.
+compared with the leaders of its lists only. A class's answers are derived from its leader's: the
+overlaps with all members that the leader has, corrected by the few shingles in which the two
+sets differ. Links are counted for each class, not stored as pairs; a pair that meets in several
+groups counts in that of its smallest common leader. Components alone need less: classes linked
+to their leader are in one, and only the others' answers are derived. Large groups are split by
+salt; what needs answers beyond its own part then meets all other parts, block by block. Groups
+thus stay bounded, but counting the links of a group takes time by the square of its classes.
 
 Edge cases: null texts and texts without words have the size 0 and stand alone; fewer words than
 a shingle are one shingle; null ids join by their text, and a component without any id has a
@@ -45,7 +47,7 @@ _KEY_BITS = _U(0xFFFFFFFFFFFF0000)
 #: Shingles of one comparison group, about; a larger group is split by salt.
 GROUP_SHINGLES = 1 << 20
 _SETS = "doc_id long, text_hash long, class long, n_shingles long"
-_LINKS = "a long, b long, leader long, stray boolean"
+_LINKS = "a long, b long, leader long, stray boolean, n long"
 
 
 @dataclass(frozen=True)
@@ -181,10 +183,22 @@ def _listed(measure: Measure):
 
 
 class Group:
-    """One leader and some members: which of them are in one component."""
+    """One leader and some members: which of them are in one component and, on request, how many links each has.
 
-    def __init__(self, measure: Measure, names: list[int], sets: list[np.ndarray], derived: list[bool]) -> None:
-        self.measure, self.names, self.sets, self.derived = measure, names, sets, derived
+    ``leaders`` are those of all groups of each set. With strays, only these are compared, and
+    a stray's links to members count for the stray: the other side counts where it is the stray.
+    """
+
+    def __init__(self, measure: Measure, names: list[int], sets: list[np.ndarray], strays: list[bool],
+                 leaders: list[list[int]], count: bool, has_strays: bool) -> None:
+        self.measure, self.names, self.sets, self.count = measure, names, sets, count
+        self.strays, self.has_strays = np.array(strays), has_strays
+        self.n_links = np.zeros(len(names), np.int64)
+        self.smaller = [[x for x in of if x < names[0]] for of in leaders]
+        self.of_leader: dict[int, list[int]] = {}
+        for i, of in enumerate(self.smaller):
+            for x in of:
+                self.of_leader.setdefault(x, []).append(i)
         self.root = list(range(len(names)))
         self.links: list[tuple[int, int]] = []
 
@@ -199,12 +213,29 @@ class Group:
             self.root[a] = b
             self.links.append((self.names[i], self.names[j]))
 
+    def _owned(self, i: int) -> np.ndarray:
+        """The sets that have no smaller leader in common with this one."""
+        owned = np.ones(len(self.names), bool)
+        for x in self.smaller[i]:
+            owned[self.of_leader[x]] = False
+        return owned
+
+    def _add(self, i: int, linked: np.ndarray) -> None:
+        """Count the links of a set with those after it, or with the members if it is a stray."""
+        linked = linked & self._owned(i)
+        if self.has_strays:
+            self.n_links[i] += np.count_nonzero(linked[1:] & ~self.strays[1:])
+        else:
+            linked[:i + 1] = False
+            self.n_links[i] += np.count_nonzero(linked)
+            self.n_links += linked
+
     def apart(self, i: int) -> bool:
         """Whether a set is in another component than the leader."""
         return self._find(i) != self._find(0)
 
     def compare(self) -> None:
-        """The leader (first) with all; then those not linked to it, by the leader's overlaps."""
+        """The leader (first) with all; then the others, or those not linked to it, by the leader's overlaps."""
         sizes = np.array([len(s) for s in self.sets])
         elements, owner = np.concatenate(self.sets), np.repeat(np.arange(len(sizes)), sizes)
         leader = self.sets[0]
@@ -213,7 +244,9 @@ class Group:
         linked = self.measure.linked(common, len(leader), sizes)
         for i in np.flatnonzero(linked):
             self._join(int(i), 0)
-        rest = [i for i in range(1, len(sizes)) if not linked[i] and self.derived[i]]
+        if self.count and not self.has_strays:
+            self._add(0, linked)
+        rest = [i for i in range(1, len(sizes)) if (self.count or not linked[i]) and (self.strays[i] or not self.has_strays)]
         if not rest:
             return
         order = np.argsort(elements, kind="stable")
@@ -223,8 +256,12 @@ class Group:
             less = np.setdiff1d(leader, mine, assume_unique=True)
             more = np.setdiff1d(mine, leader, assume_unique=True)
             mine_common = common - self._owners(elements, owner, less, len(sizes)) + self._owners(elements, owner, more, len(sizes))
-            for j in np.flatnonzero(self.measure.linked(mine_common, len(mine), sizes)):
-                self._join(i, int(j))
+            mine_linked = self.measure.linked(mine_common, len(mine), sizes)
+            if self.count:
+                self._add(i, mine_linked)
+            if not linked[i]:
+                for j in np.flatnonzero(mine_linked):
+                    self._join(i, int(j))
 
     @staticmethod
     def _owners(elements: np.ndarray, owner: np.ndarray, wanted: np.ndarray, n: int) -> np.ndarray:
@@ -235,53 +272,55 @@ class Group:
         return np.bincount(owner[at], minlength=n)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, int, str]]]]:
-    """Consecutive rows of one group as (leader, [(role, class, text)])."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[int, int, str, list[int]]]]]:
+    """Consecutive rows of one group as (leader, [(role, class, text, leaders)])."""
     key, rows = None, []
     for batch in batches:
-        columns = [batch.column(i).to_pylist() for i in range(6)]
-        for leader, part, block, role, name, text in zip(*columns):
+        columns = [batch.column(i).to_pylist() for i in range(7)]
+        for leader, part, block, role, name, text, leaders in zip(*columns):
             if (leader, part, block) != key:
                 if rows:
                     yield key[0], rows
                 key, rows = (leader, part, block), []
-            rows.append((role, name, text))
+            rows.append((role, name, text, leaders))
     if rows:
         yield key[0], rows
 
 
-def _compare(measure: Measure):
+def _compare(measure: Measure, count: bool, has_strays: bool):
     """Links within groups whose rows are sorted by role: the leader (0), members (1), strays (2).
 
-    Without strays every member is compared; those that stay apart from their leader are
-    reported as strays. With strays, only these are compared with all.
+    Without strays every member is compared; those that stay apart from their leader, or all if
+    links are counted, are reported as strays. With strays, only these are compared with all.
+    A class's number of links is a row with the class on both sides.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                              names=["a", "b", "leader", "stray"])
+                                              names=["a", "b", "leader", "stray", "n"])
 
         for leader, rows in _groups(batches):
-            has_strays = rows[-1][0] == 2
-            names, sets, derived = [], [], []
+            names, sets, strays, of = [], [], [], []
             for row, texts in chunks(pa.array([r[2] for r in rows], pa.string())):
                 bounds, hashes = shingle_sets(texts, measure.size)
                 for i, name in enumerate(class_of(bounds, hashes).tolist()):
-                    role, wanted, _ = rows[row + i]
+                    role, wanted, _, leaders = rows[row + i]
                     if name == wanted and (not names or name != names[-1]):  # a text may be stored more than once
                         names.append(name)
                         sets.append(hashes[bounds[i]:bounds[i + 1]])
-                        derived.append(role == 2 or not has_strays)
+                        strays.append(role == 2)
+                        of.append(leaders)
             if not names or names[0] != leader:
                 raise ValueError("a group without its leader")
-            group = Group(measure, names, sets, derived)
+            group = Group(measure, names, sets, strays, of, count, has_strays)
             group.compare()
-            out += [(a, b, leader, False) for a, b in group.links]
+            out += [(a, b, leader, False, 0) for a, b in group.links]
+            out += [(name, name, leader, False, n) for name, n in zip(names, group.n_links.tolist()) if n]
             if not has_strays:
-                out += [(name, name, leader, True) for i, name in enumerate(names) if group.apart(i)]
+                out += [(name, name, leader, True, 0) for i, name in enumerate(names) if group.apart(i) or count and i]
             if len(out) > 10_000:
                 yield batch()
                 out = []
@@ -292,7 +331,7 @@ def _compare(measure: Measure):
 
 def _fetch(members: DataFrame, docs: DataFrame) -> DataFrame:
     """Members with the text of their class, grouped and sorted for comparison."""
-    rows = members.join(docs, ["row_key", "text_hash"]).select("leader", "part", "block", "role", "class", "text")
+    rows = members.join(docs, ["row_key", "text_hash"]).select("leader", "part", "block", "role", "class", "text", "leaders")
     return rows.repartition("leader", "part", "block").sortWithinPartitions("leader", "part", "block", "role", "class")
 
 
@@ -321,26 +360,37 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, measure: Measure, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """Links ``a, b`` between classes that connect exactly the classes that the similarity connects."""
+def link_classes(docs: DataFrame, classes: DataFrame, measure: Measure, group_shingles: int = GROUP_SHINGLES,
+                 count: bool = False) -> DataFrame:
+    """Links ``a, b`` between classes that connect exactly the classes that the similarity connects.
+
+    With ``count`` there are also rows with a class on both sides, whose sum ``n`` is its number of links.
+    """
     lists = _index_lists(docs, measure)
     _release(docs.sparkSession)
 
     weight = lists.groupBy("class").agg(F.count("*").alias("weight"))
     leaders = lists.join(weight, "class").groupBy("key").agg(F.max(F.struct("weight", "class"))["class"].alias("leader"))
     pairs = lists.join(leaders, "key").select("leader", "class").filter("leader <> class").distinct()
+    if count:
+        pairs = materialize(pairs, "pairs")
+        every = pairs.union(pairs.select("leader", F.col("leader").alias("class")))
+        leaders_of = every.groupBy("class").agg(F.collect_set("leader").alias("leaders"))
+        classes = materialize(classes.join(leaders_of, "class"), "leaders")
+    else:
+        classes = classes.withColumn("leaders", F.array().cast("array<long>"))
     members = materialize(pairs.join(classes, "class"), "members")
 
     dealt, parts = _parts(members, "part", "part", group_shingles)
     dealt = materialize(dealt.select("leader", "part", F.lit(0).alias("block"), F.lit(1).alias("role"), "class", "row_key",
-                                     "text_hash", "n_shingles"), "groups")
+                                     "text_hash", "n_shingles", "leaders"), "groups")
     heads = parts.join(classes.withColumnRenamed("class", "leader"), "leader").select(
         "leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("block"),
-        F.lit(0).alias("role"), F.col("leader").alias("class"), "row_key", "text_hash", "n_shingles")
-    found = materialize(_fetch(dealt.unionByName(heads), docs).mapInArrow(_compare(measure), _LINKS), "links")
-    links = found.filter("not stray").select("a", "b")
+        F.lit(0).alias("role"), F.col("leader").alias("class"), "row_key", "text_hash", "n_shingles", "leaders")
+    found = materialize(_fetch(dealt.unionByName(heads), docs).mapInArrow(_compare(measure, count, False), _LINKS), "links")
+    links = found.filter("not stray").select("a", "b", "n")
 
-    # What stays apart from its leader in a split group meets the other parts as well.
+    # What stays apart from its leader in a split group, or is counted there, meets the other parts as well.
     several = parts.filter("parts > 1")
     strays = found.filter("stray").select("leader", F.col("a").alias("class")).join(several, "leader").join(classes, "class")
     strays = materialize(strays, "strays")
@@ -348,23 +398,25 @@ def link_classes(docs: DataFrame, classes: DataFrame, measure: Measure, group_sh
         return links
     by_block, blocks = _parts(strays.drop("parts"), "block", "block", group_shingles)
     grid = blocks.withColumnRenamed("parts", "blocks")
-    columns = ["leader", "part", "block", "role", "class", "row_key", "text_hash", "n_shingles"]
+    columns = ["leader", "part", "block", "role", "class", "row_key", "text_hash", "n_shingles", "leaders"]
     each_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     others = dealt.drop("block").join(grid, "leader").withColumn("block", each_block).select(*columns)
     firsts = heads.drop("block").join(grid, "leader").withColumn("block", each_block).select(*columns)
     spread = by_block.join(several, "leader").select(
         "leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", F.lit(2).alias("role"),
-        "class", "row_key", "text_hash", "n_shingles")
-    more = _fetch(others.unionByName(firsts).unionByName(spread), docs).mapInArrow(_compare(measure), _LINKS)
-    return links.union(materialize(more, "links").select("a", "b"))
+        "class", "row_key", "text_hash", "n_shingles", "leaders", "parts").filter(
+            F.col("part") != F.pmod(F.xxhash64(F.lit("part"), "class"), F.col("parts"))).drop("parts")
+    more = _fetch(others.unionByName(firsts).unionByName(spread), docs).mapInArrow(_compare(measure, count, True), _LINKS)
+    return links.union(materialize(more, "links").select("a", "b", "n"))
 
 
 def join_sets(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id", text_col: str = "text",
-              group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` of every row.
+              group_shingles: int = GROUP_SHINGLES, count_links: bool = True) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id, kept, n_links`` of every row.
 
     ``kept`` marks the text of each component that has its smallest id (and, of several texts with
-    that id, the smallest hash).
+    that id, the smallest hash). ``n_links`` is the number of other sets that the row's set is linked
+    to; without ``count_links`` it is left out, and links inside a component are not all looked for.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"),
                        F.col(text_col).alias("text"))
@@ -375,20 +427,22 @@ def join_sets(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_
     classes = materialize(classes.select("class", "first", "n_shingles"), "classes")
     keyed = classes.select("class", F.coalesce("first.doc_id", "first.text_hash").alias("row_key"), "first.text_hash", "n_shingles")
     texts = rows.select(F.coalesce("doc_id", "text_hash").alias("row_key"), "text_hash", "text")
-    links = link_classes(texts, keyed, measure, group_shingles)
+    links = link_classes(texts, keyed, measure, group_shingles, count_links)
+    n_links = links.filter("n > 0").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n_links"))
 
-    of_class = components(links).withColumnRenamed("node", "class")
+    of_class = components(links.filter("a <> b")).withColumnRenamed("node", "class")
     linked = classes.join(of_class, "class", "left").select(
         "class", "first", F.coalesce("component", "class").alias("component"))
     best = linked.groupBy("component").agg(F.min("first").alias("best"))
-    named = linked.join(best, "component").select("class", "best")
+    named = linked.join(best, "component").join(n_links, "class", "left").select(
+        "class", "best", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     narrow = sets.select("doc_id", "text_hash", "class", "n_shingles")
     placed = narrow.filter(F.col("class").isNotNull()).join(named, "class").select(
         "doc_id", "text_hash", "n_shingles", F.col("best.doc_id").alias("component_id"),
-        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("kept"))
+        (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("kept"), "n_links")
     alone = narrow.filter(F.col("class").isNull()).select(
-        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    return placed.unionByName(alone)
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), F.lit(0).cast("long").alias("n_links"))
+    return placed.unionByName(alone) if count_links else placed.drop("n_links").unionByName(alone.drop("n_links"))
 
 
 def keep_one(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -396,7 +450,7 @@ def keep_one(docs: DataFrame, measure: Measure, id_col: str = "doc_id", text_col
 
     Repeated rows count as copies. Rows without words are all kept.
     """
-    joined = join_sets(docs, measure, id_col, text_col)
+    joined = join_sets(docs, measure, id_col, text_col, count_links=False)
     kept = joined.filter(F.col("kept")).select("doc_id", "text_hash", (F.col("n_shingles") == 0).alias("empty"))
     kept = kept.groupBy(F.coalesce("doc_id", "text_hash").alias("__key"), F.col("text_hash").alias("__hash")).agg(
         F.max("empty").alias("__empty"))
