@@ -11,12 +11,13 @@ from check import compare
 from conftest import SF
 from tierwatch.llm.queries import ORACLES, QUERIES
 
-TWINLESS = {"op1_cross_entropy", "op5_quality_classifier", "op7_sharding", "op8_best_fit_packing", "op9_direct_codes", "pipeline"}
+TWINLESS = {"op1_cross_entropy", "op5_quality_classifier", "op7_sharding", "op8_best_fit_packing", "op9_direct_codes", "op12_whitening",
+            "pipeline"}
 
 
 def test_all_are_registered():
     assert set(QUERIES) - set(ORACLES) == TWINLESS and set(ORACLES) <= set(QUERIES) <= set(driver.queries())
-    assert [q for q in QUERIES if q != "pipeline"] and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"}
+    assert [q for q in QUERIES if q != "pipeline"] and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
