@@ -119,8 +119,8 @@ def test_blocks_round_trip(blocks):
         columns = [np.array([place[row[j]] for row in block]) for j in (0, 1)]
         packed.append((len(block), *symbols.pack(pa.array([w.encode() for w in words], pa.large_binary()), columns,
                                                  [np.array([row[2] for row in block])]), block))
-    spelled, tables = zip(*(symbols.unpack(n, size, s, c, 3) for n, size, s, c, _ in packed))
-    dictionary, places = symbols.merge(list(spelled))
+    tables = [symbols.unpack_columns(c, 3, n) for n, _, _, c, _ in packed]
+    dictionary, places = symbols.merge([symbols.unpack_words(size, s) for _, size, s, _, _ in packed])
     names = ["", *(w.decode() for w in dictionary.to_pylist())]
     assert len(set(names)) == len(names)
     for (*_, block), table, place in zip(packed, tables, places):

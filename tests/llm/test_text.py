@@ -57,58 +57,6 @@ def test_given_texts_give_the_ids_of_the_whole_text(spark, encoder):
     assert all(np.array_equal(g, w) for g, w in zip(got, encoder._whole(texts))) and len(got) == len(texts)
 
 
-def slow_losses(corpus, vocabulary):
-    size = cross_entropy.VOCABULARY
-    counts = collections.Counter()
-    for text in corpus:
-        tokens = [0, 0] + [vocabulary.get(c, 1) for c in text.lower()] + [0]
-        counts.update(zip(tokens, tokens[1:], tokens[2:]))
-    levels = [collections.Counter() for _ in range(3)]
-    for (a, b, c), n in counts.items():
-        for level, gram in zip(levels, ((c,), (b, c), (a, b, c))):
-            level[gram] += n
-
-    def chance(gram):
-        if len(gram) == 1:
-            return (levels[0][gram] + 1) / (sum(levels[0].values()) + size)
-        level = levels[len(gram) - 1]
-        seen = sum(n for g, n in level.items() if g[:-1] == gram[:-1])
-        kinds = sum(1 for g in level if g[:-1] == gram[:-1])
-        below = chance(gram[1:])
-        return (level[gram] + kinds * below) / (seen + kinds) if seen else below
-
-    return lambda gram: -math.log(chance(gram))
-
-
-def test_cross_entropy_against_plain_counts(spark):
-    background = ["abab ba", "Abc", "", "zzz a", "abc abc é", None, "ab"]
-    target = ["abab", "ab ab"]
-    rows = [(i, t, "x") for i, t in enumerate(background)] + [(None, "abab", "x"), (3, "abab", "y")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, difference string")
-    models = cross_entropy.train(docs.filter("text in ('abab')").select("text").union(
-        spark.createDataFrame([("ab ab",)], "text string")), docs)
-    got = {(r.doc_id, r.n_tokens, round(r.difference, 5)) for r in cross_entropy.score(docs, models).collect()}
-    texts = [r[1] or "" for r in rows]
-    common = collections.Counter(c for t in texts for c in t.lower())
-    ranked = sorted(common, key=lambda c: (-common[c], ord(c)))
-    vocabulary = {c: i for i, c in enumerate(ranked[:cross_entropy.VOCABULARY - 2], 2)}
-    inside, outside = slow_losses(["abab", "abab", *target[1:]], vocabulary), slow_losses(texts, vocabulary)
-    wanted = set()
-    for (doc, _, _), text in zip(rows, texts):
-        tokens = [0, 0] + [vocabulary[c] for c in text.lower()] + [0]
-        grams = list(zip(tokens, tokens[1:], tokens[2:]))
-        wanted.add((doc, len(grams), round(sum(inside(g) - outside(g) for g in grams) / len(grams), 5)))
-    assert {(d, n) for d, n, _ in got} == {(d, n) for d, n, _ in wanted}
-    assert all(any(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-4 for b in wanted) for a in got)
-
-
-def test_cross_entropy_of_empty_tables(spark):
-    empty = spark.createDataFrame([], "doc_id long, text string")
-    assert cross_entropy.score(empty, cross_entropy.train(empty, empty)).count() == 0
-    some = spark.createDataFrame([(1, "abc")], "doc_id long, text string")
-    assert cross_entropy.score(some, cross_entropy.train(empty, some)).first().difference > 0
-
-
 def test_cross_entropy_query_tells_junk_from_prose(spark):
     sf = "/root/testdata/sf0.001"
     scored = cross_entropy.op1_cross_entropy(spark, sf)
@@ -127,7 +75,20 @@ def slow_bigrams(text):
     return list(zip(ws, ws[1:]))
 
 
-def test_word_models_against_plain_counts(spark):
+def plain_losses(corpus, kinds):
+    grams = collections.Counter(g for t in corpus for g in slow_bigrams(t))
+    single, seen, after = collections.Counter(), collections.Counter(), collections.Counter()
+    for (u, w), n in grams.items():
+        single[w], seen[u], after[u] = single[w] + n, seen[u] + n, after[u] + 1
+    tokens = sum(single.values())
+
+    def loss(gram):
+        p = (single[gram[1]] + 1) / (tokens + kinds)
+        return -math.log((grams[gram] + after[gram[0]] * p) / (seen[gram[0]] + after[gram[0]]) if seen[gram[0]] else p)
+    return loss
+
+
+def test_word_models_against_plain_counts(spark, monkeypatch):
     background = ["the cat sat, the cat ran", "The dog", "", "\u6c34\u6c34\u706b", "\u706b\u706b \u6c34 caf\u00e9", None, "rare words only here", "the dog"]
     target, fresh = ["the cat sat, the cat ran", "\u6c34\u6c34\u706b"], ["a new cat \U0001f600x", "the"]
     rows = list(enumerate(background)) + [(None, "the dog"), (1, "The dog")] + [(50 + i, t) for i, t in enumerate(fresh)]
@@ -136,24 +97,35 @@ def test_word_models_against_plain_counts(spark):
     wide, narrow = (spark.createDataFrame([(0, t) for t in texts], schema) for texts in (background, target))
     kinds = len({w for _, t in rows for _, w in slow_bigrams(t)})
 
-    def losses(corpus):
-        grams = collections.Counter(g for t in corpus for g in slow_bigrams(t))
-        single, seen, after = collections.Counter(), collections.Counter(), collections.Counter()
-        for (u, w), n in grams.items():
-            single[w], seen[u], after[u] = single[w] + n, seen[u] + n, after[u] + 1
-
-        def loss(gram):
-            p = (single[gram[1]] + 1) / (sum(single.values()) + kinds)
-            return -math.log((grams[gram] + after[gram[0]] * p) / (seen[gram[0]] + after[gram[0]]) if seen[gram[0]] else p)
-        return loss
-
-    inside, outside = losses(target), losses(background)
+    inside, outside = plain_losses(target, kinds), plain_losses(background, kinds)
     wanted = sorted(((i if i is not None else -1, len(g), sum(map(inside, g)) / len(g), sum(map(outside, g)) / len(g))
                      for i, t in rows for g in [slow_bigrams(t)]))
-    got = sorted((r[0] if r[0] is not None else -1, *r[1:4]) for r in word_models.score_words(docs, narrow, wide).collect())
-    assert len(got) == len(wanted) and all(a[:2] == b[:2] and np.allclose(a[2:], b[2:]) for a, b in zip(got, wanted))
+    # Once all in one bucket, once in many, with most contexts split.
+    for size, parts in ((3_000_000, 1), (4, 7)):
+        monkeypatch.setattr(word_models, "TOKENS_PER_BUCKET", size)
+        monkeypatch.setattr(word_models, "TOKENS_PER_WORD_BUCKET", size)
+        found = word_models.score_words(*(d.repartition(parts) for d in (docs, narrow, wide)))
+        got = sorted((r[0] if r[0] is not None else -1, *r[1:4]) for r in found.collect())
+        assert len(got) == len(wanted) and all(a[:2] == b[:2] and np.allclose(a[2:], b[2:]) for a, b in zip(got, wanted))
     assert word_models.score_words(docs.limit(0), narrow, wide).count() == 0
     assert word_models.score_words(docs, narrow.limit(0), wide).count() == len(rows)
+    assert word_models.score_words(*(d.limit(0) for d in (docs, narrow, wide))).count() == 0
+
+
+def test_a_table_against_its_own_part(spark):
+    """A hot context, repeated rows and ids, and one very long text, against plain counts."""
+    texts = ["the a the b the c"] * 30 + [f"the w{i} the w{i % 3}" for i in range(40)] + ["", None, "the", "x " * 200_000]
+    rows = [(i % 60 if i % 7 else None, t, "y") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, target string").repartition(4)
+    good = [1, 2, 2, 3, 45, 46, 500]
+    found = cross_entropy.cross_entropy_difference(docs, spark.createDataFrame([(g,) for g in good], "doc_id long")).collect()
+    corpora = [[t for i, t, _ in rows if i in good], texts]
+    kinds = len({w for t in texts for _, w in slow_bigrams(t)})
+    both = [plain_losses(corpus, kinds) for corpus in corpora]
+    wanted = sorted((i if i is not None else -1, len(g), *(sum(map(loss, g)) / len(g) for loss in both))
+                    for i, t, _ in rows for g in [slow_bigrams(t)])
+    got = sorted((r[0] if r[0] is not None else -1, *r[1:4]) for r in found)
+    assert len(got) == len(wanted) and all(a[:2] == b[:2] and np.allclose(a[2:], b[2:]) for a, b in zip(got, wanted))
 
 
 def test_the_query_tells_rare_scripts_apart(spark, folder):

@@ -1,153 +1,37 @@
-"""Cross-entropy difference of two matched n-gram models.
+"""Cross-entropy difference of two matched n-gram models over one shared vocabulary.
 
-Tokens are the characters of a text, lower-cased, and one end mark. Both models are trigrams
-with Witten-Bell interpolation over one vocabulary: the end mark, the ``VOCABULARY - 2``
-commonest characters of the whole background corpus, and one token for all others. The score
-of a document is the mean over its tokens of the target model's loss minus the background
-model's, in nats; the lower, the more it is like the target.
+The score of a document is the mean over its tokens of the target model's loss minus the
+background model's, in nats; the lower, the more it is like the target. Models, counts and
+their ways through Spark are those of ``word_models``.
 
-Counts are taken over all rows of both corpora: each task counts into one array and hands on
-the trigrams it has seen, which Spark sums. A model is a table of ``VOCABULARY ** 3`` losses (8 MB
-at 128), a bound that holds for any corpus; it is what tasks are given for scoring. The registered
-query counts words instead, in tables that grow with the corpus: see ``word_models``.
+The target are the documents that a table of ids names. Only ids and texts meet in that join, and
+Spark chooses it: a table of ids that it knows to be small is broadcast, a larger one is
+joined by a shuffle, with hot ids split.
 
 Edge cases: a null or empty text has one token, its end; repeated rows and null ids are kept,
-each row by itself; without target rows the target model is uniform; an empty table gives an
-empty result; only the id and the text are read.
+each row by itself; repeated ids of the target name a document once; without target rows the target model is
+uniform; an empty table gives an empty result; only the id and the text are read, so other columns cannot clash. A
+very long text is a chunk of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwatch.llm.registered import query, table
-from tierwatch.llm.word_models import score_words
-from tierwatch.llm.words import chunks
-
-VOCABULARY = 128
-_CODE_POINTS = 0x110000
-END, OTHER = 0, 1
-_SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
-
-
-def _code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points of all texts, each followed by a place for its end mark, and the ends."""
-    strings = [t.lower() for t in texts.fill_null("").to_pylist()]
-    codes = np.frombuffer("".join([s + "\0" for s in strings]).encode("utf-32-le", "surrogatepass"), "<u4")
-    return codes, np.cumsum([len(s) + 1 for s in strings]) - 1
-
-
-def _trigrams(texts: pa.Array, place_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The trigram cell of every token, and the positions of the end marks."""
-    codes, ends = _code_points(texts)
-    tokens = place_of[codes].astype(np.int32)
-    tokens[ends] = END
-    before, two_before = np.zeros_like(tokens), np.zeros_like(tokens)
-    before[1:], two_before[2:] = tokens[:-1], tokens[:-2]
-    two_before[ends[:-1] + 1] = END
-    return (two_before * VOCABULARY + before) * VOCABULARY + tokens, ends
-
-
-def _counted(kind: str, width: int, count):
-    """A task that adds ``count(texts)`` over its rows and hands on what is not zero."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width, np.int64)
-        for batch in batches:
-            for _, part in chunks(batch.column(0)):
-                total += count(part)
-        seen = np.flatnonzero(total)
-        for i in range(0, len(seen), 1 << 16):
-            at = seen[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=[kind, "n"])
-    return run
-
-
-def vocabulary(texts: DataFrame) -> np.ndarray:
-    """The token of every code point; ``texts`` has one text column."""
-    def count(part: pa.Array) -> np.ndarray:
-        codes, ends = _code_points(part)
-        found = np.bincount(codes, minlength=_CODE_POINTS)
-        found[0] -= len(ends)
-        return found
-
-    common = (texts.mapInArrow(_counted("code", _CODE_POINTS, count), "code int, n long").groupBy("code")
-              .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(VOCABULARY - 2).collect())
-    place_of = np.full(_CODE_POINTS, OTHER, np.uint8)
-    for place, row in enumerate(common, 2):
-        place_of[row["code"]] = place
-    return place_of
-
-
-def trigram_counts(texts: DataFrame, place_of: np.ndarray) -> np.ndarray:
-    """Counts of all trigrams, as an array of VOCABULARY in three dimensions."""
-    shared = texts.sparkSession.sparkContext.broadcast(place_of)
-
-    def count(part: pa.Array) -> np.ndarray:
-        return np.bincount(_trigrams(part, shared.value)[0], minlength=VOCABULARY ** 3)
-
-    summed = (texts.mapInArrow(_counted("cell", VOCABULARY ** 3, count), "cell int, n long").groupBy("cell")
-              .agg(F.sum("n").alias("n")).toArrow())  # at most VOCABULARY ** 3 rows
-    counts = np.zeros(VOCABULARY ** 3, np.int64)
-    counts[summed.column("cell").to_numpy()] = summed.column("n").to_numpy()
-    return counts.reshape((VOCABULARY,) * 3)
-
-
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Minus log probability of each trigram's last token, after Witten and Bell."""
-    single = counts.sum(axis=(0, 1))
-    chance = (single + 1.0) / (single.sum() + VOCABULARY)
-    for level in (counts.sum(axis=0), counts):
-        seen, kinds = level.sum(axis=-1, keepdims=True), (level > 0).sum(axis=-1, keepdims=True)
-        chance = np.where(seen > 0, (level + kinds * chance) / np.maximum(seen + kinds, 1), chance)
-    return -np.log(chance).astype(np.float32).ravel()
-
-
-@dataclass
-class Models:
-    """What scoring needs: the vocabulary and the losses of both models."""
-
-    place_of: np.ndarray
-    target: np.ndarray
-    background: np.ndarray
-
-    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens, and mean losses under the target and the background, of each text."""
-        cells, ends = _trigrams(texts, self.place_of)
-        first = np.concatenate([[0], ends[:-1] + 1])
-        n = ends - first + 1
-        return n, *(np.add.reduceat(m[cells].astype(np.float64), first) / n for m in (self.target, self.background))
-
-
-def train(target: DataFrame, background: DataFrame, text_col: str = "text") -> Models:
-    """Both models, over all rows of both corpora."""
-    wide, narrow = (d.select(F.col(text_col).alias("text")) for d in (background, target))
-    place_of = vocabulary(wide)
-    return Models(place_of, *(losses(trigram_counts(d, place_of)) for d in (narrow, wide)))
-
-
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+from tierwatch.llm.word_models import score_rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, part in chunks(batch.column(1)):
-                n, target, background = shared.value.score(part)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(part)), *map(pa.array, (n, target, background, target - background))],
-                    names=["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _SCORES)
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, difference`` of all rows; all of them are the background."""
+    named = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("named")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return score_rows(texts.join(named, F.col("id") == F.col("named"), "left").select(
+        "id", "text", F.col("named").isNotNull().cast("int").alias("target"), F.lit(1).alias("background"), F.lit(True).alias("scored")))
 
 
 @query()
 def op1_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against a target of those labelled as good."""
-    docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    # Labels grow with the corpus: never broadcast. The texts are not sorted for the join either.
-    return score_words(docs, docs.join(good.hint("shuffle_hash"), "doc_id", "left_semi"), docs)
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)

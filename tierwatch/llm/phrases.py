@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierwatch.llm.registered import query, table
-from tierwatch.llm.symbols import Coded, coded, distinct, gathered, merge, pack, runs, spread, unpack
+from tierwatch.llm.symbols import Coded, coded, distinct, gathered, merge, pack, runs, spread, unpack_columns, unpack_words
 from tierwatch.llm.words import byte_class
 from tierwatch.session import materialize
 
@@ -246,8 +246,8 @@ def frequent_phrases(blocks: DataFrame, max_words: int = MAX_WORDS, at_least: in
     """``lang, words, phrase, n`` of the phrases of two words or more that occur ``at_least`` times."""
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        spelled, tables = zip(*(unpack(r["n"], r["spelled_bytes"], r["spelled"], r["columns"], max_words + 1) for r in rows))
-        dictionary, places = merge(list(spelled))
+        tables = [unpack_columns(r["columns"], max_words + 1, r["n"]) for r in rows]
+        dictionary, places = merge([unpack_words(r["spelled_bytes"], r["spelled"]) for r in rows])
         columns = np.concatenate([p[t[:-1]] for p, t in zip(places, tables)], axis=1).astype(np.int32)
         weights = np.concatenate([t[-1] for t in tables]).astype(np.int64)
         made = [pa.table({"lang": pa.array([], pa.string()), "words": pa.array([], pa.int32()),

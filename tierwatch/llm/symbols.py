@@ -108,24 +108,40 @@ def runs(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), len(new))
 
 
-def pack(dictionary: pa.Array, words: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[int, bytes, bytes]:
-    """A block: number of words, the words, and all columns. ``words`` are places in ``dictionary`` plus one, 0 is none."""
-    used, places = np.unique(np.concatenate(words), return_inverse=True)
-    none = int(len(used) > 0 and used[0] == 0)
-    spelled = b"".join(w + b" " for w in dictionary.take(pa.array(used[none:] - 1)).to_pylist())
-    table = np.stack([*(places + (1 - none)).reshape(len(words), -1), *numbers]).astype("<i4")
-    # Sorted by the first column: differences are mostly zero. Bytes of equal weight go together.
+def pack_columns(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers below 2 ** 31, deflated; meant for a first column that is sorted."""
+    table = np.stack(columns).astype("<i4")
+    # Differences of the first are mostly zero. Bytes of equal weight go together.
     table[0, 1:] -= table[0, :-1].copy()
     planes = table.view(np.uint8).reshape(len(table), -1, 4).transpose(0, 2, 1).tobytes()
-    return len(spelled), pa.compress(spelled, "zstd", asbytes=True), pa.compress(planes, "zstd", asbytes=True)
+    return pa.compress(planes, "zstd", asbytes=True)
 
 
-def unpack(n: int, spelled_bytes: int, spelled: bytes, columns: bytes, width: int) -> tuple[bytes, np.ndarray]:
-    """The words of a block, each followed by a space, and its columns as rows of an array."""
+def unpack_columns(columns: bytes, width: int, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros((width, 0), "<i4")
     planes = np.frombuffer(pa.decompress(columns, decompressed_size=4 * width * n, codec="zstd"), np.uint8)
-    table = np.ascontiguousarray(planes.reshape(width, 4, n).transpose(0, 2, 1)).view("<i4").reshape(width, n).copy()
+    table = np.ascontiguousarray(planes.reshape(width, 4, n).transpose(0, 2, 1)).view("<i4").reshape(width, n)
     np.cumsum(table[0], out=table[0])
-    return bytes(pa.decompress(spelled, decompressed_size=spelled_bytes, codec="zstd")) if spelled_bytes else b"", table
+    return table
+
+
+def pack_words(dictionary: pa.Array, places: np.ndarray) -> tuple[int, bytes]:
+    """Size and deflated bytes of some words of a dictionary."""
+    spelled = b"".join([w + b" " for w in dictionary.take(pa.array(places)).to_pylist()])
+    return len(spelled), pa.compress(spelled, "zstd", asbytes=True)
+
+
+def unpack_words(size: int, spelled: bytes) -> bytes:
+    """The words, each followed by a space."""
+    return pa.decompress(spelled, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def pack(dictionary: pa.Array, words: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[int, bytes, bytes]:
+    """A block: size and bytes of its words, and all columns. ``words`` are places in ``dictionary`` plus one, 0 is none."""
+    used, places = np.unique(np.concatenate(words), return_inverse=True)
+    none = int(len(used) > 0 and used[0] == 0)
+    return *pack_words(dictionary, used[none:] - 1), pack_columns([*(places + (1 - none)).reshape(len(words), -1), *numbers])
 
 
 def merge(spelled: list[bytes]) -> tuple[pa.Array, list[np.ndarray]]:
