@@ -251,15 +251,19 @@ def test_restrictions_reach_the_scan(spark, folder):
     assert "EqualTo(dept,Research)" in text and "GreaterThanOrEqual" in text.split("PushedFilters")[1]
 
 
-@pytest.mark.parametrize("bucket_rows", [2048, 40])
-def test_lsh_recall_and_split_buckets(spark, bucket_rows):
-    """A third of the rows are equal; their buckets are split, and clusters are still found."""
+def given_vectors(spark, sf):
+    return spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").select("vec_id", "embedding")
+
+
+@pytest.mark.parametrize("window, find", [(24, lsh.more_like_graph), (4, lsh.more_like_graph), (24, lsh.more_like_lsh)])
+def test_graph_with_large_buckets(spark, window, find):
+    """A third of the rows are equal, the others in clusters that fill buckets of more rows than a window."""
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(20, 16))
     rows = [centres[0] if i % 3 == 0 else centres[i % 20] + rng.normal(scale=0.15, size=16) for i in range(300)]
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)] + [(900, None), (901, [1.0])],
                                "id long, embedding array<double>").repartition(5)
-    found = lsh.more_like_lsh(df, 3, "id", bucket_rows=bucket_rows).collect()
+    found = find(df, 3, "id", tables=12, window=window).collect()
     exact = vs.vector_search_many(df, df, 3, "id", "id", exclude_self=True).collect()
     best = {}
     for r in exact:
@@ -270,18 +274,30 @@ def test_lsh_recall_and_split_buckets(spark, bucket_rows):
     assert sum(reached) >= 0.9 * sum(map(len, best.values())) and 900 not in best
 
 
-@pytest.mark.parametrize("bucket_rows", [8, 40])
-def test_lsh_split_buckets_lose_no_neighbour(spark, bucket_rows):
-    """All buckets of the given embeddings are split; the answers are those of whole buckets, copies and zeros included."""
-    given = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding")
+def test_graph_finds_nearest_rows_and_scores_few_pairs(spark):
+    """Random vectors, the hardest case: recall on ids divisible by 20, and pairs that do not grow with the square."""
+    given = given_vectors(spark, "sf0.1")
+    pairs = {}
+    for n in (1000, 2000):
+        scored = spark.sparkContext.accumulator(0)
+        some = given.filter(f"vec_id < {n}")
+        found = {r[:2]: r for r in lsh.more_like_graph(some, 3, "vec_id", scored=scored).collect()}
+        asked = some.filter("vec_id % 20 = 0")
+        exact = vs.vector_search_many(some, asked, 3, "vec_id", "vec_id", exclude_self=True).collect()
+        assert len(exact) == 3 * n // 20 and sum(r[:2] in found for r in exact) >= 0.9 * len(exact)
+        assert all(abs(found[r[:2]].similarity - r.similarity) < 1e-9 for r in exact if r[:2] in found)
+        pairs[n] = scored.value
+    assert pairs[2000] <= 0.3 * 2000 * 1999 / 2
+    assert pairs[2000] <= 1.1 * pairs[1000] * 2 * math.log(2000) / math.log(1000)
+
+
+def test_graph_of_copies_zeros_and_bad_rows(spark):
+    given = given_vectors(spark, "sf0.001")
     extra = spark.createDataFrame([(10_000 + i, [0.0] * 64 if i < 3 else [1.0] * 64) for i in range(9)] +
                                   [(10_020, [float("nan")] * 64), (10_021, [float("nan")] * 64), (None, [1.0] * 64)],
                                   "vec_id long, embedding array<float>")
-    df = given.union(extra)
-    whole = set(map(tuple, lsh.more_like_lsh(df, 3, "vec_id").collect()))
-    assert set(map(tuple, lsh.more_like_lsh(df, 3, "vec_id", bucket_rows=bucket_rows).collect())) == whole
-    exact = vs.vector_search_many(given, given, 3, "vec_id", "vec_id", exclude_self=True).collect()
-    found = {r[:2] for r in whole}
-    assert sum((r.query_id, r.vec_id) in found for r in exact) >= 0.9 * len(exact)
+    whole = set(map(tuple, lsh.more_like_graph(given.union(extra), 3, "vec_id").collect()))
     assert {r[1:] for r in whole if r[0] == 10_004} == {(10_003, 1.0, 1), (10_005, 1.0, 2), (10_006, 1.0, 3)}
     assert not {10_020, 10_021, None} & {x for r in whole for x in r[:2]}
+    assert lsh.more_like_graph(given.limit(0), 3, "vec_id", dim=64).count() == 0
+    assert lsh.more_like_graph(given.limit(1), 3, "vec_id").count() == 0

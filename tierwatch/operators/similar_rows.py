@@ -1,11 +1,14 @@
-"""Nearest rows of every row, approximately, by random hyperplanes."""
+"""Nearest rows of every row, approximately: hash buckets give first neighbours, descent along the graph better ones."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwatch.functions.embedding import unit_rows
@@ -13,23 +16,14 @@ from tierwatch.functions.vectors import has_length, vector_rows
 from tierwatch.operators.vector_search import SCORE_DIGITS, vector_length
 from tierwatch.session import materialize
 
-TABLES, BITS = 40, 5
-BUCKET_ROWS = 2048
-
-
-def _codes(vector: Column, dim: int, tables: int, bits: int, seed: int) -> Column:
-    """The bucket of a vector in each table; null for a vector of another length."""
-    planes = np.random.default_rng(seed).normal(size=(tables * bits, dim))
-    weights = 1 << np.arange(bits, dtype=np.int64)
-
-    @F.arrow_udf("array<long>")
-    def code(vectors: pa.Array) -> pa.Array:
-        rows, valid = vector_rows(vectors, dim)
-        signs = (unit_rows(rows) @ planes.T > 0).reshape(len(rows), tables, bits)
-        found = iter((signs * weights).sum(axis=2).tolist())
-        return pa.array([next(found) if v else None for v in valid], pa.list_(pa.int64()))
-
-    return code(vector)
+#: Tables of hash buckets, rows of an even bucket, neighbours on a row's list, rounds of descent.
+TABLES, BUCKET_ROWS, LIST, ROUNDS = 80, 2, 10, 2
+#: Each row of a bucket meets so many that follow it in the bucket's order.
+WINDOW = 24
+#: Random directions of one hash; more buckets are had by two hashes or more.
+DIRECTIONS = 512
+#: Graph edges that one task joins, about.
+EDGES_PER_BLOCK = 50_000
 
 
 def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,8 +39,37 @@ def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[kept], columns[kept]
 
 
+def _codes(vector: Column, dim: int, tables: int, buckets: int, seed: int) -> Column:
+    """``struct<codes, place>``: the bucket of a vector in each table, and its place on a random line.
+
+    A hash is the random direction, or its opposite, that a vector is nearest to. A table takes as many hashes as
+    its number of buckets needs.
+    """
+    hashes = max(1, ceil(log(max(buckets, 2)) / log(2 * DIRECTIONS)))
+    directions = max(1, round(max(buckets, 2) ** (1 / hashes) / 2))
+
+    @F.arrow_udf("struct<codes: array<long>, place: double>")
+    def code(vectors: pa.Array) -> pa.Array:
+        rows, valid = vector_rows(vectors, dim)
+        unit = unit_rows(rows).astype(np.float32)
+        made = np.zeros((len(unit), tables), np.int64)
+        for t in range(tables):
+            for h in range(hashes):
+                along = unit @ np.random.default_rng([seed, t, h]).standard_normal((dim, directions), np.float32)
+                nearest = np.abs(along).argmax(axis=1) if len(along) else np.zeros(0, np.int64)
+                made[:, t] = made[:, t] * 2 * directions + 2 * nearest + (along[np.arange(len(along)), nearest] > 0)
+        places = unit @ np.random.default_rng([seed, tables]).standard_normal(dim, np.float32)
+        all_codes, all_places = np.zeros((len(vectors), tables), np.int64), np.zeros(len(vectors))
+        all_codes[valid], all_places[valid] = made, places
+        offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * tables)
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(all_codes.ravel())), pa.array(all_places)],
+                                          ["codes", "place"])
+
+    return code(vector)
+
+
 def _classes(vectors: DataFrame, k: int, key: str, vector: str, dim: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors with their ``k + 1`` smallest keys, and the class of each row."""
+    """Distinct vectors with their ``k + 1`` smallest keys, and the class of each row; the smallest key names a class."""
     rows = vectors.select(F.col(key).alias("_key"), F.col(vector).alias("_vector")).filter(
         F.col("_key").isNotNull() & has_length(F.col("_vector"), dim) & ~F.exists("_vector", F.isnan))
     named = rows.withColumns({"_one": F.xxhash64("_vector"), "_two": F.xxhash64(F.lit(1), "_vector")})
@@ -57,60 +80,136 @@ def _classes(vectors: DataFrame, k: int, key: str, vector: str, dim: int) -> tup
     return classes, named.select("_key", "_one", "_two").join(classes.select("_one", "_two", "_lead"), ["_one", "_two"])
 
 
-def more_like_lsh(vectors: DataFrame, k: int, key: str, vector: str = "embedding", dim: int | None = None,
-                  tables: int = TABLES, bits: int = BITS, bucket_rows: int = BUCKET_ROWS,
-                  seed: int = 7, digits: int = 3) -> DataFrame:
+def _edge_schema(classes: DataFrame) -> T.StructType:
+    kind = classes.schema["_lead"].dataType
+    return T.StructType([T.StructField("_query", kind), T.StructField("_lead", kind), T.StructField("score", T.DoubleType())])
+
+
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    return unit_rows(vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(vectors), -1))
+
+
+def _first_neighbours(classes: DataFrame, dim: int, tables: int, bucket_rows: int, window: int, seed: int,
+                      scored: Accumulator | None) -> DataFrame:
+    """``_query, _lead, score`` of vectors that share a bucket.
+
+    Buckets are sorted along a random line and dealt by ranges, so that a large one lies over many tasks. A vector meets
+    the ``window`` that follow it; those of smaller buckets all meet.
+    """
+    buckets = ceil(classes.count() / bucket_rows)
+    coded = classes.withColumn("_at", _codes(F.col("_vector"), dim, tables, buckets, seed))
+    coded = materialize(coded.select("_lead", "_vector", "_at.codes", "_at.place"), "vector-codes")
+    placed = coded.select("_lead", "_vector", "place", F.posexplode("codes").alias("_table", "_bucket"))
+    placed = placed.select("_table", "_bucket", "place", "_lead", "_vector")
+    schema = _edge_schema(classes)
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if last is None else [last, batch])
+            fresh = 0 if last is None else len(last)
+            table, bucket, leads = rows[0].to_numpy(), rows[1].to_numpy(), rows[3].combine_chunks()
+            unit = _matrix(rows[4])
+            for step in range(1, min(window, len(rows) - 1) + 1):
+                second = np.arange(max(fresh, step), len(rows))
+                first = second - step
+                met = (table[first] == table[second]) & (bucket[first] == bucket[second])
+                if not met.any():
+                    # Rows of a bucket are neighbours: further ones do not meet either.
+                    break
+                first, second = first[met], second[met]
+                scores = np.round(np.einsum("ij,ij->i", unit[first], unit[second]), SCORE_DIGITS)
+                if scored is not None:
+                    scored.add(len(scores))
+                for a, b in ((first, second), (second, first)):
+                    yield pa.RecordBatch.from_arrays([leads.take(pa.array(a)), leads.take(pa.array(b)), pa.array(scores)], names=schema.names)
+            last = rows.slice(max(0, len(rows) - window)).combine_chunks().to_batches()[0] if len(rows) else None
+
+    order = ("_table", "_bucket", "place", "_lead")
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, schema)
+
+
+def _lists(edges: DataFrame, size: int) -> DataFrame:
+    """The best ``size`` of each vector's neighbours; ``fresh`` are those that ``edges`` has as new only."""
+    met = edges.groupBy("_query", "_lead").agg(F.max("score").alias("score"), F.min("fresh").alias("fresh"))
+    near = Window.partitionBy("_query").orderBy(F.desc("score"), F.asc("_lead"))
+    return met.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= size).drop("_n")
+
+
+def _descend(graph: DataFrame, classes: DataFrame, size: int, n_edges: int, scored: Accumulator | None) -> DataFrame:
+    """Introduce the neighbours of each vector to one another: pairs of which one at least is fresh."""
+    both = graph.select(F.col("_lead").alias("_centre"), F.col("_query").alias("_member"), "score", "fresh").union(
+        graph.select("_query", "_lead", "score", "fresh"))
+    both = both.groupBy("_centre", "_member").agg(F.max("score").alias("score"), F.max("fresh").alias("fresh"))
+    # A vector that is on very many lists introduces the nearest of those.
+    near = Window.partitionBy("_centre").orderBy(F.desc("score"), F.asc("_member"))
+    both = both.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= 4 * size)
+    met = both.select("_centre", F.col("_member").alias("_lead"), "fresh").join(classes.select("_lead", "_vector"), "_lead")
+    blocks = max(1, n_edges // EDGES_PER_BLOCK)
+    schema = _edge_schema(classes)
+
+    def introduce(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("_centre", "ascending"), ("_lead", "ascending")])
+        leads, fresh, unit = rows["_lead"].combine_chunks(), rows["fresh"].to_numpy(), _matrix(rows["_vector"])
+        ends = pc.run_end_encode(rows["_centre"].combine_chunks()).run_ends.to_numpy()
+        queries, others, values, pairs = [], [], [], 0
+        for a, b in zip([0, *ends[:-1]], ends):
+            ours = np.arange(a, b)
+            new, old = ours[fresh[a:b]], ours[~fresh[a:b]]
+            pairs += len(new) * (len(new) - 1) // 2 + len(new) * len(old)
+            if not len(new) or b - a < 2:
+                continue
+            scores = np.round(unit[new] @ unit[ours].T, SCORE_DIGITS)
+            scores[np.arange(len(new)), new - a] = -2.0
+            i, j = _best(scores, min(size, b - a - 1))
+            queries.append(new[i]), others.append(ours[j]), values.append(scores[i, j])
+            if len(old):
+                back = scores[:, old - a].T
+                i, j = _best(back, min(size, len(new)))
+                queries.append(old[i]), others.append(new[j]), values.append(back[i, j])
+        if scored is not None:
+            scored.add(pairs)
+        q, o = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (queries, others))
+        return pa.table([leads.take(pa.array(q)), leads.take(pa.array(o)), pa.array(np.concatenate(values) if values else np.zeros(0))],
+                        names=schema.names)
+
+    block = F.pmod(F.xxhash64("_centre"), F.lit(blocks)).alias("_block")
+    found = met.select(block, "_centre", "_lead", "_vector", "fresh").groupBy("_block").applyInArrow(introduce, schema)
+    return _lists(graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True))), size)
+
+
+def neighbour_graph(classes: DataFrame, dim: int, size: int = LIST, tables: int = TABLES, bucket_rows: int = BUCKET_ROWS,
+                    window: int = WINDOW, rounds: int = ROUNDS, seed: int = 7, scored: Accumulator | None = None) -> DataFrame:
+    """``_query, _lead, score``: about the best ``size`` neighbours of each of the distinct vectors ``_lead, _vector``.
+
+    Buckets have the same size at any number of rows, and so have the lists: pairs scored grow with the number of rows.
+    Descent stops early when few lists change. ``scored`` adds up the pairs.
+    """
+    start = _first_neighbours(classes, dim, tables, bucket_rows, window, seed, scored)
+    graph = materialize(_lists(start.withColumn("fresh", F.lit(True)), size), "neighbours")
+    for _ in range(rounds):
+        n_edges, n_fresh = graph.agg(F.count("*"), F.count_if("fresh")).first()
+        if n_fresh <= n_edges // 100:
+            break
+        graph = materialize(_descend(graph, classes, size, n_edges, scored), "neighbours")
+    return graph.select("_query", "_lead", "score")
+
+
+def more_like_graph(vectors: DataFrame, k: int, key: str, vector: str = "embedding", dim: int | None = None, tables: int = TABLES,
+                    bucket_rows: int = BUCKET_ROWS, window: int = WINDOW, rounds: int = ROUNDS, seed: int = 7, digits: int = 3,
+                    scored: Accumulator | None = None) -> DataFrame:
     """Approximately the ``k`` most similar rows of every row, itself left out: ``query_id, key, similarity, rank``.
 
-    Rows meet in a bucket when ``bits`` random hyperplanes see them alike, in one of ``tables``
-    tables; scores within a bucket are exact. A bucket of more than ``bucket_rows`` distinct
-    vectors is dealt into parts of about that size, and each part meets every other, two in a
-    task: what is compared depends on the hyperplanes only, never on the size of the table or
-    on ``bucket_rows``. Equal vectors are compared once; of each the ``k + 1`` smallest keys
-    can be among the best. The work of a bucket grows with the square of its distinct vectors:
-    more bits lower it, and the recall with it; more tables raise both. A test and a
-    registered query measure the recall. Rows without a key and vectors of another length than
-    ``dim`` are left out.
+    First neighbours are those in the same bucket of one of ``tables`` tables; then ``rounds`` times each vector's neighbours are
+    introduced to one another, pairs that have not met. Scores are exact. Nothing passes through the driver, and the pairs
+    scored grow with the rows, not with their square. More tables and rounds find more; tests measure the recall and the
+    pairs. Equal vectors are compared once; of each the ``k + 1`` smallest keys can be among the best. Rows without a
+    key and vectors of another length than ``dim`` are left out.
     """
     dim = vector_length(vectors, vector) if dim is None else dim
     classes, class_of_row = _classes(vectors, k, key, vector, dim)
-    placed = classes.select("_lead", "_vector", F.posexplode(_codes(F.col("_vector"), dim, tables, bits, seed)).alias("_table", "_bucket"))
-    sizes = placed.groupBy("_table", "_bucket").agg(F.ceil(F.count("*") / bucket_rows).cast("int").alias("_parts"))
-    dealt = placed.join(sizes, ["_table", "_bucket"]).withColumn(
-        "_part", F.pmod(F.xxhash64("_lead", "_table"), F.col("_parts")).cast("int"))
-    met = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select(
-        "_lead", "_vector", "_table", "_bucket", "_part",
-        F.least("_part", "_other").alias("_low"), F.greatest("_part", "_other").alias("_high"))
-    kind = vectors.schema[key].dataType
-    schema = T.StructType([T.StructField("_query", kind), T.StructField("_lead", kind), T.StructField("score", T.DoubleType())])
-
-    def compare(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("_lead")
-        names, parts = rows["_lead"].combine_chunks(), rows["_part"].to_numpy()
-        unit = unit_rows(np.array(rows["_vector"].to_pylist(), np.float64))
-        sides = [np.flatnonzero(parts == p) for p in np.unique(parts)]
-        low, high = rows["_low"][0].as_py(), rows["_high"][0].as_py()
-        found = []
-        if low == high:
-            scores = np.round(unit @ unit.T, SCORE_DIGITS)
-            np.fill_diagonal(scores, -2.0)
-            # With itself last, a row asks for no more than there are others.
-            found.append((sides[0], sides[0], scores, min(k, len(unit) - 1)))
-        elif len(sides) == 2:
-            scores = np.round(unit[sides[0]] @ unit[sides[1]].T, SCORE_DIGITS)
-            found += [(*sides, scores, k), (sides[1], sides[0], scores.T, k)]
-        out = [pa.table([names.slice(0, 0), names.slice(0, 0), pa.array([], pa.float64())], names=schema.names)]
-        for ours, theirs, scores, kept in found:
-            if kept > 0:
-                i, j = _best(scores, kept)
-                out.append(pa.table([names.take(pa.array(ours[i])), names.take(pa.array(theirs[j])), pa.array(scores[i, j])],
-                                    names=schema.names))
-        return pa.concat_tables(out)
-
-    pairs = met.groupBy("_table", "_bucket", "_low", "_high").applyInArrow(compare, schema)
-    pairs = pairs.groupBy("_query", "_lead").agg(F.max("score").alias("score"))
-    near = Window.partitionBy("_query").orderBy(F.desc("score"), F.asc("_lead"))
-    pairs = pairs.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= k).select("_query", "_lead", "score")
+    pairs = neighbour_graph(classes, dim, max(LIST, k), tables, bucket_rows, window, rounds, seed, scored)
 
     # From classes to rows: the keys of the near classes and those of the own one.
     others = pairs.join(classes.select("_lead", "_keys"), "_lead").select("_query", "score", F.explode("_keys").alias(key))
@@ -122,3 +221,9 @@ def more_like_lsh(vectors: DataFrame, k: int, key: str, vector: str = "embedding
     asked = class_of_row.select("_lead", F.col("_key").alias("query_id")).join(best, "_lead").filter(F.col("query_id") != F.col(key))
     return (asked.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
             .filter(F.col("rank") <= k).select("query_id", key, F.round("score", digits).alias("similarity"), "rank"))
+
+
+def more_like_lsh(vectors: DataFrame, k: int, key: str, vector: str = "embedding", dim: int | None = None, tables: int = 120,
+                  **settings) -> DataFrame:
+    """:func:`more_like_graph` by hash buckets alone, with more tables in place of descent."""
+    return more_like_graph(vectors, k, key, vector, dim, tables, rounds=0, **settings)

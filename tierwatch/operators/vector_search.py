@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,10 @@ from tierwatch.functions.vectors import cosine_to, vector_rows
 # Scores are compared at this many digits, so that copies of a vector tie exactly and
 # fall back to the key, whatever batch they were computed in.
 SCORE_DIGITS = 10
-# Queries that one pass over the corpus answers, about; each task holds their vectors.
+# So many questions at most are broadcast; more are dealt into blocks of about as many.
 QUERY_BLOCK = 2048
+# Corpus rows that meet a block of questions in one task, about.
+CORPUS_BLOCK = 20_000
 
 
 Filter = Mapping[str, object] | Column | None
@@ -96,10 +98,11 @@ def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str,
                        exclude_self: bool = False, query_block: int = QUERY_BLOCK, dim: int | None = None) -> DataFrame:
     """Exact top ``k`` for each query row whose vector has the corpus's length ``dim``.
 
-    Queries are dealt by a hash of their key into blocks of about ``query_block``. Each
-    block is sent to every task, which keeps a running top ``k`` per query while it reads
-    its vectors once, so no pair of rows becomes a row. The corpus is read once per block:
-    meant for a set of questions, not for each row of a large table.
+    Up to ``query_block`` questions are sent to every task, which keeps a running top ``k`` per
+    question while it reads its vectors once. More questions are dealt into blocks, and the corpus as
+    well; each pair of blocks meets in one task, so nothing of either side passes through the driver. No pair
+    of rows becomes a row, but every pair is scored, and each side is shuffled once for each block of the
+    other: for every row of a large table there is ``similar_rows.more_like_graph``.
     ``bad_queries`` gives the questions that are left out.
     """
     wanted = k + 1 if exclude_self else k
@@ -113,10 +116,8 @@ def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str,
     schema = T.StructType([questions.schema[query_key], corpus.schema[key], T.StructField("score", T.DoubleType())])
 
     n_blocks = max(1, math.ceil(questions.count() / query_block))
-    dealt = questions.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(n_blocks)))
-    found = reduce(DataFrame.union, [
-        _broadcast_search(corpus, dealt.filter(F.col("_block") == b).drop("_block"), wanted, dim, schema)
-        for b in range(n_blocks)])
+    search = _broadcast_search if n_blocks == 1 else partial(_grid_search, n_blocks)
+    found = search(corpus, questions, wanted, dim, schema)
     if exclude_self:
         found = found.filter(F.col(query_key) != F.col(key))
     best = Window.partitionBy(query_key).orderBy(F.desc("score"), F.asc(key))
@@ -186,5 +187,24 @@ def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, dim: int,
     return corpus.mapInArrow(search, schema)
 
 
+def _grid_search(n_blocks: int, corpus: DataFrame, questions: DataFrame, k: int, dim: int, schema: T.StructType) -> DataFrame:
+    """Each block of questions meets each block of the corpus in one task."""
+    n_parts = max(1, math.ceil(corpus.count() / CORPUS_BLOCK))
+    (query_key, _), (key, _) = questions.columns, corpus.columns
+    asked = questions.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(n_blocks)).cast("int")).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    dealt = corpus.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("int")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    target = _arrow_schema(schema)
+
+    def search(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        best = _Best(_flat(ours[query_key]), _flat(ours["_query"]), k, dim)
+        for batch in theirs.to_batches(max_chunksize=4096):
+            best.add(batch[key], batch["_vector"])
+        return pa.Table.from_batches([best.table(target)])
+
+    return asked.groupBy("_block", "_part").cogroup(dealt.groupBy("_block", "_part")).applyInArrow(search, schema)
+
+
 def _flat(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierwatch.constants import BM25_B, BM25_K1
 from tierwatch.functions.embedding import embed_literal
-from tierwatch.operators import lexical_search, similar_rows as lsh, vector_search as vs
+from tierwatch.operators import lexical_search, similar_rows as similar, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, search_request as build_request
@@ -75,14 +75,38 @@ def more_like_each_grid(spark, sf_dir):
     return vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True, query_block=200)
 
 
-@query("SELECT count(*) AS n_queries, TRUE AS recall_is_enough FROM embeddings")
-def more_like_lsh(spark, sf_dir):
-    """Approximate nearest rows of every row; at least nine in ten of the exact ones are found."""
+def _recall(spark, sf_dir, find):
+    """Approximate nearest rows of every row, held against the exact ones of the rows whose id is divisible by 20."""
     vectors = _vectors(spark, sf_dir)
-    exact = vs.vector_search_many(vectors, vectors, 3, "vec_id", "vec_id", exclude_self=True)
-    found = lsh.more_like_lsh(vectors, 3, "vec_id")
-    hits = exact.join(found.select("query_id", "vec_id", F.lit(1).alias("hit")), ["query_id", "vec_id"], "left")
-    return hits.agg(F.countDistinct("query_id").alias("n_queries"), (F.count("hit") >= 0.9 * F.count("*")).alias("recall_is_enough"))
+    found = find(vectors, 3, "vec_id")
+    asked = vectors.filter("vec_id % 20 = 0")
+    exact = vs.vector_search_many(vectors, asked, 3, "vec_id", "vec_id", exclude_self=True)
+    exact = exact.select("query_id", "vec_id", F.col("similarity").alias("wanted"))
+    wanted, hit = F.col("wanted").isNotNull(), F.col("similarity").isNotNull()
+    return exact.join(found, ["query_id", "vec_id"], "full").agg(
+        F.countDistinct(F.when(wanted, F.col("query_id"))).alias("n_queries"), F.count("wanted").alias("n_wanted"),
+        (F.count_if(wanted & hit) >= 0.9 * F.count("wanted")).alias("recall_is_enough"),
+        F.count_if(F.abs(F.col("similarity") - F.col("wanted")) > 1e-9).alias("n_wrong_scores"),
+        F.countDistinct(F.when(hit, F.col("query_id"))).alias("n_rows"), F.count("similarity").alias("n_found"),
+        F.sum("rank").alias("rank_sum"), F.count_if(hit & (F.col("query_id") == F.col("vec_id"))).alias("n_selves"))
+
+
+_RECALL = """
+SELECT count(*) FILTER (vec_id % 20 = 0) AS n_queries, 3 * count(*) FILTER (vec_id % 20 = 0) AS n_wanted, TRUE AS recall_is_enough,
+       0::BIGINT AS n_wrong_scores, count(*) AS n_rows, 3 * count(*) AS n_found, 6 * count(*) AS rank_sum, 0::BIGINT AS n_selves
+FROM embeddings"""
+
+
+@query(_RECALL)
+def more_like_graph(spark, sf_dir):
+    """Nearest rows of every row by a neighbour graph."""
+    return _recall(spark, sf_dir, similar.more_like_graph)
+
+
+@query(_RECALL)
+def more_like_lsh(spark, sf_dir):
+    """Nearest rows of every row by hash buckets."""
+    return _recall(spark, sf_dir, similar.more_like_lsh)
 
 
 _TEXT = "subject || ' ' || body"
