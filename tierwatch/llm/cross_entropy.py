@@ -4,9 +4,8 @@ The score of a document is the mean over its tokens of the target model's loss m
 background model's, in nats; the lower, the more it is like the target. Models, counts and
 their ways through Spark are those of ``word_models``.
 
-The target are the documents that a table of ids names. Only ids and texts meet in that join, and
-Spark chooses it: a table of ids that it knows to be small is broadcast, a larger one is
-joined by a shuffle, with hot ids split.
+The target are the documents that a table of ids names. It grows with the corpus, so it is never broadcast:
+texts and ids are shuffled once for that join, without sorting the texts; adaptive execution splits hot ids.
 
 Edge cases: a null or empty text has one token, its end; repeated rows and null ids are kept,
 each row by itself; repeated ids of the target name a document once; without target rows the target model is
@@ -26,7 +25,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     """``doc_id, n_tokens, target_loss, background_loss, difference`` of all rows; all of them are the background."""
     named = target_ids.select(F.col(target_ids.columns[0]).cast("long").alias("named")).distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return score_rows(texts.join(named, F.col("id") == F.col("named"), "left").select(
+    return score_rows(texts.join(named.hint("shuffle_hash"), F.col("id") == F.col("named"), "left").select(
         "id", "text", F.col("named").isNotNull().cast("int").alias("target"), F.lit(1).alias("background"), F.lit(True).alias("scored")))
 
 
