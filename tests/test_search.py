@@ -13,6 +13,7 @@ from tierwatch.operators import lexical_search, similar_rows as lsh, vector_sear
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, list_indexes
+from tierwatch.session import create_text, file_names, read_text
 
 WORDS = "merger tip report meeting fund trade desk price quiet delete".split()
 
@@ -199,6 +200,123 @@ def test_origins_changes_deletes_and_compaction(spark, folder):
     assert texts_of(index, spark, "alpha").keys() == {"2"} and texts_of(index, spark, "delta").keys() == {"1", "5"}
 
 
+MAIL = "id string, subject string, body string, dept string"
+
+
+def mail(spark, *rows):
+    return spark.createDataFrame([(i, "s", t, "x") for i, t in rows], MAIL)
+
+
+def open_index(folder, **settings):
+    return SearchIndex(folder, "m", "id", "body", "subject", ["dept"], **{"buckets": 4, **settings})
+
+
+def inside(index, step, action):
+    """Run ``action`` once while ``index`` is about to take a step."""
+    real = getattr(index, step)
+
+    def run(*args, **kwargs):
+        setattr(index, step, real)
+        action()
+        return real(*args, **kwargs)
+
+    setattr(index, step, run)
+
+
+def check_live(index, spark, folder, **rows):
+    """The index ranks as one that is built at once from the rows it should hold."""
+    whole = open_index(f"{folder}/whole-{len(file_names(spark, folder))}")
+    whole.refresh(mail(spark, *((i[1:], t) for i, t in rows.items())), 0)
+    words = "apple cherry plum pear"
+    assert texts_of(index, spark, words) == texts_of(whole, spark, words)
+    assert sorted(r["id"] for r in index.vectors(spark).collect()) == sorted(i[1:] for i in rows)
+
+
+@pytest.mark.parametrize("step", ["_write_postings", "_commit"])
+def test_no_change_is_lost_beside_a_compaction(spark, folder, step):
+    index, other = open_index(folder), open_index(folder)
+    index.refresh(mail(spark, ("1", "apple"), ("2", "apple plum")), 0)
+    inside(index, step, lambda: other.compact(spark))
+    index.refresh(mail(spark, ("1", "cherry"), ("3", "pear")), 1)
+    assert texts_of(index, spark, "apple").keys() == {"2"} and texts_of(index, spark, "cherry").keys() == {"1"}
+    check_live(index, spark, folder, m1="cherry", m2="apple plum", m3="pear")
+    index.compact(spark)
+    check_live(index, spark, folder, m1="cherry", m2="apple plum", m3="pear")
+
+
+def test_no_change_is_lost_inside_a_compaction(spark, folder):
+    index, other = open_index(folder), open_index(folder)
+    index.refresh(mail(spark, ("1", "apple"), ("2", "apple plum"), ("4", None)), 0)
+    index.refresh(mail(spark, ("2", "plum plum")), 1)
+    inside(index, "_write_postings", lambda: (other.refresh(mail(spark, ("1", "cherry"), ("4", "pear")), 2), other.delete(mail(spark, ("2", None)), 3)))
+    index.compact(spark)
+    check_live(index, spark, folder, m1="cherry", m4="pear")
+    inside(index, "_write_postings", lambda: other.compact(spark))  # the slower compaction begins again
+    index.compact(spark)
+    check_live(index, spark, folder, m1="cherry", m4="pear")
+    assert len(index.log.latest(spark).batches) == 1
+
+
+def test_writers_of_the_same_key_at_the_same_time(spark, folder):
+    index, other = open_index(folder), open_index(folder)
+    index.refresh(mail(spark, ("1", "apple")), 0)
+    inside(index, "_commit", lambda: other.refresh(mail(spark, ("1", "plum"), ("2", "plum")), 1, "other"))
+    index.refresh(mail(spark, ("1", "cherry")), 1)
+    check_live(index, spark, folder, m1="cherry", m2="plum")
+    assert [b.n for b in index.log.latest(spark).batches] == [1, 2, 3]
+    index.refresh(mail(spark, ("2", "pear")), 1)  # the batch again, without the key it had
+    check_live(index, spark, folder, m2="pear")
+
+
+def test_repeated_keys_in_a_batch_count_once(spark, folder):
+    index = open_index(folder)
+    rows = [("1", "apple", 1), ("1", "cherry", 3), ("1", "plum", 2), ("2", "pear", 1), ("2", "pear", 1), (None, "apple", 9)] + [("3", "plum", 5)] * 40
+    batch = spark.createDataFrame([(i, "s", t, "x", n) for i, t, n in rows], MAIL + ", n int").repartition(3)
+    index.refresh(batch, 0, newest="n")
+    check_live(index, spark, folder, m1="cherry", m2="pear", m3="plum")
+    index.refresh(batch.filter("id = '1'").drop("n"), 1)
+    assert sum(bool(texts_of(index, spark, w)) for w in ("apple", "cherry")) + ("1" in texts_of(index, spark, "plum")) == 1
+
+
+def test_a_file_is_created_once(spark, folder):
+    assert create_text(spark, f"{folder}/log/1.json", "ü one") and not create_text(spark, f"{folder}/log/1.json", "two")
+    assert read_text(spark, f"{folder}/log/1.json") == "ü one" and file_names(spark, f"{folder}/log") == ["1.json"]
+    assert file_names(spark, f"{folder}/none") == []
+
+
+def test_searches_read_few_blocks_and_miss_nothing(spark, folder):
+    """One rare and one very frequent word: most blocks of the frequent one cannot hold an answer."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        body = ["common"] * rng.choice([1, 1, 1, 2, 5]) + rng.choices(WORDS, k=rng.randint(0, 30)) + ["rare"] * (i % 270 == 7)
+        rows.append((f"k{i:04d}", "s", " ".join(body), "x" if i % 4 else "y"))
+    index = open_index(folder, block_rows=16)
+    df = spark.createDataFrame(rows, MAIL).repartition(3)
+    for part in range(2):
+        index.refresh(df.filter(F.pmod(F.xxhash64("id"), F.lit(2)) == part), part)
+    index.refresh(df.filter("id < 'k0100'").withColumn("body", F.lit("common quiet")), 2)
+    for query in ("rare common", "common", "common quiet merger", "rare merger tip", "absent", "rare absent"):
+        for k, where in ((3, None), (10, {"dept": "y"}), (400, None)):
+            full = lexical_search.top_scores(index.lexical_scores(spark, query, where), "id", k)
+            assert index.lexical_search(spark, query, k, where).collect() == full.collect()
+    read = {r["term"]: r for r in index.blocks_read(spark, "rare common", 5).collect()}
+    assert read["rare"].n_read == read["rare"].n_blocks and read["common"].n_blocks > 150
+    assert 0 < read["common"].n_read < read["common"].n_blocks / 5
+    assert index.blocks_read(spark, "common", 5).first().n_read < read["common"].n_blocks / 2
+
+
+def test_a_question_writes_nothing(spark, corpus, folder, monkeypatch):
+    from tierwatch.operators import hybrid_search
+    index = open_index(folder)
+    index.refresh(corpus, 0)
+    monkeypatch.setattr(hybrid_search, "scratch_path", None)
+    before = {name: len(file_names(spark, f"{index.root}/{name}")) for name in ("commits", "messages", "marks")}
+    hits = index.answer(corpus, {"query": "merger tip", "columns": ["subject"], "limit": 4})
+    assert hits.count() == 4 and "Exchange" not in index.vector_scores(spark, "merger")._jdf.queryExecution().executedPlan().toString()
+    assert before == {name: len(file_names(spark, f"{index.root}/{name}")) for name in before}
+
+
 def test_filters_of_requests(spark, corpus, folder):
     index = SearchIndex(folder, "messages", "id", "body", "subject", ["dept"], buckets=4)
     index.refresh(corpus, 0)

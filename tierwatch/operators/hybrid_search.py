@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
@@ -11,8 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tierwatch.constants import RRF_CONSTANT
+from tierwatch.functions.embedding import Embedder, similarities, word_counts
 from tierwatch.functions.ratios import safe_ratio
-from tierwatch.operators.vector_search import with_rank
+from tierwatch.functions.text import message_text
+from tierwatch.operators.lexical_search import counted_scores, query_terms
+from tierwatch.operators.vector_search import SCORE_DIGITS, Filter, equals, with_rank
 from tierwatch.session import delete_folder, scratch_path
 
 LISTS = ("lexical", "vector")
@@ -23,34 +26,28 @@ def fuse(lexical: DataFrame, vector: DataFrame, key: str, k: int, constant: int
     """The ``k`` best rows by the sum of ``1 / (constant + rank)`` over both full rankings.
 
     A row that one ranking lacks gets nothing from it. Rows are never ranked as a whole,
-    which would sort the table in one task; still the result is that of the full rankings:
+    which would sort the table in one task, and no list of scores is written; still the result is that of the full
+    rankings:
 
     * A row outside the best ``d`` of both lists scores at most ``2 / (constant + d + 1)``.
       The best ``k`` of one list each score at least ``1 / (constant + k)``. With
       ``d = constant + 2 k`` the first is smaller, so the best ``k`` are among the at most
-      ``2 d`` candidates.
+      ``2 d`` candidates. Each task keeps ``d`` of its rows.
     * The exact rank of a candidate is one plus the number of better rows, counted for
       all candidates at once by one aggregate.
+
+    Both lists are evaluated three times, once for the candidates only: scores should be cheap to compute from what is
+    stored. ``hybrid_scan_search`` stores them first.
     """
     depth = constant + 2 * k
     spark = lexical.sparkSession
-    # Key and score only: written once, read three times, deleted when the k rows are known.
-    path = scratch_path(spark, "scores")
-    try:
-        _tagged(lexical, key, "lexical").unionByName(_tagged(vector, key, "vector")).write.parquet(path)
-        return _fused(spark.read.parquet(path), key, k, depth, constant, digits)
-    finally:
-        delete_folder(spark, path)
-
-
-def _fused(scores: DataFrame, key: str, k: int, depth: int, constant: int, digits: int) -> DataFrame:
-    """The result of ``fuse`` from the stored scores of both lists."""
-    spark = scores.sparkSession
     order = F.desc("score"), F.asc(key)
-    heads = [scores.filter(F.col("list") == name).orderBy(*order).limit(depth).select(key) for name in LISTS]
-    ids = sorted({row[key] for row in heads[0].union(heads[1]).collect()})
+    lists = dict(zip(LISTS, (lexical.select(key, "score"), vector.select(key, "score"))))
+    heads = {name: scores.orderBy(*order).limit(depth).collect() for name, scores in lists.items()}
+    ids = sorted({row[key] for rows in heads.values() for row in rows})
+    wanted = {name: _scores_of(lists[name], key, ids, heads[name], depth) for name in LISTS}
 
-    ranks = exact_ranks(scores, key, ids)
+    ranks = exact_ranks(lists, key, wanted)
     points = reduce(add, [_points(name, constant) for name in LISTS])
     best = ranks.groupBy(key).agg(
         *[F.max(F.when(F.col("list") == name, F.col("_rank"))).alias(f"{name}_rank") for name in LISTS],
@@ -61,8 +58,29 @@ def _fused(scores: DataFrame, key: str, k: int, depth: int, constant: int, digit
     return spark.createDataFrame(top.collect(), top.schema)
 
 
-def _tagged(scores: DataFrame, key: str, name: str) -> DataFrame:
-    return scores.select(F.lit(name).alias("list"), key, "score")
+def hybrid_scan_search(messages: DataFrame, key: str, subject: str, body: str, query: str, k: int, filter_eq: Filter = None,
+                       embedder: Embedder | None = None) -> DataFrame:
+    """Hybrid search straight from a table: each text is read once, and what its scores need is stored, a few numbers."""
+    terms = query_terms(query)
+    text = message_text(F.col(subject), F.col(body))
+    cut = messages.select(key, equals(filter_eq).alias("_kept"), F.col(body).isNotNull().alias("_text"), word_counts(F.col(body), terms).alias("_c"),
+                          similarities(text, {"score": query}, embedder).alias("_v"))
+    path = scratch_path(messages.sparkSession, "scores")
+    try:
+        cut.select(key, "_kept", "_text", "_c.*", "_v.*").write.parquet(path)
+        stored = messages.sparkSession.read.parquet(path)
+        vector = stored.filter(F.col("_kept") & F.col("score").isNotNull()).select(key, F.round("score", SCORE_DIGITS).alias("score"))
+        return fuse(counted_scores(stored.filter("_text"), key, terms), vector, key, k)
+    finally:
+        delete_folder(messages.sparkSession, path)
+
+
+def _scores_of(scores: DataFrame, key: str, ids: Sequence, head: Sequence[Row], depth: int) -> list[Row]:
+    """The rows of a list with these keys, best first: those of its head are known, and all of a list that ends with it."""
+    known = {row[key] for row in head}
+    missing = [i for i in ids if i not in known]
+    more = scores.filter(F.col(key).isin(missing)).collect() if missing and len(head) == depth else []
+    return sorted([*head, *more], key=lambda r: (-r["score"], r[key]))
 
 
 def _points(name: str, constant: int) -> Column:
@@ -70,25 +88,22 @@ def _points(name: str, constant: int) -> Column:
     return safe_ratio(F.lit(1.0), constant + mine)
 
 
-def exact_ranks(scores: DataFrame, key: str, ids: Sequence) -> DataFrame:
-    """``(list, key, _rank)``: ranks of a bounded set of keys within all rows of each list.
+def exact_ranks(lists: Mapping[str, DataFrame], key: str, wanted: Mapping[str, Sequence[Row]]) -> DataFrame:
+    """``(list, key, _rank)``: ranks of a bounded set of rows, given best first, within all rows of each list.
 
-    Each row of ``scores`` is placed among the wanted rows of its list, and only the
-    counts per place are shuffled.
+    Each row of a list is placed among the wanted ones, and only the counts per place are shuffled.
     """
-    wanted = scores.filter(F.col(key).isin(list(ids))).collect() if ids else []
-    by_list = {name: sorted((r for r in wanted if r["list"] == name), key=lambda r: (-r["score"], r[key]))
-               for name in LISTS}
-    place = F.when(F.col("list") == LISTS[0], _place(by_list[LISTS[0]], key)).otherwise(_place(by_list[LISTS[1]], key))
-    counts = scores.select("list", place.alias("_place")).groupBy("list", "_place").agg(F.count("*").alias("_rows"))
+    spark = next(iter(lists.values())).sparkSession
+    places = [scores.select(F.lit(name).alias("list"), _place(wanted[name], key).alias("_place")) for name, scores in lists.items()]
+    counts = reduce(DataFrame.union, places).groupBy("list", "_place").agg(F.count("*").alias("_rows"))
 
     # Every wanted row has a place of its own, so the running sum over the places before
     # it counts the better rows. There are at most as many places as wanted rows, plus one.
     before = Window.partitionBy("list").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     running = counts.select("list", "_place", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_better"))
-    steps = scores.sparkSession.createDataFrame(
-        [(name, i, r[key]) for name, rows in by_list.items() for i, r in enumerate(rows, 1)],
-        f"list string, _place int, {key} {scores.schema[key].dataType.simpleString()}")
+    kind = next(iter(lists.values())).schema[key].dataType.simpleString()
+    steps = spark.createDataFrame([(name, i, r[key]) for name, rows in wanted.items() for i, r in enumerate(rows, 1)],
+                                  f"list string, _place int, {key} {kind}")
     return running.join(F.broadcast(steps), ["list", "_place"]).select(
         "list", key, (F.col("_better") + 1).cast("int").alias("_rank"))
 
@@ -122,8 +137,8 @@ def _place(wanted: Sequence[Row], key: str) -> Column:
 def attach(hits: DataFrame, rows: DataFrame, key: str, columns: Sequence[str], limit: int) -> DataFrame:
     """Add table columns to a result of at most ``limit`` rows.
 
-    The few keys are fetched first and become a filter that reaches the scan, so wide
-    columns are read from the matching row groups only.
+    The few keys are fetched first and become a filter at the scan. It spares what is not read of the table
+    only where row groups hold ranges of keys; where keys are spread over all files, every row group is read.
     """
     found = hits.limit(limit).collect()
     small = hits.sparkSession.createDataFrame(found, hits.schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -40,11 +41,16 @@ def bm25_scores(df: DataFrame, key: str, text: str, query: str,
     terms = query_terms(query)
     if not terms:
         return df.select(key, F.lit(0.0).alias("score")).filter(F.lit(False))
-    names = [f"tf_{i}" for i in range(len(terms))]
-
     counted = df.filter(F.col(text).isNotNull()).select(
         key, equals(filter_eq).alias("_kept"), word_counts(F.col(text), terms).alias("_c"))
-    counted = materialize(counted.select(key, "_kept", "_c.*"), "word-counts")
+    return counted_scores(materialize(counted.select(key, "_kept", "_c.*"), "word-counts"), key, terms)
+
+
+def counted_scores(counted: DataFrame, key: str, terms: Sequence[str]) -> DataFrame:
+    """Scores from stored word counts: ``key, _kept, length, tf_0, tf_1, ...`` of all rows with a text."""
+    if not terms:
+        return counted.select(key, F.lit(0.0).alias("score")).filter(F.lit(False))
+    names = [f"tf_{i}" for i in range(len(terms))]
     stats = counted.agg(F.struct(
         F.count("*").alias("n"), F.avg("length").alias("mean_length"),
         *[F.count_if(F.col(n) > 0).alias(n) for n in names]).alias("stats")).scalar()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tierwatch.constants import BM25_B, BM25_K1
 from tierwatch.functions.embedding import embed_literal
 from tierwatch.operators import lexical_search, similar_rows as similar, vector_search as vs
-from tierwatch.operators.hybrid_search import fuse
+from tierwatch.operators.hybrid_search import hybrid_scan_search
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, search_request as build_request
 from tierwatch.plans import standins as s
@@ -188,6 +188,24 @@ def index_search(spark, sf_dir):
     return _index(spark, sf_dir).lexical_search(spark, QUERY_TEXT, 20)
 
 
+_CHANGED = "CASE WHEN email_id % 2 = 0 THEN body ELSE subject END"
+
+
+@query(f"""
+WITH all_docs AS (WITH {s.SQL_DOCUMENTS} SELECT * FROM docs),
+docs AS (SELECT * REPLACE ({_CHANGED} AS body) FROM all_docs WHERE email_id % 7 <> 0),
+{_bm25()} {_ranked('bm25', 20)}""")
+def index_changed_messages(spark, sf_dir):
+    """All messages by their subjects, then half of them by their bodies; some are deleted, and the rest is compacted between."""
+    messages = s.documents(spark, sf_dir)
+    index = SearchIndex(scratch_path(spark, "search"), "messages", "email_id", "body", "subject", ["sender_dept"], buckets=8)
+    index.refresh(messages.withColumn("body", F.col("subject")), 0)
+    index.delete(messages.filter("email_id % 7 = 0"), 0)
+    index.compact(spark)
+    index.refresh(messages.filter("email_id % 2 = 0 AND email_id % 7 <> 0"), 1)
+    return index.lexical_search(spark, QUERY_TEXT, 20)
+
+
 def _fused(where: str = "TRUE", vector_where: str = "TRUE", k: int = 5) -> str:
     return f"""
 WITH {_VECTORS_SQL}, {_bm25(where)},
@@ -202,17 +220,10 @@ SELECT email_id, lr::INTEGER AS lexical_rank, vr::INTEGER AS vector_rank, round(
 FROM best WHERE rank <= {k}"""
 
 
-def _fuse_scan(spark, messages, k, filter_eq=None):
-    vectors = vs.build_vectors(messages, "email_id", "subject", "body", ["sender_dept"])
-    lexical = lexical_search.bm25_scores(messages, "email_id", "body", QUERY_TEXT, filter_eq)
-    vector = vs.vector_scores(vectors, embed_literal(QUERY_TEXT), "email_id", filter_eq=filter_eq)
-    return fuse(lexical, vector, "email_id", k)
-
-
 @query(_fused())
 def hybrid_search(spark, sf_dir):
     """Words and vectors fused by rank, straight from the message table."""
-    return _fuse_scan(spark, s.documents(spark, sf_dir), 5)
+    return hybrid_scan_search(s.documents(spark, sf_dir), "email_id", "subject", "body", QUERY_TEXT, 5)
 
 
 @query(_fused(k=20))

@@ -69,3 +69,50 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder on any Hadoop file system; false when there was none."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of any Hadoop file system; none if there is no such folder."""
+    files, location = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(location)] if files.exists(location) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, location = _file_system(spark, path)
+    stream = files.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with all of its content at once; false, and nothing done, if there is one already.
+
+    The content is written aside and renamed. The rename must fail where the name is taken, as it does on HDFS; a
+    store without such a rename needs one writer at a time.
+    """
+    from py4j.protocol import Py4JJavaError
+
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    files, location = _file_system(spark, aside)
+    stream = files.create(location, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    none = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 0)
+    context = hadoop.FileContext.getFileContext(location.toUri() if location.toUri().getScheme() else files.getUri(),
+                                                spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(files.makeQualified(location), files.makeQualified(hadoop.Path(path)), none)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        files.delete(location, False)
+        return False
