@@ -282,7 +282,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
                 if rows:
                     yield key[0], rows
                 key, rows = (leader, part, block), []
-            rows.append((role, name, text, leaders))
+            # The text of a class may be stored any number of times; one is enough.
+            if not rows or rows[-1][:2] != (role, name):
+                rows.append((role, name, text, leaders))
     if rows:
         yield key[0], rows
 
@@ -308,7 +310,7 @@ def _compare(measure: Measure, count: bool, has_strays: bool):
                 bounds, hashes = shingle_sets(texts, measure.size)
                 for i, name in enumerate(class_of(bounds, hashes).tolist()):
                     role, wanted, _, leaders = rows[row + i]
-                    if name == wanted and (not names or name != names[-1]):  # a text may be stored more than once
+                    if name == wanted and (not names or name != names[-1]):
                         names.append(name)
                         sets.append(hashes[bounds[i]:bounds[i + 1]])
                         strays.append(role == 2)
@@ -473,11 +475,17 @@ links AS (
   SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
   JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
   GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (max(m.n) + max(n.n) - count(*))),
-reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
-SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.y) AS component_id
-FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reached r ON r.x = d.doc_id GROUP BY d.doc_id"""
+reached AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+named AS (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS name FROM shingles GROUP BY 1),
+counted AS (
+  SELECT l.x AS doc_id, count(DISTINCT theirs.name) AS n_links
+  FROM links l JOIN named ours ON ours.doc_id = l.x JOIN named theirs ON theirs.doc_id = l.y WHERE ours.name <> theirs.name GROUP BY 1)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.y) AS component_id, coalesce(max(c.n_links), 0) AS n_links
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN counted c USING (doc_id) LEFT JOIN reached r ON r.x = d.doc_id
+GROUP BY d.doc_id"""
 
 
 @query(SQL)
 def op3_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_sets(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    """The component of every document, and the number of other sets that its set is linked to."""
+    return join_sets(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
