@@ -25,8 +25,12 @@ def test_entry(spark):
     assert found.columns == ["ml_decision", "n", "violations", "pct", "violation_rate"] and found.count() == 3
 
 
-def test_every_query_has_a_twin():
-    assert set(ORACLES) == set(QUERIES) <= set(driver.queries())
+#: Trees are beyond SQL: tests/test_model.py holds these against a plain recount of the stored predictions.
+TWINLESS = {"train_score", "held_out_quality", "model_metrics"}
+
+
+def test_every_other_query_has_a_twin():
+    assert set(ORACLES) == set(QUERIES) - TWINLESS and set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

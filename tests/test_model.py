@@ -106,3 +106,76 @@ def test_from_csv_to_measured_quality(spark, folder):
     assert measured["total"] == 160 and measured["recall"] == 1.0
     asked = reviewed.tiered.filter("pipeline_action = 'LLM_ANALYSIS'")
     assert asked.count() > 0 and asked.filter("analysis is null").count() == 0
+
+
+def recount(rows, at_least):
+    tp = sum(r.is_violation == 1 for r in rows if at_least(r))
+    fp, fn = sum(map(at_least, rows)) - tp, sum(r.is_violation == 1 for r in rows) - tp
+    precision, recall = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn) if tp + fn else 0.0
+    return {"tp": tp, "fp": fp, "fn": fn, "tn": len(rows) - tp - fp - fn, "precision": precision, "recall": recall,
+            "f1": 2 * precision * recall / (precision + recall) if precision + recall else 0.0,
+            "accuracy": (len(rows) - fp - fn) / len(rows)}
+
+
+def test_model_queries_against_a_recount_of_the_predictions(spark):
+    from conftest import SF
+    from tierwatch.plans import suite_data
+
+    distribution = suite_data.train_score(spark, SF).collect()
+    trained = suite_data._retrained(spark, SF)
+    assert trained is suite_data._retrained(spark, SF)  # one training for all
+    predictions = trained[1].predictions.collect()
+    for r in distribution:
+        mine = [p for p in predictions if p.ml_decision == r.ml_decision]
+        bad = sum(p.is_violation for p in mine)
+        assert (r.n, r.violations, r.pct) == (len(mine), bad, pytest.approx(100 * len(mine) / len(predictions), abs=0.06))
+    assert sum(r.n for r in distribution) == len(predictions)
+    # A model that says the same of all rows has one decision only, and knows nothing of what it was shown.
+    assert len(distribution) > 1 and len({p.predict_proba_1 for p in predictions}) > 1
+    seen = [p for p in predictions if p.split == "train"]
+    shown = recount(seen, lambda p: p.predict_proba_1 >= 0.5)
+    assert shown["f1"] > 0.7
+
+    test = [p for p in predictions if p.split == "test"]
+    wanted = recount(test, lambda p: p.predict_proba_1 >= 0.5)
+    found = suite_data.held_out_quality(spark, SF).first().asDict()
+    assert {k: found[k] for k in wanted} == pytest.approx(wanted) and found["total"] == len(test)
+    metrics = {r.metric: r.value for r in suite_data.model_metrics(spark, SF).collect()}
+    assert metrics == pytest.approx({"accuracy": wanted["accuracy"], "precision": wanted["precision"], "recall": wanted["recall"],
+                                     "f1_score": wanted["f1"], "training_samples": len(seen), "test_samples": len(test)})
+
+
+def test_thresholds_against_plain_counts(spark):
+    import random
+
+    from tierwatch.operators import thresholds
+
+    choose = random.Random(3)
+    rows = [(choose.choice([0.1, 0.2, 0.5, 0.8, 1.0, choose.random()]), choose.random() < 0.3) for _ in range(300)] + [(0.5, True)] * 200
+    df = spark.createDataFrame([(s, int(t)) for s, t in rows] + [(None, 1), (float("nan"), 1), (0.3, None)], "score double, is_violation int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # several ranges, however few rows
+    try:
+        curve = thresholds.threshold_curve(df.repartition(3), "score")
+        got = {r.threshold: r for r in curve.collect()}
+        summary = thresholds.curve_summary(curve).first()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert set(got) == {s for s, _ in rows}
+    for at, r in got.items():
+        tp, fp = sum(s >= at and t for s, t in rows), sum(s >= at and not t for s, t in rows)
+        bad = sum(t for _, t in rows)
+        assert (r.tp, r.fp, r.fn, r.tn) == (tp, fp, bad - tp, len(rows) - bad - fp)
+        assert (r.precision, r.recall) == pytest.approx((tp / (tp + fp), tp / bad))
+    good, poor = [s for s, t in rows if t], [s for s, t in rows if not t]
+    wins = sum((a > b) + (a == b) / 2 for a in good for b in poor)
+    assert summary.area_under_roc == pytest.approx(wins / len(good) / len(poor))
+    best = max(got.values(), key=lambda r: (round(r.f1, 12), r.threshold))
+    assert (summary.best_threshold, summary.best_f1) == (best.threshold, pytest.approx(best.f1))
+    steps, before, area = sorted(got.values(), key=lambda r: -r.threshold), 0.0, 0.0
+    for r in steps:
+        area, before = area + (r.recall - before) * r.precision, r.recall
+    assert summary.average_precision == pytest.approx(area)
+    bins = {r.bin: r for r in thresholds.calibration(df, "score").collect()}
+    assert sum(r.n for r in bins.values()) == len(rows) and bins[9].n == sum(s >= 0.9 for s, _ in rows)
+    empty = thresholds.threshold_curve(df.limit(0), "score")
+    assert empty.count() == 0 and thresholds.curve_summary(empty).first().total is None

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F, types as T
 
 from tierwatch.constants import CATEGORIES
 from tierwatch.functions.text import first_token, iso_to_timestamp, timestamp_to_iso
-from tierwatch.operators import classifier, enrichment, evaluation, features, profiling, triage
+from tierwatch.operators import classifier, enrichment, evaluation, features, profiling, thresholds, triage
 from tierwatch.operators.asof import as_of_lookup
 from tierwatch.operators.registry import FeatureRegistry, FeatureView, ModelRegistry
 from tierwatch.operators.search_index import SearchIndex
 from tierwatch.functions.decisions import logistic_score, route
 from tierwatch.plans import standins as s
-from tierwatch.plans.flows import retrain
+from tierwatch.plans.flows import Retrained, retrain
 from tierwatch.plans.registered import query
 from tierwatch.plans.suite_search import QUERY_TEXT, _bm25, _ranked
 from tierwatch.session import scratch_path
@@ -202,25 +202,40 @@ def feature_view(spark, sf_dir):
     return loaded.withColumns({c: F.round(c, 6) for c in s.CONCEPTS})
 
 
-def _retrained(spark, sf_dir):
+#: Where the session's models of each data folder are: one training serves all queries about it.
+_MODELS: dict[tuple[str, str], tuple[ModelRegistry, Retrained]] = {}
+
+
+def _trained(spark, sf_dir):
     registry_root = scratch_path(spark, "registry")
     features_root = FeatureRegistry(registry_root)
     view = FeatureView("message_features", "message", ["email_id"], "ts")
     features_root.register(view, features.feature_view_columns(s.message_features(spark, sf_dir)), "V1")
     models = ModelRegistry(registry_root)
     result = retrain(features_root.load(spark, "message_features", "V1"), models, "classifier", "V1")
+    _MODELS[spark.sparkContext.applicationId, sf_dir] = models, result
     return models, result
 
 
+def _retrained(spark, sf_dir):
+    return _MODELS.get((spark.sparkContext.applicationId, sf_dir)) or _trained(spark, sf_dir)
+
+
 _SIDES = """WITH sided AS (
-  SELECT doc_id, toxic, CASE WHEN ('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT % 10000 < 8000
-                             THEN 'train' ELSE 'test' END AS split FROM labels JOIN documents USING (doc_id))"""
+  SELECT doc_id, toxic, text, CASE WHEN ('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT % 10000 < 8000
+                                   THEN 'train' ELSE 'test' END AS split FROM labels JOIN documents USING (doc_id))"""
+
+
+@query()
+def train_score(spark, sf_dir):
+    """Train, register, score every row, decide: the distribution of decisions, whose trees SQL does not have."""
+    return _trained(spark, sf_dir)[1].distribution
 
 
 @query(_SIDES + """
 SELECT split, count(*) AS n, count(*) AS n_scored, 0::BIGINT AS n_outside, 0::BIGINT AS n_other_class FROM sided GROUP BY 1""")
-def train_score(spark, sf_dir):
-    """Train, register, score every row: per side of the split, rows, probabilities, and classes that fit them."""
+def scored_sides(spark, sf_dir):
+    """Per side of the split: rows, probabilities, and classes that do not fit them."""
     chance = F.col("predict_proba_1")
     return _retrained(spark, sf_dir)[1].predictions.groupBy("split").agg(
         F.count("*").alias("n"), F.count("predict_proba_1").alias("n_scored"),
@@ -228,21 +243,34 @@ def train_score(spark, sf_dir):
         F.count_if((F.col("predicted_violation") == 1) != (chance > 0.5)).alias("n_other_class"))
 
 
-@query(_SIDES + """
-SELECT count(*) AS total, count(*) FILTER (toxic = 1) AS violations FROM sided WHERE split = 'test'""")
+@query()
 def held_out_quality(spark, sf_dir):
-    """Quality on the side of the split the model has not seen: what does not depend on the trees."""
-    found = classifier.evaluate(_retrained(spark, sf_dir)[1].predictions.filter("split = 'test'"))
-    return found.select((F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("total"),
-                        (F.col("tp") + F.col("fn")).alias("violations"))
+    """Confusion and quality on the side of the split that the model has not seen."""
+    return classifier.evaluate(_retrained(spark, sf_dir)[1].predictions.filter("split = 'test'"))
+
+
+def _separable(spark, sf_dir):
+    """A target that one of two features decides."""
+    long = (F.length("text") > 1500).cast("int")
+    return s.table(spark, sf_dir, "documents").select(
+        "doc_id", (long * 2.0 - 1.0).alias("decides"), (F.col("doc_id") % 7).cast("double").alias("noise"), long.alias("target"))
+
+
+@query(_SIDES.replace("labels JOIN documents USING (doc_id)", "documents").replace("toxic, ", "") + """,
+counts AS (SELECT count(*) AS total, count(*) FILTER (length(text) > 1500) AS tp, 0::BIGINT AS fp, 0::BIGINT AS fn,
+                  count(*) FILTER (length(text) <= 1500) AS tn FROM sided WHERE split = 'test')
+SELECT *, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1, 1.0::DOUBLE AS accuracy FROM counts""")
+def held_out_separable(spark, sf_dir):
+    """Quality on the unseen side where the target can be learnt: no error is allowed."""
+    rows = classifier.hash_split(_separable(spark, sf_dir), "doc_id")
+    model = classifier.train(rows.filter("split = 'train'"), ["decides", "noise"], "target", n_trees=20)
+    return classifier.evaluate(classifier.score(model, rows.filter("split = 'test'")), "target")
 
 
 @query("""SELECT doc_id, CASE WHEN length(text) > 1500 THEN 1 ELSE 0 END AS predicted FROM documents""")
 def train_separable(spark, sf_dir):
     """A target that one feature decides is learnt without an error."""
-    long = (F.length("text") > 1500).cast("int")
-    rows = s.table(spark, sf_dir, "documents").select(
-        "doc_id", (long * 2.0 - 1.0).alias("decides"), (F.col("doc_id") % 7).cast("double").alias("noise"), long.alias("target"))
+    rows = _separable(spark, sf_dir)
     model = classifier.train(rows, ["decides", "noise"], "target", n_trees=20)
     return classifier.score(model, rows).select("doc_id", F.col("predicted_violation").alias("predicted"))
 
@@ -257,12 +285,53 @@ def model_registry(spark, sf_dir):
                     F.count_if(F.abs(F.col("predict_proba_1") - F.col("first")) > 1e-12).alias("n_different"))
 
 
-@query(_SIDES + """
-SELECT 'classifier' AS name, 'V1' AS version, replace(split, 'train', 'training') || '_samples' AS metric,
-       count(*)::DOUBLE AS value FROM sided GROUP BY split""")
+@query()
 def model_metrics(spark, sf_dir):
-    """Metrics of the registered model versions: the sizes of both sides."""
-    return _retrained(spark, sf_dir)[0].metrics(spark).filter(F.col("metric").isin("training_samples", "test_samples"))
+    """All metrics of the registered model versions."""
+    return _retrained(spark, sf_dir)[0].metrics(spark)
+
+
+_CURVE = f"""WITH {s.SQL_PREDICTIONS},
+counted AS (
+  SELECT round(violation_probability, 2) AS threshold, count(*) AS n, count(*) FILTER (is_violation = 1) AS p FROM predictions GROUP BY 1),
+sums AS (
+  SELECT threshold, n, p, sum(p) OVER down AS tp, sum(n - p) OVER down AS fp, sum(p) OVER () AS ps, sum(n - p) OVER () AS ns
+  FROM counted WINDOW down AS (ORDER BY threshold DESC)),
+curve AS (
+  SELECT *, {s.sql_ratio("tp", "tp + fp")} AS precision, {s.sql_ratio("tp", "ps")} AS recall FROM sums),
+scored_curve AS (SELECT *, {s.sql_ratio("2 * precision * recall", "precision + recall")} AS f1 FROM curve)"""
+
+
+def _curve(spark, sf_dir):
+    scored = s.predictions(spark, sf_dir).withColumn("score", F.round("violation_probability", 2))
+    return scored, thresholds.threshold_curve(scored, "score")
+
+
+@query(_CURVE + """
+SELECT threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, (ps - tp)::BIGINT AS fn, (ns - fp)::BIGINT AS tn,
+       round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1 FROM scored_curve""")
+def threshold_curve(spark, sf_dir):
+    """Quality at every threshold."""
+    return _curve(spark, sf_dir)[1].select("threshold", "tp", "fp", "fn", "tn", *(F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")))
+
+
+@query(_CURVE + f"""
+SELECT sum(n)::BIGINT AS total, sum(p)::BIGINT AS positives, round({s.sql_ratio("sum(p * precision)", "sum(p)")}, 9) AS average_precision,
+       round({s.sql_ratio("sum((n - p) * (tp - p / 2.0::DOUBLE))", "sum(p)::DOUBLE * sum(n - p)")}, 9) AS area_under_roc,
+       arg_max(threshold, round(f1, 12) * 1000 + threshold / 1000000) AS best_threshold, round(max(f1), 9) AS best_f1 FROM scored_curve""")
+def curve_summary(spark, sf_dir):
+    """Areas under the curves and the best threshold."""
+    found = thresholds.curve_summary(_curve(spark, sf_dir)[1])
+    return found.withColumns({c: F.round(c, 9) for c in ("average_precision", "area_under_roc", "best_f1")})
+
+
+@query(f"""WITH {s.SQL_PREDICTIONS}
+SELECT least(floor(violation_probability * 10), 9)::INTEGER AS bin, count(*) AS n, round(avg(violation_probability), 6) AS mean_score,
+       round(avg(CASE WHEN is_violation = 1 THEN 1.0::DOUBLE ELSE 0 END), 6) AS violation_rate FROM predictions GROUP BY 1""")
+def calibration(spark, sf_dir):
+    """Mean score and violation rate of each tenth of the scores."""
+    found = thresholds.calibration(s.predictions(spark, sf_dir), "violation_probability")
+    return found.withColumns({c: F.round(c, 6) for c in ("mean_score", "violation_rate")})
 
 
 def _event_stream(spark, sf_dir):
