@@ -228,6 +228,50 @@ def test_a_failed_answer_is_asked_again(spark, tmp_path):
     assert sorted(f.name for f in calls.iterdir()) == ["p1", "p2"]
 
 
+def test_a_completer_that_dies_leaves_what_it_has_answered(spark, tmp_path):
+    """It dies after half of the rows; the next run asks for the other half only."""
+    keys = spark.range(40).coalesce(1)
+    calls, store, yes = tmp_path / "calls", str(tmp_path / "answers"), good()
+    calls.mkdir()
+
+    def completer(limit):
+        def answer(prompts):
+            if len(list(calls.iterdir())) >= limit:
+                raise RuntimeError("out of service")
+            for p in prompts:
+                (calls / p).write_text((calls / p).read_text() + "x" if (calls / p).exists() else "x")
+            return [yes for _ in prompts]
+        return answer
+
+    def run(limit):
+        return enrichment.complete_missing(keys, "id", lambda todo: todo.withColumn("prompt", F.concat(F.lit("p"), "id")), completer(limit),
+                                           store, call_rows=5)
+
+    with pytest.raises(Exception, match="out of service"):
+        run(20)
+    assert enrichment.latest_answers(spark, store, "id").count() == 20
+    assert run(1000).count() == 40
+    assert {f.read_text() for f in calls.iterdir()} == {"x"} and len(list(calls.iterdir())) == 40
+    assert {(r.attempts, r.reason) for r in enrichment.attempt_report(spark, store, "id").collect()} == {(1, None)}
+    run(0)  # nothing is left to ask
+
+
+def test_attempts_are_limited_and_reported(spark, tmp_path):
+    keys, store = spark.createDataFrame([(1,), (2,), (3,)], "id int"), str(tmp_path / "answers")
+    asked, yes = tmp_path / "asked", good()
+
+    def completer(prompts):
+        with asked.open("a") as log:
+            log.writelines(f"{p}\n" for p in prompts)
+        return [None if p == "p1" else "no json" if p == "p2" else yes for p in prompts]
+
+    for _ in range(4):
+        enrichment.complete_missing(keys, "id", lambda todo: todo.withColumn("prompt", F.concat(F.lit("p"), "id")), completer, store, max_attempts=2)
+    assert sorted(asked.read_text().split()) == ["p1", "p1", "p2", "p2", "p3"]
+    assert {tuple(r) for r in enrichment.attempt_report(spark, store, "id").collect()} == {
+        (1, 2, "no answer"), (2, 2, "unusable answer"), (3, 1, None)}
+
+
 def test_a_wrong_answer_count_is_an_error(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, prompt string").coalesce(1)
     with pytest.raises(Exception):

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from tierwatch.functions.decisions import logistic_score, route
 from tierwatch.operators import features, triage
 from tierwatch.operators.search_index import SearchIndex
 from tierwatch.sources import schemas
-from tierwatch.streaming import refresh
+from tierwatch.streaming import keyed_table, refresh
 
 START = datetime(2024, 1, 1)
 
@@ -148,3 +149,81 @@ def test_no_text_goes_through_the_state(spark, folder, arrive):
     plan = refresh.first_of_each(keep(source(spark, folder)), ["email_id"], "sent_at")._jdf.queryExecution().logical().toString()
     above, below = plan.split("MapInArrow", 1)
     assert "DeduplicateWithinWatermark" in above and "body" not in above and "body" in below
+
+
+HOUR = timedelta(hours=1)
+
+
+def plain_table(batches, keep, delay=None):
+    """Rows by key and late rows of batches of (key, time, value)."""
+    rows, late, newest = {}, [], None
+    for batch in batches:
+        horizon = newest - delay if newest and delay else None
+        for key, at, value in batch:
+            if horizon and at < horizon:
+                late.append((key, at, value))
+                continue
+            rows.setdefault(key, set()).add((at, value))
+        newest = max([at for _, at, _ in batch] + [newest] * bool(newest))
+    pick = max if keep == "latest" else min
+    return {k: pick(at for at, _ in v) for k, v in rows.items()}, rows, sorted(late)
+
+
+@pytest.mark.parametrize("keep", ["latest", "earliest"])
+def test_a_keyed_table_does_not_depend_on_batches(spark, folder, keep):
+    choose = random.Random(5)
+    rows = [(f"k{choose.randint(0, 30)}", START + choose.randint(0, 40) * HOUR, choose.choice("abc")) for _ in range(150)]
+    rows += [("hot", START + HOUR, "a")] * 60
+    found = []
+    for size in (210, 70, 35):
+        table = keyed_table.KeyedTable(f"{folder}/{size}", ["id"], "at", keep, buckets=4)
+        for n, i in enumerate(range(0, len(rows), size)):
+            df = spark.createDataFrame(rows[i:i + size] + [(None, START, "x"), ("n", None, "x")], "id string, at timestamp_ntz, value string")
+            table.upsert(df.repartition(3), n)
+        found.append(sorted(map(tuple, table.rows(spark).select("id", "at", "value").collect())))
+        state = table.version(spark)
+        assert (state.rows_in, state.stored, state.repeats, state.late) == (210, len(found[0]), 210 - len(found[0]), 0)
+        choose.shuffle(rows)
+    times, values, _ = plain_table([rows], keep)
+    assert found[0] == found[1] == found[2]
+    assert {k: at for k, at, _ in found[0]} == times and all((at, v) in values[k] for k, at, v in found[0])
+
+
+def test_late_rows_stay_readable_and_nothing_else_is_lost(spark, folder):
+    table = keyed_table.KeyedTable(folder, ["id"], "at", delay=10 * HOUR, buckets=8)
+    batches = [[("a", START + 20 * HOUR, "1"), ("b", START, "2")], [("c", START + 5 * HOUR, "3"), ("a", START + 12 * HOUR, "4"), ("d", START + 10 * HOUR, "5")],
+               [("b", START + 40 * HOUR, "6")], [("e", START + 29 * HOUR, "7"), ("e", START + 29 * HOUR, "7"), ("b", START + 41 * HOUR, "8")]]
+    schema = "id string, at timestamp_ntz, value string"
+    for n, rows in enumerate(batches):
+        table.upsert(spark.createDataFrame(rows, schema), n)
+        if n == 1:
+            assert [(r.id, r.change) for r in table.changes(spark, 1).collect()] == [("d", "insert")]
+    times, _, late = plain_table(batches, "latest", 10 * HOUR)
+    assert {r.id: r["at"] for r in table.rows(spark).collect()} == times
+    assert sorted((r.id, r["at"], r.value) for r in table.late_rows(spark).collect()) == late and len(late) == 3
+    state = table.version(spark)
+    assert state.rows_in == 9 == state.stored + state.repeats + state.late
+    assert [(r.id, r.value, r.change) for r in table.changes(spark, 3).collect()] == [("b", "8", "update")]
+    # A batch that is tried again changes nothing, and a batch touches its own buckets only.
+    assert table.upsert(spark.createDataFrame(batches[3], schema), 3) == state
+    before = table.version(spark).folders
+    after = table.upsert(spark.createDataFrame([("b", START + 50 * HOUR, "9")], schema), 4).folders
+    assert len(before) > 1 and sum(before[b] != after[b] for b in before) == 1
+
+
+def test_a_stream_follows_changes(spark, folder, arrive):
+    """A message that comes again with another text gets new features; a second run finds nothing to do."""
+    table = keyed_table.KeyedTable(folder + "/table", ["email_id"], "sent_at", delay=timedelta(days=30), buckets=4)
+
+    def follow():
+        return keyed_table.follow(source(spark, folder), lambda df: df.select("email_id", "sent_at", F.length("body").alias("n")), table, folder + "/check")
+
+    arrive([message(1, 40, "report"), message(2, 40, "report")])
+    arrive([message(1, 41, "a longer report"), message(3, 41)])
+    arrive([message(2, 1, "much too late"), message(1, 39, "older than that")])
+    report = follow()
+    assert (report.rows_in, report.rows_dropped_late) == (6, 1) and follow().rows_in == 0
+    assert {r.email_id: r.n for r in table.rows(spark).collect()} == {"m1": 15, "m2": 6, "m3": 6}
+    assert [(r.email_id, r.n) for r in table.late_rows(spark).collect()] == [("m2", 13)]
+    arrive([message(3, 42, "")])
+    assert follow().batches == 1 and {r.email_id: r.n for r in table.rows(spark).collect()}["m3"] == 0

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,10 +15,14 @@ from tierwatch.constants import (
 )
 from tierwatch.functions.text import contains_any, fill_template, preview, route_label
 from tierwatch.sources.schemas import ANALYSIS
+from tierwatch.sources.task_files import append_file, qualified, read_files
 
-# A completer gets the prompts of one Arrow batch and returns one answer per prompt.
+# A completer gets some prompts and returns one answer per prompt.
 Completer = Callable[[list[str]], Sequence[str]]
 
+#: Prompts of one call, whose answers are stored together.
+CALL_ROWS = 256
+
 # What the categories stand for, in the words of this library.
 CATEGORY_MEANINGS = (
     "Insider trading: trading on, or passing on, facts that the market does not know. "
@@ -138,39 +143,84 @@ def latest_answers(spark: SparkSession, store: str, key: str, answer: str = "ans
     return spark.read.parquet(store).groupBy(key).agg(last.alias("_last")).select(key, f"_last.{answer}")
 
 
+def _usable(answer: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda rows: parse_analysis(rows, answer).accepted
+
+
 def unanswered(df: DataFrame, key: str, store: str, answer: str = "answer",
-               usable: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+               usable: Callable[[DataFrame], DataFrame] | None = None, max_attempts: int | None = None) -> DataFrame:
     """Rows whose key has no usable answer yet. Apply it before texts are joined in.
 
     ``usable`` keeps the stored rows that need not be asked again; by default those that
-    ``parse_analysis`` accepts. A null answer is never usable.
+    ``parse_analysis`` accepts. A null answer is never usable. With ``max_attempts``, keys that were
+    asked so often are given up; ``attempt_report`` names them.
     """
     stored = _attempts(df.sparkSession, store)
     if stored is None:
         return df
-    keep = usable or (lambda rows: parse_analysis(rows, answer).accepted)
-    return df.join(keep(stored.filter(F.col(answer).isNotNull())).select(key).distinct(), key, "left_anti")
+    done = (usable or _usable(answer))(stored.filter(F.col(answer).isNotNull())).select(key)
+    if max_attempts is not None:
+        asked = stored.groupBy(key).agg(F.countDistinct("attempt").alias("_attempts"))
+        done = done.union(asked.filter(F.col("_attempts") >= max_attempts).select(key))
+    return df.join(done.distinct(), key, "left_anti")
+
+
+def attempt_report(spark: SparkSession, store: str, key: str, answer: str = "answer",
+                   usable: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``(key, attempts, reason)``: how often each key was asked, and what is wrong with its last answer; null if a usable one is there."""
+    stored = spark.read.parquet(store)
+    good = (usable or _usable(answer))(stored.filter(F.col(answer).isNotNull())).select(key).distinct().withColumn("_good", F.lit(True))
+    last = F.max_by(F.col(answer).isNull(), F.struct("attempt", F.col(answer).isNotNull()))
+    counted = stored.groupBy(key).agg(F.countDistinct("attempt").alias("attempts"), last.alias("_none"))
+    reason = F.when(F.col("_good"), F.lit(None)).when(F.col("_none"), "no answer").otherwise("unusable answer")
+    return counted.join(good, key, "left").select(key, "attempts", reason.alias("reason"))
+
+
+def ask(df: DataFrame, key: str, prompt: str, completer: Completer, store: str, tasks: int | None = None,
+        call_rows: int = CALL_ROWS) -> int:
+    """Append the answers for all rows with a prompt to a store, under the next attempt number; how many were asked.
+
+    A task adds the answers of each call to the store before the next call, so a job that dies leaves what was
+    answered until then. A task that is tried again does not ask for what its first try has stored.
+    The store must be a folder that driver and executors share.
+    """
+    spark = df.sparkSession
+    stored = _attempts(spark, store)
+    last = stored.agg(F.max("attempt")).first()[0] if stored is not None else None
+    folder = f"{store.rstrip('/')}/attempt={(last or 0) + 1}"
+    narrow = df.filter(F.col(prompt).isNotNull()).select(key, prompt)
+    if tasks:
+        narrow = narrow.repartition(tasks, key)
+    # The folder and its columns, also if there is nothing to ask.
+    spark.createDataFrame([], T.StructType([narrow.schema[key], T.StructField("answer", T.StringType())])).coalesce(1).write.mode("append").parquet(folder)
+    target = qualified(spark, folder)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = f"part-{TaskContext.get().partitionId()}-of-"
+        before = {k for t in read_files(target, mine) for k in t.column(0).to_pylist()}
+        for batch in batches:
+            keys, prompts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            todo = [i for i, k in enumerate(keys) if k not in before]
+            for a in range(0, len(todo), call_rows):
+                some = todo[a:a + call_rows]
+                answers = [text for _, text in zip(some, completer([prompts[i] for i in some]), strict=True)]
+                append_file(target, mine, pa.table({key: batch.column(0).take(pa.array(some)), "answer": pa.array(answers, pa.string())}))
+            yield pa.RecordBatch.from_arrays([pa.array([len(todo)])], names=["asked"])
 
-def ask(df: DataFrame, key: str, prompt: str, completer: Completer, store: str, tasks: int | None = None) -> None:
-    """Append the answers for all rows with a prompt to a store, under the next attempt number."""
-    stored = _attempts(df.sparkSession, store)
-    last = stored.agg(F.max("attempt")).first()[0] if stored is not None else None
-    answers = complete(df.filter(F.col(prompt).isNotNull()), key, prompt, completer, tasks=tasks)
-    answers.withColumn("attempt", F.lit((last or 0) + 1)).write.mode("append").parquet(store)
+    return narrow.mapInArrow(run, "asked long").agg(F.coalesce(F.sum("asked"), F.lit(0))).first()[0]
 
 
 def complete_missing(keys: DataFrame, key: str, prompts: Callable[[DataFrame], DataFrame], completer: Completer,
-                     store: str, tasks: int | None = None,
-                     usable: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                     store: str, tasks: int | None = None, usable: Callable[[DataFrame], DataFrame] | None = None,
+                     max_attempts: int | None = None, call_rows: int = CALL_ROWS) -> DataFrame:
     """Ask for the keys without a usable answer, append what comes back, return the latest answers.
 
     ``prompts`` adds the column ``prompt`` to rows of ``keys``; it is called for the missing
     keys only, so texts are joined for those. A null prompt is not asked for. A failed
-    job leaves the store as it was, and running again asks only for the rest.
+    job keeps the answers it has got, and running again asks only for the rest.
     """
-    todo = unanswered(keys, key, store, usable=usable)
-    ask(prompts(todo), key, "prompt", completer, store, tasks)
+    todo = unanswered(keys, key, store, usable=usable, max_attempts=max_attempts)
+    ask(prompts(todo), key, "prompt", completer, store, tasks, call_rows)
     return latest_answers(keys.sparkSession, store, key)
 
 

@@ -18,6 +18,7 @@ from tierwatch.plans.suite_search import QUERY_TEXT, _bm25, _ranked
 from tierwatch.session import scratch_path
 from tierwatch.sources import catalog, contract, files, sinks
 from tierwatch.streaming import refresh
+from tierwatch.streaming.keyed_table import KeyedTable, follow
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -397,6 +398,23 @@ def stream_features(spark, sf_dir):
     return spark.read.parquet(out).drop("sent_at").withColumns({c: F.round(c, 6) for c in s.CONCEPTS})
 
 
+@query(f"""
+WITH {s.SQL_ALL_FEATURES}
+SELECT email_id, {", ".join(f"round({c}, 6) AS {c}" for c in s.CONCEPTS)}, 1::BIGINT AS version FROM features""")
+def stream_feature_changes(spark, sf_dir):
+    """Each message comes twice, the second time with its body: the features are those of the later one."""
+    def compute(df):
+        found = features.concept_features(df, F.concat("subject", F.lit(" "), "body"), s.CONCEPTS)
+        return found.select("email_id", "sent_at", "version", *s.CONCEPTS)
+
+    twice = _document_stream(spark, sf_dir).withColumn("version", F.explode(F.array(*(F.lit(v).cast("long") for v in (1, 0)))))
+    twice = twice.withColumns({"body": F.when(F.col("version") == 1, F.col("body")).otherwise(F.col("subject")),
+                               "sent_at": F.col("sent_at") + F.make_dt_interval(mins=F.col("version").cast("int"))})
+    table = KeyedTable(scratch_path(spark, "features"), ["email_id"], "sent_at", buckets=8)
+    follow(twice, compute, table, scratch_path(spark, "checkpoint"))
+    return table.rows(spark).drop("sent_at").withColumns({c: F.round(c, 6) for c in s.CONCEPTS})
+
+
 @query(f"WITH {s.SQL_DOCUMENTS}, {_bm25()} {_ranked('bm25', 20)}")
 def stream_index_search(spark, sf_dir):
     """A search over an index that a stream keeps up to date."""

@@ -46,7 +46,7 @@ def first_of_each(stream: DataFrame, key: Sequence[str], ts: str, delay: str = D
 
     A row that is later than ``delay`` behind the newest one is dropped; the run report
     counts such rows. The delay bounds the state. Rows of one key are expected to be
-    equal: which of them stays is not defined. Repeats within an Arrow batch leave before
+    equal: which of them stays is not defined; ``keyed_table`` defines it, and keeps late rows. Repeats within an Arrow batch leave before
     the shuffle to the state, so a key that arrives very often does not fill one task.
     Give it narrow rows: what it is given goes through that shuffle.
     """
