@@ -1,7 +1,9 @@
+import collections
+import random
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tierwatch.sources import catalog, contract, files, schemas, sinks
 
@@ -122,3 +124,35 @@ def test_function_and_file_inventory(spark, tmp_path):
 def test_rows_in_memory(spark):
     df = files.rows_to_table(spark, [(i, "t") for i in range(100)], "k long, t string")
     assert df.count() == 100 and df.columns == ["k", "t"]
+
+
+def csv_text(seed, n, ending="\n"):
+    choose = random.Random(seed)
+    cell = lambda: choose.choice(["", "plain", '""', '"a,b"', f'"line one{ending}line ""two"", é"', f'"{ending}{ending}"', '"x""y"', "😀", f'"{ending * choose.randint(1, 60)}"'])
+    rows = [",".join([str(i), cell(), cell()]) for i in range(n)]
+    rows.insert(n // 2, "")
+    rows.insert(n // 3, "7,too,many,cells")
+    return ending.join(["k,a,b", *rows]) + choose.choice(["", ending])
+
+
+@pytest.mark.parametrize("seed, ending", [(1, "\n"), (2, "\r\n"), (3, "\n")])
+def test_a_split_file_gives_the_rows_of_a_whole_one(spark, tmp_path, seed, ending):
+    """Line breaks in quotes, over many splits of one file, some of which lie in one value as a whole."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in range(2):
+        (folder / f"{i}.csv").write_bytes(csv_text(seed * 10 + i, 300, ending).encode())
+    (folder / "only.csv").write_bytes(b"k,a,b")
+    schema = T.StructType.fromDDL("k int, a string, b string")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("300", "10000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            whole, by_splits = (files.read_csv(spark, str(folder), schema, split=split) for split in (False, True))
+            for a, b in zip(whole, by_splits):
+                assert collections.Counter(map(tuple, b.drop("loaded_at").collect())) == collections.Counter(map(tuple, a.drop("loaded_at").collect()))
+            if size == "300":
+                assert by_splits.accepted.rdd.getNumPartitions() > 20 > whole.accepted.rdd.getNumPartitions()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert whole.rejected.count() == 2

@@ -7,36 +7,38 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tierwatch.sources.contract import Checked, conform
+from tierwatch.sources.csv_records import csv_records
 from tierwatch.sources.schemas import MESSAGES, REJECT_REASON, TRAINING_PAIRS
 
 _CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             lengths: Mapping[str, int] | None = None, multi_line: bool = True) -> Checked:
+             lengths: Mapping[str, int] | None = None, multi_line: bool = True, split: bool = False) -> Checked:
     """CSV with a header, optional quotes and empty values as null, split by ``schema``.
 
     Every value is read as text and cast by the contract, so a bad row is kept with its
-    reason instead of vanishing. A file with line breaks inside quotes cannot be split:
-    Spark reads one such file per task, so feed many files rather than a huge one, or
-    pass ``multi_line=False`` for files without such values.
+    reason instead of vanishing. Spark reads a file with line breaks inside quotes in one task.
+    ``split`` reads it in many, at the price of reading it twice; see ``csv_records`` for what it asks of quotes.
+    ``multi_line=False`` is for files without such values.
     """
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
                               + [T.StructField(_CORRUPT, T.StringType())])
-    raw = spark.read.csv(
-        path, schema=raw_schema, header=True, sep=",", quote='"', escape='"',
-        multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT,
-        nullValue="", emptyValue="", enforceSchema=True,
-    )
+    options = dict(sep=",", quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, nullValue="", emptyValue="")
+    if split:
+        parsed = F.from_csv("record", F.lit(raw_schema.toDDL()), options)
+        raw = csv_records(spark, path).select(parsed.alias("_row")).select("_row.*")
+    else:
+        raw = spark.read.csv(path, schema=raw_schema, header=True, multiLine=multi_line, enforceSchema=True, **options)
     cells = {f.name: F.nullif(F.col(f.name), F.lit("")) for f in schema.fields}
     marked = raw.withColumns(cells).withColumn(
         REJECT_REASON, F.when(F.col(_CORRUPT).isNotNull(), "wrong number of columns"))
     return conform(marked, schema, lengths)
 
 
-def read_messages(spark: SparkSession, path: str, multi_line: bool = True) -> Checked:
+def read_messages(spark: SparkSession, path: str, multi_line: bool = True, split: bool = False) -> Checked:
     """The message table from CSV: ``(accepted, rejected)``."""
-    return read_csv(spark, path, MESSAGES, multi_line=multi_line)
+    return read_csv(spark, path, MESSAGES, multi_line=multi_line, split=split)
 
 
 def read_pairs(spark: SparkSession, path: str) -> Checked:
