@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from tierwatch.constants import CONCEPTS, EMBEDDING_DIM
 from tierwatch.functions import decisions, ratios, text
 from tierwatch.functions.embedding import HashedWords, embed, embed_literal, similarities, term_counts, unit_rows, word_counts
+from tierwatch.functions.once import with_once
 from tierwatch.functions.vectors import cosine, cosine_to, has_length
+from tierwatch.operators.features import concept_features
+from tierwatch.operators.vector_search import build_vectors
 
 
 def values(df, *columns):
@@ -132,12 +135,28 @@ def test_a_custom_embedder_is_called_once_per_row(spark):
             return np.array([[float(len(t)), 1.0] for t in texts.to_pylist()])
 
     df = spark.createDataFrame([("abc",)], "t string")
-    scored = df.select(similarities(F.col("t"), {"x": "abc", "y": ""}, Lengths()).alias("s")).select("s.*").filter("x > 0.5")
+    scored = with_once(df, similarities(F.col("t"), {"x": "abc", "y": ""}, Lengths()), "x", "y").filter("x > 0.5")
     row = scored.first()
     assert row["x"] == pytest.approx(1.0) and row["y"] == pytest.approx(1 / math.sqrt(10))
     assert scored._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_filters_after_a_costly_column_reach_the_scan(spark, tmp_path):
+    """A cheap filter that is written after the call goes below it; one on its result does not repeat it."""
+    rows = [(i, "merger tip" if i % 2 else None, "s", "x" if i < 3 else "y") for i in range(9)]
+    spark.createDataFrame(rows, "email_id int, body string, subject string, dept string").write.parquet(str(tmp_path / "m"))
+    messages = spark.read.parquet(str(tmp_path / "m"))
+    named = {"mine": "merger tip"}
+    for found in (concept_features(messages, F.col("body"), named).filter("dept = 'x' AND mine > 0.5"),
+                  build_vectors(messages, "email_id", "subject", "body", ["dept"]).filter("dept = 'x' AND embedding IS NOT NULL")):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert text.count("ArrowEvalPython") == 1 and "EqualTo(dept,x)" in text
+        assert [r["email_id"] for r in found.collect()] == [1]
+    replaced = concept_features(messages.withColumn("mine", F.lit("old")), F.col("body"), named)
+    assert replaced.columns == ["email_id", "body", "subject", "dept", "mine"] and dict(replaced.dtypes)["mine"] == "double"
+    assert replaced.count() == 9 and replaced.filter("mine IS NULL").count() == 5
+
+
 def test_cosine_edges(spark):
     rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0]), (5, [3.0, 4.0]), (6, [None, 1.0])]
     df = spark.createDataFrame(rows, "id int, v array<float>")

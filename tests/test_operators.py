@@ -286,3 +286,24 @@ def test_uncertain_filters_before_the_join(messages):
     report = enrichment.analysis_report(gate.withColumn("analysis", F.lit("x"))).orderBy("email_id").collect()
     assert [r["communication"] for r in report] == [None, None, "Legal -> Legal"]
     assert CONCEPTS.keys() <= set(features.message_features(messages).columns)
+
+
+def test_profiles_of_batches_merge_to_those_of_all_rows(spark, tmp_path):
+    from tierwatch.operators.profile_store import ProfileStore
+
+    rows = [(i, None if i % 10 == 0 else f"t{i % 400}", float(i) if i % 4 else None, "x") for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, subject string, value double, n string").repartition(5)
+    store = ProfileStore(str(tmp_path / "profiles"))
+    for batch in range(4):
+        store.add(df.filter(f"id % 4 = {batch}"), batch, ["subject", "n"], ["value"])
+    store.add(df.filter("id % 4 = 1"), 1, ["subject", "n"], ["value"])  # the batch again changes nothing
+    found = {r["column"]: r for r in store.merged(spark).collect()}
+    assert {c: (r["n"], r["n_null"]) for c, r in found.items()} == {"subject": (2000, 200), "value": (2000, 500), "n": (2000, 0)}
+    assert found["n"]["n_distinct"] == 1 and abs(found["subject"]["n_distinct"] - 360) <= 12 and abs(found["value"]["n_distinct"] - 1500) <= 48
+    assert found["subject"]["uniqueness"] == pytest.approx(found["subject"]["n_distinct"] / 1800)
+    values = sorted(v for _, _, v, _ in rows if v is not None)
+    for rank, got in zip((0.1, 0.5, 0.9), found["value"]["quantiles"]):
+        assert abs(sum(v <= got for v in values) / len(values) - rank) <= 0.01
+    assert found["subject"]["quantiles"] is None
+    one = {r["column"]: r for r in store.merged(spark, batches=[0]).collect()}
+    assert one["value"]["n"] == 500 and one["value"]["n_null"] == 500 and one["value"]["quantiles"] is None and one["value"]["n_distinct"] == 0

@@ -13,6 +13,7 @@ from tierwatch.operators import lexical_search, similar_rows as lsh, vector_sear
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, list_indexes
+from tierwatch.operators.vector_index import VectorIndex
 from tierwatch.session import create_text, file_names, read_text
 
 WORDS = "merger tip report meeting fund trade desk price quiet delete".split()
@@ -419,3 +420,28 @@ def test_graph_of_copies_zeros_and_bad_rows(spark):
     assert not {10_020, 10_021, None} & {x for r in whole for x in r[:2]}
     assert lsh.more_like_graph(given.limit(0), 3, "vec_id", dim=64).count() == 0
     assert lsh.more_like_graph(given.limit(1), 3, "vec_id").count() == 0
+
+
+def test_a_stored_vector_index_covers_every_row(spark, folder):
+    """Clusters, copies, zeros and bad rows: few cells give nearly all answers, all cells the exact ones."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    rows = [(i, [float(x) for x in (centres[0] if i % 3 == 0 else centres[i % 12] + rng.normal(scale=0.4, size=16))]) for i in range(600)]
+    bad = [(900, None), (901, [1.0]), (902, [float("nan")] * 16), (None, [1.0] * 16)]
+    df = spark.createDataFrame(rows + [(903, [0.0] * 16)] + bad, "id long, embedding array<double>").repartition(4)
+    index = VectorIndex(folder + "/index", "id", cells=12, parts=4)
+    index.build(df, sample_rows=200)
+    stored = spark.read.parquet(folder + "/index/codes")
+    assert sorted(r.id for r in stored.collect()) == [*range(600), 903]
+    asked = df.filter("id % 20 = 1 OR id > 899")
+    exact = vs.vector_search_many(df, asked, 5, "id", "id", exclude_self=True).collect()
+    every = index.search_many(asked, 5, "id", probes=12, rescored=None, exclude_self=True).collect()
+    assert sorted(map(tuple, every)) == sorted(map(tuple, exact))
+    some = {r[:2] for r in index.search_many(asked, 6, "id", probes=4, exclude_self=True).filter("rank <= 5").collect()}
+    near = [r for r in exact if r.query_id != 903]
+    assert sum(r[:2] in some for r in near) >= 0.9 * len(near)
+    found = index.search(spark, rows[1][1], 3, probes=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.first()["id"] == 1 and "PartitionFilters: [cell" in plan
+    with pytest.raises(ValueError):
+        index.search_many(spark.range(3000).select("id", F.array(F.lit(1.0)).alias("embedding")), 1, "id")

@@ -4,9 +4,8 @@ An embedder turns an Arrow array of texts into a matrix. It runs inside Arrow UD
 Spark decides how rows are partitioned and batched, and each text is embedded once per
 row whatever the number of concepts it is compared with.
 
-The UDFs are marked non-deterministic although they are not: Spark then never evaluates
-one twice, once for a filter on its result and once for the result. The price is that a
-filter on other columns should be written before the call, not after it.
+The UDFs are deterministic, so that filters on other columns go below them. Where a result may be filtered,
+``once.with_once`` keeps Spark from computing it again for the filter.
 """
 
 from __future__ import annotations
@@ -88,7 +87,7 @@ def embed(text: Column, embedder: Embedder | None = None) -> Column:
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * chosen.dim
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pc.is_null(texts))
 
-    return encode.asNondeterministic()(text)
+    return encode(text)
 
 
 def embed_literal(text: str, embedder: Embedder | None = None) -> list[float]:
@@ -115,7 +114,7 @@ def similarities(text: Column, phrases: Mapping[str, str], embedder: Embedder |
         columns = [pa.array(scores[:, j], mask=missing) for j in range(len(names))]
         return pa.StructArray.from_arrays(columns, names=names)
 
-    return compare.asNondeterministic()(text)
+    return compare(text)
 
 
 def word_counts(text: Column, words: Sequence[str]) -> Column:
@@ -141,7 +140,7 @@ def word_counts(text: Column, words: Sequence[str]) -> Column:
         columns = [pa.array(table[:, j].astype(np.int32)) for j in range(len(names) + 1)]
         return pa.StructArray.from_arrays(columns, names=["length", *names])
 
-    return count.asNondeterministic()(text)
+    return count(text)
 
 
 def term_counts(text: Column) -> Column:
@@ -168,4 +167,4 @@ def term_counts(text: Column) -> Column:
         pairs = pa.StructArray.from_arrays([terms, counts], names=["term", "tf"])
         return pa.ListArray.from_arrays(offsets, pairs)
 
-    return count.asNondeterministic()(text)
+    return count(text)

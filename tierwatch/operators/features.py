@@ -13,6 +13,7 @@ from tierwatch.constants import (
 )
 from tierwatch.functions.decisions import cross_group_flag, violation_target
 from tierwatch.functions.embedding import Embedder, similarities
+from tierwatch.functions.once import with_once
 from tierwatch.functions.text import message_text, preview
 
 
@@ -22,8 +23,7 @@ def concept_features(df: DataFrame, text: Column, concepts: Mapping[str, str] =
 
     Row-wise: no shuffle, a row without words stays, and the same plan runs on a stream.
     """
-    scored = df.withColumn("_similarity", similarities(text, concepts, embedder))
-    return scored.withColumns({name: F.col("_similarity")[name] for name in concepts}).drop("_similarity")
+    return with_once(df, similarities(text, concepts, embedder), *concepts)
 
 
 def relative_scores(df: DataFrame, risks: Sequence[str] = RISK_COLUMNS,

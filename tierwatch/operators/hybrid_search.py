@@ -131,7 +131,7 @@ def _place(wanted: Sequence[Row], key: str) -> Column:
                 places[tied[rows]] += np.searchsorted(ids[block:last], names[rows], side="right")
         return pa.array(places.astype(np.int32))
 
-    return find.asNondeterministic()(F.col("score"), F.col(key)) if wanted else F.lit(0)
+    return find(F.col("score"), F.col(key)) if wanted else F.lit(0)
 
 
 def attach(hits: DataFrame, rows: DataFrame, key: str, columns: Sequence[str], limit: int) -> DataFrame:

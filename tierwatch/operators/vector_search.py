@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwatch.functions.embedding import Embedder, embed, unit_rows
+from tierwatch.functions.once import with_once
 from tierwatch.functions.text import message_text
 from tierwatch.functions.vectors import cosine_to, vector_rows
 
@@ -43,7 +44,8 @@ def build_vectors(messages: DataFrame, key: str, subject: str, body: str, attrib
     The whole body counts unless ``body_chars`` sets a limit.
     """
     text = message_text(F.col(subject), F.col(body), body_chars)
-    return messages.select(key, *attributes, embed(text, embedder).alias("embedding"))
+    made = F.struct(embed(text, embedder).alias("embedding"))
+    return with_once(messages, made, "embedding").select(key, *attributes, "embedding")
 
 
 def with_rank(top: DataFrame, *order: Column) -> DataFrame:
@@ -57,9 +59,9 @@ def vector_scores(vectors: DataFrame, query: Sequence[float], key: str, vector:
 
     Only the key, the vector and the filter columns are read.
     """
-    return (vectors.filter(equals(filter_eq))
-            .select(key, F.round(cosine_to(F.col(vector), query), SCORE_DIGITS).alias("score"))
-            .filter(F.col("score").isNotNull()))
+    rows = vectors.filter(equals(filter_eq)).select(key, F.col(vector).alias("_vector"))
+    score = F.round(cosine_to(F.col("_vector"), query), SCORE_DIGITS).alias("score")
+    return with_once(rows, F.struct(score), "score").select(key, "score").filter(F.col("score").isNotNull())
 
 
 def vector_search(vectors: DataFrame, query: Sequence[float], k: int, key: str, vector: str = "embedding",

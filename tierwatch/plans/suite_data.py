@@ -8,6 +8,7 @@ from tierwatch.constants import CATEGORIES
 from tierwatch.functions.text import first_token, iso_to_timestamp, timestamp_to_iso
 from tierwatch.operators import classifier, enrichment, evaluation, features, profiling, thresholds, triage
 from tierwatch.operators.asof import as_of_lookup
+from tierwatch.operators.profile_store import DISTINCT_ERROR, RANK_ERROR, ProfileStore
 from tierwatch.operators.registry import FeatureRegistry, FeatureView, ModelRegistry
 from tierwatch.operators.search_index import SearchIndex
 from tierwatch.functions.decisions import logistic_score, route
@@ -45,6 +46,29 @@ def profile_messages(spark, sf_dir):
     return found.withColumn("unique_ratio", F.round("unique_ratio", 9))
 
 
+@query("""
+SELECT 'n_chars' AS "column", count(*) AS n, count(*) - count(n_chars) AS n_null, TRUE AS distinct_is_close, TRUE AS quantiles_are_close FROM documents
+UNION ALL SELECT 'text', count(*), count(*) - count(text), TRUE, NULL FROM documents
+UNION ALL SELECT 'source', count(*), count(*) - count(source), TRUE, NULL FROM documents""")
+def profile_batches(spark, sf_dir):
+    """Profiles of four batches, merged from their sketches and held against exact figures: within four standard errors."""
+    docs, store = s.table(spark, sf_dir, "documents"), ProfileStore(scratch_path(spark, "profiles"))
+    for batch in range(4):
+        store.add(docs.filter(F.pmod("doc_id", F.lit(4)) == batch), batch, ["text", "source"], ["n_chars"])
+    found = store.merged(spark)
+    near = found.filter(F.col("column") == "n_chars").first()["quantiles"]
+    share = lambda flag: F.avg(flag.cast("double"))
+    ranks = docs.agg(F.array(*(F.struct(share(F.col("n_chars") < q).alias("below"), share(F.col("n_chars") <= q).alias("upto")) for q in near)).alias("r"))
+    slack = 2 * RANK_ERROR
+    close = [(F.col("r")[i]["below"] <= p + slack) & (F.col("r")[i]["upto"] >= p - slack) for i, p in enumerate((0.1, 0.5, 0.9))]
+    exact = docs.agg(*(F.count_distinct(c).alias(c) for c in ("n_chars", "text", "source")))
+    truth = exact.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in ("n_chars", "text", "source")))))
+    quantiles = ranks.select(F.lit("n_chars").alias("column"), (close[0] & close[1] & close[2]).alias("quantiles_are_close"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * DISTINCT_ERROR * F.col("exact"))
+    return found.join(truth, "column").join(quantiles, "column", "left").select(
+        "column", "n", "n_null", off.alias("distinct_is_close"), "quantiles_are_close")
+
+
 @query("SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1 HAVING count(*) > 1")
 def unique_key_violations(spark, sf_dir):
     return profiling.unique_key_violations(s.table(spark, sf_dir, "conversations"), ["conv_id"])

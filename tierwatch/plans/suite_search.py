@@ -12,6 +12,7 @@ from tierwatch.operators import lexical_search, similar_rows as similar, vector_
 from tierwatch.operators.hybrid_search import hybrid_scan_search
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, search_request as build_request
+from tierwatch.operators.vector_index import VectorIndex
 from tierwatch.plans import standins as s
 from tierwatch.plans.registered import query
 from tierwatch.session import scratch_path
@@ -109,6 +110,27 @@ def more_like_lsh(spark, sf_dir):
     return _recall(spark, sf_dir, similar.more_like_lsh)
 
 
+@query("""
+SELECT count(*) AS n_queries, 3 * count(*) AS n_wanted, TRUE AS recall_is_enough, 0::BIGINT AS n_not_exact, 3 * count(*) AS n_of_all_cells
+FROM embeddings WHERE vec_id % 20 = 0""")
+def vector_index_search(spark, sf_dir):
+    """A stored vector index: nine in ten of the nearest rows from half of the cells, all of them from all cells."""
+    vectors = _vectors(spark, sf_dir)
+    index = VectorIndex(scratch_path(spark, "vectors"), "vec_id", cells=16)
+    index.build(vectors)
+    asked = vectors.filter("vec_id % 20 = 0")
+    exact = vs.vector_search_many(vectors, asked, 3, "vec_id", "vec_id", exclude_self=True)
+    some, every = (index.search_many(asked, 4, "vec_id", probes=p, rescored=r, exclude_self=True).filter("rank <= 3")
+                   .select("query_id", "vec_id", F.col("rank").alias(name), F.col("similarity").alias(f"{name}_similarity"))
+                   for p, r, name in ((11, 60, "found"), (16, None, "all_cells")))
+    met = exact.join(some, ["query_id", "vec_id"], "left").join(every, ["query_id", "vec_id"], "left")
+    same = (F.col("rank") == F.col("all_cells")) & (F.col("similarity") == F.col("all_cells_similarity"))
+    return met.agg(F.countDistinct("query_id").alias("n_queries"), F.count("*").alias("n_wanted"),
+                   (F.count("found") >= 0.9 * F.count("*")).alias("recall_is_enough"),
+                   F.count_if((F.col("found_similarity") != F.col("similarity")) | ~same).alias("n_not_exact"),
+                   F.count("all_cells").alias("n_of_all_cells"))
+
+
 _TEXT = "subject || ' ' || body"
 
 
