@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 #: Postings in a block, at most.
@@ -32,37 +34,65 @@ def schema(messages: T.StructType, key: str, attributes: Sequence[str]) -> T.Str
 def pack(messages: DataFrame, key: str, attributes: Sequence[str], buckets: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Blocks of the words of ``key, terms, length, since, attributes``, dealt by bucket.
 
-    Postings are sorted by word and key; a block is a run of one word. Beside it stand the postings that no other one of
+    Each batch of messages gives a list for each of its words; lists of a word that meet are put together, by key, and cut into
+    blocks. Beside it stand the postings that no other one of
     the block beats in both count and length. The bucket of a frequent word is split over tasks: its blocks then
     cover ranges of keys that overlap.
     """
+    made = schema(messages.schema, key, attributes)
     columns = [key, "length", "since", *attributes]
-    postings = messages.select(*columns, F.explode("terms").alias("_t")).select(
-        bucket_of(F.col("_t.term"), buckets).alias("bucket"), F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"), *columns)
-    arrays, made = ["tf", *columns], schema(messages.schema, key, attributes)
+    short = T.StructType([f for f in made if f.name in ("bucket", "term", "tf", *columns)])
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The postings of each word of a batch of messages, by key: far fewer rows to sort than postings."""
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch["terms"]), 0).to_numpy()
+            found = batch["terms"].flatten()
+            if not len(found):
+                continue
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            place = np.empty(len(batch), np.int64)
+            place[pc.sort_indices(batch[key]).to_numpy()] = np.arange(len(batch))
+            term = found.field("term").dictionary_encode()
+            codes = term.indices.to_numpy()
+            order = np.lexsort((place[owner], codes))
+            starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+            words = term.dictionary.take(pa.array(codes[order][starts]))
+            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words.to_pylist()], np.int32)
+            offsets = pa.array(np.append(starts, len(order)).astype(np.int32))
+            rows = pa.array(owner[order])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket), words, pa.ListArray.from_arrays(offsets, found.field("tf").take(pa.array(order))),
+                 *(pa.ListArray.from_arrays(offsets, batch[c].take(rows)) for c in columns)], names=short.names)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            bucket, keys = batch["bucket"].to_numpy(), batch[key]
-            term = batch["term"].dictionary_encode()
-            codes = term.indices.to_numpy()
+            sizes = pc.list_value_length(batch["tf"]).to_numpy()
+            # Neighbouring lists of one word come together, by key.
             new = np.ones(len(batch), bool)
-            new[1:] = (codes[1:] != codes[:-1]) | (bucket[1:] != bucket[:-1])
-            starts = np.flatnonzero(new)
-            within = np.arange(len(batch)) - np.repeat(starts, np.diff(np.append(starts, len(batch))))
+            codes = batch["term"].dictionary_encode().indices.to_numpy()
+            new[1:] = codes[1:] != codes[:-1]
+            run = np.repeat(np.cumsum(new) - 1, sizes)
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            flat = pa.table({"run": run, "key": batch[key].flatten()})
+            order = pc.sort_indices(flat, sort_keys=[("run", "ascending"), ("key", "ascending")])
+            run, owner = run[order.to_numpy()], owner[order.to_numpy()]
+            values = {c: batch[c].flatten().take(order) for c in ("tf", *columns)}
+            starts = np.flatnonzero(np.diff(run, prepend=-1))
+            within = np.arange(len(run)) - np.repeat(starts, np.diff(np.append(starts, len(run))))
             starts = np.flatnonzero(within % block_rows == 0)
-            ends = np.append(starts[1:], len(batch))
-            offsets = pa.array(np.append(starts, len(batch)).astype(np.int32))
-            at = pa.array(starts)
+            ends = np.append(starts[1:], len(run))
+            offsets = pa.array(np.append(starts, len(run)).astype(np.int32))
+            head, first = pa.array(owner[starts]), pa.array(starts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[starts]), batch["term"].take(at), keys.take(at), keys.take(pa.array(ends - 1)),
-                 pa.array((ends - starts).astype(np.int32)), *_impacts(batch["tf"].to_numpy(), batch["length"].to_numpy(), starts),
-                 *(pa.ListArray.from_arrays(offsets, batch[name]) for name in arrays)], names=made.names)
+                [batch["bucket"].take(head), batch["term"].take(head), values[key].take(first), values[key].take(pa.array(ends - 1)),
+                 pa.array((ends - starts).astype(np.int32)), *_impacts(values["tf"].to_numpy(), values["length"].to_numpy(), starts),
+                 *(pa.ListArray.from_arrays(offsets, values[c]) for c in ("tf", *columns))], names=made.names)
 
-    dealt = postings.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term", key)
-    return dealt.mapInArrow(blocks, made)
+    listed = messages.select("terms", *columns).mapInArrow(lists, short)
+    return listed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term").mapInArrow(blocks, made)
 
 
 def _impacts(tf: np.ndarray, length: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
