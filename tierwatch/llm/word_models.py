@@ -38,7 +38,7 @@ START, END = b"\x01", b"\x02"
 #: Contexts with a larger share of all words than one in so many are split.
 HOT = 64
 #: Tokens of the corpus for each bucket of contexts and of words; they only split the work.
-TOKENS_PER_BUCKET, TOKENS_PER_WORD_BUCKET = 4_500_000, 8_000_000
+TOKENS_PER_BUCKET, TOKENS_PER_WORD_BUCKET = 3_600_000, 8_000_000
 _WIDE, _WIDER = 0xE3, 0xF0
 _BLOCK, _WORDS, _IDS, _ASKED, _ANSWER, _TOTAL = range(6)
 #: One schema for all that is handed on: blocks, words, ids of a chunk, questions, answers, totals.
