@@ -17,7 +17,7 @@ from tierwatch.operators.vector_search import SCORE_DIGITS, vector_length
 from tierwatch.session import materialize
 
 #: Tables of hash buckets, rows of an even bucket, neighbours on a row's list, rounds of descent.
-TABLES, BUCKET_ROWS, LIST, ROUNDS = 80, 2, 10, 2
+TABLES, BUCKET_ROWS, LIST, ROUNDS = 100, 2, 10, 2
 #: Each row of a bucket meets so many that follow it in the bucket's order.
 WINDOW = 24
 #: Random directions of one hash; more buckets are had by two hashes or more.
