@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tierwatch.functions.decisions import logistic_score, route
 from tierwatch.operators import features, triage
 from tierwatch.operators.search_index import SearchIndex
+from tierwatch.plans import suite_data  # noqa: F401  (it registers the queries)
+from tierwatch.plans.registered import QUERIES
 from tierwatch.sources import schemas
 from tierwatch.streaming import keyed_table, refresh
 
@@ -227,3 +229,12 @@ def test_a_stream_follows_changes(spark, folder, arrive):
     assert [(r.email_id, r.n) for r in table.late_rows(spark).collect()] == [("m2", 13)]
     arrive([message(3, 42, "")])
     assert follow().batches == 1 and {r.email_id: r.n for r in table.rows(spark).collect()}["m3"] == 0
+
+
+@pytest.mark.parametrize("name", ["stream_features", "index_bulk_then_stream"])
+def test_a_table_that_is_a_folder_of_files_streams_as_one_file_does(spark, folder, name):
+    sf = "/root/testdata/sf0.001"
+    for table in ("documents", "events"):
+        spark.read.parquet(f"{sf}/{table}.parquet").repartition(3).write.parquet(f"{folder}/{table}.parquet")
+    found, wanted = (sorted(map(str, QUERIES[name](spark, d).collect())) for d in (folder, sf))
+    assert found == wanted and found

@@ -359,9 +359,13 @@ def calibration(spark, sf_dir):
     return found.withColumns({c: F.round(c, 6) for c in ("mean_score", "violation_rate")})
 
 
+def _table_stream(spark, sf_dir, name):
+    """A table as a stream. The pattern finds it as one file and as a folder of files."""
+    return refresh.parquet_stream(spark, f"{sf_dir}/{{{name}.parquet}}", s.table(spark, sf_dir, name).schema)
+
+
 def _event_stream(spark, sf_dir):
-    schema = s.table(spark, sf_dir, "events").schema
-    return refresh.parquet_stream(spark, sf_dir, schema, "events.parquet")
+    return _table_stream(spark, sf_dir, "events")
 
 
 @query("SELECT user_id, event_type, count(DISTINCT ts)::BIGINT AS n FROM events GROUP BY 1, 2")
@@ -377,8 +381,7 @@ def stream_first_of_each(spark, sf_dir):
 
 
 def _document_stream(spark, sf_dir):
-    schema = s.table(spark, sf_dir, "documents").schema
-    return s.as_messages(refresh.parquet_stream(spark, sf_dir, schema, "documents.parquet"))
+    return s.as_messages(_table_stream(spark, sf_dir, "documents"))
 
 
 def _stream_triage(df):

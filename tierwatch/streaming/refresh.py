@@ -34,7 +34,10 @@ class RunReport:
 
 def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str | None = None,
                    files_per_batch: int = 1000) -> DataFrame:
-    """New Parquet files of a folder as a stream, a bounded number of files per batch."""
+    """New Parquet files of a folder as a stream, a bounded number of files per batch.
+
+    Files in folders below it are not found. The folder may be a pattern, which may also name files.
+    """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
