@@ -3,6 +3,7 @@ from datetime import datetime
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -166,3 +167,13 @@ def test_cosine_edges(spark):
     assert [r["a"] for r in found] == [1.0, 0.0, None, None, pytest.approx(0.6), None]
     assert [r["b"] for r in found] == [1.0, 0.0, None, None, pytest.approx(0.6), None]
     assert [r["ok"] for r in found] == [True, True, False, False, True, False]
+
+
+def test_words_of_texts_are_cut_in_slices_of_few_rows_and_bytes():
+    from tierwatch.functions import embedding
+
+    texts = pa.array(["a b " * 100_000, None, "", *["word " * 1000] * 700, *["x"] * 2000])
+    slices = list(embedding._slices(texts))
+    assert pa.concat_arrays(slices).to_pylist() == [t or "" for t in texts.to_pylist()]
+    assert max(map(len, slices)) <= 512
+    assert all(len(s) == 1 or pc.sum(pc.binary_length(s)).as_py() <= 1 << 20 for s in slices)

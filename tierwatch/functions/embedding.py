@@ -23,7 +23,8 @@ from pyspark.sql import Column, functions as F
 from tierwatch.constants import EMBEDDING_DIM
 from tierwatch.functions.text import TOKEN_SEPARATOR
 
-_ROWS_AT_ONCE = 4096
+#: Texts are cut into words in slices of so many rows and bytes at most (or one text), whatever the size of a batch.
+_ROWS_AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 20
 
 
 class Embedder(Protocol):
@@ -66,8 +67,14 @@ class HashedWords:
 
 def _slices(texts: pa.Array):
     filled = pc.fill_null(texts, "")
-    for start in range(0, len(filled), _ROWS_AT_ONCE):
-        yield filled.slice(start, _ROWS_AT_ONCE)
+    ends = np.cumsum(pc.binary_length(filled).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(filled):
+        before = ends[start - 1] if start else 0
+        fit = int(np.searchsorted(ends, before + _BYTES_AT_ONCE, "right")) - start
+        size = min(max(fit, 1), _ROWS_AT_ONCE)
+        yield filled.slice(start, size)
+        start += size
 
 
 def unit_rows(matrix: np.ndarray) -> np.ndarray:

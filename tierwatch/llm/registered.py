@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierwatch.session import batch_texts
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -22,13 +24,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-_BATCH_ROWS, _SPARK_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
-#: Whole texts are wide rows: so many in an Arrow batch keep the buffers on both sides small.
-TEXT_BATCH_ROWS = "1000"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table. A session that has left Spark's default batch size in place gets one for texts."""
-    if spark.conf.get(_BATCH_ROWS) == _SPARK_DEFAULT:
-        spark.conf.set(_BATCH_ROWS, TEXT_BATCH_ROWS)
+    batch_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

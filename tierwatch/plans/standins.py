@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tierwatch.constants import FLAG_COLUMN
 from tierwatch.functions.decisions import logistic_score
 from tierwatch.operators import enrichment, features, triage
-from tierwatch.session import materialize
+from tierwatch.session import batch_texts, materialize
 
 PHRASES = ("trash", "scum", "idiot", "moron", "hate", "license")
 CONCEPTS = {
@@ -28,6 +28,7 @@ FEATURES = (*CONCEPTS, FLAG_COLUMN)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    batch_texts(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -21,6 +21,17 @@ DEFAULTS = {
 }
 
 
+_BATCH_ROWS, _SPARK_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+#: Whole texts are wide rows: so many in an Arrow batch keep the buffers on both sides small.
+TEXT_BATCH_ROWS = "1000"
+
+
+def batch_texts(spark: SparkSession) -> None:
+    """Give a session that has left Spark's default batch size in place one for texts."""
+    if spark.conf.get(_BATCH_ROWS) == _SPARK_DEFAULT:
+        spark.conf.set(_BATCH_ROWS, TEXT_BATCH_ROWS)
+
+
 def build_session(app_name: str = "tierwatch", **overrides: str) -> SparkSession:
     """A session with this package's defaults; keyword names use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
