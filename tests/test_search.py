@@ -445,3 +445,8 @@ def test_a_stored_vector_index_covers_every_row(spark, folder):
     assert found.first()["id"] == 1 and "PartitionFilters: [cell" in plan
     with pytest.raises(ValueError):
         index.search_many(spark.range(3000).select("id", F.array(F.lit(1.0)).alias("embedding")), 1, "id")
+
+
+def test_a_grid_shuffles_the_corpus_once_for_many_small_blocks_of_questions():
+    groups = [vs.question_groups(-(-n // 200), 200, max(1, n // vs.CORPUS_BLOCK), 12) for n in (300, 10_000, 100_000, 600_000)]
+    assert groups == [2, 24, 5, 30]

@@ -118,7 +118,7 @@ def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str,
     schema = T.StructType([questions.schema[query_key], corpus.schema[key], T.StructField("score", T.DoubleType())])
 
     n_blocks = max(1, math.ceil(questions.count() / query_block))
-    search = _broadcast_search if n_blocks == 1 else partial(_grid_search, n_blocks)
+    search = _broadcast_search if n_blocks == 1 else partial(_grid_search, n_blocks, query_block)
     found = search(corpus, questions, wanted, dim, schema)
     if exclude_self:
         found = found.filter(F.col(query_key) != F.col(key))
@@ -127,7 +127,7 @@ def vector_search_many(vectors: DataFrame, queries: DataFrame, k: int, key: str,
             .select(query_key, key, F.round("score", digits).alias("similarity"), "rank"))
 
 
-class _Best:
+class Best:
     """Running top ``k`` (score descending, key ascending) for each query."""
 
     def __init__(self, query_keys: pa.Array, query_vectors: pa.Array, k: int, dim: int):
@@ -169,7 +169,7 @@ class _Best:
             pa.array(keys, schema.types[1]), pa.array(scores)], schema=schema)
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
+def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     return pa.schema([pa.field(f.name, f.type) for f in to_arrow_schema(schema)])
 
@@ -177,11 +177,11 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, dim: int, schema: T.StructType) -> DataFrame:
     spark = corpus.sparkSession
     shared = spark.sparkContext.broadcast(questions.toArrow().combine_chunks())
-    target = _arrow_schema(schema)
+    target = arrow_schema(schema)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = shared.value
-        best = _Best(_flat(asked.column(0)), _flat(asked.column(1)), k, dim)
+        best = Best(flat(asked.column(0)), flat(asked.column(1)), k, dim)
         for batch in batches:
             best.add(batch.column(0), batch.column(1))
         yield best.table(target)
@@ -189,24 +189,37 @@ def _broadcast_search(corpus: DataFrame, questions: DataFrame, k: int, dim: int,
     return corpus.mapInArrow(search, schema)
 
 
-def _grid_search(n_blocks: int, corpus: DataFrame, questions: DataFrame, k: int, dim: int, schema: T.StructType) -> DataFrame:
-    """Each block of questions meets each block of the corpus in one task."""
+def question_groups(n_blocks: int, query_block: int, n_parts: int, cores: int) -> int:
+    """How often a grid shuffles its corpus: small blocks of questions come together in groups."""
+    return max(math.ceil(n_blocks * query_block / CORPUS_BLOCK), min(n_blocks, math.ceil(2 * cores / n_parts)))
+
+
+def _grid_search(n_blocks: int, query_block: int, corpus: DataFrame, questions: DataFrame, k: int, dim: int, schema: T.StructType) -> DataFrame:
+    """Each group of blocks of questions meets each block of the corpus in one task, a block of questions at a time.
+
+    The corpus is shuffled once a group: as few as keep all cores busy, and each of about ``CORPUS_BLOCK`` questions at most.
+    """
     n_parts = max(1, math.ceil(corpus.count() / CORPUS_BLOCK))
+    n_groups = question_groups(n_blocks, query_block, n_parts, corpus.sparkSession.sparkContext.defaultParallelism)
     (query_key, _), (key, _) = questions.columns, corpus.columns
-    asked = questions.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(n_blocks)).cast("int")).withColumn(
+    asked = questions.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(n_groups)).cast("int")).withColumn(
         "_part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
     dealt = corpus.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(n_parts)).cast("int")).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    target = _arrow_schema(schema)
+        "_block", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
+    target = arrow_schema(schema)
 
     def search(ours: pa.Table, theirs: pa.Table) -> pa.Table:
-        best = _Best(_flat(ours[query_key]), _flat(ours["_query"]), k, dim)
-        for batch in theirs.to_batches(max_chunksize=4096):
-            best.add(batch[key], batch["_vector"])
-        return pa.Table.from_batches([best.table(target)])
+        found = []
+        for start in range(0, len(ours), query_block):
+            mine = ours.slice(start, query_block)
+            best = Best(flat(mine[query_key]), flat(mine["_query"]), k, dim)
+            for batch in theirs.to_batches(max_chunksize=4096):
+                best.add(batch[key], batch["_vector"])
+            found.append(best.table(target))
+        return pa.Table.from_batches(found, target)
 
     return asked.groupBy("_block", "_part").cogroup(dealt.groupBy("_block", "_part")).applyInArrow(search, schema)
 
 
-def _flat(column: pa.ChunkedArray) -> pa.Array:
+def flat(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
