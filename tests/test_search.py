@@ -450,3 +450,21 @@ def test_a_stored_vector_index_covers_every_row(spark, folder):
 def test_a_grid_shuffles_the_corpus_once_for_many_small_blocks_of_questions():
     groups = [vs.question_groups(-(-n // 200), 200, max(1, n // vs.CORPUS_BLOCK), 12) for n in (300, 10_000, 100_000, 600_000)]
     assert groups == [2, 24, 5, 30]
+
+
+def test_a_vector_index_takes_any_number_of_questions_without_the_driver(spark, folder, monkeypatch):
+    """Several blocks of questions and rows in each cell; pairs do not become rows, and nothing is broadcast."""
+    from tierwatch.operators import vector_index
+
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(3)
+    index = VectorIndex(folder + "/index", "id", cells=3)
+    index.build(df)
+    monkeypatch.setattr(vector_index, "QUERY_BLOCK", 60)
+    monkeypatch.setattr(vector_index, "CORPUS_BLOCK", 50)
+    exact = sorted(map(tuple, vs.vector_search_many(df, df, 4, "id", "id", exclude_self=True).collect()))
+    for rescored in (None, 120):
+        found = index.search_many(df, 4, "id", probes=3, rescored=rescored, exclude_self=True, most_questions=None)
+        assert sorted(map(tuple, found.collect())) == exact
+        assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()

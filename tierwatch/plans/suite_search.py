@@ -120,7 +120,7 @@ def vector_index_search(spark, sf_dir):
     index.build(vectors)
     asked = vectors.filter("vec_id % 20 = 0")
     exact = vs.vector_search_many(vectors, asked, 3, "vec_id", "vec_id", exclude_self=True)
-    some, every = (index.search_many(asked, 4, "vec_id", probes=p, rescored=r, exclude_self=True).filter("rank <= 3")
+    some, every = (index.search_many(asked, 4, "vec_id", probes=p, rescored=r, exclude_self=True, most_questions=None).filter("rank <= 3")
                    .select("query_id", "vec_id", F.col("rank").alias(name), F.col("similarity").alias(f"{name}_similarity"))
                    for p, r, name in ((11, 60, "found"), (16, None, "all_cells")))
     met = exact.join(some, ["query_id", "vec_id"], "left").join(every, ["query_id", "vec_id"], "left")
