@@ -468,3 +468,7 @@ def test_a_vector_index_takes_any_number_of_questions_without_the_driver(spark,
         found = index.search_many(df, 4, "id", probes=3, rescored=rescored, exclude_self=True, most_questions=None)
         assert sorted(map(tuple, found.collect())) == exact
         assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_grow_with_the_rows():
+    assert [lsh.bucket_size(n) for n in (0, 10, 2000, 10_000, 50_000)] == [2, 2, 2, 5, 14]

@@ -18,10 +18,15 @@ from tierwatch.session import materialize
 
 #: Tables of hash buckets, rows of an even bucket, neighbours on a row's list, rounds of descent.
 TABLES, BUCKET_ROWS, LIST, ROUNDS = 100, 2, 10, 2
-#: Each row of a bucket meets so many that follow it in the bucket's order.
+#: Up to so many rows that bucket size does. Near rows share a bucket of one size the less often the more rows there are, so
+#: that buckets of larger tables grow by this power of the rows: recall then holds on random vectors, the worst case.
+FEW_ROWS, GROWTH = 2000, 0.6
+#: Each row of a bucket meets so many that follow it in the bucket's order; more in proportion to larger buckets.
 WINDOW = 24
-#: Random directions of one hash; more buckets are had by two hashes or more.
-DIRECTIONS = 512
+#: Random directions of one hash; more buckets are had by two hashes or more, which part near rows more often.
+DIRECTIONS = 8192
+#: Rows of a batch that are hashed at once.
+HASHED_ROWS = 512
 #: Graph edges that one task joins, about.
 EDGES_PER_BLOCK = 50_000
 
@@ -55,9 +60,11 @@ def _codes(vector: Column, dim: int, tables: int, buckets: int, seed: int) -> Co
         made = np.zeros((len(unit), tables), np.int64)
         for t in range(tables):
             for h in range(hashes):
-                along = unit @ np.random.default_rng([seed, t, h]).standard_normal((dim, directions), np.float32)
-                nearest = np.abs(along).argmax(axis=1) if len(along) else np.zeros(0, np.int64)
-                made[:, t] = made[:, t] * 2 * directions + 2 * nearest + (along[np.arange(len(along)), nearest] > 0)
+                lines = np.random.default_rng([seed, t, h]).standard_normal((dim, directions), np.float32)
+                for start in range(0, len(unit), HASHED_ROWS):
+                    along, mine = unit[start:start + HASHED_ROWS] @ lines, made[start:start + HASHED_ROWS, t]
+                    nearest = np.abs(along).argmax(axis=1)
+                    mine[:] = mine * 2 * directions + 2 * nearest + (along[np.arange(len(along)), nearest] > 0)
         places = unit @ np.random.default_rng([seed, tables]).standard_normal(dim, np.float32)
         all_codes, all_places = np.zeros((len(vectors), tables), np.int64), np.zeros(len(vectors))
         all_codes[valid], all_places[valid] = made, places
@@ -90,14 +97,22 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return unit_rows(vectors.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(vectors), -1))
 
 
-def _first_neighbours(classes: DataFrame, dim: int, tables: int, bucket_rows: int, window: int, seed: int,
+def bucket_size(n: int) -> int:
+    """Rows of an even bucket of a table of ``n`` rows."""
+    return round(BUCKET_ROWS * max(1.0, n / FEW_ROWS) ** GROWTH)
+
+
+def _first_neighbours(classes: DataFrame, dim: int, tables: int, bucket_rows: int | None, window: int | None, seed: int,
                       scored: Accumulator | None) -> DataFrame:
     """``_query, _lead, score`` of vectors that share a bucket.
 
     Buckets are sorted along a random line and dealt by ranges, so that a large one lies over many tasks. A vector meets
     the ``window`` that follow it; those of smaller buckets all meet.
     """
-    buckets = ceil(classes.count() / bucket_rows)
+    n = classes.count()
+    bucket_rows = bucket_rows or bucket_size(n)
+    window = window or max(WINDOW, WINDOW * bucket_rows // BUCKET_ROWS)
+    buckets = ceil(n / bucket_rows)
     coded = classes.withColumn("_at", _codes(F.col("_vector"), dim, tables, buckets, seed))
     coded = materialize(coded.select("_lead", "_vector", "_at.codes", "_at.place"), "vector-codes")
     placed = coded.select("_lead", "_vector", "place", F.posexplode("codes").alias("_table", "_bucket"))
@@ -179,12 +194,12 @@ def _descend(graph: DataFrame, classes: DataFrame, size: int, n_edges: int, scor
     return _lists(graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True))), size)
 
 
-def neighbour_graph(classes: DataFrame, dim: int, size: int = LIST, tables: int = TABLES, bucket_rows: int = BUCKET_ROWS,
-                    window: int = WINDOW, rounds: int = ROUNDS, seed: int = 7, scored: Accumulator | None = None) -> DataFrame:
+def neighbour_graph(classes: DataFrame, dim: int, size: int = LIST, tables: int = TABLES, bucket_rows: int | None = None,
+                    window: int | None = None, rounds: int = ROUNDS, seed: int = 7, scored: Accumulator | None = None) -> DataFrame:
     """``_query, _lead, score``: about the best ``size`` neighbours of each of the distinct vectors ``_lead, _vector``.
 
-    Buckets have the same size at any number of rows, and so have the lists: pairs scored grow with the number of rows.
-    Descent stops early when few lists change. ``scored`` adds up the pairs.
+    Buckets grow by a power of the rows, lists do not: pairs scored grow faster than the rows (by the power 1.6 beyond ``FEW_ROWS``)
+    and slower than their square; what is shuffled grows with the rows. Descent stops early when few lists change. ``scored`` adds up the pairs.
     """
     start = _first_neighbours(classes, dim, tables, bucket_rows, window, seed, scored)
     graph = materialize(_lists(start.withColumn("fresh", F.lit(True)), size), "neighbours")
@@ -197,13 +212,13 @@ def neighbour_graph(classes: DataFrame, dim: int, size: int = LIST, tables: int
 
 
 def more_like_graph(vectors: DataFrame, k: int, key: str, vector: str = "embedding", dim: int | None = None, tables: int = TABLES,
-                    bucket_rows: int = BUCKET_ROWS, window: int = WINDOW, rounds: int = ROUNDS, seed: int = 7, digits: int = 3,
+                    bucket_rows: int | None = None, window: int | None = None, rounds: int = ROUNDS, seed: int = 7, digits: int = 3,
                     scored: Accumulator | None = None) -> DataFrame:
     """Approximately the ``k`` most similar rows of every row, itself left out: ``query_id, key, similarity, rank``.
 
     First neighbours are those in the same bucket of one of ``tables`` tables; then ``rounds`` times each vector's neighbours are
     introduced to one another, pairs that have not met. Scores are exact. Nothing passes through the driver, and the pairs
-    scored grow with the rows, not with their square. More tables and rounds find more; tests measure the recall and the
+    scored grow more slowly than the square of the rows. More tables and rounds find more; tests measure the recall and the
     pairs. Equal vectors are compared once; of each the ``k + 1`` smallest keys can be among the best. Rows without a
     key and vectors of another length than ``dim`` are left out.
     """
