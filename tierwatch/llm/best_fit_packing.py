@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwatch.llm.registered import query, table
 from tierwatch.llm.tokens import default_path, encoded
+from tierwatch.llm.words import give_back
 from tierwatch.session import materialize
 
 CAPACITY = 2048
@@ -93,6 +94,8 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None,
                 rows = []
         if rows:
             yield batch()
+        rows = []
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _PIECES)
 

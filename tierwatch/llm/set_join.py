@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tierwatch.llm.components import components
 from tierwatch.llm.registered import query, table
-from tierwatch.llm.words import NOT_SPACE, chunks, mix, windows, words
+from tierwatch.llm.words import NOT_SPACE, chunks, give_back, mix, windows, words
 from tierwatch.session import materialize
 
 _U = np.uint64
@@ -158,6 +158,7 @@ def _describe(measure: Measure):
                     [batch.column(0).slice(row, len(part)), batch.column(1).slice(row, len(part)),
                      pa.array(classes, mask=classes == 0), pa.array(np.diff(bounds))],
                     names=["doc_id", "text_hash", "class", "n_shingles"])
+        give_back()
     return run
 
 
@@ -179,6 +180,8 @@ def _listed(measure: Measure):
                 kept = np.repeat(first, sizes)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[kept]), pa.array(np.repeat(classes, sizes)[kept])],
                                                  names=["key", "class"])
+        del seen
+        give_back()
     return run
 
 
@@ -328,6 +331,8 @@ def _compare(measure: Measure, count: bool, has_strays: bool):
                 out = []
         if out:
             yield batch()
+        out = []
+        give_back()
     return run
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from tierwatch.llm.words import _LOWER, chunks, mix, raw, spans
+from tierwatch.llm.words import _LOWER, chunks, give_back, mix, raw, spans
 
 CHUNK_BYTES = 8 << 20
 _U = np.uint64
@@ -34,6 +34,8 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, limit: int = CHUNK_BY
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+        held = []
+    give_back()
 
 
 @dataclass

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-from tierwatch.llm.words import SPACES, byte_class, chunks, count_between, hash_spans, raw
+from tierwatch.llm.words import SPACES, byte_class, chunks, count_between, give_back, hash_spans, raw
 
 #: Distinct segments that a worker remembers before it starts afresh.
 CACHED_SEGMENTS = 500_000
@@ -140,3 +140,4 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[int
         ids = batch.column(0).to_pylist()
         for row, part in chunks(batch.column(1), CHUNK_BYTES):
             yield from zip(ids[row:row + len(part)], made.encode(part))
+    give_back()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwatch.llm.symbols import (coded, distinct, gathered, merge, pack, pack_columns, pack_words, runs, spread, unpack_columns,
                                    unpack_words)
-from tierwatch.llm.words import LETTERS
+from tierwatch.llm.words import LETTERS, giving_back
 from tierwatch.session import materialize
 
 #: Contexts of first words, and end marks; no word has these bytes.
@@ -141,16 +141,19 @@ def corpus_blocks(rows: DataFrame, hot: list[bytes], buckets: int, word_buckets:
             yield _row(_WORDS, int(bucket[a]), number, n=int(b - a), spelled_bytes=size, spelled=spelled,
                        columns=pack_columns([t[words[a:b]] for t in totals]))
 
+    def handed_on(table: pa.Table, number: int) -> list[dict]:
+        chunk = _Chunk(table["text"])
+        target, background = (table[c].to_numpy().astype(np.int64) for c in ("target", "background"))
+        scored = np.flatnonzero(table["scored"].to_numpy())
+        tokens = np.bincount(chunk.row, minlength=len(table))
+        ids = _row(_IDS, chunk=number, n=len(table), columns=pack_columns([scored, tokens[scored]]), m=len(scored),
+                   ids=table["id"].take(pa.array(scored)).to_pylist())
+        return [*blocks(chunk, number, target, background), ids]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for table in gathered(batches, 1):
-            chunk = _Chunk(table["text"])
-            target, background = (table[c].to_numpy().astype(np.int64) for c in ("target", "background"))
-            scored = np.flatnonzero(table["scored"].to_numpy())
-            tokens = np.bincount(chunk.row, minlength=len(table))
-            made = list(blocks(chunk, number, target, background))
-            made.append(_row(_IDS, chunk=number, n=len(table), columns=pack_columns([scored, tokens[scored]]), m=len(scored),
-                             ids=table["id"].take(pa.array(scored)).to_pylist()))
+            made = handed_on(table, number)
             for a in range(0, len(made), 100):
                 yield from _table(made[a:a + 100]).to_batches()
             number += 1
@@ -195,7 +198,7 @@ def _hot_totals(blocks: DataFrame, buckets: int) -> dict[bytes, list[int]]:
 
     columns = [f"x{i}" for i in range(4)]
     split = blocks.filter((F.col("kind") == _BLOCK) & (F.col("bucket") >= buckets))
-    summed = split.groupBy("bucket").applyInArrow(run, "word binary, " + ", ".join(f"{c} long" for c in columns)).groupBy("word").agg(
+    summed = split.groupBy("bucket").applyInArrow(giving_back(run), "word binary, " + ", ".join(f"{c} long" for c in columns)).groupBy("word").agg(
         *(F.sum(c).alias(c) for c in columns))
     return {bytes(r["word"]): [r[c] for c in columns] for r in summed.collect()}
 
@@ -230,10 +233,10 @@ def _single_counts(blocks: DataFrame, word_buckets: int) -> DataFrame:
         return _table(made)
 
     empty = F.lit(None)
-    asked = blocks.filter(F.col("kind") == _BLOCK).select("bucket", "spelled_bytes", "spelled").groupBy("bucket").applyInArrow(ask, _ROW)
+    asked = blocks.filter(F.col("kind") == _BLOCK).select("bucket", "spelled_bytes", "spelled").groupBy("bucket").applyInArrow(giving_back(ask), _ROW)
     words = blocks.filter(F.col("kind") == _WORDS).select(
         *(c if c in ("kind", "bucket", "n", "spelled_bytes", "spelled", "columns") else empty.alias(c) for c in _NAMES))
-    return words.union(asked).groupBy("bucket").applyInArrow(answer, _ROW)
+    return words.union(asked).groupBy("bucket").applyInArrow(giving_back(answer), _ROW)
 
 
 def _shares(blocks: DataFrame, answers: DataFrame, hot: dict[bytes, list[int]], totals: list[int]) -> DataFrame:
@@ -272,7 +275,7 @@ def _shares(blocks: DataFrame, answers: DataFrame, hot: dict[bytes, list[int]],
                          "losses": pa.array([np.stack([x[p] for x in losses]).tobytes() for p in parts], pa.binary())})
 
     met = blocks.filter(F.col("kind") == _BLOCK).select(*_NAMES).unionByName(answers.filter(F.col("kind") == _ANSWER))
-    return met.groupBy("bucket").applyInArrow(run, "chunk long, texts binary, losses binary")
+    return met.groupBy("bucket").applyInArrow(giving_back(run), "chunk long, texts binary, losses binary")
 
 
 def _summed(blocks: DataFrame, shares: DataFrame) -> DataFrame:
@@ -291,7 +294,7 @@ def _summed(blocks: DataFrame, shares: DataFrame) -> DataFrame:
 
     heads = blocks.filter(F.col("kind") == _IDS).select("chunk", "n", "m", "columns", "ids")
     return heads.unionByName(shares, allowMissingColumns=True).groupBy("chunk").applyInArrow(
-        run, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
+        giving_back(run), "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
 
 
 def _release(spark: SparkSession) -> None:
