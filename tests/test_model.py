@@ -179,3 +179,13 @@ def test_thresholds_against_plain_counts(spark):
     assert sum(r.n for r in bins.values()) == len(rows) and bins[9].n == sum(s >= 0.9 for s, _ in rows)
     empty = thresholds.threshold_curve(df.limit(0), "score")
     assert empty.count() == 0 and thresholds.curve_summary(empty).first().total is None
+
+
+def test_training_does_not_run_a_task_for_every_small_file(spark, monkeypatch):
+    rows = spark.range(1000).repartition(100)
+    few = classifier.few_tasks(rows)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism < 100
+    assert sorted(r["id"] for r in few.collect()) == list(range(1000))
+    monkeypatch.setattr(classifier, "ROWS_PER_TASK", 30)
+    assert classifier.few_tasks(rows).rdd.getNumPartitions() == 34
+    assert classifier.few_tasks(rows.filter("id < 0")).count() == 0

@@ -19,6 +19,8 @@ from tierwatch.operators.evaluation import confusion, with_quality
 from tierwatch.session import working_dir
 
 _SPLIT_CELLS = 10_000
+#: Training rows of a task, about. Every level of every tree is a job over all tasks, so tasks of few rows cost more than their rows.
+ROWS_PER_TASK = 500_000
 _RAW, _PROBABILITY, _VECTOR = "_raw_prediction", "_probability", "_features"
 
 
@@ -34,6 +36,12 @@ def hash_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE,
     return df.withColumn("split", F.when(cell < round(train_share * _SPLIT_CELLS), "train").otherwise("test"))
 
 
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """The same rows in as many tasks as there are cores, or as their number asks for; not one for every file."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    return rows.coalesce(tasks)
+
+
 def train(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = TARGET_COLUMN,
           n_trees: int = N_TREES, depth: int = TREE_DEPTH, rate: float = LEARNING_RATE,
           seed: int = SPLIT_SEED) -> PipelineModel:
@@ -52,7 +60,7 @@ def train(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str =
         maxIter=n_trees, maxDepth=depth, stepSize=rate, seed=seed,
     ).setRawPredictionCol(_RAW).setProbabilityCol(_PROBABILITY)
     assembler = VectorAssembler(inputCols=list(features), outputCol=_VECTOR, handleInvalid="keep")
-    return Pipeline(stages=[assembler, trees]).fit(rows)
+    return Pipeline(stages=[assembler, trees]).fit(few_tasks(rows))
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
