@@ -3,13 +3,14 @@
 import collections
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tierwatch.llm import cross_entropy, word_models, words
+from tierwatch.llm import cross_entropy, symbols, word_models, words
 from tierwatch.llm.tokens import Encoder, default_path
 
 TEXTS = st.lists(st.text(alphabet="ab Z.9'é“\n\t\u00a0\u2003|ß😀", max_size=40), max_size=6)
@@ -153,3 +154,24 @@ def test_memory_that_a_group_has_freed_goes_back_to_the_system():
     assert kept() - before > 100
     assert words.giving_back(run)(group) is group
     assert kept() - before < 50
+
+
+def test_a_bucket_of_bigrams_takes_little_memory_and_its_losses_come_in_slices(spark, monkeypatch):
+    n, kinds = 400_000, 500
+    place = np.random.default_rng(3)
+    words = pa.array([b"w%d" % i for i in range(kinds)], pa.large_binary())
+    columns = [np.sort(place.integers(1, kinds + 1, n)), place.integers(1, kinds + 1, n)]
+    size, spelled, packed = symbols.pack(words, columns, [place.integers(0, 1000, n), place.integers(1, 5, n)])
+    texts = symbols.pack_columns([np.arange(1000), np.ones(1000, int), np.ones(1000, int)])
+    row = {"chunk": 0, "n": n, "m": 1000, "spelled_bytes": size, "spelled": spelled, "columns": packed, "more": texts}
+    tracemalloc.start()
+    bucket = word_models._Bucket([row])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 * n and int(bucket.counts[0].sum()) == int(bucket.n.sum())
+
+    rows = [(i, " ".join(f"w{(i * k) % 17}" for k in range(1, 40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted(word_models.score_words(docs, docs.filter("doc_id < 9"), docs).collect())
+    monkeypatch.setattr(word_models, "BIGRAMS_AT_ONCE", 7)
+    assert sorted(word_models.score_words(docs, docs.filter("doc_id < 9"), docs).collect()) == whole

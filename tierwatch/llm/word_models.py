@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tierwatch.llm.symbols import (coded, distinct, gathered, merge, pack, pack_columns, pack_words, runs, spread, unpack_columns,
                                    unpack_words)
-from tierwatch.llm.words import LETTERS, giving_back
+from tierwatch.llm.words import LETTERS, give_back, giving_back
 from tierwatch.session import materialize
 
 #: Contexts of first words, and end marks; no word has these bytes.
@@ -39,6 +39,8 @@ START, END = b"\x01", b"\x02"
 HOT = 64
 #: Tokens of the corpus for each bucket of contexts and of words; they only split the work.
 TOKENS_PER_BUCKET, TOKENS_PER_WORD_BUCKET = 3_600_000, 8_000_000
+#: Losses are worked out for so many distinct bigrams at once.
+BIGRAMS_AT_ONCE = 1 << 17
 _WIDE, _WIDER = 0xE3, 0xF0
 _BLOCK, _WORDS, _IDS, _ASKED, _ANSWER, _TOTAL = range(6)
 #: One schema for all that is handed on: blocks, words, ids of a chunk, questions, answers, totals.
@@ -165,22 +167,27 @@ class _Bucket:
     """All bigrams of some contexts, in order of context and word."""
 
     def __init__(self, rows: list[dict]) -> None:
-        tables = [unpack_columns(r["columns"], 4, r["n"]) for r in rows]
         texts = [unpack_columns(r["more"], 3, r["m"]) for r in rows]
-        self.dictionary, places = merge([unpack_words(r["spelled_bytes"], r["spelled"]) for r in rows])
-        first = np.cumsum([0, *(r["m"] for r in rows)])
-        context = np.concatenate([p[t[0]] - 1 for p, t in zip(places, tables)])
-        word = np.concatenate([p[t[1]] - 1 for p, t in zip(places, tables)])
-        self.text = np.concatenate([t[2] + f for t, f in zip(tables, first)])
-        self.n = np.concatenate([t[3] for t in tables]).astype(np.int64)
+        self.dictionary, places = merge([unpack_words(r["spelled_bytes"], r.pop("spelled")) for r in rows])
+        give_back()
+        first, begins = (np.cumsum([0, *(r[c] for r in rows)]) for c in ("m", "n"))
+        base = len(self.dictionary) + 1
+        # Columns of a bucket are what a task holds most of: one key for context and word, and four bytes for a number.
+        key, text, n = (np.empty(begins[-1], kind) for kind in (np.int64, np.int32, np.int32))
+        for r, place, a, b, f in zip(rows, places, begins[:-1], begins[1:], first):
+            context, word, of, text_n = unpack_columns(r.pop("columns"), 4, r["n"])
+            key[a:b] = (place[context] - 1) * base + place[word] - 1
+            text[a:b], n[a:b] = of + f, text_n
+        order = np.argsort(key, kind="stable")
+        key, self.text, self.n = key[order], text[order], n[order]
+        del order, text, n
         self.texts, self.first = texts, first
-        target, background = (np.concatenate([t[i] for t in texts]).astype(np.int64) for i in (1, 2))
-        order = np.argsort(context * (len(self.dictionary) + 1) + word, kind="stable")
-        context, word, self.text, self.n = context[order], word[order], self.text[order], self.n[order]
-        cuts = runs(context, word)
+        cuts = runs(key)
         self.lengths = np.diff(cuts)
-        self.context, self.word = context[cuts[:-1]], word[cuts[:-1]]
-        self.counts = [np.add.reduceat(self.n * side[self.text], cuts[:-1]) for side in (target, background)]
+        self.context, self.word = key[cuts[:-1]] // base, key[cuts[:-1]] % base
+        del key
+        sides = (np.concatenate([t[i] for t in texts]) for i in (1, 2))
+        self.counts = [np.add.reduceat(np.multiply(self.n, side[self.text], dtype=np.int64), cuts[:-1]) for side in sides]
 
     def contexts(self) -> tuple[np.ndarray, list[np.ndarray]]:
         """Places of the contexts; how often each was seen in either corpus, and with how many words."""
@@ -249,10 +256,11 @@ def _shares(blocks: DataFrame, answers: DataFrame, hot: dict[bytes, list[int]],
         bucket = _Bucket(mine)
         single = np.zeros((2, len(bucket.dictionary)), np.int64)
         # START is a context only: nobody knows its count, and nobody needs it.
-        names, places = merge([unpack_words(r["spelled_bytes"], r["spelled"]) for r in answered])
+        names, places = merge([unpack_words(r["spelled_bytes"], r.pop("spelled")) for r in answered])
+        give_back()
         found = np.zeros((2, len(names)), np.int64)
         for r, place in zip(answered, places):
-            found[:, place[1:] - 1] = np.frombuffer(pa.decompress(r["columns"], decompressed_size=16 * r["n"], codec="zstd"), np.int64).reshape(2, -1)
+            found[:, place[1:] - 1] = np.frombuffer(pa.decompress(r.pop("columns"), decompressed_size=16 * r["n"], codec="zstd"), np.int64).reshape(2, -1)
         at = pc.index_in(bucket.dictionary, value_set=names).to_numpy(zero_copy_only=False)
         single[:] = found[:, at.astype(np.int64)]
         places, sums = bucket.contexts()
@@ -261,14 +269,16 @@ def _shares(blocks: DataFrame, answers: DataFrame, hot: dict[bytes, list[int]],
                 for s, value in zip(sums, hot[word]):
                     s[i] = value
         of = np.searchsorted(places, bucket.context)
-        gram = np.repeat(np.arange(len(of)), bucket.lengths)
-        size = int(bucket.first[-1])
-        losses = []
-        for i in range(2):
-            chance = (single[i][bucket.word] + 1.0) / (tokens[i] + kinds)
-            seen, after = sums[2 * i][of], sums[2 * i + 1][of]
-            loss = -np.log(np.where(seen > 0, (bucket.counts[i] + after * chance) / np.maximum(seen + after, 1), chance))
-            losses.append(np.bincount(bucket.text, weights=bucket.n * loss[gram], minlength=size))
+        ends = np.append(0, np.cumsum(bucket.lengths))
+        losses = np.zeros((2, int(bucket.first[-1])))
+        for a in range(0, len(of), BIGRAMS_AT_ONCE):
+            grams = slice(a, min(a + BIGRAMS_AT_ONCE, len(of)))
+            rows_of = slice(ends[grams.start], ends[grams.stop])
+            for i in range(2):
+                chance = (single[i][bucket.word[grams]] + 1.0) / (tokens[i] + kinds)
+                seen, after = sums[2 * i][of[grams]], sums[2 * i + 1][of[grams]]
+                loss = -np.log(np.where(seen > 0, (bucket.counts[i][grams] + after * chance) / np.maximum(seen + after, 1), chance))
+                np.add.at(losses[i], bucket.text[rows_of], bucket.n[rows_of] * np.repeat(loss, bucket.lengths[grams]))
         parts = [slice(a, b) for a, b in zip(bucket.first[:-1], bucket.first[1:])]
         return pa.table({"chunk": pa.array([r["chunk"] for r in mine], pa.int64()),
                          "texts": pa.array([np.ascontiguousarray(t[0]).tobytes() for t in bucket.texts], pa.binary()),
