@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -5,11 +6,13 @@ from collections import Counter
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tierwatch.functions.digests import first_of_md5
 from tierwatch.functions.embedding import embed_literal
-from tierwatch.operators import lexical_search, similar_rows as lsh, vector_search as vs
+from tierwatch.operators import lexical_search, postings, similar_rows as lsh, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, list_indexes
@@ -472,3 +475,26 @@ def test_a_vector_index_takes_any_number_of_questions_without_the_driver(spark,
 
 def test_buckets_grow_with_the_rows():
     assert [lsh.bucket_size(n) for n in (0, 10, 2000, 10_000, 50_000)] == [2, 2, 2, 5, 14]
+
+
+def test_blocks_do_not_depend_on_small_arrow_batches(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    terms = F.array(*(F.struct(t.alias("term"), F.lit(2).alias("tf")) for t in (F.lit("common"), F.concat(F.lit("own"), F.col("id").cast("string")))))
+    messages = spark.range(0, 640, 1, 1).select(F.col("id").alias("email_id"), terms.alias("terms"), F.lit(4).alias("length"),
+                                                F.lit(None).cast("long").alias("since"), F.lit("en").alias("lang"))
+    try:
+        spark.conf.set(setting, "10")
+        found = postings.pack(messages, "email_id", ["lang"], 4).collect()
+    finally:
+        spark.conf.set(setting, before)
+    common = [r for r in found if r.term == "common"]
+    assert [r.n for r in common] == [postings.BLOCK_ROWS] * 5 and sorted(k for r in common for k in r.email_id) == list(range(640))
+    assert len(found) == 645 and all(r.tf == [2] * r.n and r.lang == ["en"] * r.n for r in found)
+
+
+def test_words_are_hashed_together_as_one_by_one():
+    words = ["", "a", "x" * 55, "x" * 56, "\u00e9" * 27, "\u00e9" * 28, "z" * 64, "q" * 300, *(f"w{i}\u6c34" for i in range(40_000))]
+    wanted = [int.from_bytes(hashlib.md5(w.encode()).digest()[:4], "big") for w in words]
+    assert first_of_md5(pa.array(words)).tolist() == wanted
+    assert first_of_md5(pa.array(words).slice(3, 100)).tolist() == wanted[3:103] and len(first_of_md5(pa.array([], pa.string()))) == 0

@@ -10,7 +10,6 @@ The UDFs are deterministic, so that filters on other columns go below them. Wher
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -21,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from tierwatch.constants import EMBEDDING_DIM
+from tierwatch.functions.digests import first_of_md5
 from tierwatch.functions.text import TOKEN_SEPARATOR
 
 #: Texts are cut into words in slices of so many rows and bytes at most (or one text), whatever the size of a batch.
@@ -57,9 +57,7 @@ class HashedWords:
 
     def encode(self, texts: pa.Array) -> np.ndarray:
         rows, words, distinct = token_table(texts)
-        digests = b"".join(hashlib.md5(w.encode(), usedforsecurity=False).digest()[:4]
-                           for w in distinct.to_pylist())
-        places = (np.frombuffer(digests, dtype=">u4") % self.dim).astype(np.int64)
+        places = (first_of_md5(distinct) % self.dim).astype(np.int64)
         cells = rows * self.dim + places[words] if len(words) else rows
         counts = np.bincount(cells, minlength=len(texts) * self.dim)
         return counts.reshape(len(texts), self.dim).astype(np.float64)

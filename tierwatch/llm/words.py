@@ -10,13 +10,14 @@ that hashing needs, whatever the length of a text.
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
+from tierwatch.functions.memory import give_back
+
 CHUNK_BYTES = 1 << 19
 HASH_BYTES = 1 << 18
 
@@ -27,17 +28,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def give_back() -> None:
-    """Return freed memory to the system at the end of a task or group.
-
-    Python workers outlive their tasks: what they keep counts beside the stages that follow.
-    """
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries than glibc have none
-    if trim:
-        trim(0)
-
-
 def giving_back(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
     """What ``run`` makes of a group; the memory goes back once its own names are gone."""
     def call(group: pa.Table) -> pa.Table:

@@ -10,8 +10,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tierwatch.functions.memory import give_back
+
 #: Postings in a block, at most.
 BLOCK_ROWS = 128
+#: Postings that a task works on at once, about: of messages as they are cut into lists, and of lists as they are cut into blocks.
+LISTED_AT_ONCE, CUT_AT_ONCE = 1 << 19, 1 << 18
+#: The first bytes of a word that stand beside its bucket in a number, by which most comparisons of a sort are settled.
+_LEADING = 6
 #: Counts and lengths of the postings of a block that may have its highest weight, whatever the mean length is.
 IMPACTS = ["impact_tf", "impact_length"]
 
@@ -34,18 +40,18 @@ def schema(messages: T.StructType, key: str, attributes: Sequence[str]) -> T.Str
 def pack(messages: DataFrame, key: str, attributes: Sequence[str], buckets: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Blocks of the words of ``key, terms, length, since, attributes``, dealt by bucket.
 
-    Each batch of messages gives a list for each of its words; lists of a word that meet are put together, by key, and cut into
+    Some thousands of messages give a list for each of their words; lists of a word that meet are put together, by key, and cut into
     blocks. Beside it stand the postings that no other one of
     the block beats in both count and length. The bucket of a frequent word is split over tasks: its blocks then
     cover ranges of keys that overlap.
     """
     made = schema(messages.schema, key, attributes)
     columns = [key, "length", "since", *attributes]
-    short = T.StructType([f for f in made if f.name in ("bucket", "term", "tf", *columns)])
+    short = T.StructType([T.StructField("place", T.LongType()), *(f for f in made if f.name in ("bucket", "term", "tf", *columns))])
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The postings of each word of a batch of messages, by key: far fewer rows to sort than postings."""
-        for batch in batches:
+        """The postings of each word of some messages, by key: far fewer rows to sort than postings."""
+        for batch in gathered(batches, "terms", LISTED_AT_ONCE):
             sizes = pc.fill_null(pc.list_value_length(batch["terms"]), 0).to_numpy()
             found = batch["terms"].flatten()
             if not len(found):
@@ -58,17 +64,17 @@ def pack(messages: DataFrame, key: str, attributes: Sequence[str], buckets: int,
             order = np.lexsort((place[owner], codes))
             starts = np.flatnonzero(np.diff(codes[order], prepend=-1))
             words = term.dictionary.take(pa.array(codes[order][starts]))
-            bucket = np.array([zlib.crc32(w.encode()) % buckets for w in words.to_pylist()], np.int32)
+            spelled = [w.encode() for w in words.to_pylist()]
+            bucket = np.array([zlib.crc32(w) % buckets for w in spelled], np.int32)
+            leading = np.array([int.from_bytes(w[:_LEADING].ljust(_LEADING, b"\0"), "big") for w in spelled], np.int64)
             offsets = pa.array(np.append(starts, len(order)).astype(np.int32))
             rows = pa.array(owner[order])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket), words, pa.ListArray.from_arrays(offsets, found.field("tf").take(pa.array(order))),
+                [pa.array((bucket.astype(np.int64) << 8 * _LEADING) + leading), pa.array(bucket), words, pa.ListArray.from_arrays(offsets, found.field("tf").take(pa.array(order))),
                  *(pa.ListArray.from_arrays(offsets, batch[c].take(rows)) for c in columns)], names=short.names)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in gathered(batches, "tf", CUT_AT_ONCE):
             sizes = pc.list_value_length(batch["tf"]).to_numpy()
             # Neighbouring lists of one word come together, by key.
             new = np.ones(len(batch), bool)
@@ -92,7 +98,28 @@ def pack(messages: DataFrame, key: str, attributes: Sequence[str], buckets: int,
                  *(pa.ListArray.from_arrays(offsets, values[c]) for c in ("tf", *columns))], names=made.names)
 
     listed = messages.select("terms", *columns).mapInArrow(lists, short)
-    return listed.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term").mapInArrow(blocks, made)
+    return listed.hint("rebalance", F.col("bucket")).sortWithinPartitions("place", "term").mapInArrow(blocks, made)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], lists: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a task in batches of about ``limit`` elements of a column of lists, or one batch; none is empty."""
+    held, size = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += len(batch[lists].flatten())
+        if size >= limit:
+            yield _one(held)
+            held, size = [], 0
+    if held:
+        yield _one(held)
+        held = []
+    give_back()
+
+
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def _impacts(tf: np.ndarray, length: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
