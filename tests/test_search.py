@@ -473,6 +473,59 @@ def test_a_vector_index_takes_any_number_of_questions_without_the_driver(spark,
         assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("window, dealt", [(5, 1), (5, 10**9), (40, 1), (40, 700)])
+def test_sweeps_hand_on_the_best_pairs_only(spark, monkeypatch, window, dealt):
+    """Lists are those of all pairs that meet in a bucket, whatever the rounds; few of the pairs are shuffled."""
+    setting, handed, lists = "spark.sql.shuffle.partitions", [], lsh._lists
+    monkeypatch.setattr(lsh, "FIRST_DEALT", dealt, raising=False)
+    monkeypatch.setattr(lsh, "SWEPT_ROWS", 250, raising=False)
+    monkeypatch.setattr(lsh, "PAIRS_HELD", 3000, raising=False)
+
+    def counted(edges, size):
+        kept = edges.persist()
+        handed.append(kept.count())
+        return lists(kept, size)
+
+    monkeypatch.setattr(lsh, "_lists", counted)
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(400, 8)) + np.repeat(rng.normal(size=(8, 8)), 50, axis=0)
+    rows = [(f"r{i:03d}", [float(x) for x in v]) for i, v in enumerate(vectors)]
+    classes = spark.createDataFrame(rows, "_lead string, _vector array<double>").repartition(3)
+    scored, before = spark.sparkContext.accumulator(0), spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "1")  # pairs on both sides of a border of tasks do not meet
+        graph = lsh.neighbour_graph(classes, 8, 4, tables=12, bucket_rows=40, window=window, rounds=0, scored=scored)
+        found = {}
+        for r in graph.collect():
+            found.setdefault(r["_query"], {})[r["_lead"]] = r["score"]
+    finally:
+        spark.conf.set(setting, before)
+    unit = {i: np.asarray(v) / np.linalg.norm(v) for i, v in rows}
+    near, pairs = {}, 0
+    at = classes.select("_lead", lsh._codes(F.col("_vector"), 8, 12, 10, 7).alias("at")).collect()
+    for t in range(12):
+        line = sorted((r["at"]["codes"][t], r["at"]["place"], r["_lead"]) for r in at)
+        for i, a in enumerate(line):
+            for b in line[i + 1:i + 1 + window]:
+                if a[0] == b[0]:
+                    pairs += 1
+                    score = round(float(unit[a[2]] @ unit[b[2]]), 10)
+                    near.setdefault(a[2], {})[b[2]] = near.setdefault(b[2], {})[a[2]] = score
+    assert scored.value == pairs and found.keys() == near.keys()
+    for i, others in near.items():
+        assert sorted(found[i].values()) == pytest.approx(sorted(others.values())[-4:], abs=1e-9)
+        assert all(found[i][j] == pytest.approx(others[j], abs=1e-9) for j in found[i])
+    # Each round hands on the lists of the one before as well.
+    assert sum(handed) <= (0.5 if window > 5 else 1.4) * pairs, (handed, pairs)
+
+
+def test_rounds_of_tables_deal_out_few_rows():
+    assert [len(lsh.table_rounds(n, 120)) for n in (0, 2000, 10_256)] == [1, 1, 2]
+    for n in (51_282, 615_360, 6_000_000, 10**9):
+        rounds = lsh.table_rounds(n, 120)
+        assert [t for r in rounds for t in r] == list(range(120)) and all(len(r) == 1 or len(r) * n <= lsh.ROWS_DEALT for r in rounds)
+
+
 def test_buckets_grow_with_the_rows():
     assert [lsh.bucket_size(n) for n in (0, 10, 2000, 10_000, 50_000)] == [2, 2, 2, 5, 14]
 

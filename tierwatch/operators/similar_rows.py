@@ -12,6 +12,7 @@ from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tierwatch.functions.embedding import unit_rows
+from tierwatch.functions.memory import give_back
 from tierwatch.functions.vectors import has_length, vector_rows
 from tierwatch.operators.vector_search import SCORE_DIGITS, vector_length
 from tierwatch.session import materialize
@@ -25,8 +26,12 @@ FEW_ROWS, GROWTH = 2000, 0.6
 WINDOW = 24
 #: Random directions of one hash; more buckets are had by two hashes or more, which part near rows more often.
 DIRECTIONS = 8192
-#: Rows of a batch that are hashed at once.
-HASHED_ROWS = 512
+#: Rows of a batch that are hashed at once, and rows that a task hashes, about.
+HASHED_ROWS, CODED_ROWS = 512, 10_000
+#: Rows that the tables of a first round deal out, about, and tables of it at least; rows that any round deals out.
+FIRST_DEALT, FIRST_TABLES, ROWS_DEALT = 1_000_000, 4, 16_000_000
+#: Rows that a task sweeps at once, about, rows of a matrix product, and pairs held before only the best of them are kept.
+SWEPT_ROWS, MET_ROWS, PAIRS_HELD = 8192, 64, 1 << 19
 #: Graph edges that one task joins, about.
 EDGES_PER_BLOCK = 50_000
 
@@ -63,8 +68,9 @@ def _codes(vector: Column, dim: int, tables: int, buckets: int, seed: int) -> Co
                 lines = np.random.default_rng([seed, t, h]).standard_normal((dim, directions), np.float32)
                 for start in range(0, len(unit), HASHED_ROWS):
                     along, mine = unit[start:start + HASHED_ROWS] @ lines, made[start:start + HASHED_ROWS, t]
-                    nearest = np.abs(along).argmax(axis=1)
-                    mine[:] = mine * 2 * directions + 2 * nearest + (along[np.arange(len(along)), nearest] > 0)
+                    high, low, row = along.argmax(axis=1), along.argmin(axis=1), np.arange(len(along))
+                    towards = along[row, high] > -along[row, low]
+                    mine[:] = mine * 2 * directions + 2 * np.where(towards, high, low) + towards
         places = unit @ np.random.default_rng([seed, tables]).standard_normal(dim, np.float32)
         all_codes, all_places = np.zeros((len(vectors), tables), np.int64), np.zeros(len(vectors))
         all_codes[valid], all_places[valid] = made, places
@@ -102,47 +108,131 @@ def bucket_size(n: int) -> int:
     return round(BUCKET_ROWS * max(1.0, n / FEW_ROWS) ** GROWTH)
 
 
-def _first_neighbours(classes: DataFrame, dim: int, tables: int, bucket_rows: int | None, window: int | None, seed: int,
+def table_rounds(n: int, tables: int) -> list[range]:
+    """The tables of ``n`` rows in rounds: as many as before once more, and no more rows at once than ``ROWS_DEALT``."""
+    rounds, done, most = [], 0, max(1, ROWS_DEALT // max(1, n))
+    while done < tables:
+        at_once = min(most, max(done, FIRST_TABLES, FIRST_DEALT // max(1, n)))
+        rounds.append(range(done, min(tables, done + at_once)))
+        done = rounds[-1].stop
+    return rounds
+
+
+def _nearest(query: np.ndarray, other: np.ndarray, scores: np.ndarray, size: int, twice: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best ``size`` neighbours of each query, of equal ones those of the lowest number; a pair that comes ``twice`` counts once."""
+    if twice:
+        order = np.lexsort((-scores, other, query))
+        query, other, scores = query[order], other[order], scores[order]
+        once = np.ones(len(query), bool)
+        once[1:] = (query[1:] != query[:-1]) | (other[1:] != other[:-1])
+        query, other, scores = query[once], other[once], scores[once]
+    order = np.lexsort((other, -scores, query))
+    query, other, scores = query[order], other[order], scores[order]
+    near = np.arange(len(query)) - np.searchsorted(query, query) < size
+    return query[near], other[near], scores[near]
+
+
+def _overlapping(batches: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[pa.Table, int]]:
+    """The rows of a task in blocks that begin with the last ``overlap`` rows of the block before, and how many these are."""
+    last, held, size = None, [], 0
+
+    def block() -> tuple[pa.Table, int]:
+        return pa.Table.from_batches(held if last is None else [last, *held]).combine_chunks(), 0 if last is None else len(last)
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        size += len(batch)
+        if size >= SWEPT_ROWS:
+            rows, fresh = block()
+            yield rows, fresh
+            last, held, size = rows.slice(max(0, len(rows) - overlap)).combine_chunks().to_batches()[0], [], 0
+    if held:
+        yield block()
+    give_back()
+
+
+def _first_neighbours(classes: DataFrame, dim: int, size: int, tables: int, bucket_rows: int | None, window: int | None, seed: int,
                       scored: Accumulator | None) -> DataFrame:
-    """``_query, _lead, score`` of vectors that share a bucket.
+    """The lists of the best ``size`` of the vectors that share a bucket with each vector.
 
     Buckets are sorted along a random line and dealt by ranges, so that a large one lies over many tasks. A vector meets
-    the ``window`` that follow it; those of smaller buckets all meet.
+    the ``window`` that follow it; those of smaller buckets all meet. Tables are swept in rounds. A task hands on the best of
+    each vector's neighbours, and only those that are as good as the last one on the list that the vector has from earlier rounds: no
+    other can be among the best of all tables.
     """
     n = classes.count()
     bucket_rows = bucket_rows or bucket_size(n)
     window = window or max(WINDOW, WINDOW * bucket_rows // BUCKET_ROWS)
     buckets = ceil(n / bucket_rows)
-    coded = classes.withColumn("_at", _codes(F.col("_vector"), dim, tables, buckets, seed))
+    parts = max(1, min(ceil(n / HASHED_ROWS), max(classes.sparkSession.sparkContext.defaultParallelism, ceil(n / CODED_ROWS))))
+    coded = classes.select("_lead", "_vector").repartition(parts, "_lead").withColumn(
+        "_at", _codes(F.col("_vector"), dim, tables, buckets, seed))
     coded = materialize(coded.select("_lead", "_vector", "_at.codes", "_at.place"), "vector-codes")
-    placed = coded.select("_lead", "_vector", "place", F.posexplode("codes").alias("_table", "_bucket"))
-    placed = placed.select("_table", "_bucket", "place", "_lead", "_vector")
     schema = _edge_schema(classes)
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch] if last is None else [last, batch])
-            fresh = 0 if last is None else len(last)
-            table, bucket, leads = rows[0].to_numpy(), rows[1].to_numpy(), rows[3].combine_chunks()
-            unit = _matrix(rows[4])
-            for step in range(1, min(window, len(rows) - 1) + 1):
-                second = np.arange(max(fresh, step), len(rows))
-                first = second - step
-                met = (table[first] == table[second]) & (bucket[first] == bucket[second])
-                if not met.any():
-                    # Rows of a bucket are neighbours: further ones do not meet either.
-                    break
-                first, second = first[met], second[met]
-                scores = np.round(np.einsum("ij,ij->i", unit[first], unit[second]), SCORE_DIGITS)
-                if scored is not None:
-                    scored.add(len(scores))
-                for a, b in ((first, second), (second, first)):
-                    yield pa.RecordBatch.from_arrays([leads.take(pa.array(a)), leads.take(pa.array(b)), pa.array(scores)], names=schema.names)
-            last = rows.slice(max(0, len(rows) - window)).combine_chunks().to_batches()[0] if len(rows) else None
-
-    order = ("_table", "_bucket", "place", "_lead")
-    return placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, schema)
+        for rows, fresh in _overlapping(batches, window):
+            table, bucket = rows["_table"].to_numpy(), rows["_bucket"].to_numpy()
+            found = rows["_lead"].combine_chunks().dictionary_encode()
+            in_order = pc.sort_indices(found.dictionary)
+            leads, numbers = found.dictionary.take(in_order), np.empty(len(in_order), np.int64)
+            numbers[in_order.to_numpy()] = np.arange(len(in_order))
+            number = numbers[found.indices.to_numpy()]
+            floor = np.full(len(leads), -np.inf)
+            floor[number] = pc.fill_null(rows["_floor"], -np.inf).to_numpy()
+            unit, places = _matrix(rows["_vector"]), np.arange(len(rows))
+            new = np.ones(len(rows), bool)
+            new[1:] = (table[1:] != table[:-1]) | (bucket[1:] != bucket[:-1])
+            # Each row meets those from ``since`` on and before ``until``.
+            until = np.minimum(np.append(np.flatnonzero(new)[1:], len(rows))[np.cumsum(new) - 1], places + window + 1)
+            since = np.maximum(places + 1, fresh)
+            if scored is not None:
+                scored.add(int(np.maximum(until - since, 0).sum()))
+            held, n_held = [], 0
+
+            def best() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                query, other, scores = _nearest(*(np.concatenate(x) for x in zip(*held)), size, table[0] != table[-1])
+                full = np.flatnonzero(np.arange(len(query)) - np.searchsorted(query, query) == size - 1)
+                floor[query[full]] = np.maximum(floor[query[full]], scores[full])
+                return query, other, scores
+
+            for start in range(0, len(rows), MET_ROWS):
+                stop, low, high = min(len(rows), start + MET_ROWS), since[start], until[start:start + MET_ROWS].max()
+                if low >= high:
+                    continue
+                scores = np.round(unit[start:stop] @ unit[low:high].T, SCORE_DIGITS)
+                first, second = np.nonzero(scores >= np.minimum(floor[number[start:stop], None], floor[number[low:high]]))
+                scores, first, second = scores[first, second], first + start, second + low
+                met = (second >= since[first]) & (second < until[first])
+                scores, first, second = scores[met], number[first[met]], number[second[met]]
+                for query, other in ((first, second), (second, first)):
+                    good = scores >= floor[query]
+                    held.append((query[good], other[good], scores[good]))
+                    n_held += len(held[-1][0])
+                if n_held > PAIRS_HELD:
+                    held = [best()]
+                    n_held = len(held[0][0])
+            if n_held:
+                query, other, scores = best()
+                yield pa.RecordBatch.from_arrays([leads.take(pa.array(query)), leads.take(pa.array(other)), pa.array(scores)], names=schema.names)
+
+    order, graph = ("_table", "_bucket", "place", "_lead"), None
+    for some in table_rounds(n, tables):
+        codes = coded.select("_lead", "_vector", "place", F.slice("codes", some.start + 1, len(some)).alias("codes"))
+        placed = codes.withColumn("_floor", F.lit(None).cast("double")) if graph is None else codes.join(_floors(graph, size), "_lead", "left")
+        placed = placed.select("_lead", "_vector", "place", "_floor", F.posexplode("codes").alias("_table", "_bucket"))
+        found = placed.select(*order, "_vector", "_floor").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, schema)
+        found = found.withColumn("fresh", F.lit(True))
+        graph = materialize(_lists(found if graph is None else found.unionByName(graph), size), "neighbours")
+    return graph
+
+
+def _floors(graph: DataFrame, size: int) -> DataFrame:
+    """``_lead, _floor``: the score of the last neighbour of each vector whose list is full."""
+    full = graph.groupBy(F.col("_query").alias("_lead")).agg(F.count("*").alias("_n"), F.min("score").alias("_floor"))
+    return full.filter(F.col("_n") >= size).drop("_n")
 
 
 def _lists(edges: DataFrame, size: int) -> DataFrame:
@@ -199,10 +289,10 @@ def neighbour_graph(classes: DataFrame, dim: int, size: int = LIST, tables: int
     """``_query, _lead, score``: about the best ``size`` neighbours of each of the distinct vectors ``_lead, _vector``.
 
     Buckets grow by a power of the rows, lists do not: pairs scored grow faster than the rows (by the power 1.6 beyond ``FEW_ROWS``)
-    and slower than their square; what is shuffled grows with the rows. Descent stops early when few lists change. ``scored`` adds up the pairs.
+    and slower than their square; what is shuffled grows with the rows. Descent stops early when few lists change. ``scored`` adds up the pairs
+    that meet, not those that a matrix product of neighbouring rows scores beside them.
     """
-    start = _first_neighbours(classes, dim, tables, bucket_rows, window, seed, scored)
-    graph = materialize(_lists(start.withColumn("fresh", F.lit(True)), size), "neighbours")
+    graph = _first_neighbours(classes, dim, size, tables, bucket_rows, window, seed, scored)
     for _ in range(rounds):
         n_edges, n_fresh = graph.agg(F.count("*"), F.count_if("fresh")).first()
         if n_fresh <= n_edges // 100:
