@@ -243,20 +243,25 @@ def _lists(edges: DataFrame, size: int) -> DataFrame:
 
 
 def _descend(graph: DataFrame, classes: DataFrame, size: int, n_edges: int, scored: Accumulator | None) -> DataFrame:
-    """Introduce the neighbours of each vector to one another: pairs of which one at least is fresh."""
+    """Introduce the neighbours of each vector to one another: pairs of which one at least is fresh.
+
+    Of these only such are handed on that are as good as the last one on a full list.
+    """
     both = graph.select(F.col("_lead").alias("_centre"), F.col("_query").alias("_member"), "score", "fresh").union(
         graph.select("_query", "_lead", "score", "fresh"))
     both = both.groupBy("_centre", "_member").agg(F.max("score").alias("score"), F.max("fresh").alias("fresh"))
     # A vector that is on very many lists introduces the nearest of those.
     near = Window.partitionBy("_centre").orderBy(F.desc("score"), F.asc("_member"))
     both = both.withColumn("_n", F.row_number().over(near)).filter(F.col("_n") <= 4 * size)
-    met = both.select("_centre", F.col("_member").alias("_lead"), "fresh").join(classes.select("_lead", "_vector"), "_lead")
+    vectors = classes.select("_lead", "_vector").join(_floors(graph, size), "_lead", "left")
+    met = both.select("_centre", F.col("_member").alias("_lead"), "fresh").join(vectors, "_lead")
     blocks = max(1, n_edges // EDGES_PER_BLOCK)
     schema = _edge_schema(classes)
 
     def introduce(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("_centre", "ascending"), ("_lead", "ascending")])
         leads, fresh, unit = rows["_lead"].combine_chunks(), rows["fresh"].to_numpy(), _matrix(rows["_vector"])
+        floor = pc.fill_null(rows["_floor"], -np.inf).to_numpy()
         ends = pc.run_end_encode(rows["_centre"].combine_chunks()).run_ends.to_numpy()
         queries, others, values, pairs = [], [], [], 0
         for a, b in zip([0, *ends[:-1]], ends):
@@ -276,11 +281,12 @@ def _descend(graph: DataFrame, classes: DataFrame, size: int, n_edges: int, scor
         if scored is not None:
             scored.add(pairs)
         q, o = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (queries, others))
-        return pa.table([leads.take(pa.array(q)), leads.take(pa.array(o)), pa.array(np.concatenate(values) if values else np.zeros(0))],
-                        names=schema.names)
+        scores = np.concatenate(values) if values else np.zeros(0)
+        good = scores >= floor[q]
+        return pa.table([leads.take(pa.array(q[good])), leads.take(pa.array(o[good])), pa.array(scores[good])], names=schema.names)
 
     block = F.pmod(F.xxhash64("_centre"), F.lit(blocks)).alias("_block")
-    found = met.select(block, "_centre", "_lead", "_vector", "fresh").groupBy("_block").applyInArrow(introduce, schema)
+    found = met.select(block, "_centre", "_lead", "_vector", "_floor", "fresh").groupBy("_block").applyInArrow(introduce, schema)
     return _lists(graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True))), size)
 
 
