@@ -10,9 +10,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tierwatch.functions import embedding
 from tierwatch.functions.digests import first_of_md5
 from tierwatch.functions.embedding import embed_literal
-from tierwatch.operators import lexical_search, postings, similar_rows as lsh, vector_search as vs
+from tierwatch.operators import lexical_search, postings, search_index, similar_rows as lsh, vector_search as vs
 from tierwatch.operators.hybrid_search import fuse
 from tierwatch.operators.investigation import restrict
 from tierwatch.operators.search_index import SearchIndex, list_indexes
@@ -530,6 +531,51 @@ def test_buckets_grow_with_the_rows():
     assert [lsh.bucket_size(n) for n in (0, 10, 2000, 10_000, 50_000)] == [2, 2, 2, 5, 14]
 
 
+def test_a_refresh_cuts_each_text_once_and_stores_vectors_as_bytes(spark, folder, monkeypatch):
+    """Terms and vectors are those of the two functions apart, also of nulls and of folders with arrays from earlier versions."""
+    class OneNumber:
+        """An embedder that says nothing of words: it takes whole texts."""
+
+        name, dim = "one-number", 1
+
+        def encode(self, texts):
+            return np.array([[float(len(t))] for t in texts.to_pylist()])
+
+    rows = [("1", "Sub ject", "Eins zwei, zwei", "x"), ("2", None, "beta", "x"), ("3", "s", None, "y"), ("4", "É—é", "İ ß " * 400, "y"), ("5", "", "", "y")]
+    df = spark.createDataFrame(rows + [(f"n{i}", f"a{i}", f"b{i} b", "x") for i in range(1500)], MAIL).repartition(2)
+    text = F.concat("subject", F.lit(" "), "body")
+    for embedder, chars in ((None, None), (None, 5), (OneNumber(), None)):
+        cut = lambda x: F.substring(x, 1, chars) if chars else x
+        made = embedding.terms_and_vector(F.col("subject"), F.col("body"), embedder, chars)
+        got = df.select("id", made["terms"].alias("terms"), embedding.unpacked(made["embedding"]).alias("v")).collect()
+        apart = df.select("id", embedding.term_counts(F.col("body")).alias("terms"),
+                          embedding.embed(F.concat("subject", F.lit(" "), cut(F.col("body"))), embedder).alias("v")).collect()
+        assert sorted(got) == sorted(apart) and len(got) == 1505
+    plan = df.select(embedding.terms_and_vector(F.col("subject"), F.col("body")).alias("c")).select("c.*")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+    index = open_index(folder)
+    index.refresh(df.filter("id > '2'"), 0)
+    stored = spark.read.parquet(f"{index.root}/messages")
+    assert stored.schema["embedding"].dataType.simpleString() == "binary"
+    data, = index.log.latest(spark).numbers("data")
+    assert data.endswith("-packed")
+    # A batch as earlier versions stored it: arrays, in a folder without the ending.
+    real = embedding.terms_and_vector
+    monkeypatch.setattr(search_index, "_PACKED", "")
+    monkeypatch.setattr(search_index, "terms_and_vector", lambda *a: F.struct(
+        real(*a)["terms"].alias("terms"), embedding.unpacked(real(*a)["embedding"]).alias("embedding")))
+    index.refresh(df.filter("id <= '2'"), 1)
+    monkeypatch.undo()
+    wanted = {r["id"]: r["v"] for r in df.select("id", embedding.embed(text).alias("v")).collect()}
+    for _ in range(2):
+        assert {r["id"]: r["embedding"] for r in index.vectors(spark).collect()} == wanted
+        scores = {r["id"]: r["score"] for r in index.vector_scores(spark, "zwei b7").collect()}
+        given = vs.vector_scores(df.select("id", embedding.embed(text).alias("embedding")), embed_literal("zwei b7"), "id").collect()
+        assert scores == {r["id"]: r["score"] for r in given} and len(scores) == 1503
+        index.compact(spark)
+
+
 def test_blocks_do_not_depend_on_small_arrow_batches(spark):
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)

@@ -10,7 +10,7 @@ The UDFs are deterministic, so that filters on other columns go below them. Wher
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -21,7 +21,7 @@ from pyspark.sql import Column, functions as F
 
 from tierwatch.constants import EMBEDDING_DIM
 from tierwatch.functions.digests import first_of_md5
-from tierwatch.functions.text import TOKEN_SEPARATOR
+from tierwatch.functions.text import TOKEN_SEPARATOR, message_text
 
 #: Texts are cut into words in slices of so many rows and bytes at most (or one text), whatever the size of a batch.
 _ROWS_AT_ONCE, _BYTES_AT_ONCE = 512, 1 << 20
@@ -35,6 +35,13 @@ class Embedder(Protocol):
         """One row of length ``dim`` per text; texts hold no nulls."""
 
 
+class WordEmbedder(Embedder, Protocol):
+    """An embedder whose vector follows from the words of a text and their numbers: a text that is cut already is embedded from these."""
+
+    def encode_words(self, rows: np.ndarray, words: np.ndarray, distinct: pa.Array, n: int) -> np.ndarray:
+        """What ``encode`` gives for ``n`` texts with this :func:`token_table`."""
+
+
 def token_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(row, word index, distinct words) for every token; vectorised over the batch."""
     spaced = pc.replace_substring_regex(pc.utf8_lower(texts), TOKEN_SEPARATOR, " ")
@@ -56,22 +63,29 @@ class HashedWords:
     name: str = "hashed-words"
 
     def encode(self, texts: pa.Array) -> np.ndarray:
-        rows, words, distinct = token_table(texts)
+        return self.encode_words(*token_table(texts), len(texts))
+
+    def encode_words(self, rows: np.ndarray, words: np.ndarray, distinct: pa.Array, n: int) -> np.ndarray:
         places = (first_of_md5(distinct) % self.dim).astype(np.int64)
         cells = rows * self.dim + places[words] if len(words) else rows
-        counts = np.bincount(cells, minlength=len(texts) * self.dim)
-        return counts.reshape(len(texts), self.dim).astype(np.float64)
+        return np.bincount(cells, minlength=n * self.dim).reshape(n, self.dim).astype(np.float64)
 
 
 def _slices(texts: pa.Array):
-    filled = pc.fill_null(texts, "")
-    ends = np.cumsum(pc.binary_length(filled).to_numpy(zero_copy_only=False), dtype=np.int64)
+    for part, in _slices_of(texts):
+        yield part
+
+
+def _slices_of(*columns: pa.Array):
+    """The same rows of some columns of texts, so many as are cut at once."""
+    filled = [pc.fill_null(c, "") for c in columns]
+    ends = np.cumsum(sum(pc.binary_length(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in filled))
     start = 0
-    while start < len(filled):
+    while start < len(ends):
         before = ends[start - 1] if start else 0
         fit = int(np.searchsorted(ends, before + _BYTES_AT_ONCE, "right")) - start
         size = min(max(fit, 1), _ROWS_AT_ONCE)
-        yield filled.slice(start, size)
+        yield tuple(f.slice(start, size) for f in filled)
         start += size
 
 
@@ -95,6 +109,44 @@ def embed(text: Column, embedder: Embedder | None = None) -> Column:
     return encode(text)
 
 
+def packed(vector: Column) -> Column:
+    """A vector as the bytes of its 4-byte numbers: one value to store and to read in place of hundreds. Null for null."""
+
+    @F.arrow_udf("binary")
+    def pack(vectors: pa.Array) -> pa.Array:
+        flat = vectors.flatten().cast(pa.float32()).to_numpy(zero_copy_only=False)
+        return _bytes(flat, pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(), pc.is_null(vectors))
+
+    return pack(vector)
+
+
+def _bytes(flat: np.ndarray, sizes: np.ndarray, missing: pa.Array) -> pa.Array:
+    ends = np.append(0, np.cumsum(sizes, dtype=np.int64) * 4)
+    stored = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(missing), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(flat, "<f4"))])
+    return pc.if_else(missing, pa.scalar(None, pa.large_binary()), stored).cast(pa.binary())
+
+
+def float_lists(vectors: pa.Array) -> pa.Array:
+    """Lists of numbers, also of :func:`packed` vectors."""
+    if not pa.types.is_binary(vectors.type) and not pa.types.is_large_binary(vectors.type):
+        return vectors
+    stored = pc.fill_null(vectors.cast(pa.large_binary()), b"")
+    _, positions, values = stored.buffers()
+    ends = np.frombuffer(positions, np.int64)[stored.offset:stored.offset + len(stored) + 1] if len(stored) else np.zeros(1, np.int64)
+    flat = np.frombuffer(values, np.uint8)[ends[0]:ends[-1]].view("<f4") if values is not None else np.zeros(0, np.float32)
+    return pa.ListArray.from_arrays(pa.array(((ends - ends[0]) // 4).astype(np.int32)), pa.array(flat), mask=pc.is_null(vectors))
+
+
+def unpacked(vector: Column) -> Column:
+    """The ``array<float>`` of a :func:`packed` vector."""
+
+    @F.arrow_udf("array<float>")
+    def unpack(vectors: pa.Array) -> pa.Array:
+        return float_lists(vectors)
+
+    return unpack(vector)
+
+
 def embed_literal(text: str, embedder: Embedder | None = None) -> list[float]:
     """The vector of one text that is known when the plan is built."""
     chosen = embedder or HashedWords()
@@ -157,19 +209,48 @@ def term_counts(text: Column) -> Column:
 
     @F.arrow_udf("array<struct<term string, tf int>>")
     def count(texts: pa.Array) -> pa.Array:
-        sizes, term_parts, count_parts = [], [], []
-        for part in _slices(texts):
-            rows, words, distinct = token_table(part)
-            width = max(len(distinct), 1)
-            cells, tf = np.unique(rows * width + words, return_counts=True)
-            sizes.append(np.bincount(cells // width, minlength=len(part)))
-            term_parts.append(distinct.take(pa.array(cells % width)))
-            count_parts.append(tf.astype(np.int32))
-        ends = np.cumsum(np.concatenate(sizes)) if sizes else np.zeros(0)
-        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-        terms = pa.concat_arrays([t.cast(pa.string()) for t in term_parts] or [pa.array([], pa.string())])
-        counts = pa.array(np.concatenate(count_parts) if count_parts else np.zeros(0, np.int32))
-        pairs = pa.StructArray.from_arrays([terms, counts], names=["term", "tf"])
-        return pa.ListArray.from_arrays(offsets, pairs)
+        return _terms((token_table(part), len(part)) for part in _slices(texts))
 
     return count(text)
+
+
+def _terms(tables: Iterable[tuple[tuple[np.ndarray, np.ndarray, pa.Array], int]]) -> pa.Array:
+    """Distinct words with their counts for each row of some token tables, given with their numbers of rows."""
+    sizes, term_parts, count_parts = [], [], []
+    for (rows, words, distinct), n in tables:
+        width = max(len(distinct), 1)
+        cells, tf = np.unique(rows * width + words, return_counts=True)
+        sizes.append(np.bincount(cells // width, minlength=n))
+        term_parts.append(distinct.take(pa.array(cells % width)))
+        count_parts.append(tf.astype(np.int32))
+    ends = np.cumsum(np.concatenate(sizes)) if sizes else np.zeros(0)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    terms = pa.concat_arrays([t.cast(pa.string()) for t in term_parts] or [pa.array([], pa.string())])
+    counts = pa.array(np.concatenate(count_parts) if count_parts else np.zeros(0, np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([terms, counts], names=["term", "tf"]))
+
+
+def terms_and_vector(subject: Column, body: Column, embedder: Embedder | None = None, body_chars: int | None = None) -> Column:
+    """``struct<terms, embedding>``: :func:`term_counts` of a body, and the :func:`packed` vector of subject and body joined by a space.
+
+    Where the vector follows from the words of whole texts, each text is cut once for both.
+    """
+    chosen = embedder or HashedWords()
+    if body_chars is not None or not hasattr(chosen, "encode_words"):
+        return F.struct(term_counts(body).alias("terms"), packed(embed(message_text(subject, body, body_chars), chosen)).alias("embedding"))
+
+    @F.arrow_udf("struct<terms: array<struct<term: string, tf: int>>, embedding: binary>")
+    def cut(subjects: pa.Array, bodies: pa.Array) -> pa.Array:
+        tables, blocks = [], []
+        for head, part in _slices_of(subjects, bodies):
+            (rows, words, distinct), (more_rows, more_words, more) = token_table(part), token_table(head)
+            both = pa.concat_arrays([distinct, more.cast(distinct.type)])
+            tables.append(_terms([((rows, words, distinct), len(part))]))
+            blocks.append(chosen.encode_words(np.concatenate([rows, more_rows]), np.concatenate([words, more_words + len(distinct)]),
+                                              both, len(part)).astype(np.float32))
+        flat = np.concatenate(blocks).ravel() if blocks else np.zeros(0, np.float32)
+        missing = pc.or_(pc.is_null(subjects), pc.is_null(bodies))
+        vectors = _bytes(flat, np.full(len(bodies), chosen.dim), missing)
+        return pa.StructArray.from_arrays([pa.concat_arrays(tables) if tables else _terms([]), vectors], names=["terms", "embedding"])
+
+    return cut(subject, body)

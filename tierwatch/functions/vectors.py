@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
-from tierwatch.functions.embedding import unit_rows
+from tierwatch.functions.embedding import float_lists, unit_rows
 from tierwatch.functions.ratios import safe_ratio
 
 
@@ -44,7 +44,7 @@ def vector_rows(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cosine_to(vector: Column, query: Sequence[float]) -> Column:
-    """Cosine of a vector column with one known vector.
+    """Cosine of a vector column, of arrays or packed, with one known vector.
 
     Null for a vector of another length or with a missing element.
 
@@ -56,7 +56,7 @@ def cosine_to(vector: Column, query: Sequence[float]) -> Column:
 
     @F.arrow_udf("double")
     def compare(vectors: pa.Array) -> pa.Array:
-        rows, valid = vector_rows(vectors, dim)
+        rows, valid = vector_rows(float_lists(vectors), dim)
         scores = np.zeros(len(vectors))
         scores[valid] = unit_rows(rows) @ target
         return pa.array(scores, mask=~valid)

@@ -15,8 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tierwatch.functions.embedding import Embedder, embed, embed_literal, term_counts
-from tierwatch.functions.text import message_text
+from tierwatch.functions.embedding import Embedder, embed_literal, packed, terms_and_vector, unpacked
 from tierwatch.operators import postings as blocks_of
 from tierwatch.operators.hybrid_search import attach, fuse
 from tierwatch.operators.index_log import Batch, CommitLog, Snapshot
@@ -25,6 +24,8 @@ from tierwatch.operators.registry import _read_meta, _write_meta
 from tierwatch.operators.vector_search import Filter, equals, vector_scores
 
 _META = ("name string, version string, text_column string, key string, attributes string, target_lag string")
+#: How folders end that hold packed vectors; those of earlier versions hold arrays.
+_PACKED = "-packed"
 #: Blocks that a search reads first, to learn how good its answers are at least.
 FIRST_BLOCKS = 16
 #: Messages that a search looks up in the lists of its frequent words, at most; beyond, it reads those lists.
@@ -79,14 +80,14 @@ class SearchIndex:
         with the largest digest of its text and attributes.
         """
         spark, batch_id = messages.sparkSession, str(batch_id)
-        folder = f"{origin}-{batch_id}-{uuid.uuid4().hex}"
+        folder = f"{origin}-{batch_id}-{uuid.uuid4().hex}{_PACKED}"
         body, subject = F.col(self.text), F.col(self.subject)
         digest = F.xxhash64(subject, body, *(F.col(a) for a in self.attributes))
         order = [F.col(newest).alias("newest")] if newest else []
+        made = terms_and_vector(subject, body, self.embedder, self.body_chars)
         cut = messages.filter(F.col(self.key).isNotNull()).select(
-            self.key, *self.attributes, body.isNotNull().alias("has_text"), term_counts(body).alias("terms"),
-            embed(message_text(subject, body, self.body_chars), self.embedder).alias("embedding"), F.lit(None).cast("long").alias("since"),
-            F.struct(*order, digest.alias("digest"), F.monotonically_increasing_id().alias("row")).alias("order"))
+            self.key, *self.attributes, body.isNotNull().alias("has_text"), made["terms"].alias("terms"), made["embedding"].alias("embedding"),
+            F.lit(None).cast("long").alias("since"), F.struct(*order, digest.alias("digest"), F.monotonically_increasing_id().alias("row")).alias("order"))
         cut = cut.withColumn("length", F.aggregate("terms", F.lit(0), lambda n, t: n + t["tf"]))
         data, n_docs, n_words = self._write_messages(cut, folder)
         self._write_postings(spark, data)
@@ -106,7 +107,7 @@ class SearchIndex:
                 return
             replaced = {b.n for b in before.batches}
             folder, n_docs, n_words = self._write_messages(
-                self._live(spark, self._messages(spark, data, before), before).drop("batch"), f"compacted-{uuid.uuid4().hex}", unique=True)
+                self._live(spark, self._messages(spark, data, before), before).drop("batch"), f"compacted-{uuid.uuid4().hex}{_PACKED}", unique=True)
             self._write_postings(spark, folder)
 
             def prepare(now: Snapshot) -> tuple[Batch, set[int]] | None:
@@ -130,7 +131,7 @@ class SearchIndex:
             if winners.count() < found["rows"]:
                 # Some keys are repeated: what stays of them is written anew, the first folder is not read again.
                 kept = stored.withColumn("row", F.col("order.row")).join(winners.select("row"), "row", "left_semi").drop("row")
-                return self._write_messages(kept, f"{folder}-once", unique=True)
+                return self._write_messages(kept, f"{folder.removesuffix(_PACKED)}-once{_PACKED}", unique=True)
         return folder, found["n_docs"], found["n_words"]
 
     def _write_postings(self, spark: SparkSession, folder: str) -> None:
@@ -175,7 +176,11 @@ class SearchIndex:
 
     def _messages(self, spark: SparkSession, folders: Sequence[str], at: Snapshot | None = None) -> DataFrame:
         """Stored messages; with a snapshot, ``since`` is the commit that each came with."""
-        stored = self._read(spark, "messages", list(folders))
+        by_layout = [[f for f in folders if f.endswith(_PACKED) == new] for new in (True, False)]
+        parts = [self._read(spark, "messages", some) for some in by_layout if some]
+        if by_layout[1]:
+            parts[-1] = parts[-1].withColumn("embedding", packed(F.col("embedding")))
+        stored = reduce(DataFrame.unionByName, parts)
         return stored if at is None else stored.withColumn("since", _since(at))
 
     def _live(self, spark: SparkSession, rows: DataFrame, at: Snapshot) -> DataFrame:
@@ -187,6 +192,9 @@ class SearchIndex:
         return rows.join(taken, (F.col(self.key) == F.col("_gone")) & (F.col("_at") > F.col("since")), "left_anti")
 
     def vectors(self, spark: SparkSession) -> DataFrame:
+        return self._packed_vectors(spark).withColumn("embedding", unpacked(F.col("embedding")))
+
+    def _packed_vectors(self, spark: SparkSession) -> DataFrame:
         at = self.log.latest(spark)
         found = self._messages(spark, at.numbers("data"), at).select(self.key, *self.attributes, "embedding", "since")
         return self._live(spark, found, at).drop("since")
@@ -288,7 +296,7 @@ class SearchIndex:
 
     def vector_scores(self, spark: SparkSession, query: str,
                       filter_eq: Filter = None) -> DataFrame:
-        return vector_scores(self.vectors(spark), embed_literal(query, self.embedder), self.key,
+        return vector_scores(self._packed_vectors(spark), embed_literal(query, self.embedder), self.key,
                              filter_eq=filter_eq)
 
     def search(self, spark: SparkSession, query: str, k: int = 5,
